@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import calendar_columns
 from ..functions.text import text_after_nth, upper_text
 from ..schemas import conform, star_schema
-from .keys import with_surrogate_key
+from .keys import with_short_list_key, with_surrogate_key
 
 # First surrogate key of each dimension, and the unknown member.
 DATE_START = 100001
@@ -123,7 +123,7 @@ def dim_countries_rows(countries: DataFrame, regions: DataFrame) -> DataFrame:
 
 def dim_countries(countries: DataFrame, regions: DataFrame) -> DataFrame:
     rows = dim_countries_rows(countries, regions)
-    return with_surrogate_key(rows, ["country_id"], "country_key", COUNTRY_START)
+    return with_short_list_key(rows, "country_id", "country_key", COUNTRY_START)
 
 
 def dim_warehouses_rows(warehouses: DataFrame, locations: DataFrame, countries_dim: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ shuffled at most twice, once by product and once by order.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from .dims import UNKNOWN_EMPLOYEE_KEY
 _SPREAD = 256
 
 
-def _keyed_orders(orders: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def _keyed_orders(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Orders with their date, customer and employee keys.
 
     A third of all orders may have no salesman; NULL keys would all meet in one
@@ -41,7 +43,7 @@ def _keyed_orders(orders: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def fact_sales(src: dict[str, DataFrame], dims: dict[str, DataFrame], unknown_employee: bool = True) -> DataFrame:
+def fact_sales(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], unknown_employee: bool = True) -> DataFrame:
     """One row per order line. ``dims`` must hold one version per natural key."""
     products = (
         dims["dim_products"].select("product_key", "product_id").join(
@@ -65,7 +67,7 @@ def fact_sales(src: dict[str, DataFrame], dims: dict[str, DataFrame], unknown_em
     return conform(filled, star_schema("sales_fact"))
 
 
-def fact_inventories(src: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+def fact_inventories(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
     """One row per product and warehouse in stock."""
     products = (
         dims["dim_products"].select("product_key", "product_id").join(

@@ -8,6 +8,8 @@ a refresh twice adds nothing the second time.
 from __future__ import annotations
 
 import datetime as dt
+from collections import ChainMap
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from ..functions.calendar import calendar_columns
 from ..schemas import conform, star_schema
 from . import dims as d
 from .facts import fact_inventories, fact_sales
-from .keys import highest_key, with_surrogate_key
+from .keys import highest_key, with_short_list_key, with_surrogate_key
 
 
 def _unseen(rows: DataFrame, current: DataFrame, on: list[str]) -> DataFrame:
@@ -36,49 +38,52 @@ def refresh_dates(current: DataFrame, start: dt.date, end: dt.date) -> DataFrame
     return conform(rows.withColumns(calendar_columns(F.col("calendar_date"))), star_schema("dim_date"))
 
 
-def refresh_products(current: DataFrame, src: dict[str, DataFrame]) -> DataFrame:
+def refresh_products(current: DataFrame, src: Mapping[str, DataFrame]) -> DataFrame:
     fresh = _unseen(src["products"], current, ["product_id"])
     rows = d.dim_products_rows(fresh, src["product_categories"])
     return _keyed(rows, current, "product_id", "product_key", d.PRODUCT_START)
 
 
-def refresh_customers(current: DataFrame, src: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
+def refresh_customers(current: DataFrame, src: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
     """New customers; their activity cut-off is one year before ``as_of``."""
     fresh = _unseen(src["customers"], current, ["customer_id"])
     keyed = _keyed(fresh, current, "customer_id", "customer_key", d.CUSTOMER_START)
     return d.dim_customers_rows(keyed, src["contacts"], src["orders"], as_of, carry=("customer_key",))
 
 
-def refresh_countries(current: DataFrame, src: dict[str, DataFrame]) -> DataFrame:
+def refresh_countries(current: DataFrame, src: Mapping[str, DataFrame]) -> DataFrame:
     rows = d.dim_countries_rows(src["countries"], src["regions"])
-    return _keyed(_unseen(rows, current, ["country_id"]), current, "country_id", "country_key", d.COUNTRY_START)
+    fresh = _unseen(rows, current, ["country_id"])
+    after = highest_key(current, "country_key")
+    return with_short_list_key(fresh, "country_id", "country_key", d.COUNTRY_START, after)
 
 
-def refresh_warehouses(current: DataFrame, src: dict[str, DataFrame], countries_dim: DataFrame) -> DataFrame:
+def refresh_warehouses(current: DataFrame, src: Mapping[str, DataFrame], countries_dim: DataFrame) -> DataFrame:
     fresh = _unseen(src["warehouses"], current, ["warehouse_id"])
     rows = d.dim_warehouses_rows(fresh, src["locations"], countries_dim)
     return _keyed(rows, current, "warehouse_id", "warehouse_key", d.WAREHOUSE_START)
 
 
-def refresh_employees(current: DataFrame, src: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
+def refresh_employees(current: DataFrame, src: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
     """New employees; the unknown member neither hides a real id nor moves the key sequence."""
     known = current.where(F.col("employee_key") != d.UNKNOWN_EMPLOYEE_KEY)
     rows = d.dim_employees_rows(_unseen(src["employees"], known, ["employee_id"]), as_of)
     return _keyed(rows, current, "employee_id", "employee_key", d.EMPLOYEE_START, reserved=d.UNKNOWN_EMPLOYEE_KEY)
 
 
-def refresh_sales(current: DataFrame, src: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+def refresh_sales(current: DataFrame, src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
     """Lines of orders after the newest order date on record.
 
     The mark is a scalar subquery, so it reaches the scan of the orders and old
     orders never take part in a join.
     """
-    mark = current.agg(F.max("order_date")).scalar()
-    newer = src["orders"].where(F.col("order_date") > F.coalesce(mark, F.lit(dt.date(1, 1, 1))))
-    return fact_sales({**src, "orders": newer}, dims)
+    earliest = F.make_date(F.lit(1), F.lit(1), F.lit(1))
+    mark = current.agg(F.coalesce(F.max("order_date"), earliest)).scalar()
+    newer = src["orders"].where(F.col("order_date") > mark)
+    return fact_sales(ChainMap({"orders": newer}, src), dims)
 
 
-def refresh_inventories(current: DataFrame, src: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+def refresh_inventories(current: DataFrame, src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
     return _unseen(fact_inventories(src, dims), current, ["product_key", "warehouse_key"]).select(current.columns)
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType, StringType
+from pyspark.sql.types import DateType, IntegralType
 
 _BLOCK_BITS = 18
 _ZONE_BITS = 23
@@ -31,9 +31,6 @@ def _leading_number(df: DataFrame, name: str) -> Column:
         return F.unix_date(name).cast("bigint")
     if isinstance(dtype, IntegralType):
         return F.col(name).cast("bigint")
-    if isinstance(dtype, StringType):
-        # The first six bytes, read as one number, sort like the text itself.
-        return F.conv(F.rpad(F.hex(F.substring(F.encode(name, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("bigint")
     raise TypeError(f"no surrogate keys over {dtype.simpleString()} column {name}")
 
 
@@ -76,6 +73,13 @@ def with_surrogate_key(
     return numbered.select(key.cast("bigint").alias(name), *df.columns)
 
 
+def with_short_list_key(df: DataFrame, natural_key: str, name: str, start: int, after: Column | None = None) -> DataFrame:
+    """The same for a list that its id type keeps short, such as two-letter codes."""
+    first = F.lit(start - 1) if after is None else F.greatest(F.lit(start - 1), after)
+    rank = F.row_number().over(Window.orderBy(natural_key))
+    return df.select((first + rank).cast("bigint").alias(name), *df.columns)
+
+
 def highest_key(dim: DataFrame, name: str, reserved: int | None = None) -> Column:
     """The highest key in use, as a scalar subquery (no driver round trip)."""
     used = dim if reserved is None else dim.where(F.col(name) != reserved)

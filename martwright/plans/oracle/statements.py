@@ -1,0 +1,543 @@
+"""One statement per registered query."""
+
+from __future__ import annotations
+
+from ...schemas import SOURCE_DDL, SOURCE_FOREIGN_KEYS, STAR_DDL, STAR_FOREIGN_KEYS, STAR_LIMITS, column_names
+from .ctes import with_ctes
+
+_SOURCE = {name: f"s_{name}" for name in SOURCE_DDL} | {
+    "order_items": "s_items",
+    "product_categories": "(select distinct category_name as category_id, category_name from s_products)",
+    "products": "(select *, category_name as category_id from s_products)",
+}
+_STAR = {name: name.replace("dim_", "d_") for name in STAR_DDL} | {
+    "dim_employees": "d_employees_all",
+    "sales_fact": "f_sales",
+    "inventories_fact": "f_inventories",
+}
+
+
+def _half_up(num: str, den: str, times: int = 1) -> str:
+    """round(times * num / den, 2) from whole hundredths, half away from zero."""
+    n = f"cast(cast({num} as decimal(30,2)) * 100 as hugeint)"
+    d = f"cast(cast({den} as decimal(30,2)) * 100 as hugeint)"
+    return f"(cast(sign({n}) * ((abs({n}) * {200 * times} + {d}) // (2 * {d})) as double) / 100)"
+
+
+def _money(*columns: str) -> str:
+    return ", ".join(f"cast({c} as double) as {c}" for c in columns)
+
+
+def _text(*columns: str) -> str:
+    return ", ".join(f"cast({c} as varchar) as {c}" for c in columns)
+
+
+_DATE_COLUMNS = "* replace (cast(calendar_date as varchar) as calendar_date, cast(cal_week_end_date as varchar) as cal_week_end_date)"
+_FACT_MONEY = ["item_quantity", "standard_cost", "unit_price", "unit_profit", "order_total_price", "gross_profit"]
+_FACT_COLUMNS = (
+    "date_key, product_key, customer_key, employee_key, order_id, order_status, "
+    + _text("order_date")
+    + ", "
+    + _money(*_FACT_MONEY)
+)
+_CUSTOMER_COLUMNS = "* replace (cast(credit_limit as double) as credit_limit)"
+_EMPLOYEE_COLUMNS = "* replace (cast(hire_date as varchar) as hire_date)"
+
+
+def _column_union(template: str, columns: dict[str, list]) -> str:
+    return " union all ".join(template.format(t=_STAR[t], table=t, c=c) for t, cs in columns.items() for c in cs)
+
+
+SQL: dict[str, str] = {}
+
+# ---- sources -------------------------------------------------------------------------------------------------
+
+SQL["src_row_counts"] = " union all ".join(
+    f"select '{name}' as table_name, count(*) as row_count from {block}" for name, block in _SOURCE.items()
+)
+SQL["src_parse_dates"] = """
+    select order_id, strftime(order_date, '%d-') || upper(strftime(order_date, '%b')) || strftime(order_date, '-%y')
+           as date_text, cast(order_date as varchar) as order_date
+    from s_orders"""
+SQL["src_apply_corrections"] = """
+    select product_id, product_name,
+           case when category_name = 'SMALL' then description || ' corrected' else description end as description,
+           cast(standard_cost as double) as standard_cost,
+           cast(case when category_name = 'SMALL' then list_price + 10 else list_price end as double) as list_price
+    from s_products"""
+SQL["src_append_delta"] = "select * replace (cast(order_date as varchar) as order_date) from s_orders"
+SQL["fn_calendar"] = """
+    select cast(calendar_date as varchar) as order_date, day_of_week, day_of_month, day_of_year, last_day_in_month_ind,
+           cast(cal_week_end_date as varchar) as cal_week_end_date, cal_week_no_in_year, cal_month_name,
+           cal_month_no_in_year, cal_year_month, cal_quarter, cal_year_quarter, cal_year, weekday_ind,
+           rpad(monthname(calendar_date), 9, ' ') as month_text, strftime(calendar_date, '%Y') as year_text,
+           strftime(calendar_date, '%m') as month_digits, strftime(calendar_date, '%d/%m/%Y') as day_text,
+           cast(cast(date_trunc('year', calendar_date) as date) as varchar) as year_start,
+           cast(cast(calendar_date - interval 12 month as date) as varchar) as year_earlier,
+           cast(calendar_date - 1 as varchar) as day_before, cast(calendar_date + 1 as varchar) as next_day,
+           cast(calendar_date - cast(date_trunc('year', calendar_date) as date) as integer) as days_since_year_start
+    from d_date where calendar_date in (select order_date from s_orders)"""
+SQL["fn_text"] = """
+    select customer_id, upper(name) as upper_name,
+           nullif(regexp_extract(upper(address), '^[^,]*,[^,]*,(.*)$', 1), '') as geography,
+           cast(null as varchar) as after_third_comma,
+           case when address like '%,%,%' then 'Y' else 'N' end as has_two_commas,
+           coalesce(first_name, '') || ' ' || coalesce(last_name, '') as contact_name,
+           coalesce(first_name, 'UNDEFINED') as first_name, cast(round(credit_limit) as double) as credit_rounded,
+           '[' || cast(customer_id as varchar) || '] ' || name as label
+    from s_customers left join s_contacts using (customer_id)"""
+
+# ---- dimensions and facts --------------------------------------------------------------------------------------
+
+SQL["dim_surrogate_keys"] = "select order_id, row_number() over (order by order_id) as order_key from s_orders"
+SQL["dim_date"] = f"select {_DATE_COLUMNS} from d_date"
+SQL["dim_date_as_written"] = f"""
+    select {_DATE_COLUMNS[:-1]},
+           case when calendar_date >= (select min(calendar_date) from d_date where last_day_in_month_ind = 'Y') then 'Y' end
+           as last_day_in_month_ind) from d_date"""
+SQL["dim_products"] = "select * from d_products"
+SQL["dim_customers"] = f"select {_CUSTOMER_COLUMNS} from d_customers"
+SQL["dim_countries"] = "select * from d_countries"
+SQL["dim_warehouses"] = "select * from d_warehouses"
+SQL["dim_employees"] = f"select {_EMPLOYEE_COLUMNS} from d_employees"
+SQL["dim_employees_unknown"] = f"select {_EMPLOYEE_COLUMNS} from d_employees_all"
+SQL["fact_sales"] = f"select {_FACT_COLUMNS} from f_sales_raw"
+SQL["fact_sales_unknown_employee"] = f"select {_FACT_COLUMNS} from f_sales"
+SQL["fact_inventories"] = f"""
+    select product_key, warehouse_key, inventory_quantity, {_money("standard_cost", "list_price")} from f_inventories"""
+
+# ---- quality -----------------------------------------------------------------------------------------------------
+
+SQL["dq_duplicate_keys"] = """
+    select order_id, item_id, count(*) as row_count from s_items group by order_id, item_id having count(*) > 1"""
+SQL["dq_null_counts"] = _column_union(
+    "select '{table}' as table_name, '{c}' as column_name, count(*) - count({c}) as null_count from {t}",
+    {t: column_names(STAR_DDL[t]) for t in STAR_DDL},
+)
+
+
+def _orphans(blocks: dict[str, str], child: str, column: str, parent: str, parent_column: str) -> str:
+    return f"""
+    select '{child}.{column}' as reference, count(*) as orphans from {blocks[child]} c
+    where c.{column} is not null and not exists (select 1 from {blocks[parent]} p where p.{parent_column} = c.{column})"""
+
+
+SQL["dq_orphan_rows"] = (
+    " union all ".join(
+        [_orphans(_SOURCE, *k) for k in SOURCE_FOREIGN_KEYS] + [_orphans(_STAR, *k) for k in STAR_FOREIGN_KEYS]
+    )
+    + """ union all
+    select 'orders.customer_id outside EUROPE', count(*) from s_orders
+    where customer_id not in (select customer_id from s_customers where address not like '%, EUROPE')"""
+)
+SQL["dq_cascade_delete"] = """
+    select order_status, count(*) as lines, cast(sum(order_total_price) as double) as sales,
+           count(distinct product_key) as products
+    from f_sales where product_key not in (select product_key from d_products where product_category = 'ECONOMY')
+    group by order_status"""
+SQL["dq_reconcile_counts"] = " union all ".join(
+    f"""select '{loaded}' as table_name, s.n as expected_rows, t.n as actual_rows,
+               case when s.n = t.n then 'Y' else 'N' end as matches
+        from (select count(*) as n from {source}) s, (select count(*) as n from {block}) t"""
+    for loaded, source, block in [
+        ("dim_products", "s_products", "d_products"),
+        ("dim_customers", "s_customers", "d_customers"),
+        ("dim_countries", "s_countries", "d_countries"),
+        ("dim_warehouses", "s_warehouses", "d_warehouses"),
+        ("dim_employees", "s_employees", "d_employees"),
+        ("sales_fact", "s_items", "f_sales"),
+        ("inventories_fact", "s_inventories", "f_inventories"),
+    ]
+)
+
+
+def _too_wide(column: str, limit) -> str:
+    if isinstance(limit, int):
+        return f"length({column}) > {limit}"
+    return f"abs({column}) >= {10 ** (limit[0] - limit[1])}"
+
+
+SQL["dq_width_violations"] = " union all ".join(
+    f"""select '{table}' as table_name, '{c}' as column_name, count(*) filter ({_too_wide(c, limit)}) as violations
+        from {_STAR[table]}"""
+    for table, limits in STAR_LIMITS.items()
+    for c, limit in limits.items()
+)
+
+# ---- incremental refresh -------------------------------------------------------------------------------------------
+
+SQL["inc_date"] = f"""
+    select {_DATE_COLUMNS} from d_date where calendar_date between date '2001-01-01' and date '2001-12-31'"""
+
+
+def _refreshed(dim: str, key: str, natural: str, old: str) -> str:
+    return f"""select * replace ((select max({key}) from {dim} where {old})
+                      + row_number() over (order by {natural}) as {key}) from {dim} where not ({old})"""
+
+
+_OLD_COUNTRY = "region_name <> 'EUROPE'"
+_OLD_WAREHOUSE = "country_key in (select country_key from d_countries where region_name <> 'EUROPE')"
+SQL["inc_products"] = _refreshed("d_products", "product_key", "product_id", "product_category <> 'PROMO'")
+SQL["inc_customers"] = f"""
+    select {_CUSTOMER_COLUMNS} from ({_refreshed("d_customers", "customer_key", "customer_id",
+                                                 "customer_geography <> ' EUROPE'")})"""
+SQL["inc_countries"] = _refreshed("d_countries", "country_key", "country_id", _OLD_COUNTRY)
+SQL["inc_warehouses"] = _refreshed("d_warehouses", "warehouse_key", "warehouse_id", _OLD_WAREHOUSE)
+SQL["inc_employees"] = f"""
+    select {_EMPLOYEE_COLUMNS} from ({_refreshed("d_employees", "employee_key", "employee_id", "job_title <> 'SALES 4'")})"""
+SQL["inc_sales"] = f"""
+    select {_FACT_COLUMNS} from f_sales
+    where order_date > (select max(order_date) from f_sales where order_date < date '2001-01-01')"""
+SQL["inc_inventories"] = f"""
+    select product_key, warehouse_key, inventory_quantity, {_money("standard_cost", "list_price")} from f_inventories
+    where warehouse_key not in (select warehouse_key from d_warehouses where {_OLD_WAREHOUSE})"""
+SQL["inc_sales_upsert"] = f"""
+    with late as (
+        select f.* replace ('SHIPPED' as order_status, cast(f.order_date + 14 as date) as order_date, d.date_key as date_key)
+        from f_sales f join d_date d on d.calendar_date = cast(f.order_date + 14 as date)
+        where f.order_status = 'PENDING' and year(f.order_date) = 2000)
+    select {_FACT_COLUMNS} from late
+    union all
+    select {_FACT_COLUMNS} from f_sales where not (order_status = 'PENDING' and year(order_date) = 2000)"""
+SQL["inc_products_stream"] = (
+    "select * from d_products where product_category <> 'PROMO' union all " + SQL["inc_products"]
+)
+
+# ---- slowly changing dimensions ----------------------------------------------------------------------------------------
+
+_HOLIDAYS = """
+    select make_date(y, 12, 25) as h from (select cal_year as y from d_date union select cal_year + 1 from d_date)
+    union select make_date(y, 1, 1) from (select cal_year as y from d_date union select cal_year + 1 from d_date)"""
+SQL["scd1_holidays"] = f"""
+    select {_DATE_COLUMNS[:-1]}, case when calendar_date in ({_HOLIDAYS}) then 'Y' else 'N' end as holiday_ind) from d_date"""
+SQL["scd1_missing"] = f"""
+    select cast(h as varchar) as calendar_date from ({_HOLIDAYS}) where h not in (select calendar_date from d_date)"""
+SQL["scd2_init"] = """
+    select *, '1995-01-01' as start_date, '9999-12-31' as end_date, 'Y' as products_active_flag from d_products"""
+
+_PRODUCT_VERSIONS = """
+    economy as (select * from d_products where product_category = 'ECONOMY'),
+    changes as (
+        select product_id, date '2001-01-01' as start_date, product_description || ' REV 2' as description from economy
+        union all
+        select product_id, date '2001-07-01', product_description || ' REV 3' from economy where product_name like 'RED%'),
+    opened as (
+        select (select max(product_key) from d_products) + row_number() over (order by c.product_id, c.start_date)
+                   as product_key,
+               p.product_id, p.product_name, c.description as product_description, p.product_category, c.start_date,
+               coalesce(cast(lead(c.start_date) over (partition by c.product_id order by c.start_date) - 1 as date),
+                        date '9999-12-31') as end_date
+        from changes c join d_products p on c.product_id = p.product_id),
+    versions as (
+        select *, case when end_date = date '9999-12-31' then 'Y' else 'N' end as products_active_flag from opened
+        union all
+        select p.*, date '1995-01-01',
+               case when product_category = 'ECONOMY' then date '2000-12-31' else date '9999-12-31' end,
+               case when product_category = 'ECONOMY' then 'N' else 'Y' end
+        from d_products p)"""
+_VERSION_DATES = "* replace (cast(start_date as varchar) as start_date, cast(end_date as varchar) as end_date)"
+SQL["scd2_products"] = f"with {_PRODUCT_VERSIONS} select {_VERSION_DATES} from versions"
+SQL["scd2_current"] = f"with {_PRODUCT_VERSIONS} select {_VERSION_DATES} from versions where products_active_flag = 'Y'"
+SQL["scd2_as_of_join"] = f"""
+    with {_PRODUCT_VERSIONS}
+    select v.product_id, cast(v.start_date as varchar) as start_date, v.product_description, count(*) as lines,
+           cast(sum(i.quantity) as double) as units
+    from s_items i join s_orders o on i.order_id = o.order_id
+         join versions v on v.product_id = i.product_id and o.order_date between v.start_date and v.end_date
+    group by v.product_id, v.start_date, v.product_description"""
+SQL["scd2_rejects"] = """
+    select product_id, '1990-01-01' as start_date, 'start date is not after the current version''s' as reject_reason
+    from d_products where product_category = 'ECONOMY' and product_name like 'OLD%'
+    union all
+    select -1 - product_id, '2001-01-01', 'product_id ' || cast(-1 - product_id as varchar) || ' does not exist'
+    from d_products where product_category = 'ECONOMY' and product_name like 'BLUE%'"""
+SQL["scd2_customers"] = """
+    select (select max(customer_key) from d_customers) + row_number() over (order by customer_id) as customer_key,
+           customer_id, customer_name, first_name, last_name, address, cast(credit_limit + 500 as double) as credit_limit,
+           customer_status, customer_geography, '2001-01-01' as start_date, '9999-12-31' as end_date,
+           'Y' as customer_active_flag
+    from d_customers where customer_geography = ' EUROPE'
+    union all
+    select customer_key, customer_id, customer_name, first_name, last_name, address, cast(credit_limit as double),
+           customer_status, customer_geography, '1995-01-01',
+           case when customer_geography = ' EUROPE' then '2000-12-31' else '9999-12-31' end,
+           case when customer_geography = ' EUROPE' then 'N' else 'Y' end
+    from d_customers"""
+SQL["scd2_employees"] = """
+    select (select max(employee_key) from d_employees) + row_number() over (order by employee_id) as employee_key,
+           employee_id, first_name, last_name, email, phone, cast(hire_date as varchar) as hire_date,
+           cast(date '2002-06-30' - hire_date as bigint) as no_of_days_employed, 'SALES MANAGER' as job_title,
+           '2001-01-01' as start_date, '9999-12-31' as end_date, 'Y' as employee_active_flag
+    from d_employees where job_title = 'SALES 1'
+    union all
+    select employee_key, employee_id, first_name, last_name, email, phone, cast(hire_date as varchar),
+           no_of_days_employed, job_title, '1995-01-01',
+           case when job_title = 'SALES 1' then '2000-12-31' else '9999-12-31' end,
+           case when job_title = 'SALES 1' then 'N' else 'Y' end
+    from d_employees_all"""
+
+# ---- reports -----------------------------------------------------------------------------------------------------------
+
+
+def _growth(monthly: str) -> str:
+    return f"""
+    with monthly as ({monthly}),
+    paired as (select *, lag(sales_amount) over (order by month_no) as pre from monthly)
+    select upper(monthname(make_date(2000, month_no, 1))) as sales_month, product_category,
+           cast(sales_amount as double) as sales_amount, cast(coalesce(pre, 0) as double) as pre_sales_amount,
+           coalesce({_half_up("(sales_amount - pre)", "pre", 100)}, 0) as growth,
+           case when coalesce(sales_amount - pre, 0) > 0 then 'Improved Performance'
+                when coalesce(sales_amount - pre, 0) = 0 then 'Constant Performance'
+                else 'Reduced Performance' end as sales_performance
+    from paired"""
+
+
+SQL["rpt_monthly_growth"] = _growth("""
+    select dd.cal_month_no_in_year as month_no, dp.product_category, sum(sf.unit_price) as sales_amount
+    from f_sales sf join d_products dp on sf.product_key = dp.product_key join d_date dd on sf.date_key = dd.date_key
+    where dd.cal_year = 1998 and dp.product_category = 'ECONOMY'
+    group by dd.cal_month_no_in_year, dp.product_category""")
+SQL["rpt_monthly_growth_as_written"] = _growth("""
+    select dd.cal_month_no_in_year as month_no, dp.product_category, sum(sf.unit_price) as sales_amount
+    from f_sales sf join d_products dp on sf.product_key = dp.product_key
+         join d_date dd on sf.product_key = dp.product_key
+    where dd.cal_year = 1998 and dp.product_category = 'ECONOMY'
+    group by dd.cal_month_no_in_year, dp.product_category""")
+
+_QUARTERS = ["quarter1", "quarter2", "quarter3", "quarter4"]
+
+
+def _employee_quarter(n: int) -> str:
+    return f"""select de.employee_id, sum(sf.order_total_price) as total
+               from f_sales sf join d_employees_all de on de.employee_key = sf.employee_key
+                    join d_date dd on dd.date_key = sf.date_key
+               where dd.cal_year = 1998 and dd.cal_quarter = 'Q{n}' and employee_id <> 9999 group by de.employee_id"""
+
+
+SQL["rpt_employee_quarterly"] = f"""
+    with q1 as ({_employee_quarter(1)}), q2 as ({_employee_quarter(2)}), q3 as ({_employee_quarter(3)}),
+    q4 as ({_employee_quarter(4)}),
+    e as (select de.employee_id, de.first_name || ' ' || de.last_name as employee_name, de.job_title,
+                 sum(sf.item_quantity) as sales_quantity, sum(sf.order_total_price) as sales_amount
+          from f_sales sf join d_employees_all de on de.employee_key = sf.employee_key
+               join d_date dd on dd.date_key = sf.date_key
+          where dd.cal_year = 1998 and employee_id <> 9999
+          group by de.employee_id, de.first_name, de.last_name, de.job_title)
+    select e.employee_id, e.employee_name, e.job_title, cast(coalesce(q1.total, 0) as double) as quarter1,
+           cast(coalesce(q2.total, 0) as double) as quarter2, cast(coalesce(q3.total, 0) as double) as quarter3,
+           cast(coalesce(q4.total, 0) as double) as quarter4, {_money("sales_quantity", "sales_amount")}
+    from e left join q1 on e.employee_id = q1.employee_id left join q2 on e.employee_id = q2.employee_id
+         left join q3 on e.employee_id = q3.employee_id left join q4 on e.employee_id = q4.employee_id"""
+SQL["rpt_low_margin"] = f"""
+    with sums as (
+        select dp.product_id, dp.product_name, dp.product_description, dp.product_category, sf.standard_cost,
+               sum(sf.item_quantity) as sales_unit, sum(sf.order_total_price) as sales_revenue, sum(gross_profit) as profit
+        from f_sales sf join d_products dp on dp.product_key = sf.product_key
+        group by dp.product_id, dp.product_name, dp.product_description, dp.product_category, sf.standard_cost
+        having sum(gross_profit) < sum(sf.order_total_price) * cast(0.2 as decimal(2,1)))
+    select product_id, product_name, product_description, product_category,
+           {_money("standard_cost", "sales_unit", "sales_revenue")}, cast(round(profit, 0) as double) as gross_profit,
+           {_half_up("profit", "sales_revenue", 100)} as gross_profit_margin
+    from sums"""
+SQL["rpt_inventory_status"] = """
+    with stock as (
+        select '[' || dc.country_id || '] ' || dc.country_name as country_name, dw.warehouse_id, dw.warehouse_name,
+               dp.product_id, dp.product_name, dp.product_category,
+               cast(sum(i.inventory_quantity) as bigint) as total_inventory_quantity
+        from f_inventories i join d_products dp on i.product_key = dp.product_key
+             join d_warehouses dw on i.warehouse_key = dw.warehouse_key
+             join d_countries dc on dw.country_key = dc.country_key
+        where dw.warehouse_id = 1
+        group by dc.country_id, dc.country_name, dw.warehouse_id, dw.warehouse_name, dp.product_id, dp.product_name,
+                 dp.product_category)
+    select *, case when total_inventory_quantity <= 0 then 'Out of Stock'
+                   when total_inventory_quantity < 10 then 'Low Stock'
+                   when total_inventory_quantity < 50 then 'Medium Stock' else 'High Stock' end as inventory_status,
+           case when total_inventory_quantity < 20 then 'Reorder Needed' else 'Sufficient Stock' end as reorder_level
+    from stock"""
+
+
+def _geo(by_year: bool) -> str:
+    year = "strftime(d.calendar_date, '%Y')"
+    return f"""
+    select customer_geography, customer_name, rpad(monthname(d.calendar_date), 9, ' ') as month,
+           {year + " as year," if by_year else ""}
+           cast(sum(case when d.cal_year = 1998 then sf.item_quantity * sf.unit_price else 0 end) as double) as revenue,
+           cast(sum(case when d.cal_year = 1997 then sf.item_quantity * sf.unit_price else 0 end) as double)
+               as prev_year_revenue
+    from f_sales sf join d_customers c on sf.customer_key = c.customer_key join d_date d on sf.date_key = d.date_key
+    where d.cal_year in (1998, 1997)
+    group by customer_geography, customer_name, rpad(monthname(d.calendar_date), 9, ' '),
+             {year + "," if by_year else ""} month(d.calendar_date)"""
+
+
+SQL["rpt_geo_monthly"] = _geo(True)
+SQL["rpt_geo_monthly_yoy"] = _geo(False)
+SQL["rpt_annual_category"] = f"""
+    select dp.product_category, dd.cal_month_name as sales_month, count(distinct sf.order_id) as num_orders,
+           cast(sum(sf.order_total_price) as double) as total_sales, cast(sum(sf.gross_profit) as double) as total_profit,
+           {_half_up("sum(sf.order_total_price)", "count(*)")} as avg_sales_amount
+    from f_sales sf join d_products dp on sf.product_key = dp.product_key join d_date dd on sf.date_key = dd.date_key
+    where dd.cal_year = 1998
+    group by dp.product_category, dd.cal_month_name"""
+SQL["rpt_cltv_top10"] = f"""
+    with sums as (
+        select dc.customer_id, dc.customer_name, dc.credit_limit, sum(sf.order_total_price) as amount, count(*) as lines,
+               count(distinct sf.order_id) as orders, count(distinct sf.order_date) as days,
+               count(distinct year(sf.order_date)) as years,
+               cast(max(sf.order_date) - min(sf.order_date) as bigint) as span
+        from f_sales sf join d_customers dc on dc.customer_key = sf.customer_key join d_date dd on dd.date_key = sf.date_key
+        where dd.cal_year = 1998
+        group by dc.customer_id, dc.customer_name, dc.credit_limit
+        having count(distinct sf.order_id) > 1),
+    report as (
+        select customer_id, customer_name, cast(credit_limit as double) as credit_limit,
+               {_half_up("amount", "lines")} as avg_purchase_value_per_year,
+               cast(orders // years as bigint) as num_of_purchases_per_year,
+               {_half_up("span", "365")} as avg_customer_lifespan,
+               {_half_up("amount * orders * span", "lines * days * 365")} as customer_lifetime_value
+        from sums)
+    select * from (
+        select cast(rank() over (order by customer_lifetime_value desc) as integer) as ranking, * from report)
+    where ranking <= 10"""
+SQL["rpt_retention"] = """
+    with groups as (
+        select dc.customer_geography, pc.product_category, count(distinct sf.customer_key) as total_customers,
+               count(distinct case when d.cal_year = 1997 then sf.customer_key end) as acquired_customers,
+               count(distinct case when d.cal_year = 1998 and sf.item_quantity > 0 then sf.customer_key end)
+                   as retained_customers,
+               sum(case when d.cal_year = 1997 then sf.unit_price end) as spent
+        from d_customers dc join f_sales sf on dc.customer_key = sf.customer_key join d_date d on sf.date_key = d.date_key
+             join d_products pc on sf.product_key = pc.product_key
+        where d.cal_year in (1997, 1998)
+        group by dc.customer_geography, pc.product_category)
+    select cast(dense_rank() over (partition by customer_geography
+                                   order by retained_customers / total_customers desc) as integer) as ranking,
+           customer_geography, product_category, total_customers, acquired_customers, retained_customers,
+           cast(retained_customers as double) / cast(total_customers as double) * 100 as retention_rate,
+           cast(spent as double) / cast(acquired_customers as double) as cac
+    from groups where acquired_customers > 0 and retained_customers > 0"""
+SQL["rpt_employee_performance"] = f"""
+    select de.employee_id, de.first_name || ' ' || de.last_name as employee_name, de.job_title,
+           count(*) as order_quantity, cast(sum(sf.order_total_price) as double) as sales_amount,
+           {_half_up("sum(sf.order_total_price)", "count(*)")} as average_order_value,
+           count(distinct dc.customer_id) as new_customers_acquired,
+           {_half_up("count(case when sf.order_status = 'SHIPPED' then 1 end)", "count(*)", 100)} as conversion_rate
+    from f_sales sf join d_employees_all de on de.employee_key = sf.employee_key
+         join d_customers dc on dc.customer_key = sf.customer_key
+    where employee_id <> 9999
+    group by de.employee_id, de.first_name, de.last_name, de.job_title, de.employee_key"""
+SQL["rpt_top_products"] = f"""
+    with sums as (
+        select dp.product_id, dp.product_name, dp.product_description, dp.product_category,
+               case when max(sf.order_date) >= date '1998-01-01' then 'ACTIVE' else 'INACTIVE' end as product_status,
+               sf.standard_cost, sum(sf.item_quantity) as sales_unit, sum(sf.order_total_price) as sales_amount,
+               sum(sf.order_total_price - sf.item_quantity * sf.standard_cost) as sales_profit
+        from f_sales sf join d_products dp on dp.product_key = sf.product_key join d_date dd on dd.date_key = sf.date_key
+        where dd.cal_year = 1998
+        group by dp.product_id, dp.product_name, dp.product_description, dp.product_category, sf.standard_cost)
+    select product_id, product_name, product_description, product_category, product_status,
+           {_money("standard_cost", "sales_unit", "sales_amount", "sales_profit")},
+           {_half_up("sales_profit", "sales_amount", 100)} as profit_contribution
+    from sums order by sums.sales_amount desc, product_id limit 10"""
+SQL["rpt_market_trend"] = """
+    with sums as (
+        select dp.product_category,
+               sum(case when dd.cal_year = 1998 then sf.item_quantity else 0 end) as iq,
+               sum(case when dd.cal_year = 1998 then sf.order_total_price else 0 end) as i,
+               sum(case when dd.cal_year = 1997 then sf.item_quantity else 0 end) as cq,
+               sum(case when dd.cal_year = 1997 then sf.order_total_price else 0 end) as c
+        from f_sales sf join d_products dp on sf.product_key = dp.product_key join d_date dd on sf.date_key = dd.date_key
+        where dd.cal_year in (1998, 1997) group by dp.product_category),
+    trend as (select *, case when i <> 0 then cast(100 * (i - c) as double) / cast(i as double) end as percent_diff from sums)
+    select cast(row_number() over (order by percent_diff desc nulls first, product_category) as integer) as ranking,
+           product_category, cast(iq as double) as initial_quantity, cast(i as double) as initial_sales,
+           cast(cq as double) as comparison_quantity, cast(c as double) as comparison_sales,
+           cast(cq - iq as double) as quantity_diff, percent_diff
+    from trend"""
+
+
+def _product_quarter(n: int) -> str:
+    return f"""select dp.product_id, sum(sf.unit_profit) as profit
+               from f_sales sf join d_products dp on dp.product_key = sf.product_key
+                    join d_date dd on dd.date_key = sf.date_key
+               where dd.cal_year = 1998 and dd.cal_quarter = 'Q{n}' group by dp.product_id"""
+
+
+SQL["rpt_product_quarterly"] = f"""
+    with q1 as ({_product_quarter(1)}), q2 as ({_product_quarter(2)}), q3 as ({_product_quarter(3)}),
+    q4 as ({_product_quarter(4)}),
+    report as (
+        select dp.product_id, dp.product_name, q1.profit as quarter1, coalesce(q2.profit, 0) as quarter2,
+               coalesce(q3.profit, 0) as quarter3, coalesce(q4.profit, 0) as quarter4, sum(sf.item_quantity) as quantity,
+               sum(sf.unit_price) as total_revenue
+        from d_products dp join q1 on dp.product_id = q1.product_id left join q2 on dp.product_id = q2.product_id
+             left join q3 on dp.product_id = q3.product_id left join q4 on dp.product_id = q4.product_id
+             left join (select * from f_sales where date_key in (select date_key from d_date where cal_year = 1998)) sf
+                    on dp.product_key = sf.product_key
+        group by dp.product_id, dp.product_name, q1.profit, q2.profit, q3.profit, q4.profit)
+    select product_id, product_name, {_money(*_QUARTERS, "quantity")},
+           cast(quarter1 + quarter2 + quarter3 + quarter4 as double) as total_profit, {_money("total_revenue")}
+    from report"""
+SQL["rpt_product_quarterly_all"] = f"""
+    with report as (
+        select dp.product_id, dp.product_name,
+               {", ".join(f"coalesce(sum(case when sf.cal_quarter = 'Q{n}' then sf.gross_profit end), 0) as quarter{n}"
+                          for n in (1, 2, 3, 4))},
+               coalesce(sum(sf.item_quantity), 0) as quantity, coalesce(sum(sf.gross_profit), 0) as total_profit,
+               coalesce(sum(sf.order_total_price), 0) as total_revenue
+        from d_products dp
+             left join (select * from f_sales join d_date using (date_key) where cal_year = 1998) sf
+                    on dp.product_key = sf.product_key
+        group by dp.product_id, dp.product_name)
+    select product_id, product_name, {_money(*_QUARTERS, "quantity", "total_profit", "total_revenue")} from report"""
+
+# ---- subtotals: folds of the report rows --------------------------------------------------------------------------------
+
+
+def _fold(report: str, sums: list[str], by: str = "", averages: str = "") -> str:
+    """Sums of printed values; they are money or counts, so cents stay exact in decimals."""
+    folded = [f"cast(sum(cast({c} as decimal(30,2))) as double) as total_{c}" for c in sums]
+    head = ", ".join(([by] if by else []) + folded + ([averages] if averages else []))
+    return f"select {head} from ({with_ctes(SQL[report])}) r" + (f" group by {by}" if by else "")
+
+
+def _counts(sql: str, *columns: str) -> str:
+    for c in columns:
+        sql = sql.replace(f"cast(sum(cast({c} as decimal(30,2))) as double)", f"cast(sum({c}) as bigint)")
+    return sql
+
+
+FOLDS = {
+    "sub_monthly_growth": _fold(
+        "rpt_monthly_growth",
+        ["sales_amount"],
+        averages=_half_up("sum(cast(sales_amount as decimal(30,2)))", "count(*)") + " as average_sales_amount",
+    ),
+    "sub_employee_quarterly": _fold("rpt_employee_quarterly", [*_QUARTERS, "sales_quantity", "sales_amount"]),
+    "sub_low_margin": _fold("rpt_low_margin", ["standard_cost", "sales_unit", "sales_revenue", "gross_profit"]),
+    "sub_geo_monthly": _fold("rpt_geo_monthly", ["revenue", "prev_year_revenue"], "customer_geography"),
+    "sub_annual_category": _counts(
+        _fold(
+            "rpt_annual_category", ["num_orders", "total_sales", "total_profit", "avg_sales_amount"], "product_category"
+        ),
+        "num_orders",
+    ),
+    "sub_cltv": _fold("rpt_cltv_top10", ["avg_purchase_value_per_year"]),
+    "sub_retention": _fold(
+        "rpt_retention",
+        [],
+        "customer_geography",
+        "round(avg(retention_rate), 6) as average_retention_rate, round(avg(cac), 6) as average_cac",
+    ),
+    "sub_employee_performance": _counts(
+        _fold("rpt_employee_performance", ["order_quantity", "sales_amount"]), "order_quantity"
+    ),
+    "sub_top_products": _fold("rpt_top_products", ["standard_cost", "sales_unit", "sales_amount", "sales_profit"]),
+    "sub_market_trend": _fold("rpt_market_trend", ["initial_sales", "comparison_sales"]),
+    "sub_product_quarterly": _fold(
+        "rpt_product_quarterly", [*_QUARTERS, "quantity", "total_profit", "total_revenue"]
+    ),
+}
+
+ORACLE_SQL = {name: with_ctes(sql) for name, sql in SQL.items()} | FOLDS

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ FACTS = [name for name in STAR_DDL if not name.startswith("dim_")]
 
 
 def build_dims(
-    src: dict[str, DataFrame], as_of: dt.date, calendar: tuple[dt.date, dt.date] | None = None
+    src: Mapping[str, DataFrame], as_of: dt.date, calendar: tuple[dt.date, dt.date] | None = None
 ) -> dict[str, DataFrame]:
     """All dimensions; the calendar spans the orders unless a range is given."""
     orders = src["orders"]
@@ -33,12 +34,12 @@ def build_dims(
     }
 
 
-def build_facts(src: dict[str, DataFrame], dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_facts(src: Mapping[str, DataFrame], dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {"sales_fact": op.fact_sales(src, dims), "inventories_fact": op.fact_inventories(src, dims)}
 
 
 def build_star(
-    src: dict[str, DataFrame], as_of: dt.date, calendar: tuple[dt.date, dt.date] | None = None
+    src: Mapping[str, DataFrame], as_of: dt.date, calendar: tuple[dt.date, dt.date] | None = None
 ) -> dict[str, DataFrame]:
     """The whole star as one lazy plan, nothing written."""
     dims = build_dims(src, as_of, calendar)
@@ -48,7 +49,7 @@ def build_star(
 def publish_star(
     spark: SparkSession,
     root: str,
-    src: dict[str, DataFrame],
+    src: Mapping[str, DataFrame],
     as_of: dt.date,
     calendar: tuple[dt.date, dt.date] | None = None,
 ) -> dict[str, DataFrame]:

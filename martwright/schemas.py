@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -148,6 +150,10 @@ def star_schema(table: str) -> StructType:
     return StructType.fromDDL(STAR_DDL[table])
 
 
+def column_names(ddl: str) -> list[str]:
+    return [part.split()[0] for part in re.split(r",(?![^(]*\))", ddl)]
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select exactly the declared columns, in order, with the declared types."""
     return df.select([_typed(f.name, f.dataType) for f in schema.fields])

@@ -8,6 +8,9 @@ version is never changed once marked.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -35,10 +38,15 @@ def publish(
 ) -> int:
     """Write ``tables`` as the next version and mark it; returns the version."""
     version = current_version(spark, root) + 1
-    for name, frame in tables.items():
-        writer = frame.write.mode("overwrite")
+
+    def write(name: str) -> None:
+        writer = tables[name].write.mode("overwrite")
         columns = (partition_by or {}).get(name)
         (writer.partitionBy(*columns) if columns else writer).parquet(f"{root}/v{version}/{name}")
+
+    # The tables are independent jobs; side by side they fill idle executors.
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        list(pool.map(inheritable_thread_target(write), tables))
     spark.range(1).select(F.lit(version).cast("bigint").alias("version")).write.mode("append").parquet(
         f"{root}/published"
     )

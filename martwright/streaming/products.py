@@ -22,6 +22,12 @@ def start_dimension(dim: DataFrame, dim_path: str) -> None:
     dim.write.mode("overwrite").parquet(f"{dim_path}/batch=base")
 
 
+def _one_per_product(products: DataFrame) -> DataFrame:
+    """One row per product id, the same one whenever the batch is delivered."""
+    rest = [c for c in products.columns if c != "product_id"]
+    return products.groupBy("product_id").agg(F.max(F.struct(*rest)).alias("row")).select("product_id", "row.*")
+
+
 def stream_products(
     spark: SparkSession,
     path: str,
@@ -44,7 +50,7 @@ def stream_products(
         own = f"batch-{batch_id:010d}"
         known = read_dimension(session, dim_path)
         before = known.where(~F.input_file_name().contains(f"/batch={own}/"))
-        arrived = as_products(batch).dropDuplicates(["product_id"])
+        arrived = _one_per_product(as_products(batch))
         fresh = refresh_products(before, {"products": arrived, "product_categories": categories})
         fresh.write.mode("overwrite").parquet(f"{dim_path}/batch={own}")
 
