@@ -11,7 +11,7 @@ from .dims import (
     dim_warehouses,
     with_unknown_employee,
 )
-from .facts import fact_inventories, fact_sales
+from .facts import fact_inventories, fact_sales, fact_sales_of
 from .incremental import (
     refresh_countries,
     refresh_customers,
@@ -53,6 +53,7 @@ __all__ = [
     "duplicate_keys",
     "fact_inventories",
     "fact_sales",
+    "fact_sales_of",
     "mark_holidays",
     "null_counts",
     "orphan_rows",

@@ -8,7 +8,6 @@ a refresh twice adds nothing the second time.
 from __future__ import annotations
 
 import datetime as dt
-from collections import ChainMap
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import calendar_columns
 from ..schemas import conform, star_schema
 from . import dims as d
-from .facts import fact_inventories, fact_sales
+from .facts import fact_inventories, fact_sales_of
 from .keys import highest_key, with_short_list_key, with_surrogate_key
 
 
@@ -80,7 +79,7 @@ def refresh_sales(current: DataFrame, src: Mapping[str, DataFrame], dims: Mappin
     earliest = F.make_date(F.lit(1), F.lit(1), F.lit(1))
     mark = current.agg(F.coalesce(F.max("order_date"), earliest)).scalar()
     newer = src["orders"].where(F.col("order_date") > mark)
-    return fact_sales(ChainMap({"orders": newer}, src), dims)
+    return fact_sales_of(newer, src, dims)
 
 
 def refresh_inventories(current: DataFrame, src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:

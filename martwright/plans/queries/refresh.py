@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections import ChainMap
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,7 +84,7 @@ def inc_sales_upsert(w: Inputs) -> DataFrame:
     """Orders still pending in 2000 turn out shipped a fortnight later; their lines are replaced."""
     pending = w.src["orders"].where((F.col("status") == "Pending") & (F.year("order_date") == 2000))
     corrected = pending.withColumns({"status": F.lit("Shipped"), "order_date": F.date_add("order_date", 14)})
-    rebuilt = op.fact_sales(ChainMap({"orders": corrected}, w.src), w.star)
+    rebuilt = op.fact_sales_of(corrected, w.src, w.star)
     return op.upsert_facts(w.star["sales_fact"].drop("order_year"), rebuilt, ["order_id"])
 
 

@@ -4,38 +4,40 @@ from __future__ import annotations
 
 import hashlib
 import threading
-from collections.abc import Callable
-from functools import cached_property
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
-from ...session import shared_folder
+from ...session import expect_skew, shared_folder
 from ...sources import tpch
 from ..star import publish_star
 
 
 class Inputs:
-    """What a query may read: the source model, and the star published from it."""
+    """What the queries over one folder may read: the source model and its published star."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, identity: str):
+        self.spark, self.folder, self.identity = spark, folder, identity
+        self.src: Mapping[str, DataFrame] = tpch.source_model(spark, folder)
+        self._building = threading.Lock()
+        self._star: Mapping[str, DataFrame] | None = None
 
-    @cached_property
-    def src(self) -> dict[str, DataFrame]:
-        return tpch.source_model(self.spark, self.folder)
-
-    @cached_property
-    def star(self) -> dict[str, DataFrame]:
-        return published_star(self.spark, self.folder)
+    @property
+    def star(self) -> Mapping[str, DataFrame]:
+        """The star, built and written on first use in the application."""
+        with self._building:
+            if self._star is None:
+                root = f"{shared_folder(self.spark)}/martwright/{self.identity}"
+                self._star = publish_star(self.spark, root, self.src, tpch.AS_OF)
+            return self._star
 
 
 Query = Callable[[Inputs], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-_stars: dict[str, dict[str, DataFrame]] = {}
-_building = threading.Lock()
+_inputs: dict[str, Inputs] = {}
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -46,8 +48,17 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+def inputs_for(spark: SparkSession, folder: str) -> Inputs:
+    """The inputs of ``folder`` as it is now; changed tables get a new source model and star."""
+    expect_skew(spark)
+    application = spark.conf.get("spark.app.id")
+    digest = hashlib.sha256(f"{folder}|{_state_of(spark, folder)}".encode()).hexdigest()[:16]
+    identity = f"{application}/{digest}"
+    return _inputs.setdefault(identity, Inputs(spark, folder, identity))
+
+
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return comparable(QUERIES[name](Inputs(spark, folder)))
+    return comparable(QUERIES[name](inputs_for(spark, folder)))
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -73,13 +84,3 @@ def _state_of(spark: SparkSession, folder: str) -> str:
         status = files.getFileStatus(path)
         states.append(f"{table}:{status.getModificationTime()}:{files.getContentSummary(path).getLength()}")
     return "|".join(states)
-
-
-def published_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The star of ``folder``, built and written once per application and input state."""
-    identity = hashlib.sha256(f"{folder}|{_state_of(spark, folder)}".encode()).hexdigest()[:16]
-    root = f"{shared_folder(spark)}/martwright/{spark.conf.get('spark.app.id')}/{identity}"
-    with _building:
-        if root not in _stars:
-            _stars[root] = publish_star(spark, root, tpch.source_model(spark, folder), tpch.AS_OF)
-        return _stars[root]

@@ -25,6 +25,16 @@ def local_session(cores: int | str = 8, app: str = "martwright") -> SparkSession
     return spark
 
 
+def expect_skew(spark: SparkSession) -> None:
+    """Let adaptive execution split hot join keys at any place of a plan.
+
+    By default it leaves a skewed join alone if the next step relies on its
+    partitioning; forced, it shuffles once more, and only where there is skew.
+    """
+    for name in ("enabled", "skewJoin.enabled", "forceOptimizeSkewedJoin"):
+        spark.conf.set(f"spark.sql.adaptive.{name}", "true")
+
+
 @lru_cache(maxsize=None)
 def _local_folder(app_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"martwright-{app_id}-")

@@ -46,7 +46,7 @@ def publish(
 
     # The tables are independent jobs; side by side they fill idle executors.
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        list(pool.map(inheritable_thread_target(write), tables))
+        list(pool.map(inheritable_thread_target(spark)(write), tables))
     spark.range(1).select(F.lit(version).cast("bigint").alias("version")).write.mode("append").parquet(
         f"{root}/published"
     )
