@@ -8,6 +8,7 @@ a refresh twice adds nothing the second time.
 from __future__ import annotations
 
 import datetime as dt
+from collections import ChainMap
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -82,8 +83,26 @@ def refresh_sales(current: DataFrame, src: Mapping[str, DataFrame], dims: Mappin
     return fact_sales_of(newer, src, dims)
 
 
-def refresh_inventories(current: DataFrame, src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
-    return _unseen(fact_inventories(src, dims), current, ["product_key", "warehouse_key"]).select(current.columns)
+def refresh_inventories(
+    current: DataFrame,
+    src: Mapping[str, DataFrame],
+    dims: Mapping[str, DataFrame],
+    product_versions: DataFrame | None = None,
+) -> DataFrame:
+    """Rows for pairs of product and warehouse not on record yet.
+
+    Pairs are compared by natural ids, before any lookup, so only new pairs are
+    built; with ``product_versions`` (all versions of the products) a product
+    that got a new key by a type 2 change does not look new.
+    """
+    products = dims["dim_products"] if product_versions is None else product_versions
+    seen = (
+        current.select("product_key", "warehouse_key")
+        .join(products.select("product_key", "product_id"), "product_key")
+        .join(dims["dim_warehouses"].select("warehouse_key", "warehouse_id"), "warehouse_key")
+    )
+    fresh = _unseen(src["inventories"], seen, ["product_id", "warehouse_id"])
+    return fact_inventories(ChainMap({"inventories": fresh}, src), dims)
 
 
 def upsert_facts(fact: DataFrame, rebuilt: DataFrame, on: list[str]) -> DataFrame:

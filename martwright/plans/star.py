@@ -14,6 +14,11 @@ from ..sources.publish import publish, read_published
 
 DIMENSIONS = [name for name in STAR_DDL if name.startswith("dim_")]
 FACTS = [name for name in STAR_DDL if not name.startswith("dim_")]
+FACT_PARTITIONS = {"sales_fact": ["order_year"]}
+
+
+def with_order_year(sales: DataFrame) -> DataFrame:
+    return sales.withColumn("order_year", F.year("order_date"))
 
 
 def build_dims(
@@ -61,8 +66,8 @@ def publish_star(
     publish(spark, f"{root}/dims", build_dims(src, as_of, calendar))
     dims = read_published(spark, f"{root}/dims", DIMENSIONS)
     facts = build_facts(src, dims)
-    facts["sales_fact"] = facts["sales_fact"].withColumn("order_year", F.year("order_date"))
-    publish(spark, f"{root}/facts", facts, partition_by={"sales_fact": ["order_year"]})
+    facts["sales_fact"] = with_order_year(facts["sales_fact"])
+    publish(spark, f"{root}/facts", facts, FACT_PARTITIONS)
     return read_star(spark, root)
 
 

@@ -1,9 +1,10 @@
 """Versioned tables in a shared folder.
 
-Parquet cannot be updated in place, so each publication writes a whole new
-version folder and only then a one-row marker. Readers take the newest marked
-version: a job that dies half way leaves the old version in force, and a
-version is never changed once marked.
+Parquet cannot be updated in place, so every publication goes to a folder of
+its own and is then marked in a small table. A full version replaces what came
+before, a delta adds rows to it; readers see the newest full version with the
+deltas after it. A job that dies half way leaves no mark and so changes
+nothing, and a marked folder is never written again.
 """
 
 from __future__ import annotations
@@ -12,49 +13,64 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
-def _marked_versions(spark: SparkSession, root: str) -> DataFrame | None:
+def _marks(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(version, kind) of every publication, oldest first: one row each, so the list stays short."""
     try:
-        return spark.read.schema("version bigint").parquet(f"{root}/published")
+        marks = spark.read.schema("version int, kind string").parquet(f"{root}/published")
+        return sorted((row.version, row.kind) for row in marks.collect())
     except AnalysisException:
-        return None
+        return []
 
 
-def current_version(spark: SparkSession, root: str) -> int:
-    """Newest published version, 0 if there is none."""
-    marks = _marked_versions(spark, root)
-    newest = marks.agg(F.max("version").alias("v")).first().v if marks is not None else None
-    return newest or 0
-
-
-def publish(
+def _write(
     spark: SparkSession,
     root: str,
     tables: dict[str, DataFrame],
-    partition_by: dict[str, list[str]] | None = None,
+    partition_by: dict[str, list[str]] | None,
+    kind: str,
 ) -> int:
-    """Write ``tables`` as the next version and mark it; returns the version."""
-    version = current_version(spark, root) + 1
+    version = max([v for v, _ in _marks(spark, root)], default=0) + 1
 
     def write(name: str) -> None:
         writer = tables[name].write.mode("overwrite")
         columns = (partition_by or {}).get(name)
-        (writer.partitionBy(*columns) if columns else writer).parquet(f"{root}/v{version}/{name}")
+        (writer.partitionBy(*columns) if columns else writer).parquet(f"{root}/{name}/version={version}")
 
     # The tables are independent jobs; side by side they fill idle executors.
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         list(pool.map(inheritable_thread_target(spark)(write), tables))
-    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).write.mode("append").parquet(
-        f"{root}/published"
-    )
+    mark = spark.createDataFrame([(version, kind)], "version int, kind string")
+    mark.coalesce(1).write.mode("append").parquet(f"{root}/published")
     return version
 
 
-def read_published(spark: SparkSession, root: str, tables: list[str], version: int | None = None) -> dict[str, DataFrame]:
-    version = version or current_version(spark, root)
-    if not version:
+def publish(
+    spark: SparkSession, root: str, tables: dict[str, DataFrame], partition_by: dict[str, list[str]] | None = None
+) -> int:
+    """Write ``tables`` whole, in place of all earlier versions; returns the version."""
+    return _write(spark, root, tables, partition_by, "full")
+
+
+def publish_delta(
+    spark: SparkSession, root: str, tables: dict[str, DataFrame], partition_by: dict[str, list[str]] | None = None
+) -> int:
+    """Add rows to the tables already published."""
+    return _write(spark, root, tables, partition_by, "delta")
+
+
+def read_published(spark: SparkSession, root: str, tables: list[str]) -> dict[str, DataFrame]:
+    marks = _marks(spark, root)
+    full = max((v for v, kind in marks if kind == "full"), default=None)
+    if full is None:
         raise FileNotFoundError(f"nothing published under {root}")
-    return {name: spark.read.parquet(f"{root}/v{version}/{name}") for name in tables}
+    live = [v for v, _ in marks if v >= full]
+
+    def read(name: str) -> DataFrame:
+        base = f"{root}/{name}"
+        paths = [f"{base}/version={v}" for v in live]
+        return spark.read.option("basePath", base).parquet(*paths).drop("version")
+
+    return {name: read(name) for name in tables}

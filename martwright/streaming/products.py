@@ -14,8 +14,9 @@ from ..schemas import star_schema
 
 
 def read_dimension(spark: SparkSession, dim_path: str) -> DataFrame:
-    """The dimension so far: a base folder plus one folder per applied batch."""
-    return spark.read.schema(star_schema("dim_products")).option("basePath", dim_path).parquet(f"{dim_path}/batch=*")
+    """The dimension so far, with the partition column ``batch``: a base and one folder per batch applied."""
+    schema = star_schema("dim_products").add("batch", "string")
+    return spark.read.schema(schema).option("basePath", dim_path).parquet(f"{dim_path}/batch=*")
 
 
 def start_dimension(dim: DataFrame, dim_path: str) -> None:
@@ -48,8 +49,7 @@ def stream_products(
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         own = f"batch-{batch_id:010d}"
-        known = read_dimension(session, dim_path)
-        before = known.where(~F.input_file_name().contains(f"/batch={own}/"))
+        before = read_dimension(session, dim_path).where(F.col("batch") != own)
         arrived = _one_per_product(as_products(batch))
         fresh = refresh_products(before, {"products": arrived, "product_categories": categories})
         fresh.write.mode("overwrite").parquet(f"{dim_path}/batch={own}")

@@ -1,0 +1,31 @@
+"""Every registered query against its SQL twin, value by value."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as driver
+from checks import DATA, first_difference, oracle_connection, oracle_rows, spark_rows
+
+FOLDER = f"{DATA}/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    return oracle_connection(FOLDER)
+
+
+def test_every_query_has_a_twin():
+    assert set(driver.queries()) == set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(driver.queries()))
+def test_equals_its_twin(spark, oracle, name):
+    mine = spark_rows(driver.queries()[name](spark, FOLDER))
+    theirs = oracle_rows(oracle, driver.oracle_sql()[name])
+    assert first_difference(mine, theirs) is None
+    assert mine[1], "a query that returns nothing checks nothing"
+
+
+def test_entry(spark):
+    assert driver.entry(spark).count() == 10

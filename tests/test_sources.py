@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SHOP, day
+from martwright import operators as op
+from martwright.schemas import SOURCE_DDL
+from martwright.sources import append_delta, apply_corrections, load_sources, register_views, row_counts
+
+
+def test_parquet_and_text_exports_read_alike(spark, src, tmp_path):
+    for name, frame in src.items():
+        frame.write.parquet(f"{tmp_path}/parquet/{name}")
+        text = frame
+        for f in frame.schema.fields:
+            if f.dataType.simpleString() == "date":
+                text = text.withColumn(f.name, F.upper(F.date_format(f.name, "dd-MMM-yy")))
+        text.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(f"{tmp_path}/csv/{name}")
+    columnar, textual = load_sources(spark, f"{tmp_path}/parquet"), load_sources(spark, f"{tmp_path}/csv", "csv")
+    for name in SOURCE_DDL:
+        assert columnar[name].schema.names == textual[name].schema.names
+        assert sorted(map(repr, columnar[name].collect())) == sorted(map(repr, textual[name].collect()))
+
+
+def test_bad_text_fails_loudly(spark, src, tmp_path):
+    for name, frame in src.items():
+        frame.write.option("header", True).csv(f"{tmp_path}/{name}")
+    columns = "order_id string, customer_id int, status string, salesman_id int, order_date string"
+    bad = spark.createDataFrame([("x", 1, "s", None, "01-JAN-17")], columns)
+    bad.write.mode("overwrite").option("header", True).csv(f"{tmp_path}/orders")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        load_sources(spark, str(tmp_path), "csv")["orders"].collect()
+
+
+def test_counts_and_views(spark, src):
+    assert {r.table_name: r.row_count for r in row_counts(src).collect()} == {n: len(rows) for n, rows in SHOP.items()}
+    register_views(src, "shop_")
+    assert spark.sql("select count(*) from shop_orders where salesman_id is null").first()[0] == 1
+
+
+def test_corrections_and_new_rows(spark, src):
+    orders = src["orders"]
+    changed = orders.where("order_id = 2").withColumn("order_date", F.lit(day("2017-03-03")))
+    new = orders.where("order_id = 1").withColumn("order_id", F.lit(9).cast("bigint"))
+    table = append_delta(apply_corrections(orders, changed, ["order_id"]), new)
+    dates = {r.order_id: r.order_date for r in table.collect()}
+    assert len(dates) == 6 and dates[2] == day("2017-03-03") and dates[9] == day("2017-01-10")
+    assert table.columns == orders.columns
+
+
+def test_quality_checks(spark, src, star):
+    items = src["order_items"].unionByName(src["order_items"].where("order_id = 3"))
+    assert sorted(tuple(r) for r in op.duplicate_keys(items, ["order_id", "item_id"]).collect()) == [(3, 1, 2), (3, 2, 2)]
+    nulls = {r.column_name: r.null_count for r in op.null_counts(src["orders"], src["orders"].columns).collect()}
+    assert nulls == {"order_id": 0, "customer_id": 0, "status": 0, "salesman_id": 1, "order_date": 0}
+    few = src["customers"].where("customer_id <> 2")
+    assert sorted(r.order_id for r in op.orphan_rows(src["orders"], few, "customer_id").collect()) == [3, 4]
+    assert op.orphan_rows(src["orders"], src["employees"], "salesman_id", "employee_id").count() == 0
+    assert sorted(r.order_id for r in op.cascade_delete(src["order_items"], src["orders"].where("order_id > 2"), "order_id").collect()) == [1, 1, 2]
+    counted = op.reconcile_counts({"a": (src["orders"], src["orders"]), "b": (src["orders"], src["order_items"])})
+    assert {tuple(r) for r in counted.collect()} == {("a", 5, 5, "Y"), ("b", 5, 7, "N")}
+    wide = {r.column_name: r.violations for r in op.width_violations(star["sales_fact"], {"order_status": 7, "unit_price": (4, 2)}).collect()}
+    assert wide == {"order_status": 1, "unit_price": 3}
