@@ -25,20 +25,20 @@ def _keyed_orders(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame
     """Orders with their date, customer and employee keys.
 
     A third of all orders may have no salesman; NULL keys would all meet in one
-    task of a shuffled join, so they are spread over many values of a second
-    join column that only real salesmen share with the dimension.
+    task of a shuffled join, so a second join column spreads them: it follows from
+    the salesman where there is one, and from the order where there is none.
     """
     days = dims["dim_date"].select("date_key", F.col("calendar_date").alias("order_date"))
     customers = dims["dim_customers"].select("customer_key", "customer_id")
     employees = dims["dim_employees"].select(
-        "employee_key", F.col("employee_id").alias("salesman_id"), F.lit(0).alias("_spread")
+        "employee_key", F.col("employee_id").alias("salesman_id"), F.pmod("employee_id", F.lit(_SPREAD)).alias("_spread")
     )
-    spread = F.when(F.col("salesman_id").isNull(), F.pmod(F.xxhash64("order_id"), F.lit(_SPREAD)) + 1).otherwise(0)
+    spread = F.pmod(F.coalesce("salesman_id", F.xxhash64("order_id")), F.lit(_SPREAD))
     return (
         orders.withColumn("order_status", F.upper("status"))
         .join(days, "order_date")
         .join(customers, "customer_id")
-        .withColumn("_spread", spread.cast("int"))
+        .withColumn("_spread", spread)
         .join(employees, ["salesman_id", "_spread"], "left")
         .select("order_id", "order_status", "order_date", "date_key", "customer_key", "employee_key")
     )

@@ -105,7 +105,15 @@ def refresh_inventories(
     return fact_inventories(ChainMap({"inventories": fresh}, src), dims)
 
 
-def upsert_facts(fact: DataFrame, rebuilt: DataFrame, on: list[str]) -> DataFrame:
-    """Replace all rows sharing a key with ``rebuilt``; catches corrections below the mark."""
-    kept = fact.join(rebuilt.select(*on), on, "left_anti")
+def upsert_facts(
+    fact: DataFrame, rebuilt: DataFrame, on: list[str], replaced: DataFrame | None = None
+) -> DataFrame:
+    """Replace all rows sharing a key with ``rebuilt``; catches corrections below the mark.
+
+    ``replaced`` names the keys to replace where they are known without building
+    the new rows (the corrected orders): rows of an order left without lines go too,
+    and ``rebuilt`` is worked out once instead of twice.
+    """
+    keys = (rebuilt if replaced is None else replaced).select(*on)
+    kept = fact.join(keys, on, "left_anti")
     return kept.select(fact.columns).unionByName(rebuilt.select(fact.columns))

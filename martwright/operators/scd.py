@@ -65,15 +65,20 @@ def scd2_apply(
         F.max(F.struct(*attributes) if attributes else F.lit(0)).alias("_new")
     )
     live = current(dim, flag).drop("end_date", flag).withColumnRenamed("start_date", "_since")
-    matched = daily.join(live, natural_key, "left")
+    # Inner, so that few changes are broadcast and the dimension is not shuffled for them.
+    matched = live.join(daily, natural_key)
+    accepted = matched.where(F.col("start_date") > F.col("_since"))
 
-    reason = F.when(
-        F.col("_since").isNull(), F.concat(F.lit(f"{natural_key} "), F.col(natural_key), F.lit(" does not exist"))
-    ).when(F.col("start_date") <= F.col("_since"), F.lit("start date is not after the current version's"))
-    judged = matched.withColumn("reject_reason", reason)
-    rejects = judged.where(F.col("reject_reason").isNotNull()).select(natural_key, "start_date", "reject_reason")
+    stale = matched.where(F.col("start_date") <= F.col("_since")).select(
+        natural_key, "start_date", F.lit("start date is not after the current version's").alias("reject_reason")
+    )
+    unknown = daily.join(matched.select(natural_key), natural_key, "left_anti").select(
+        natural_key,
+        "start_date",
+        F.concat(F.lit(f"{natural_key} "), F.col(natural_key), F.lit(" does not exist")).alias("reject_reason"),
+    )
+    rejects = stale.unionByName(unknown)
 
-    accepted = judged.where(F.col("reject_reason").isNull())
     by_id = Window.partitionBy(natural_key).orderBy("start_date")
     next_start = F.lead("start_date").over(by_id)
     versions = accepted.withColumns(

@@ -85,7 +85,7 @@ def inc_sales_upsert(w: Inputs) -> DataFrame:
     pending = w.src["orders"].where((F.col("status") == "Pending") & (F.year("order_date") == 2000))
     corrected = pending.withColumns({"status": F.lit("Shipped"), "order_date": F.date_add("order_date", 14)})
     rebuilt = op.fact_sales_of(corrected, w.src, w.star)
-    return op.upsert_facts(w.star["sales_fact"].drop("order_year"), rebuilt, ["order_id"])
+    return op.upsert_facts(w.star["sales_fact"].drop("order_year"), rebuilt, ["order_id"], corrected)
 
 
 @query("inc_products_stream")

@@ -12,7 +12,7 @@ from .. import operators as op
 from ..operators import dims as d
 from ..operators import scd
 from ..sources.publish import publish, publish_delta, read_published
-from .star import DIMENSIONS, FACT_PARTITIONS, read_star, with_order_year
+from .star import DIMENSIONS, FACT_PARTITIONS, by_warehouse, read_star, with_order_year
 
 # dimension: (natural key, surrogate key, active flag, first key, default start, reserved key)
 VERSIONED = {
@@ -100,8 +100,8 @@ def refresh_star(
     members = current_members(dims)
     delta = {
         "sales_fact": with_order_year(op.refresh_sales(star["sales_fact"], src, members)),
-        "inventories_fact": op.refresh_inventories(
-            star["inventories_fact"], src, members, dims["dim_products"]
+        "inventories_fact": by_warehouse(
+            op.refresh_inventories(star["inventories_fact"], src, members, dims["dim_products"])
         ),
     }
     publish_delta(spark, f"{root}/facts", delta, FACT_PARTITIONS)
@@ -115,8 +115,8 @@ def correct_sales(
     star = read_star(spark, root)
     rebuilt = with_order_year(op.fact_sales_of(orders, src, current_members(star)))
     facts = {
-        "sales_fact": op.upsert_facts(star["sales_fact"], rebuilt, ["order_id"]),
-        "inventories_fact": star["inventories_fact"],
+        "sales_fact": op.upsert_facts(star["sales_fact"], rebuilt, ["order_id"], orders),
+        "inventories_fact": by_warehouse(star["inventories_fact"]),
     }
     publish(spark, f"{root}/facts", facts, FACT_PARTITIONS)
     return read_star(spark, root)
