@@ -1,7 +1,7 @@
 """SQL twins of the registered queries, for checking on another engine.
 
-They state each result the plain way (calendar joins, row numbers over whole
-tables, one view per quarter) and share no code with the Spark operators.
+They state each result the plain way (row numbers over whole tables, one wide
+join of facts and dimensions) and share no code with the Spark operators.
 """
 
 from .statements import ORACLE_SQL

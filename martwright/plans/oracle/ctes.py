@@ -81,14 +81,14 @@ CTES = {
                upper(category_name) as product_category
         from s_products""",
     "d_customers": """
-        select 10000000 + row_number() over (order by c.customer_id) as customer_key, c.customer_id,
-               upper(c.name) as customer_name, coalesce(upper(s.first_name), 'UNDEFINED') as first_name,
-               coalesce(upper(s.last_name), 'UNDEFINED') as last_name, upper(c.address) as address, c.credit_limit,
-               case when max(o.order_date) >= date '2000-12-31' then 'ACTIVE' else 'INACTIVE' end as customer_status,
-               nullif(regexp_extract(upper(c.address), '^[^,]*,[^,]*,(.*)$', 1), '') as customer_geography
-        from s_customers c left join s_contacts s on c.customer_id = s.customer_id
-             left join s_orders o on c.customer_id = o.customer_id
-        group by c.customer_id, c.name, s.first_name, s.last_name, c.address, c.credit_limit""",
+        select 10000000 + row_number() over (order by customer_id) as customer_key, customer_id,
+               upper(name) as customer_name, upper(coalesce(first_name, 'undefined')) as first_name,
+               upper(coalesce(last_name, 'undefined')) as last_name, upper(address) as address, credit_limit,
+               if(coalesce(last_order >= date '2000-12-31', false), 'ACTIVE', 'INACTIVE') as customer_status,
+               nullif(regexp_extract(upper(address), '^[^,]*,[^,]*,(.*)$', 1), '') as customer_geography
+        from s_customers left join s_contacts using (customer_id)
+             left join (select customer_id, max(order_date) as last_order from s_orders group by customer_id)
+                  using (customer_id)""",
     "d_countries": """
         select 100 + row_number() over (order by country_id) as country_key, country_id,
                upper(country_name) as country_name, upper(region_name) as region_name
@@ -107,23 +107,30 @@ CTES = {
         select * from d_employees union all
         select 9999999, 9999, 'UNDEFINED', 'UNDEFINED', 'UNDEFINED', 'UNDEFINED', null, 0, 'UNDEFINED'""",
     "f_sales_raw": """
-        select dd.date_key, dp.product_key, dc.customer_key, de.employee_key, o.order_id, upper(o.status) as order_status,
-               o.order_date, oi.quantity as item_quantity, p.standard_cost, oi.unit_price,
-               oi.unit_price - p.standard_cost as unit_profit,
-               cast(oi.quantity * oi.unit_price as decimal(18,2)) as order_total_price,
-               cast(oi.quantity * (oi.unit_price - p.standard_cost) as decimal(18,2)) as gross_profit
-        from d_date dd join s_orders o on dd.calendar_date = o.order_date
-             join s_items oi on o.order_id = oi.order_id
-             join d_products dp on oi.product_id = dp.product_id
-             join s_products p on oi.product_id = p.product_id
-             join d_customers dc on o.customer_id = dc.customer_id
-             left join d_employees de on o.salesman_id = de.employee_id""",
+        select date_key, product_key, customer_key, employee_key, order_id, upper(status) as order_status, order_date,
+               quantity as item_quantity, standard_cost, unit_price, unit_price - standard_cost as unit_profit,
+               cast(quantity * unit_price as decimal(18,2)) as order_total_price,
+               cast(quantity * (unit_price - standard_cost) as decimal(18,2)) as gross_profit
+        from s_items join s_orders using (order_id)
+             join (select product_id, standard_cost from s_products) using (product_id)
+             join (select product_id, product_key from d_products) using (product_id)
+             join (select customer_id, customer_key from d_customers) using (customer_id)
+             join (select calendar_date as order_date, date_key from d_date) using (order_date)
+             left join (select employee_id as salesman_id, employee_key from d_employees) using (salesman_id)""",
     "f_sales": "select * replace (coalesce(employee_key, 9999999) as employee_key) from f_sales_raw",
     "f_inventories": """
-        select dp.product_key, dw.warehouse_key, i.quantity as inventory_quantity, p.standard_cost, p.list_price
-        from s_products p join d_products dp on p.product_id = dp.product_id
-             join s_inventories i on dp.product_id = i.product_id
-             join d_warehouses dw on i.warehouse_id = dw.warehouse_id""",
+        select product_key, warehouse_key, quantity as inventory_quantity, standard_cost, list_price
+        from s_inventories
+             join (select product_id, standard_cost, list_price from s_products) using (product_id)
+             join (select product_id, product_key from d_products) using (product_id)
+             join (select warehouse_id, warehouse_key from d_warehouses) using (warehouse_id)""",
+    # Sales with every attribute the reports show.
+    "w_sales": """
+        select * from f_sales join d_date using (date_key) join d_products using (product_key)
+             join (select customer_key, customer_id, customer_name, credit_limit, customer_geography from d_customers)
+                  using (customer_key)
+             join (select employee_key, employee_id, concat_ws(' ', first_name, last_name) as employee_name, job_title
+                   from d_employees_all) using (employee_key)""",
 }
 
 

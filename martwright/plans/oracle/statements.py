@@ -293,204 +293,130 @@ def _growth(monthly: str) -> str:
 
 
 SQL["rpt_monthly_growth"] = _growth("""
-    select dd.cal_month_no_in_year as month_no, dp.product_category, sum(sf.unit_price) as sales_amount
-    from f_sales sf join d_products dp on sf.product_key = dp.product_key join d_date dd on sf.date_key = dd.date_key
-    where dd.cal_year = 1998 and dp.product_category = 'ECONOMY'
-    group by dd.cal_month_no_in_year, dp.product_category""")
+    select cal_month_no_in_year as month_no, product_category, sum(unit_price) as sales_amount
+    from w_sales where cal_year = 1998 and product_category = 'ECONOMY' group by all""")
 SQL["rpt_monthly_growth_as_written"] = _growth("""
-    select dd.cal_month_no_in_year as month_no, dp.product_category, sum(sf.unit_price) as sales_amount
-    from f_sales sf join d_products dp on sf.product_key = dp.product_key
-         join d_date dd on sf.product_key = dp.product_key
-    where dd.cal_year = 1998 and dp.product_category = 'ECONOMY'
-    group by dd.cal_month_no_in_year, dp.product_category""")
+    select days.cal_month_no_in_year as month_no, w_sales.product_category, sum(w_sales.unit_price) as sales_amount
+    from w_sales, d_date days where days.cal_year = 1998 and w_sales.product_category = 'ECONOMY' group by all""")
 
 _QUARTERS = ["quarter1", "quarter2", "quarter3", "quarter4"]
 
 
-def _employee_quarter(n: int) -> str:
-    return f"""select de.employee_id, sum(sf.order_total_price) as total
-               from f_sales sf join d_employees_all de on de.employee_key = sf.employee_key
-                    join d_date dd on dd.date_key = sf.date_key
-               where dd.cal_year = 1998 and dd.cal_quarter = 'Q{n}' and employee_id <> 9999 group by de.employee_id"""
+def _by_quarter(value: str) -> str:
+    return ", ".join(
+        f"cast(coalesce(sum({value}) filter (cal_quarter = 'Q{n}'), 0) as double) as quarter{n}" for n in (1, 2, 3, 4)
+    )
 
 
 SQL["rpt_employee_quarterly"] = f"""
-    with q1 as ({_employee_quarter(1)}), q2 as ({_employee_quarter(2)}), q3 as ({_employee_quarter(3)}),
-    q4 as ({_employee_quarter(4)}),
-    e as (select de.employee_id, de.first_name || ' ' || de.last_name as employee_name, de.job_title,
-                 sum(sf.item_quantity) as sales_quantity, sum(sf.order_total_price) as sales_amount
-          from f_sales sf join d_employees_all de on de.employee_key = sf.employee_key
-               join d_date dd on dd.date_key = sf.date_key
-          where dd.cal_year = 1998 and employee_id <> 9999
-          group by de.employee_id, de.first_name, de.last_name, de.job_title)
-    select e.employee_id, e.employee_name, e.job_title, cast(coalesce(q1.total, 0) as double) as quarter1,
-           cast(coalesce(q2.total, 0) as double) as quarter2, cast(coalesce(q3.total, 0) as double) as quarter3,
-           cast(coalesce(q4.total, 0) as double) as quarter4, {_money("sales_quantity", "sales_amount")}
-    from e left join q1 on e.employee_id = q1.employee_id left join q2 on e.employee_id = q2.employee_id
-         left join q3 on e.employee_id = q3.employee_id left join q4 on e.employee_id = q4.employee_id"""
+    select employee_id, employee_name, job_title, {_by_quarter("order_total_price")},
+           cast(sum(item_quantity) as double) as sales_quantity, cast(sum(order_total_price) as double) as sales_amount
+    from w_sales where cal_year = 1998 and employee_id <> 9999 group by all"""
+_PRODUCT = "product_id, product_name, product_description, product_category, standard_cost"
 SQL["rpt_low_margin"] = f"""
-    with sums as (
-        select dp.product_id, dp.product_name, dp.product_description, dp.product_category, sf.standard_cost,
-               sum(sf.item_quantity) as sales_unit, sum(sf.order_total_price) as sales_revenue, sum(gross_profit) as profit
-        from f_sales sf join d_products dp on dp.product_key = sf.product_key
-        group by dp.product_id, dp.product_name, dp.product_description, dp.product_category, sf.standard_cost
-        having sum(gross_profit) < sum(sf.order_total_price) * cast(0.2 as decimal(2,1)))
-    select product_id, product_name, product_description, product_category,
-           {_money("standard_cost", "sales_unit", "sales_revenue")}, cast(round(profit, 0) as double) as gross_profit,
-           {_half_up("profit", "sales_revenue", 100)} as gross_profit_margin
-    from sums"""
+    with margins as (
+        select {_PRODUCT}, sum(item_quantity) as sales_unit, sum(order_total_price) as sales_revenue,
+               sum(gross_profit) as profit
+        from w_sales group by {_PRODUCT})
+    select * exclude (profit) replace ({_money("standard_cost", "sales_unit", "sales_revenue")}),
+           cast(round(profit, 0) as double) as gross_profit, {_half_up("profit", "sales_revenue", 100)} as gross_profit_margin
+    from margins where profit * 5 < sales_revenue"""
 SQL["rpt_inventory_status"] = """
     with stock as (
-        select '[' || dc.country_id || '] ' || dc.country_name as country_name, dw.warehouse_id, dw.warehouse_name,
-               dp.product_id, dp.product_name, dp.product_category,
-               cast(sum(i.inventory_quantity) as bigint) as total_inventory_quantity
-        from f_inventories i join d_products dp on i.product_key = dp.product_key
-             join d_warehouses dw on i.warehouse_key = dw.warehouse_key
-             join d_countries dc on dw.country_key = dc.country_key
-        where dw.warehouse_id = 1
-        group by dc.country_id, dc.country_name, dw.warehouse_id, dw.warehouse_name, dp.product_id, dp.product_name,
-                 dp.product_category)
-    select *, case when total_inventory_quantity <= 0 then 'Out of Stock'
-                   when total_inventory_quantity < 10 then 'Low Stock'
-                   when total_inventory_quantity < 50 then 'Medium Stock' else 'High Stock' end as inventory_status,
-           case when total_inventory_quantity < 20 then 'Reorder Needed' else 'Sufficient Stock' end as reorder_level
+        select format('[{}] {}', country_id, country_name) as country_name, warehouse_id, warehouse_name, product_id,
+               product_name, product_category, cast(sum(inventory_quantity) as bigint) as total_inventory_quantity
+        from f_inventories join d_products using (product_key) join d_warehouses using (warehouse_key)
+             join d_countries using (country_key)
+        where warehouse_id = 1 group by all)
+    select *, if(total_inventory_quantity < 20, 'Reorder Needed', 'Sufficient Stock') as reorder_level,
+           case when total_inventory_quantity >= 50 then 'High Stock' when total_inventory_quantity >= 10 then 'Medium Stock'
+                when total_inventory_quantity > 0 then 'Low Stock' else 'Out of Stock' end as inventory_status
     from stock"""
 
 
-def _geo(by_year: bool) -> str:
-    year = "strftime(d.calendar_date, '%Y')"
+def _geo(extra: str) -> str:
     return f"""
-    select customer_geography, customer_name, rpad(monthname(d.calendar_date), 9, ' ') as month,
-           {year + " as year," if by_year else ""}
-           cast(sum(case when d.cal_year = 1998 then sf.item_quantity * sf.unit_price else 0 end) as double) as revenue,
-           cast(sum(case when d.cal_year = 1997 then sf.item_quantity * sf.unit_price else 0 end) as double)
-               as prev_year_revenue
-    from f_sales sf join d_customers c on sf.customer_key = c.customer_key join d_date d on sf.date_key = d.date_key
-    where d.cal_year in (1998, 1997)
-    group by customer_geography, customer_name, rpad(monthname(d.calendar_date), 9, ' '),
-             {year + "," if by_year else ""} month(d.calendar_date)"""
-
-
-SQL["rpt_geo_monthly"] = _geo(True)
-SQL["rpt_geo_monthly_yoy"] = _geo(False)
+    select customer_geography, customer_name, rpad(monthname(order_date), 9, ' ') as month{extra},
+           cast(coalesce(sum(order_total_price) filter (cal_year = 1998), 0) as double) as revenue,
+           cast(coalesce(sum(order_total_price) filter (cal_year = 1997), 0) as double) as prev_year_revenue
+    from w_sales where cal_year between 1997 and 1998 group by all"""
+
+
+SQL["rpt_geo_monthly"] = _geo(", cast(cal_year as varchar) as year")
+SQL["rpt_geo_monthly_yoy"] = _geo("")
 SQL["rpt_annual_category"] = f"""
-    select dp.product_category, dd.cal_month_name as sales_month, count(distinct sf.order_id) as num_orders,
-           cast(sum(sf.order_total_price) as double) as total_sales, cast(sum(sf.gross_profit) as double) as total_profit,
-           {_half_up("sum(sf.order_total_price)", "count(*)")} as avg_sales_amount
-    from f_sales sf join d_products dp on sf.product_key = dp.product_key join d_date dd on sf.date_key = dd.date_key
-    where dd.cal_year = 1998
-    group by dp.product_category, dd.cal_month_name"""
+    select product_category, cal_month_name as sales_month, count(distinct order_id) as num_orders,
+           cast(sum(order_total_price) as double) as total_sales, cast(sum(gross_profit) as double) as total_profit,
+           {_half_up("sum(order_total_price)", "count(*)")} as avg_sales_amount
+    from w_sales where cal_year = 1998 group by product_category, cal_month_name"""
 SQL["rpt_cltv_top10"] = f"""
-    with sums as (
-        select dc.customer_id, dc.customer_name, dc.credit_limit, sum(sf.order_total_price) as amount, count(*) as lines,
-               count(distinct sf.order_id) as orders, count(distinct sf.order_date) as days,
-               count(distinct year(sf.order_date)) as years,
-               cast(max(sf.order_date) - min(sf.order_date) as bigint) as span
-        from f_sales sf join d_customers dc on dc.customer_key = sf.customer_key join d_date dd on dd.date_key = sf.date_key
-        where dd.cal_year = 1998
-        group by dc.customer_id, dc.customer_name, dc.credit_limit
-        having count(distinct sf.order_id) > 1),
-    report as (
+    with history as (
+        select customer_id, customer_name, credit_limit, sum(order_total_price) as amount, count(*) as lines,
+               count(distinct order_id) as orders, count(distinct order_date) as days,
+               cast(max(order_date) - min(order_date) as bigint) as span
+        from w_sales where cal_year = 1998 group by customer_id, customer_name, credit_limit),
+    valued as (
         select customer_id, customer_name, cast(credit_limit as double) as credit_limit,
-               {_half_up("amount", "lines")} as avg_purchase_value_per_year,
-               cast(orders // years as bigint) as num_of_purchases_per_year,
+               {_half_up("amount", "lines")} as avg_purchase_value_per_year, orders as num_of_purchases_per_year,
                {_half_up("span", "365")} as avg_customer_lifespan,
                {_half_up("amount * orders * span", "lines * days * 365")} as customer_lifetime_value
-        from sums)
-    select * from (
-        select cast(rank() over (order by customer_lifetime_value desc) as integer) as ranking, * from report)
-    where ranking <= 10"""
+        from history where orders > 1)
+    select cast(rank() over (order by customer_lifetime_value desc) as integer) as ranking, * from valued
+    qualify ranking <= 10"""
 SQL["rpt_retention"] = """
-    with groups as (
-        select dc.customer_geography, pc.product_category, count(distinct sf.customer_key) as total_customers,
-               count(distinct case when d.cal_year = 1997 then sf.customer_key end) as acquired_customers,
-               count(distinct case when d.cal_year = 1998 and sf.item_quantity > 0 then sf.customer_key end)
-                   as retained_customers,
-               sum(case when d.cal_year = 1997 then sf.unit_price end) as spent
-        from d_customers dc join f_sales sf on dc.customer_key = sf.customer_key join d_date d on sf.date_key = d.date_key
-             join d_products pc on sf.product_key = pc.product_key
-        where d.cal_year in (1997, 1998)
-        group by dc.customer_geography, pc.product_category)
-    select cast(dense_rank() over (partition by customer_geography
-                                   order by retained_customers / total_customers desc) as integer) as ranking,
-           customer_geography, product_category, total_customers, acquired_customers, retained_customers,
+    with buyers as (
+        select customer_geography, product_category, count(distinct customer_key) as total_customers,
+               count(distinct customer_key) filter (cal_year = 1997) as acquired_customers,
+               count(distinct customer_key) filter (cal_year = 1998 and item_quantity > 0) as retained_customers,
+               cast(sum(unit_price) filter (cal_year = 1997) as double) as spent
+        from w_sales where cal_year between 1997 and 1998 group by all)
+    select * exclude (spent), spent / cast(acquired_customers as double) as cac,
            cast(retained_customers as double) / cast(total_customers as double) * 100 as retention_rate,
-           cast(spent as double) / cast(acquired_customers as double) as cac
-    from groups where acquired_customers > 0 and retained_customers > 0"""
+           cast(dense_rank() over (partition by customer_geography order by retention_rate desc) as integer) as ranking
+    from buyers where acquired_customers > 0 and retained_customers > 0"""
 SQL["rpt_employee_performance"] = f"""
-    select de.employee_id, de.first_name || ' ' || de.last_name as employee_name, de.job_title,
-           count(*) as order_quantity, cast(sum(sf.order_total_price) as double) as sales_amount,
-           {_half_up("sum(sf.order_total_price)", "count(*)")} as average_order_value,
-           count(distinct dc.customer_id) as new_customers_acquired,
-           {_half_up("count(case when sf.order_status = 'SHIPPED' then 1 end)", "count(*)", 100)} as conversion_rate
-    from f_sales sf join d_employees_all de on de.employee_key = sf.employee_key
-         join d_customers dc on dc.customer_key = sf.customer_key
-    where employee_id <> 9999
-    group by de.employee_id, de.first_name, de.last_name, de.job_title, de.employee_key"""
+    select employee_id, employee_name, job_title, count(*) as order_quantity,
+           cast(sum(order_total_price) as double) as sales_amount,
+           {_half_up("sum(order_total_price)", "count(*)")} as average_order_value,
+           count(distinct customer_id) as new_customers_acquired,
+           {_half_up("count(*) filter (order_status = 'SHIPPED')", "count(*)", 100)} as conversion_rate
+    from w_sales where employee_id <> 9999 group by employee_id, employee_name, job_title"""
 SQL["rpt_top_products"] = f"""
-    with sums as (
-        select dp.product_id, dp.product_name, dp.product_description, dp.product_category,
-               case when max(sf.order_date) >= date '1998-01-01' then 'ACTIVE' else 'INACTIVE' end as product_status,
-               sf.standard_cost, sum(sf.item_quantity) as sales_unit, sum(sf.order_total_price) as sales_amount,
-               sum(sf.order_total_price - sf.item_quantity * sf.standard_cost) as sales_profit
-        from f_sales sf join d_products dp on dp.product_key = sf.product_key join d_date dd on dd.date_key = sf.date_key
-        where dd.cal_year = 1998
-        group by dp.product_id, dp.product_name, dp.product_description, dp.product_category, sf.standard_cost)
-    select product_id, product_name, product_description, product_category, product_status,
-           {_money("standard_cost", "sales_unit", "sales_amount", "sales_profit")},
-           {_half_up("sales_profit", "sales_amount", 100)} as profit_contribution
-    from sums order by sums.sales_amount desc, product_id limit 10"""
+    with year_sales as (
+        select {_PRODUCT}, sum(item_quantity) as units, sum(order_total_price) as sales, sum(gross_profit) as profit
+        from w_sales where cal_year = 1998 group by {_PRODUCT} order by sales desc, product_id limit 10)
+    select * exclude (units, sales, profit) replace ({_money("standard_cost")}), 'ACTIVE' as product_status,
+           cast(units as double) as sales_unit, cast(sales as double) as sales_amount,
+           cast(profit as double) as sales_profit, {_half_up("profit", "sales", 100)} as profit_contribution
+    from year_sales"""
 SQL["rpt_market_trend"] = """
-    with sums as (
-        select dp.product_category,
-               sum(case when dd.cal_year = 1998 then sf.item_quantity else 0 end) as iq,
-               sum(case when dd.cal_year = 1998 then sf.order_total_price else 0 end) as i,
-               sum(case when dd.cal_year = 1997 then sf.item_quantity else 0 end) as cq,
-               sum(case when dd.cal_year = 1997 then sf.order_total_price else 0 end) as c
-        from f_sales sf join d_products dp on sf.product_key = dp.product_key join d_date dd on sf.date_key = dd.date_key
-        where dd.cal_year in (1998, 1997) group by dp.product_category),
-    trend as (select *, case when i <> 0 then cast(100 * (i - c) as double) / cast(i as double) end as percent_diff from sums)
-    select cast(row_number() over (order by percent_diff desc nulls first, product_category) as integer) as ranking,
-           product_category, cast(iq as double) as initial_quantity, cast(i as double) as initial_sales,
-           cast(cq as double) as comparison_quantity, cast(c as double) as comparison_sales,
-           cast(cq - iq as double) as quantity_diff, percent_diff
+    with years as (
+        select product_category,
+               coalesce(sum(item_quantity) filter (cal_year = 1998), 0) as units,
+               coalesce(sum(order_total_price) filter (cal_year = 1998), 0) as sales,
+               coalesce(sum(item_quantity) filter (cal_year = 1997), 0) as other_units,
+               coalesce(sum(order_total_price) filter (cal_year = 1997), 0) as other_sales
+        from w_sales where cal_year between 1997 and 1998 group by product_category),
+    trend as (
+        select product_category, cast(units as double) as initial_quantity, cast(sales as double) as initial_sales,
+               cast(other_units as double) as comparison_quantity, cast(other_sales as double) as comparison_sales,
+               cast(other_units - units as double) as quantity_diff,
+               if(sales <> 0, cast(100 * (sales - other_sales) as double) / cast(sales as double), null) as percent_diff
+        from years)
+    select cast(row_number() over (order by percent_diff desc nulls first, product_category) as integer) as ranking, *
     from trend"""
-
-
-def _product_quarter(n: int) -> str:
-    return f"""select dp.product_id, sum(sf.unit_profit) as profit
-               from f_sales sf join d_products dp on dp.product_key = sf.product_key
-                    join d_date dd on dd.date_key = sf.date_key
-               where dd.cal_year = 1998 and dd.cal_quarter = 'Q{n}' group by dp.product_id"""
-
-
 SQL["rpt_product_quarterly"] = f"""
-    with q1 as ({_product_quarter(1)}), q2 as ({_product_quarter(2)}), q3 as ({_product_quarter(3)}),
-    q4 as ({_product_quarter(4)}),
-    report as (
-        select dp.product_id, dp.product_name, q1.profit as quarter1, coalesce(q2.profit, 0) as quarter2,
-               coalesce(q3.profit, 0) as quarter3, coalesce(q4.profit, 0) as quarter4, sum(sf.item_quantity) as quantity,
-               sum(sf.unit_price) as total_revenue
-        from d_products dp join q1 on dp.product_id = q1.product_id left join q2 on dp.product_id = q2.product_id
-             left join q3 on dp.product_id = q3.product_id left join q4 on dp.product_id = q4.product_id
-             left join (select * from f_sales where date_key in (select date_key from d_date where cal_year = 1998)) sf
-                    on dp.product_key = sf.product_key
-        group by dp.product_id, dp.product_name, q1.profit, q2.profit, q3.profit, q4.profit)
-    select product_id, product_name, {_money(*_QUARTERS, "quantity")},
-           cast(quarter1 + quarter2 + quarter3 + quarter4 as double) as total_profit, {_money("total_revenue")}
-    from report"""
+    select product_id, product_name, {_by_quarter("unit_profit")}, cast(sum(item_quantity) as double) as quantity,
+           cast(sum(unit_profit) as double) as total_profit, cast(sum(unit_price) as double) as total_revenue
+    from w_sales where cal_year = 1998 group by product_id, product_name having bool_or(cal_quarter = 'Q1')"""
 SQL["rpt_product_quarterly_all"] = f"""
-    with report as (
-        select dp.product_id, dp.product_name,
-               {", ".join(f"coalesce(sum(case when sf.cal_quarter = 'Q{n}' then sf.gross_profit end), 0) as quarter{n}"
-                          for n in (1, 2, 3, 4))},
-               coalesce(sum(sf.item_quantity), 0) as quantity, coalesce(sum(sf.gross_profit), 0) as total_profit,
-               coalesce(sum(sf.order_total_price), 0) as total_revenue
-        from d_products dp
-             left join (select * from f_sales join d_date using (date_key) where cal_year = 1998) sf
-                    on dp.product_key = sf.product_key
-        group by dp.product_id, dp.product_name)
-    select product_id, product_name, {_money(*_QUARTERS, "quantity", "total_profit", "total_revenue")} from report"""
+    select product_id, product_name, {_by_quarter("gross_profit")},
+           cast(coalesce(sum(item_quantity), 0) as double) as quantity,
+           cast(coalesce(sum(gross_profit), 0) as double) as total_profit,
+           cast(coalesce(sum(order_total_price), 0) as double) as total_revenue
+    from d_products left join (select * exclude (product_id, product_name) from w_sales where cal_year = 1998)
+         using (product_key)
+    group by product_id, product_name"""
 
 # ---- subtotals: folds of the report rows --------------------------------------------------------------------------------
 
