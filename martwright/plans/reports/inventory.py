@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Stock status, emptiest first, each with the quantity it stays below, and the reorder level.
+OUT_OF_STOCK = "Out of Stock"
+LOW_STOCK, LOW_BELOW = "Low Stock", 10
+MEDIUM_STOCK, MEDIUM_BELOW = "Medium Stock", 50
+HIGH_STOCK = "High Stock"
+REORDER_NEEDED, SUFFICIENT_STOCK, REORDER_BELOW = "Reorder Needed", "Sufficient Stock", 20
 
 def inventory_status(star: dict[str, DataFrame], warehouse_id: int) -> DataFrame:
     """Quantity, status and reorder flag per product, emptiest first.
@@ -28,16 +34,13 @@ def inventory_status(star: dict[str, DataFrame], warehouse_id: int) -> DataFrame
     quantity = F.col("total_inventory_quantity")
     labels = ["country_name", "warehouse_id", "warehouse_name", "product_id", "product_name", "product_category"]
     status = (
-        F.when(quantity <= 0, "Out of Stock")
-        .when(quantity < 10, "Low Stock")
-        .when(quantity < 50, "Medium Stock")
-        .otherwise("High Stock")
+        F.when(quantity <= 0, OUT_OF_STOCK)
+        .when(quantity < LOW_BELOW, LOW_STOCK)
+        .when(quantity < MEDIUM_BELOW, MEDIUM_STOCK)
+        .otherwise(HIGH_STOCK)
     )
-    urgency = (
-        F.when(F.col("inventory_status") == "Out of Stock", 1)
-        .when(F.col("inventory_status") == "Low Stock", 2)
-        .when(F.col("inventory_status") == "Medium Stock", 3)
-        .otherwise(4)
+    emptiest_first = F.array_position(
+        F.array(*map(F.lit, (OUT_OF_STOCK, LOW_STOCK, MEDIUM_STOCK, HIGH_STOCK))), F.col("inventory_status")
     )
     return (
         stock.join(
@@ -47,6 +50,6 @@ def inventory_status(star: dict[str, DataFrame], warehouse_id: int) -> DataFrame
         .groupBy(*labels)
         .agg(F.sum("quantity").alias("total_inventory_quantity"))
         .withColumn("inventory_status", status)
-        .withColumn("reorder_level", F.when(quantity < 20, "Reorder Needed").otherwise("Sufficient Stock"))
-        .orderBy(urgency, "product_id")
+        .withColumn("reorder_level", F.when(quantity < REORDER_BELOW, REORDER_NEEDED).otherwise(SUFFICIENT_STOCK))
+        .orderBy(emptiest_first, "product_id")
     )

@@ -13,6 +13,9 @@ from ...functions.calendar import month_label
 from ...functions.money import half_up_ratio, null_safe_ratio
 from .common import sales_of, sum_when
 
+# How a month compares with the one before.
+IMPROVED, CONSTANT, REDUCED = "Improved Performance", "Constant Performance", "Reduced Performance"
+
 
 def _categories(star: dict[str, DataFrame]) -> DataFrame:
     return star["dim_products"].select("product_key", "product_category")
@@ -34,9 +37,9 @@ def _growth(monthly: DataFrame) -> DataFrame:
             F.coalesce(
                 half_up_ratio(F.col("sales_amount") - F.col("pre"), F.col("pre"), times=100), F.lit(0)
             ).alias("growth"),
-            F.when(change > 0, "Improved Performance")
-            .when(change == 0, "Constant Performance")
-            .otherwise("Reduced Performance")
+            F.when(change > 0, IMPROVED)
+            .when(change == 0, CONSTANT)
+            .otherwise(REDUCED)
             .alias("sales_performance"),
         )
     )

@@ -10,6 +10,8 @@ from pyspark.sql.types import StructType
 
 MONEY = "decimal(18,2)"
 
+# The columns, keys and limits of both data models.
+
 SOURCE_DDL = {
     "regions": "region_id bigint, region_name string",
     "countries": "country_id string, country_name string, region_id bigint",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +34,13 @@ def _load(spark: SparkSession, path: str, table: str, fmt: str) -> DataFrame:
     return rows.withColumns({name: parse_day_month_year(F.col(name)) for name in dates}) if dates else rows
 
 
-def register_views(tables: dict[str, DataFrame], prefix: str = "") -> None:
+def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
     """Make each frame a temporary view for SQL users."""
     for name, frame in tables.items():
         frame.createOrReplaceTempView(prefix + name)
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: (table_name, row_count)."""
     counts = [
         frame.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

@@ -173,6 +173,12 @@ def test_versions_do_not_fan_out_reports(star):
     assert r.annual_category(versioned, 2017).collect() == r.annual_category(star, 2017).collect()
 
 
+def test_reports_as_views(spark, star):
+    r.register_reports(star, 2017, 2016, "CPU", 1, "shop_")
+    assert spark.sql("select sum(sales_amount) from shop_monthly_growth").first()[0] == 310
+    assert len([t for t in spark.catalog.listTables() if t.name.startswith("shop_")]) >= 12
+
+
 def test_no_report_needs_a_cartesian_product(star):
     reports = [
         r.monthly_growth(star, 2017, "CPU"),
