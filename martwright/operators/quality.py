@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 def duplicate_keys(df: DataFrame, pk: list[str]) -> DataFrame:
@@ -69,7 +68,3 @@ def width_violations(df: DataFrame, limits: dict[str, int | tuple[int, int]]) ->
         .select(pairs.alias("p"))
         .select(F.col("p.n").alias("column_name"), F.col("p.k").alias("violations"))
     )
-
-
-def schema_not_null(schema: StructType, nullable: set[str]) -> list[str]:
-    return [f.name for f in schema.fields if f.name not in nullable]

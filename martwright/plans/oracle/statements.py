@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from ...schemas import SOURCE_DDL, SOURCE_FOREIGN_KEYS, STAR_DDL, STAR_FOREIGN_KEYS, STAR_LIMITS, column_names
+from ...schemas import (
+    SOURCE_DDL,
+    SOURCE_FOREIGN_KEYS,
+    SOURCE_PRIMARY_KEYS,
+    STAR_DDL,
+    STAR_FOREIGN_KEYS,
+    STAR_LIMITS,
+    STAR_NULLABLE,
+    STAR_PRIMARY_KEYS,
+    column_names,
+)
 from .ctes import with_ctes
 
 _SOURCE = {name: f"s_{name}" for name in SOURCE_DDL} | {
@@ -44,10 +54,6 @@ _CUSTOMER_COLUMNS = "* replace (cast(credit_limit as double) as credit_limit)"
 _EMPLOYEE_COLUMNS = "* replace (cast(hire_date as varchar) as hire_date)"
 
 
-def _column_union(template: str, columns: dict[str, list]) -> str:
-    return " union all ".join(template.format(t=_STAR[t], table=t, c=c) for t, cs in columns.items() for c in cs)
-
-
 SQL: dict[str, str] = {}
 
 # ---- sources -------------------------------------------------------------------------------------------------
@@ -110,9 +116,19 @@ SQL["fact_inventories"] = f"""
 
 SQL["dq_duplicate_keys"] = """
     select order_id, item_id, count(*) as row_count from s_items group by order_id, item_id having count(*) > 1"""
-SQL["dq_null_counts"] = _column_union(
-    "select '{table}' as table_name, '{c}' as column_name, count(*) - count({c}) as null_count from {t}",
-    {t: column_names(STAR_DDL[t]) for t in STAR_DDL},
+SQL["dq_primary_keys"] = " union all ".join(
+    f"""select '{table}' as table_name, '{", ".join(pk)}' as key_columns, count(*) as repeated_keys
+        from (select 1 from {block} group by {", ".join(pk)} having count(*) > 1)"""
+    for blocks, keys in ((_SOURCE, SOURCE_PRIMARY_KEYS), (_STAR, STAR_PRIMARY_KEYS))
+    for table, pk in keys.items()
+    for block in [blocks[table]]
+)
+SQL["dq_null_counts"] = " union all ".join(
+    f"""select '{table}' as table_name, '{c}' as column_name, count(*) - count({c}) as null_count,
+               {"'Y'" if c in STAR_NULLABLE.get(table, ()) else f"if(count(*) = count({c}), 'Y', 'N')"} as valid
+        from {_STAR[table]}"""
+    for table, ddl in STAR_DDL.items()
+    for c in column_names(ddl)
 )
 
 

@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ... import operators as op
-from ...schemas import SOURCE_FOREIGN_KEYS, STAR_DDL, STAR_FOREIGN_KEYS, STAR_LIMITS, column_names
+from ...schemas import (
+    SOURCE_FOREIGN_KEYS,
+    SOURCE_PRIMARY_KEYS,
+    STAR_DDL,
+    STAR_FOREIGN_KEYS,
+    STAR_LIMITS,
+    STAR_NULLABLE,
+    STAR_PRIMARY_KEYS,
+    column_names,
+)
 from .registry import Inputs, query
 
 
@@ -21,16 +30,36 @@ def dq_duplicate_keys(w: Inputs) -> DataFrame:
     return op.duplicate_keys(w.src["order_items"], ["order_id", "item_id"])
 
 
-@query("dq_null_counts")
-def dq_null_counts(w: Inputs) -> DataFrame:
+@query("dq_primary_keys")
+def dq_primary_keys(w: Inputs) -> DataFrame:
+    """How many key values repeat, for every table with a primary key."""
+    keys = [(w.src, *k) for k in SOURCE_PRIMARY_KEYS.items()] + [(w.star, *k) for k in STAR_PRIMARY_KEYS.items()]
     return _stack(
         [
-            op.null_counts(w.star[table], column_names(STAR_DDL[table])).withColumn("table_name", F.lit(table))
-            for table in STAR_DDL
+            op.duplicate_keys(tables[table], pk)
+            .agg(F.count(F.lit(1)).alias("repeated_keys"))
+            .select(F.lit(table).alias("table_name"), F.lit(", ".join(pk)).alias("key_columns"), "repeated_keys")
+            for tables, table, pk in keys
         ]
     )
 
 
+@query("dq_null_counts")
+def dq_null_counts(w: Inputs) -> DataFrame:
+    """NULLs per column of the star, and whether its declaration allows them."""
+
+    def checked(table: str) -> DataFrame:
+        allowed = F.col("column_name").isin(list(STAR_NULLABLE.get(table, [])))
+        return op.null_counts(w.star[table], column_names(STAR_DDL[table])).select(
+            F.lit(table).alias("table_name"),
+            "column_name",
+            "null_count",
+            F.when(allowed | (F.col("null_count") == 0), "Y").otherwise("N").alias("valid"),
+        )
+
+    return _stack([checked(table) for table in STAR_DDL])
+
+
 @query("dq_orphan_rows")
 def dq_orphan_rows(w: Inputs) -> DataFrame:
     """Orphans per foreign key, and of the orders once European customers are gone."""

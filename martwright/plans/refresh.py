@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..operators import dims as d
 from ..operators import scd
-from ..sources.publish import publish, publish_delta, read_published
-from .star import DIMENSIONS, FACT_PARTITIONS, by_warehouse, read_star, with_order_year
+from ..sources.publish import publish, publish_delta, side_by_side
+from .star import SALES_PARTITIONS, by_warehouse, read_dims, read_star, table_root, with_order_year
 
 # dimension: (natural key, surrogate key, active flag, first key, default start, reserved key)
 VERSIONED = {
@@ -38,13 +39,13 @@ def current_members(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return members
 
 
-def _grown(name: str, dim: DataFrame, new: DataFrame) -> DataFrame:
-    """``dim`` with the new members; a versioned dimension gives them first versions."""
+def _as_stored(name: str, dim: DataFrame, new: DataFrame) -> DataFrame:
+    """New members with the columns of the stored dimension: a versioned one gives them first versions."""
     if name in VERSIONED:
         _, _, flag, _, start, _ = VERSIONED[name]
         if flag in dim.columns:
-            new = scd.scd2_init(new, flag, start)
-    return dim.unionByName(new)
+            return scd.scd2_init(new, flag, start)
+    return new
 
 
 def _changed(name: str, dim: DataFrame, changes: DataFrame, as_of: dt.date) -> tuple[DataFrame, DataFrame]:
@@ -67,56 +68,61 @@ def refresh_star(
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Bring a published star up to date with the source as it is now.
 
-    Dimensions are published anew with new days, holidays, members and type 2
-    ``changes`` (by dimension name); sales above the high-water mark and new
-    inventory pairs are published as a delta, so the bulk of the facts is not
-    rewritten. Returns the star and the rejects: changes per dimension, and
-    holidays outside the calendar under ``dim_date``.
+    New days, members, sales (above the high-water mark) and inventory pairs are
+    published as deltas, so neither large dimensions nor facts are rewritten. Only
+    a dimension with holidays or type 2 ``changes`` (by dimension name) is published
+    anew. Each step leaves a consistent star and adds nothing when repeated, so a
+    refresh that broke off is simply run again. Returns the star and the rejects:
+    changes per dimension, and holidays outside the calendar under ``dim_date``.
     """
-    star = read_star(spark, root)
-    dims = {name: star[name] for name in DIMENSIONS}
-    grown, rejects = dict(dims), {}
-
-    grown["dim_date"] = dims["dim_date"].unionByName(op.refresh_dates(dims["dim_date"], *calendar))
-    if holidays is not None:
-        grown["dim_date"], rejects["dim_date"] = op.mark_holidays(grown["dim_date"], holidays)
-    grown["dim_countries"] = dims["dim_countries"].unionByName(op.refresh_countries(dims["dim_countries"], src))
+    star, rejects = read_star(spark, root), {}
+    new_countries = op.refresh_countries(star["dim_countries"], src)
+    countries = star["dim_countries"].unionByName(new_countries)
     new = {
-        "dim_products": op.refresh_products(dims["dim_products"], src),
-        "dim_customers": op.refresh_customers(dims["dim_customers"], src, as_of),
-        "dim_warehouses": op.refresh_warehouses(dims["dim_warehouses"], src, grown["dim_countries"]),
-        "dim_employees": op.refresh_employees(dims["dim_employees"], src, as_of),
+        "dim_date": op.refresh_dates(star["dim_date"], *calendar),
+        "dim_products": op.refresh_products(star["dim_products"], src),
+        "dim_customers": op.refresh_customers(star["dim_customers"], src, as_of),
+        "dim_countries": new_countries,
+        "dim_warehouses": op.refresh_warehouses(star["dim_warehouses"], src, countries),
+        "dim_employees": op.refresh_employees(star["dim_employees"], src, as_of),
     }
-    grown |= {name: _grown(name, dims[name], rows) for name, rows in new.items()}
-    publish(spark, f"{root}/dims", grown)
-
-    if changes:
-        dims = read_published(spark, f"{root}/dims", DIMENSIONS)
-        for name, rows in changes.items():
-            dims[name], rejects[name] = _changed(name, dims[name], rows, as_of)
-        publish(spark, f"{root}/dims", dims)
+    side_by_side(
+        spark,
+        [
+            partial(publish_delta, _as_stored(name, star[name], rows), table_root(root, name))
+            for name, rows in new.items()
+        ],
+    )
+
+    dims = read_dims(spark, root)
+    rewritten = {}
+    if holidays is not None:
+        rewritten["dim_date"], rejects["dim_date"] = op.mark_holidays(dims["dim_date"], holidays)
+    for name, rows in (changes or {}).items():
+        rewritten[name], rejects[name] = _changed(name, dims[name], rows, as_of)
+    if rewritten:
+        side_by_side(spark, [partial(publish, frame, table_root(root, name)) for name, frame in rewritten.items()])
+        dims = read_dims(spark, root)
 
-    dims = read_published(spark, f"{root}/dims", DIMENSIONS)
     members = current_members(dims)
-    delta = {
-        "sales_fact": with_order_year(op.refresh_sales(star["sales_fact"], src, members)),
-        "inventories_fact": by_warehouse(
-            op.refresh_inventories(star["inventories_fact"], src, members, dims["dim_products"])
-        ),
-    }
-    publish_delta(spark, f"{root}/facts", delta, FACT_PARTITIONS)
+    sales = op.refresh_sales(star["sales_fact"], src, members)
+    stock = op.refresh_inventories(star["inventories_fact"], src, members, dims["dim_products"])
+    side_by_side(
+        spark,
+        [
+            partial(publish_delta, with_order_year(sales), table_root(root, "sales_fact"), SALES_PARTITIONS),
+            partial(publish_delta, by_warehouse(stock), table_root(root, "inventories_fact")),
+        ],
+    )
     return read_star(spark, root), rejects
 
 
 def correct_sales(
     spark: SparkSession, root: str, orders: DataFrame, src: Mapping[str, DataFrame]
 ) -> dict[str, DataFrame]:
-    """Rebuild the lines of corrected orders, also below the high-water mark, and publish the facts anew."""
+    """Rebuild the lines of corrected orders, also below the high-water mark, and publish the sales anew."""
     star = read_star(spark, root)
     rebuilt = with_order_year(op.fact_sales_of(orders, src, current_members(star)))
-    facts = {
-        "sales_fact": op.upsert_facts(star["sales_fact"], rebuilt, ["order_id"], orders),
-        "inventories_fact": by_warehouse(star["inventories_fact"]),
-    }
-    publish(spark, f"{root}/facts", facts, FACT_PARTITIONS)
+    sales = op.upsert_facts(star["sales_fact"], rebuilt, ["order_id"], orders)
+    publish(sales, table_root(root, "sales_fact"), SALES_PARTITIONS)
     return read_star(spark, root)

@@ -106,7 +106,7 @@ def cltv_top10(star: dict[str, DataFrame], year: int, k: int = 10) -> DataFrame:
         half_up_ratio(F.col("span"), F.lit(365)).alias("avg_customer_lifespan"),
         half_up_ratio(worth, parts).alias("customer_lifetime_value"),
     )
-    return top_k_with_ties(report, "customer_lifetime_value", k, "ranking")
+    return top_k_with_ties(report, "customer_lifetime_value", k, "ranking").orderBy("ranking", "customer_id")
 
 
 def retention(star: dict[str, DataFrame], year: int) -> DataFrame:
@@ -140,7 +140,7 @@ def retention(star: dict[str, DataFrame], year: int) -> DataFrame:
     )
     rate = null_safe_ratio(F.col("retained_customers"), F.col("total_customers")) * 100
     by_rate = Window.partitionBy("customer_geography").orderBy(F.desc_nulls_first("retention_rate"))
-    return groups.withColumn("retention_rate", rate).select(
+    ranked = groups.withColumn("retention_rate", rate).select(
         F.dense_rank().over(by_rate).alias("ranking"),
         "customer_geography",
         "product_category",
@@ -150,3 +150,4 @@ def retention(star: dict[str, DataFrame], year: int) -> DataFrame:
         "retention_rate",
         null_safe_ratio(F.col("spent_last"), F.col("acquired_customers")).alias("cac"),
     )
+    return ranked.orderBy(F.asc_nulls_last("customer_geography"), "ranking", "product_category")

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..schemas import STAR_DDL
-from ..sources.publish import publish, read_published
+from ..sources.publish import publish, read_published, side_by_side
 
 DIMENSIONS = [name for name in STAR_DDL if name.startswith("dim_")]
-FACTS = [name for name in STAR_DDL if not name.startswith("dim_")]
-FACT_PARTITIONS = {"sales_fact": ["order_year"]}
+SALES_PARTITIONS = ["order_year"]
 
 
 def with_order_year(sales: DataFrame) -> DataFrame:
@@ -68,17 +68,26 @@ def publish_star(
     Facts look their keys up in the written dimensions, so each key is worked
     out once. Sales are partitioned by order year, the filter of most reports.
     """
-    publish(spark, f"{root}/dims", build_dims(src, as_of, calendar))
-    dims = read_published(spark, f"{root}/dims", DIMENSIONS)
-    facts = build_facts(src, dims)
-    facts["sales_fact"] = with_order_year(facts["sales_fact"])
-    facts["inventories_fact"] = by_warehouse(facts["inventories_fact"])
-    publish(spark, f"{root}/facts", facts, FACT_PARTITIONS)
+    dims = build_dims(src, as_of, calendar)
+    side_by_side(spark, [partial(publish, dims[name], table_root(root, name)) for name in DIMENSIONS])
+    facts = build_facts(src, read_dims(spark, root))
+    side_by_side(
+        spark,
+        [
+            partial(publish, with_order_year(facts["sales_fact"]), table_root(root, "sales_fact"), SALES_PARTITIONS),
+            partial(publish, by_warehouse(facts["inventories_fact"]), table_root(root, "inventories_fact")),
+        ],
+    )
     return read_star(spark, root)
 
 
+def table_root(root: str, name: str) -> str:
+    return f"{root}/{name}"
+
+
+def read_dims(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {name: read_published(spark, table_root(root, name)) for name in DIMENSIONS}
+
+
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {
-        **read_published(spark, f"{root}/dims", DIMENSIONS),
-        **read_published(spark, f"{root}/facts", FACTS),
-    }
+    return {name: read_published(spark, table_root(root, name)) for name in STAR_DDL}

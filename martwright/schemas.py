@@ -65,12 +65,6 @@ SOURCE_PRIMARY_KEYS = {
     "inventories": ["product_id", "warehouse_id"],
 }
 
-SOURCE_NULLABLE = {
-    "locations": {"postal_code", "state"},
-    "employees": {"manager_id"},
-    "orders": {"salesman_id"},
-}
-
 # (child, child column, parent, parent column)
 SOURCE_FOREIGN_KEYS = [
     ("countries", "region_id", "regions", "region_id"),

@@ -1,14 +1,15 @@
 """Versioned tables in a shared folder.
 
-Parquet cannot be updated in place, so every publication goes to a folder of
-its own and is then marked in a small table. A full version replaces what came
-before, a delta adds rows to it; readers see the newest full version with the
-deltas after it. A job that dies half way leaves no mark and so changes
-nothing, and a marked folder is never written again.
+Parquet cannot be updated in place, so every publication of a table goes to a
+folder of its own and is then marked in a small list. A full version replaces
+what came before, a delta adds rows to it; readers see the newest full version
+with the deltas after it. A job that dies half way leaves no mark and so
+changes nothing, and a marked folder is never written again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -25,55 +26,40 @@ def _marks(spark: SparkSession, root: str) -> list[tuple[int, str]]:
         return []
 
 
-def _write(
-    spark: SparkSession,
-    root: str,
-    tables: dict[str, DataFrame],
-    partition_by: dict[str, list[str]] | None,
-    kind: str,
-) -> int:
+def _write(frame: DataFrame, root: str, partition_by: list[str], kind: str) -> None:
+    spark = frame.sparkSession
     version = max([v for v, _ in _marks(spark, root)], default=0) + 1
-
-    def write(name: str) -> None:
-        frame, columns = tables[name], (partition_by or {}).get(name, [])
-        if columns:
-            # Adaptive execution cuts this shuffle into even files, also of a partition that holds most rows.
-            frame = frame.hint("rebalance", *columns)
-        writer = frame.write.mode("overwrite").option("compression", "zstd")
-        writer.partitionBy(*columns).parquet(f"{root}/{name}/version={version}")
-
-    # The tables are independent jobs; side by side they fill idle executors.
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        list(pool.map(inheritable_thread_target(spark)(write), tables))
+    if partition_by:
+        # Adaptive execution cuts this shuffle into even files, also of a partition that holds most rows.
+        frame = frame.hint("rebalance", *partition_by)
+    writer = frame.write.mode("overwrite").option("compression", "zstd")
+    writer.partitionBy(*partition_by).parquet(f"{root}/data/version={version}")
     mark = spark.createDataFrame([(version, kind)], "version int, kind string")
     mark.coalesce(1).write.mode("append").parquet(f"{root}/published")
-    return version
 
 
-def publish(
-    spark: SparkSession, root: str, tables: dict[str, DataFrame], partition_by: dict[str, list[str]] | None = None
-) -> int:
-    """Write ``tables`` whole, in place of all earlier versions; returns the version."""
-    return _write(spark, root, tables, partition_by, "full")
+def publish(frame: DataFrame, root: str, partition_by: Iterable[str] = ()) -> None:
+    """Write a table whole, in place of all earlier versions."""
+    _write(frame, root, list(partition_by), "full")
 
 
-def publish_delta(
-    spark: SparkSession, root: str, tables: dict[str, DataFrame], partition_by: dict[str, list[str]] | None = None
-) -> int:
-    """Add rows to the tables already published."""
-    return _write(spark, root, tables, partition_by, "delta")
+def publish_delta(frame: DataFrame, root: str, partition_by: Iterable[str] = ()) -> None:
+    """Add rows to a table already published."""
+    _write(frame, root, list(partition_by), "delta")
 
 
-def read_published(spark: SparkSession, root: str, tables: list[str]) -> dict[str, DataFrame]:
+def read_published(spark: SparkSession, root: str) -> DataFrame:
+    """The table as last published, in one scan."""
     marks = _marks(spark, root)
     full = max((v for v, kind in marks if kind == "full"), default=None)
     if full is None:
         raise FileNotFoundError(f"nothing published under {root}")
-    live = [v for v, _ in marks if v >= full]
+    paths = [f"{root}/data/version={v}" for v, _ in marks if v >= full]
+    return spark.read.option("basePath", f"{root}/data").parquet(*paths).drop("version")
 
-    def read(name: str) -> DataFrame:
-        base = f"{root}/{name}"
-        paths = [f"{base}/version={v}" for v in live]
-        return spark.read.option("basePath", base).parquet(*paths).drop("version")
 
-    return {name: read(name) for name in tables}
+def side_by_side(spark: SparkSession, actions: list[Callable[[], None]]) -> None:
+    """Run independent writes together, so that small ones do not leave executors idle."""
+    run = inheritable_thread_target(spark)(lambda action: action())
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        list(pool.map(run, actions))

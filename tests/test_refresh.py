@@ -109,7 +109,7 @@ def test_both_loads_end_to_end(spark, src, later, tmp_path):
 def test_half_written_versions_do_not_show(spark, src, tmp_path):
     root = str(tmp_path)
     star = publish_star(spark, root, src, AS_OF, CALENDAR)
-    star["sales_fact"].write.partitionBy("order_year").parquet(f"{root}/facts/sales_fact/version=2")
+    star["sales_fact"].write.partitionBy("order_year").parquet(f"{root}/sales_fact/data/version=2")
     assert read_star(spark, root)["sales_fact"].count() == 7
 
 
