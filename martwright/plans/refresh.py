@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..operators import dims as d
 from ..operators import scd
-from ..sources.publish import publish, publish_delta, side_by_side
-from .star import SALES_PARTITIONS, by_warehouse, read_dims, read_star, table_root, with_order_year
+from ..sources.publish import publish, publish_delta, publish_parts, side_by_side
+from .star import SALES_PARTITION, by_warehouse, read_dims, read_star, table_root, with_order_year
 
 # dimension: (natural key, surrogate key, active flag, first key, default start, reserved key)
 VERSIONED = {
@@ -110,7 +110,7 @@ def refresh_star(
     side_by_side(
         spark,
         [
-            partial(publish_delta, with_order_year(sales), table_root(root, "sales_fact"), SALES_PARTITIONS),
+            partial(publish_delta, with_order_year(sales), table_root(root, "sales_fact"), SALES_PARTITION),
             partial(publish_delta, by_warehouse(stock), table_root(root, "inventories_fact")),
         ],
     )
@@ -120,9 +120,17 @@ def refresh_star(
 def correct_sales(
     spark: SparkSession, root: str, orders: DataFrame, src: Mapping[str, DataFrame]
 ) -> dict[str, DataFrame]:
-    """Rebuild the lines of corrected orders, also below the high-water mark, and publish the sales anew."""
+    """Rebuild the lines of corrected orders, also below the high-water mark.
+
+    Only the years such lines were in, or are in now, are written anew.
+    """
     star = read_star(spark, root)
     rebuilt = with_order_year(op.fact_sales_of(orders, src, current_members(star)))
-    sales = op.upsert_facts(star["sales_fact"], rebuilt, ["order_id"], orders)
-    publish(sales, table_root(root, "sales_fact"), SALES_PARTITIONS)
+    before = star["sales_fact"].join(orders.select("order_id"), "order_id", "left_semi")
+    touched = before.select(SALES_PARTITION).unionByName(rebuilt.select(SALES_PARTITION)).distinct()
+    years = [row[0] for row in touched.collect()]
+    if years:
+        affected = star["sales_fact"].where(F.col(SALES_PARTITION).isin(years))
+        sales = op.upsert_facts(affected, rebuilt, ["order_id"], orders)
+        publish_parts(sales, table_root(root, "sales_fact"), SALES_PARTITION, years)
     return read_star(spark, root)

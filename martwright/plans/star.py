@@ -14,11 +14,11 @@ from ..schemas import STAR_DDL
 from ..sources.publish import publish, read_published, side_by_side
 
 DIMENSIONS = [name for name in STAR_DDL if name.startswith("dim_")]
-SALES_PARTITIONS = ["order_year"]
+SALES_PARTITION = "order_year"
 
 
 def with_order_year(sales: DataFrame) -> DataFrame:
-    return sales.withColumn("order_year", F.year("order_date"))
+    return sales.withColumn(SALES_PARTITION, F.year("order_date"))
 
 
 def by_warehouse(inventories: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def publish_star(
     side_by_side(
         spark,
         [
-            partial(publish, with_order_year(facts["sales_fact"]), table_root(root, "sales_fact"), SALES_PARTITIONS),
+            partial(publish, with_order_year(facts["sales_fact"]), table_root(root, "sales_fact"), SALES_PARTITION),
             partial(publish, by_warehouse(facts["inventories_fact"]), table_root(root, "inventories_fact")),
         ],
     )

@@ -1,5 +1,5 @@
 from .changes import append_delta, apply_corrections
-from .publish import publish, publish_delta, read_published
+from .publish import publish, publish_delta, publish_parts, read_published
 from .tables import load_sources, register_views, row_counts
 from .tpch import source_model
 
@@ -9,6 +9,7 @@ __all__ = [
     "load_sources",
     "publish",
     "publish_delta",
+    "publish_parts",
     "read_published",
     "register_views",
     "row_counts",

@@ -1,10 +1,10 @@
 """Versioned tables in a shared folder.
 
 Parquet cannot be updated in place, so every publication of a table goes to a
-folder of its own and is then marked in a small list. A full version replaces
-what came before, a delta adds rows to it; readers see the newest full version
-with the deltas after it. A job that dies half way leaves no mark and so
-changes nothing, and a marked folder is never written again.
+folder of its own and only then enters a small list, which says what each
+version adds and what it puts out of force: the whole table, nothing (a delta),
+or some partitions. A job that dies half way leaves no entry and so changes
+nothing, and a listed folder is never written again.
 """
 
 from __future__ import annotations
@@ -16,46 +16,65 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
+EVERYTHING = "*"
+_ENTRY = "version int, drops boolean, part string"
 
-def _marks(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(version, kind) of every publication, oldest first: one row each, so the list stays short."""
+
+def _entries(spark: SparkSession, root: str) -> list[tuple[int, bool, str]]:
+    """The list, oldest version first and drops before additions; a few short rows per version."""
     try:
-        marks = spark.read.schema("version int, kind string").parquet(f"{root}/published")
-        return sorted((row.version, row.kind) for row in marks.collect())
+        rows = spark.read.schema(_ENTRY).parquet(f"{root}/published").collect()
     except AnalysisException:
         return []
+    return sorted(((r.version, r.drops, r.part) for r in rows), key=lambda e: (e[0], not e[1]))
 
 
-def _write(frame: DataFrame, root: str, partition_by: list[str], kind: str) -> None:
+def _write(frame: DataFrame, root: str, partition_by: str | None, drops: Iterable[str]) -> None:
     spark = frame.sparkSession
-    version = max([v for v, _ in _marks(spark, root)], default=0) + 1
+    version = max([v for v, *_ in _entries(spark, root)], default=0) + 1
+    folder = f"{root}/data/version={version}"
+    parts = [""]
     if partition_by:
         # Adaptive execution cuts this shuffle into even files, also of a partition that holds most rows.
-        frame = frame.hint("rebalance", *partition_by)
+        frame = frame.hint("rebalance", partition_by)
     writer = frame.write.mode("overwrite").option("compression", "zstd")
-    writer.partitionBy(*partition_by).parquet(f"{root}/data/version={version}")
-    mark = spark.createDataFrame([(version, kind)], "version int, kind string")
-    mark.coalesce(1).write.mode("append").parquet(f"{root}/published")
+    writer.partitionBy(*([partition_by] if partition_by else [])).parquet(folder)
+    if partition_by:
+        written = spark.read.schema(frame.schema).parquet(folder).select(partition_by).distinct()
+        parts = [f"{partition_by}={row[0]}" for row in written.collect()]
+    entries = [(version, True, part) for part in drops] + [(version, False, part) for part in parts]
+    spark.createDataFrame(entries, _ENTRY).coalesce(1).write.mode("append").parquet(f"{root}/published")
 
 
-def publish(frame: DataFrame, root: str, partition_by: Iterable[str] = ()) -> None:
+def publish(frame: DataFrame, root: str, partition_by: str | None = None) -> None:
     """Write a table whole, in place of all earlier versions."""
-    _write(frame, root, list(partition_by), "full")
+    _write(frame, root, partition_by, [EVERYTHING])
 
 
-def publish_delta(frame: DataFrame, root: str, partition_by: Iterable[str] = ()) -> None:
+def publish_delta(frame: DataFrame, root: str, partition_by: str | None = None) -> None:
     """Add rows to a table already published."""
-    _write(frame, root, list(partition_by), "delta")
+    _write(frame, root, partition_by, [])
+
+
+def publish_parts(frame: DataFrame, root: str, partition_by: str, values: Iterable) -> None:
+    """Write the partitions of the given values anew; the others stay as they are."""
+    _write(frame, root, partition_by, [f"{partition_by}={value}" for value in values])
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     """The table as last published, in one scan."""
-    marks = _marks(spark, root)
-    full = max((v for v, kind in marks if kind == "full"), default=None)
-    if full is None:
+    live: list[tuple[int, str]] = []
+    entries = _entries(spark, root)
+    for version, drops, part in entries:
+        if drops:
+            live = [] if part == EVERYTHING else [(v, p) for v, p in live if p != part]
+        else:
+            live.append((version, part))
+    if not live:
         raise FileNotFoundError(f"nothing published under {root}")
-    paths = [f"{root}/data/version={v}" for v, _ in marks if v >= full]
-    return spark.read.option("basePath", f"{root}/data").parquet(*paths).drop("version")
+    base = f"{root}/data"
+    paths = [f"{base}/version={v}/{p}".rstrip("/") for v, p in live]
+    return spark.read.option("basePath", base).parquet(*paths).drop("version")
 
 
 def side_by_side(spark: SparkSession, actions: list[Callable[[], None]]) -> None:

@@ -101,11 +101,22 @@ def test_both_loads_end_to_end(spark, src, later, tmp_path):
     (line,) = fixed["sales_fact"].where("order_id = 2").collect()
     assert (line.order_date, line.order_status, line.order_year) == (day("2017-03-15"), "SHIPPED", 2017)
     assert fixed["sales_fact"].count() == 9
+    written = {p.parent.name for p in (tmp_path / "sales_fact/data/version=3").glob("order_year=*/*.parquet")}
+    assert written == {"order_year=2017"}, "other years are left alone"
     assert read_star(spark, root)["sales_fact"].agg(F.sum("order_total_price")).first()[0] == sum(
         i[3] * i[4] for i in LATER["order_items"]
     )
 
 
+def test_a_year_can_lose_its_last_line(spark, src, tmp_path):
+    root = str(tmp_path)
+    publish_star(spark, root, src, AS_OF, CALENDAR)
+    late = src["orders"].where("order_id in (4, 5)").withColumn("order_date", F.lit(day("2017-12-01")))
+    star = correct_sales(spark, root, late, src)
+    assert _keys(star["sales_fact"].groupBy("order_year").count(), "order_year", "count") == [(2017, 7)]
+    assert correct_sales(spark, root, late.where("false"), src)["sales_fact"].count() == 7
+
+
 def test_half_written_versions_do_not_show(spark, src, tmp_path):
     root = str(tmp_path)
     star = publish_star(spark, root, src, AS_OF, CALENDAR)
