@@ -21,17 +21,18 @@ def line_total(quantity: Column, price: Column) -> Column:
     return (quantity * price).cast(MONEY)
 
 
-def _hundredths(value: Column) -> Column:
-    return (value.cast("decimal(36,2)") * 100).cast(_WHOLE)
+def _whole(value: Column) -> Column:
+    """The value in ten-thousandths: a quantity times a price has four decimals."""
+    return (value.cast("decimal(38,4)") * 10_000).cast(_WHOLE)
 
 
 def half_up_ratio(num: Column, den: Column, places: int = 2, times: int = 1) -> Column:
     """``round(times * num / den, places)`` exactly; NULL when ``den`` is zero or NULL.
 
-    ``num`` and ``den`` are integers or decimals with at most two decimals.
+    ``num`` and ``den`` are integers or decimals with at most four decimals.
     """
-    scaled = F.abs(_hundredths(num)) * F.lit(2 * times * 10**places)
-    divisor = F.abs(_hundredths(den))
+    scaled = F.abs(_whole(num)) * F.lit(2 * times * 10**places)
+    divisor = F.abs(_whole(den))
     units = F.call_function(
         "div", (scaled + divisor).cast(_WHOLE), (divisor * 2).cast(_WHOLE)
     ).cast("decimal(20,0)")

@@ -399,7 +399,8 @@ SQL["rpt_employee_performance"] = f"""
     from w_sales where employee_id <> 9999 group by employee_id, employee_name, job_title"""
 SQL["rpt_top_products"] = f"""
     with year_sales as (
-        select {_PRODUCT}, sum(item_quantity) as units, sum(order_total_price) as sales, sum(gross_profit) as profit
+        select {_PRODUCT}, sum(item_quantity) as units, sum(order_total_price) as sales,
+               cast(sum(order_total_price - item_quantity * standard_cost) as decimal(30,2)) as profit
         from w_sales where cal_year = 1998 group by {_PRODUCT} order by sales desc, product_id limit 10)
     select * exclude (units, sales, profit) replace ({_money("standard_cost")}), 'ACTIVE' as product_status,
            cast(units as double) as sales_unit, cast(sales as double) as sales_amount,

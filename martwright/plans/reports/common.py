@@ -32,7 +32,8 @@ def sales_of(star: dict[str, DataFrame], years: list[int], *calendar: str) -> Da
 
 
 def sum_when(condition: Column, value: Column) -> Column:
-    return F.sum(F.when(condition, value).otherwise(F.lit(0).cast("decimal(18,2)")))
+    # No typed zero inside the sum: short decimals are summed as longs, wider ones are not.
+    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0))
 
 
 def per_quarter(value: str) -> list[Column]:

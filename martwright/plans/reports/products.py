@@ -18,22 +18,32 @@ from .common import per_quarter, sales_of
 _ATTRIBUTES = ["product_id", "product_name", "product_description", "product_category"]
 
 
+_SUMS = {
+    "units": F.sum,
+    "revenue": F.sum,
+    "booked_profit": F.sum,
+    "last_sale": F.max,
+}
+
+
 def _by_product_and_cost(sales: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
+    """Units, revenue and profit per product and cost.
+
+    ``profit`` needs no sum of its own, as the cost is the same in all of a
+    group's lines; ``booked_profit`` adds up the lines' gross profits, rounded to
+    cents each. What a report does not use is not read.
+    """
     sums = sales.groupBy("product_key", "standard_cost").agg(
         F.sum("item_quantity").alias("units"),
         F.sum("order_total_price").alias("revenue"),
-        F.sum("gross_profit").alias("profit"),
+        F.sum("gross_profit").alias("booked_profit"),
         F.max("order_date").alias("last_sale"),
     )
     return (
         sums.join(star["dim_products"].select("product_key", *_ATTRIBUTES), "product_key")
         .groupBy(*_ATTRIBUTES, "standard_cost")
-        .agg(
-            F.sum("units").alias("units"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("profit").alias("profit"),
-            F.max("last_sale").alias("last_sale"),
-        )
+        .agg(*[fold(name).alias(name) for name, fold in _SUMS.items()])
+        .withColumn("profit", F.col("revenue") - F.col("units") * F.col("standard_cost"))
     )
 
 
@@ -48,8 +58,8 @@ def low_margin(star: dict[str, DataFrame], threshold: float = 0.2) -> DataFrame:
             "standard_cost",
             F.col("units").alias("sales_unit"),
             F.col("revenue").alias("sales_revenue"),
-            F.round("profit", 0).alias("gross_profit"),
-            half_up_ratio(F.col("profit"), F.col("revenue"), times=100).alias("gross_profit_margin"),
+            F.round("booked_profit", 0).alias("gross_profit"),
+            half_up_ratio(F.col("booked_profit"), F.col("revenue"), times=100).alias("gross_profit_margin"),
         )
         .orderBy("gross_profit_margin", "product_id")
     )
@@ -68,7 +78,7 @@ def top_products(star: dict[str, DataFrame], year: int, k: int = 10) -> DataFram
             "standard_cost",
             F.col("units").alias("sales_unit"),
             F.col("revenue").alias("sales_amount"),
-            F.col("profit").alias("sales_profit"),
+            F.round("profit", 2).alias("sales_profit"),
             half_up_ratio(F.col("profit"), F.col("revenue"), times=100).alias("profit_contribution"),
         )
     )

@@ -131,6 +131,17 @@ def test_top_products(star):
     assert rows == [(2, "ACTIVE", D(700), D(70), D(10)), (1, "ACTIVE", D(310), D(130), D("41.94"))]
 
 
+def test_fractional_quantities_are_not_rounded_line_by_line(spark, star):
+    line = star["sales_fact"].where("order_id = 2").withColumn("item_quantity", F.lit(D("0.15")).cast("decimal(8,2)"))
+    # 0.15 units at 110 with a cost of 60.03: 16.50 - 9.0045 a line.
+    line = line.withColumn("standard_cost", F.lit(D("60.03")).cast("decimal(9,2)"))
+    line = line.withColumn("order_total_price", F.lit(D("16.50")).cast("decimal(18,2)"))
+    three = {**star, "sales_fact": line.unionByName(line).unionByName(line)}
+    (row,) = r.top_products(three, 2017).collect()
+    assert (row.sales_unit, row.sales_amount, row.sales_profit) == (D("0.45"), D("49.50"), D("22.49"))
+    assert row.profit_contribution == D("45.43")
+
+
 def test_market_trend(star):
     rows = _tuples(r.market_trend(star, 2017, 2016), "ranking", "product_category", "initial_sales", "comparison_sales", "quantity_diff", "percent_diff")
     assert rows == [
