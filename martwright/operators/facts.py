@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections import ChainMap
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import line_total
@@ -23,37 +23,60 @@ from .dims import UNKNOWN_EMPLOYEE_KEY
 _SPREAD = 256
 
 
-def _keyed_orders(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Orders with their date, customer and employee keys.
+def is_versioned(dim: DataFrame) -> bool:
+    return "start_date" in dim.columns
+
+
+def look_up(rows: DataFrame, column: str, dim: DataFrame, natural: str, surrogate: str, optional: bool = False) -> DataFrame:
+    """Add the surrogate key of the member that ``column`` names.
 
-    A third of all orders may have no salesman; NULL keys would all meet in one
-    task of a shuffled join, so a second join column spreads them: it follows from
-    the salesman where there is one, and from the order where there is none.
+    In a versioned dimension it is the key of the version in force on the row's
+    ``order_date``; days before the first version belong to it. An ``optional``
+    reference may be NULL. So that many NULLs do not meet in one task of a shuffled
+    join, a second join column spreads them: it follows from the reference where
+    there is one, and from the order where there is none.
     """
+    keys = dim.select(F.col(natural).alias("_id"), surrogate)
+    match = F.col(column) == F.col("_id")
+    if is_versioned(dim):
+        first = F.min("start_date").over(Window.partitionBy(natural))
+        dawn = F.make_date(F.lit(1), F.lit(1), F.lit(1))
+        keys = dim.select(
+            F.col(natural).alias("_id"),
+            surrogate,
+            F.when(F.col("start_date") == first, dawn).otherwise(F.col("start_date")).alias("_from"),
+            F.col("end_date").alias("_until"),
+        )
+        match &= F.col("order_date").between(F.col("_from"), F.col("_until"))
+    if optional:
+        spread = F.pmod(F.coalesce(column, F.xxhash64("order_id")), F.lit(_SPREAD))
+        rows = rows.withColumn("_spread", spread)
+        keys = keys.withColumn("_id_spread", F.pmod("_id", F.lit(_SPREAD)))
+        match &= F.col("_spread") == F.col("_id_spread")
+    found = rows.join(keys, match, "left" if optional else "inner")
+    return found.drop("_id", "_from", "_until", "_spread", "_id_spread")
+
+
+def _keyed_orders(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Orders with their date, customer and employee keys."""
     days = dims["dim_date"].select("date_key", F.col("calendar_date").alias("order_date"))
-    customers = dims["dim_customers"].select("customer_key", "customer_id")
-    employees = dims["dim_employees"].select(
-        "employee_key", F.col("employee_id").alias("salesman_id"), F.pmod("employee_id", F.lit(_SPREAD)).alias("_spread")
-    )
-    spread = F.pmod(F.coalesce("salesman_id", F.xxhash64("order_id")), F.lit(_SPREAD))
-    return (
-        orders.withColumn("order_status", F.upper("status"))
-        .join(days, "order_date")
-        .join(customers, "customer_id")
-        .withColumn("_spread", spread)
-        .join(employees, ["salesman_id", "_spread"], "left")
-        .select("order_id", "order_status", "order_date", "date_key", "customer_key", "employee_key")
-    )
+    dated = orders.withColumn("order_status", F.upper("status")).join(days, "order_date")
+    known = look_up(dated, "customer_id", dims["dim_customers"], "customer_id", "customer_key")
+    sold = look_up(known, "salesman_id", dims["dim_employees"], "employee_id", "employee_key", optional=True)
+    return sold.select("order_id", "order_status", "order_date", "date_key", "customer_key", "employee_key")
 
 
 def fact_sales(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], unknown_employee: bool = True) -> DataFrame:
-    """One row per order line. ``dims`` must hold one version per natural key."""
-    lines = (
-        src["order_items"]
-        .join(src["products"].select("product_id", "standard_cost"), "product_id")
-        .join(dims["dim_products"].select("product_key", "product_id"), "product_id")
-    )
-    rows = lines.join(_keyed_orders(src["orders"], dims), "order_id")
+    """One row per order line, with the keys of the members in force on the order date."""
+    orders = _keyed_orders(src["orders"], dims)
+    costs = src["products"].select("product_id", "standard_cost")
+    priced = src["order_items"].join(costs, "product_id")
+    products = dims["dim_products"]
+    if is_versioned(products):
+        # Which version applies depends on the order date, so the order comes first.
+        rows = look_up(priced.join(orders, "order_id"), "product_id", products, "product_id", "product_key")
+    else:
+        rows = look_up(priced, "product_id", products, "product_id", "product_key").join(orders, "order_id")
     margin = F.col("unit_price") - F.col("standard_cost")
     employee = F.col("employee_key")
     if unknown_employee:
@@ -80,7 +103,7 @@ def fact_sales_of(orders: DataFrame, src: Mapping[str, DataFrame], dims: Mapping
 
 
 def fact_inventories(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per product and warehouse in stock."""
+    """One row per product and warehouse in stock. ``dims`` must hold one version per product."""
     rows = (
         src["inventories"]
         .withColumnRenamed("quantity", "inventory_quantity")

@@ -30,13 +30,10 @@ VERSIONED = {
 }
 
 
-def current_members(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Each dimension with one row per natural key, whether versioned yet or not."""
-    members = dict(dims)
-    for name, (_, _, flag, *_) in VERSIONED.items():
-        if flag in dims[name].columns:
-            members[name] = scd.current(dims[name], flag)
-    return members
+def current_products(dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Products with one row per id, whether versioned yet or not."""
+    products, flag = dims["dim_products"], VERSIONED["dim_products"][2]
+    return scd.current(products, flag) if flag in products.columns else products
 
 
 def _as_stored(name: str, dim: DataFrame, new: DataFrame) -> DataFrame:
@@ -104,9 +101,9 @@ def refresh_star(
         side_by_side(spark, [partial(publish, frame, table_root(root, name)) for name, frame in rewritten.items()])
         dims = read_dims(spark, root)
 
-    members = current_members(dims)
-    sales = op.refresh_sales(star["sales_fact"], src, members)
-    stock = op.refresh_inventories(star["inventories_fact"], src, members, dims["dim_products"])
+    sales = op.refresh_sales(star["sales_fact"], src, dims)
+    now = {**dims, "dim_products": current_products(dims)}
+    stock = op.refresh_inventories(star["inventories_fact"], src, now, dims["dim_products"])
     side_by_side(
         spark,
         [
@@ -122,10 +119,11 @@ def correct_sales(
 ) -> dict[str, DataFrame]:
     """Rebuild the lines of corrected orders, also below the high-water mark.
 
-    Only the years such lines were in, or are in now, are written anew.
+    They get the members in force on their new dates. Only the years such lines
+    were in, or are in now, are written anew.
     """
     star = read_star(spark, root)
-    rebuilt = with_order_year(op.fact_sales_of(orders, src, current_members(star)))
+    rebuilt = with_order_year(op.fact_sales_of(orders, src, star))
     before = star["sales_fact"].join(orders.select("order_id"), "order_id", "left_semi")
     touched = before.select(SALES_PARTITION).unionByName(rebuilt.select(SALES_PARTITION)).distinct()
     years = [row[0] for row in touched.collect()]

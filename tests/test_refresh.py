@@ -67,7 +67,8 @@ def test_both_loads_end_to_end(spark, src, later, tmp_path):
     publish_star(spark, root, src, AS_OF, CALENDAR)
     changes = {
         "dim_products": spark.createDataFrame(
-            [(1, day("2018-01-01")), (50, day("2018-01-01"))], "product_id bigint, start_date date"
+            [(1, day("2018-01-01")), (8, day("2018-06-01")), (50, day("2018-01-01"))],
+            "product_id bigint, start_date date",
         )
     }
     holidays = spark.createDataFrame([(day("2016-12-25"),), (day("1999-12-25"),)], "calendar_date date")
@@ -77,7 +78,7 @@ def test_both_loads_end_to_end(spark, src, later, tmp_path):
     counts = {name: frame.count() for name, frame in star.items()}
     assert counts == {
         "dim_date": 731 + 31,
-        "dim_products": 5,
+        "dim_products": 6,
         "dim_customers": 5,
         "dim_countries": 3,
         "dim_warehouses": 3,
@@ -88,8 +89,9 @@ def test_both_loads_end_to_end(spark, src, later, tmp_path):
     assert rejects["dim_products"].first().product_id == 50
     assert rejects["dim_date"].first().calendar_date == day("1999-12-25")
     sold = {r.order_id: r for r in star["sales_fact"].where("order_id > 5").collect()}
-    current = star["dim_products"].where("product_id = 1 and products_active_flag = 'Y'").first()
-    assert sold[7].product_key == current.product_key, "new sales point to the current version"
+    version = {(r.product_id, r.products_active_flag): r.product_key for r in star["dim_products"].collect()}
+    assert sold[7].product_key == version[1, "Y"], "sold after the change"
+    assert sold[6].product_key == version[8, "N"], "sold before the change takes effect"
     assert (sold[6].order_status, sold[7].employee_key) == ("PENDING", 9999999)
     assert op.orphan_rows(star["sales_fact"], star["dim_products"], "product_key").count() == 0
 
@@ -108,6 +110,23 @@ def test_both_loads_end_to_end(spark, src, later, tmp_path):
     )
 
 
+def test_sales_find_the_version_of_their_day(spark, src, star):
+    dim = op.scd2_init(star["dim_customers"], "customer_active_flag", day("2017-01-01"))
+    changes = spark.createDataFrame([(1, day("2017-02-01"))], "customer_id bigint, start_date date")
+    versions, _ = op.scd2_apply(dim, changes, "customer_id", "customer_key", "customer_active_flag", 10000001)
+    people = op.scd2_init(star["dim_employees"], "employee_active_flag", day("2017-02-01"))
+    fact = op.fact_sales(src, {**star, "dim_customers": versions, "dim_employees": people})
+    keys = {r.order_id: (r.customer_key, r.employee_key) for r in fact.collect()}
+    assert fact.count() == 7, "no sale is lost, also none before the first version"
+    assert keys == {
+        1: (10000001, 1000002),
+        2: (10000005, 1000002),
+        3: (10000002, 9999999),
+        4: (10000002, 1000003),
+        5: (10000003, 1000003),
+    }
+
+
 def test_a_year_can_lose_its_last_line(spark, src, tmp_path):
     root = str(tmp_path)
     publish_star(spark, root, src, AS_OF, CALENDAR)
