@@ -20,7 +20,7 @@ from ..functions.money import line_total
 from ..schemas import conform, star_schema
 from .dims import UNKNOWN_EMPLOYEE_KEY
 
-_SPREAD = 256
+_RESIDUES = 256
 
 
 def is_versioned(dim: DataFrame) -> bool:
@@ -32,13 +32,17 @@ def look_up(rows: DataFrame, column: str, dim: DataFrame, natural: str, surrogat
 
     In a versioned dimension it is the key of the version in force on the row's
     ``order_date``; days before the first version belong to it. An ``optional``
-    reference may be NULL. So that many NULLs do not meet in one task of a shuffled
-    join, a second join column spreads them: it follows from the reference where
-    there is one, and from the order where there is none.
+    reference may be NULL.
+
+    Both cases join on a second column, a residue of the reference. Where that is
+    NULL the order stands in, so that many NULLs do not meet in one task. And
+    versions, which come partitioned by id from a window, get a shuffle of their own
+    by it, without which a hot id could not be split (see above).
     """
+    versioned = is_versioned(dim)
     keys = dim.select(F.col(natural).alias("_id"), surrogate)
     match = F.col(column) == F.col("_id")
-    if is_versioned(dim):
+    if versioned:
         first = F.min("start_date").over(Window.partitionBy(natural))
         dawn = F.make_date(F.lit(1), F.lit(1), F.lit(1))
         keys = dim.select(
@@ -48,13 +52,13 @@ def look_up(rows: DataFrame, column: str, dim: DataFrame, natural: str, surrogat
             F.col("end_date").alias("_until"),
         )
         match &= F.col("order_date").between(F.col("_from"), F.col("_until"))
-    if optional:
-        spread = F.pmod(F.coalesce(column, F.xxhash64("order_id")), F.lit(_SPREAD))
-        rows = rows.withColumn("_spread", spread)
-        keys = keys.withColumn("_id_spread", F.pmod("_id", F.lit(_SPREAD)))
-        match &= F.col("_spread") == F.col("_id_spread")
+    if optional or versioned:
+        stand_in = F.coalesce(column, F.xxhash64("order_id")) if optional else F.col(column)
+        rows = rows.withColumn("_residue", F.pmod(stand_in, F.lit(_RESIDUES)))
+        keys = keys.withColumn("_id_residue", F.pmod("_id", F.lit(_RESIDUES)))
+        match &= F.col("_residue") == F.col("_id_residue")
     found = rows.join(keys, match, "left" if optional else "inner")
-    return found.drop("_id", "_from", "_until", "_spread", "_id_spread")
+    return found.drop("_id", "_from", "_until", "_residue", "_id_residue")
 
 
 def _keyed_orders(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:

@@ -261,6 +261,14 @@ SQL["scd2_as_of_join"] = f"""
     from s_items i join s_orders o on i.order_id = o.order_id
          join versions v on v.product_id = i.product_id and o.order_date between v.start_date and v.end_date
     group by v.product_id, v.start_date, v.product_description"""
+SQL["scd2_fact_sales"] = f"""
+    with {_PRODUCT_VERSIONS},
+    sold as (
+        select f.* replace (coalesce(late.product_key, f.product_key) as product_key)
+        from f_sales f join d_products p using (product_key)
+             left join opened late on late.product_id = p.product_id
+                                  and f.order_date between late.start_date and late.end_date)
+    select {_FACT_COLUMNS} from sold"""
 SQL["scd2_rejects"] = """
     select product_id, '1990-01-01' as start_date, 'start date is not after the current version''s' as reject_reason
     from d_products where product_category = 'ECONOMY' and product_name like 'OLD%'

@@ -126,3 +126,9 @@ def scd2_as_of_join(w: Inputs) -> DataFrame:
     return versioned.groupBy("product_id", "start_date", "product_description").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units")
     )
+
+
+@query("scd2_fact_sales")
+def scd2_fact_sales(w: Inputs) -> DataFrame:
+    """The sales fact over versioned products: each line has the key of the version it was ordered under."""
+    return op.fact_sales(w.src, {**w.star, "dim_products": scd2_products(w)})

@@ -79,7 +79,22 @@ def test_hot_keys_are_split_and_nothing_is_lost(skewed, no_broadcasts):
     assert "BroadcastHashJoin" not in plan
 
 
+def test_hot_products_are_split_among_versions_too(skewed, no_broadcasts):
+    src, dims = skewed
+    first = op.scd2_init(dims["dim_products"], "products_active_flag", day("2017-01-01"))
+    changes = first.where("product_id <= 3").select("product_id", F.lit(day("2017-05-01")).alias("start_date"))
+    versions, _ = op.scd2_apply(first, changes, "product_id", "product_key", "products_active_flag", 1001)
+    fact = op.fact_sales(src, {**dims, "dim_products": versions})
+    rows = fact.collect()
+    assert len(rows) == LINES
+    hot = {r.product_key for r in rows if r.product_key in (1001, 1501)}
+    assert hot == {1001, 1501}
+    assert all((r.product_key == 1001) == (r.order_date < day("2017-05-01")) for r in rows if r.product_key in (1001, 1501))
+    plan = fact._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("SortMergeJoin(skew=true) [product_id") == 2, "cost and version"
+
+
 def test_orders_without_salesman_are_spread(skewed, no_broadcasts):
     text = op.fact_sales(*skewed)._jdf.queryExecution().executedPlan().toString()
     (join,) = [line for line in text.splitlines() if "LeftOuter" in line]
-    assert "_spread" in join.split("]")[0], "the second join column must survive optimisation"
+    assert "_residue" in join.split("]")[0], "the second join column must survive optimisation"
