@@ -26,10 +26,10 @@ class Inputs:
 
     @property
     def star(self) -> Mapping[str, DataFrame]:
-        """The star, built and written on first use in the application."""
+        """The star, built and written on first use in the application, or again if its folder is gone."""
+        root = f"{shared_folder(self.spark)}/martwright/{self.identity}"
         with self._building:
-            if self._star is None:
-                root = f"{shared_folder(self.spark)}/martwright/{self.identity}"
+            if self._star is None or not _exists(self.spark, root):
                 self._star = publish_star(self.spark, root, self.src, tpch.AS_OF)
             return self._star
 
@@ -74,13 +74,22 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select([plain(f) for f in df.schema.fields])
 
 
+def _locate(spark: SparkSession, name: str):
+    """A path and its file system, wherever the name points."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, name: str) -> bool:
+    path, files = _locate(spark, name)
+    return files.exists(path)
+
+
 def _state_of(spark: SparkSession, folder: str) -> str:
     """Sizes and times of the input tables, so changed inputs get a new star."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     states = []
     for table in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
-        path = hadoop.Path(f"{folder}/{table}.parquet")
-        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        status = files.getFileStatus(path)
-        states.append(f"{table}:{status.getModificationTime()}:{files.getContentSummary(path).getLength()}")
+        path, files = _locate(spark, f"{folder}/{table}.parquet")
+        changed = files.getFileStatus(path).getModificationTime()
+        states.append(f"{table}:{changed}:{files.getContentSummary(path).getLength()}")
     return "|".join(states)

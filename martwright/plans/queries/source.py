@@ -74,7 +74,8 @@ def fn_calendar(w: Inputs) -> DataFrame:
 def fn_text(w: Inputs) -> DataFrame:
     address = F.upper("address")
     contact = F.col("first_name")
-    return w.src["customers"].join(w.src["contacts"].select("customer_id", "first_name", "last_name"), "customer_id", "left").select(
+    contacts = w.src["contacts"].select("customer_id", "first_name", "last_name")
+    return w.src["customers"].join(contacts, "customer_id", "left").select(
         "customer_id",
         F.upper("name").alias("upper_name"),
         text_after_nth(address, ",", 2).alias("geography"),

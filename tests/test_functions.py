@@ -48,7 +48,8 @@ def test_ratio_is_exact_on_ties(spark):
 
 def test_ratio_of_four_decimals_and_large_sums(spark):
     data = [(Decimal("0.0001"), Decimal("0.0002")), (Decimal("9" * 28 + ".9999"), Decimal("8" * 24 + ".0001"))]
-    rows = spark.createDataFrame(data, "a decimal(38,4), b decimal(38,4)").select(half_up_ratio(F.col("a"), F.col("b")).alias("q"))
+    frame = spark.createDataFrame(data, "a decimal(38,4), b decimal(38,4)")
+    rows = frame.select(half_up_ratio(F.col("a"), F.col("b")).alias("q"))
     assert [r.q for r in rows.collect()] == [Decimal("0.50"), Decimal("11250.00")]
 
 

@@ -16,7 +16,11 @@ LATER = {
     "products": SHOP["products"] + [(8, "Slab", "wide", 5, 7, 2)],
     "customers": SHOP["customers"] + [(6, "Echo", "6 New St, Graz, AT", 600, "w")],
     "orders": [o for o in SHOP["orders"] if o[0] != 2]
-    + [(2, 2, "Shipped", 3, day("2017-03-15")), (6, 6, "Pending", 9, day("2018-01-05")), (7, 1, "Shipped", None, day("2018-01-06"))],
+    + [
+        (2, 2, "Shipped", 3, day("2017-03-15")),
+        (6, 6, "Pending", 9, day("2018-01-05")),
+        (7, 1, "Shipped", None, day("2018-01-06")),
+    ],
     "order_items": SHOP["order_items"] + [(6, 1, 8, 2, 7), (7, 1, 1, 1, 100)],
     "inventories": SHOP["inventories"] + [(8, 3, 4), (1, 3, 5)],
 }
@@ -41,7 +45,8 @@ def test_new_members_only(star, later):
     people = op.refresh_employees(star["dim_employees"], later, day("2018-01-31"))
     assert _keys(people, "employee_key", "employee_id", "no_of_days_employed") == [(1000004, 9, 29)]
     countries = star["dim_countries"].unionByName(op.refresh_countries(star["dim_countries"], later))
-    assert _keys(op.refresh_warehouses(star["dim_warehouses"], later, countries), "warehouse_key", "country_key") == [(10003, 103)]
+    warehouses = op.refresh_warehouses(star["dim_warehouses"], later, countries)
+    assert _keys(warehouses, "warehouse_key", "country_key") == [(10003, 103)]
 
 
 def test_dates_do_not_repeat(star):

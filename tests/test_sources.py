@@ -57,8 +57,9 @@ def test_quality_checks(spark, src, star):
     few = src["customers"].where("customer_id <> 2")
     assert sorted(r.order_id for r in op.orphan_rows(src["orders"], few, "customer_id").collect()) == [3, 4]
     assert op.orphan_rows(src["orders"], src["employees"], "salesman_id", "employee_id").count() == 0
-    assert sorted(r.order_id for r in op.cascade_delete(src["order_items"], src["orders"].where("order_id > 2"), "order_id").collect()) == [1, 1, 2]
+    left = op.cascade_delete(src["order_items"], src["orders"].where("order_id > 2"), "order_id")
+    assert sorted(r.order_id for r in left.collect()) == [1, 1, 2]
     counted = op.reconcile_counts({"a": (src["orders"], src["orders"]), "b": (src["orders"], src["order_items"])})
     assert {tuple(r) for r in counted.collect()} == {("a", 5, 5, "Y"), ("b", 5, 7, "N")}
-    wide = {r.column_name: r.violations for r in op.width_violations(star["sales_fact"], {"order_status": 7, "unit_price": (4, 2)}).collect()}
-    assert wide == {"order_status": 1, "unit_price": 3}
+    wide = op.width_violations(star["sales_fact"], {"order_status": 7, "unit_price": (4, 2)})
+    assert {r.column_name: r.violations for r in wide.collect()} == {"order_status": 1, "unit_price": 3}

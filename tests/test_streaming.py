@@ -7,7 +7,10 @@ from martwright.streaming.products import read_dimension, start_dimension, strea
 
 
 def _feed(spark, rows, path, name):
-    columns = "product_id bigint, product_name string, description string, standard_cost string, list_price string, category_id bigint"
+    columns = (
+        "product_id bigint, product_name string, description string, "
+        "standard_cost string, list_price string, category_id bigint"
+    )
     frame = spark.createDataFrame(rows, columns)
     cast = frame.select(*[frame[f.name].cast(f.dataType).alias(f.name) for f in source_schema("products").fields])
     cast.coalesce(1).write.parquet(f"{path}/{name}")
