@@ -57,8 +57,10 @@ def scd2_apply(
     rejected changes with a reason: unknown ids, and starts not after the start
     of the current version (so a change delivered twice is not applied twice).
 
-    Equal changes of one day are combined before any shuffle by id, so an id has
-    at most one change per calendar day and its window stays that small.
+    Changes of one id and day are combined before any shuffle by id (of differing
+    ones the greatest counts), so an id has at most one change per calendar day and
+    its window stays that small. Changes small enough are broadcast, and then the
+    dimension is scanned but not shuffled.
     """
     attributes = [c for c in changes.columns if c not in (natural_key, "start_date")]
     daily = changes.groupBy(natural_key, "start_date").agg(
@@ -97,13 +99,15 @@ def scd2_apply(
         reserved=reserved_key,
     )
 
-    closing = accepted.groupBy(natural_key).agg(F.min("start_date").alias("_closed_by"))
-    closes = (F.col(flag) == "Y") & F.col("_closed_by").isNotNull()
+    # From the changes alone: joined with anything first, they would look too big to broadcast.
+    starts = daily.groupBy(natural_key).agg(F.collect_set("start_date").alias("_starts"))
+    closed_by = F.array_min(F.filter("_starts", lambda start: start > F.col("start_date")))
+    closes = (F.col(flag) == "Y") & closed_by.isNotNull()
     kept = (
-        dim.join(closing, natural_key, "left")
+        dim.join(starts, natural_key, "left")
         .withColumns(
             {
-                "end_date": F.when(closes, F.date_sub("_closed_by", 1)).otherwise(F.col("end_date")),
+                "end_date": F.when(closes, F.date_sub(closed_by, 1)).otherwise(F.col("end_date")),
                 flag: F.when(closes, "N").otherwise(F.col(flag)),
             }
         )

@@ -124,6 +124,24 @@ def test_employee_change_recomputes_days(spark, star):
     assert new.hire_date == day("2016-02-29")
 
 
+def test_few_changes_do_not_shuffle_the_dimension(spark, tmp_path):
+    many = spark.range(3_000_000).selectExpr(
+        "id as product_key",
+        "id as product_id",
+        "'a' as product_name",
+        "'b' as product_description",
+        "'c' as product_category",
+    )
+    few = _changes(spark, (5, day("2018-01-01"), "NEW"), (-1, day("2018-01-01"), "NEW"))
+    few.write.parquet(f"{tmp_path}/changes")
+    changes = spark.read.parquet(f"{tmp_path}/changes")
+    dim, rejects = _apply(op.scd2_init(many, FLAG), changes)
+    for frame in (dim, rejects):
+        joins = [line for line in frame._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+        assert joins and not [line for line in joins if "SortMergeJoin [product_id" in line and "LeftAnti" not in line]
+    assert dim.count() == 3_000_001 and rejects.count() == 1
+
+
 def test_as_of_join(spark, star):
     dim, _ = _apply(_first(star), _changes(spark, (1, day("2018-01-01"), "NEW")))
     sales = spark.createDataFrame(
