@@ -491,4 +491,4 @@ FOLDS = {
     ),
 }
 
-ORACLE_SQL = {name: with_ctes(sql) for name, sql in SQL.items()} | FOLDS
+TWIN_SQL = {name: with_ctes(sql) for name, sql in SQL.items()} | FOLDS

@@ -11,7 +11,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 DATA = os.environ.get("MARTWRIGHT_TESTDATA", "/root/testdata")
 
 
-def oracle_connection(folder: str):
+def twin_connection(folder: str):
     connection = duckdb.connect()
     for table in TABLES:
         connection.execute(f"create view {table} as select * from read_parquet('{folder}/{table}.parquet')")
@@ -33,7 +33,7 @@ def spark_rows(df):
     return sorted(df.columns), _rows(df.columns, [tuple(r) for r in df.collect()])
 
 
-def oracle_rows(connection, sql):
+def twin_rows(connection, sql):
     result = connection.execute(sql)
     columns = [d[0] for d in result.description]
     return sorted(columns), _rows(columns, result.fetchall())

@@ -6,14 +6,14 @@ import pytest
 
 import __spark_entry__ as driver
 from conftest import plan_text
-from checks import DATA, first_difference, oracle_connection, oracle_rows, spark_rows
+from checks import DATA, first_difference, twin_connection, twin_rows, spark_rows
 
 FOLDER = f"{DATA}/sf0.001"
 
 
 @pytest.fixture(scope="module")
-def oracle():
-    return oracle_connection(FOLDER)
+def duck():
+    return twin_connection(FOLDER)
 
 
 def test_every_query_has_a_twin():
@@ -21,13 +21,13 @@ def test_every_query_has_a_twin():
 
 
 @pytest.mark.parametrize("name", list(driver.queries()))
-def test_equals_its_twin(spark, oracle, name):
+def test_equals_its_twin(spark, duck, name):
     df = driver.queries()[name](spark, FOLDER)
     plan = plan_text(df)
     for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas"):
         assert unwanted not in plan
     mine = spark_rows(df)
-    theirs = oracle_rows(oracle, driver.oracle_sql()[name])
+    theirs = twin_rows(duck, driver.oracle_sql()[name])
     assert first_difference(mine, theirs) is None
     assert mine[1], "a query that returns nothing checks nothing"
 
