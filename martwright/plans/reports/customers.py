@@ -10,6 +10,11 @@ from ...operators.ranking import top_k_with_ties
 from .common import sales_of, sum_when
 
 
+def _by_place_and_month(report: DataFrame, *last: str) -> DataFrame:
+    """Sorted by name besides, so that the rows of one place and month spread over many tasks."""
+    return report.orderBy(F.asc_nulls_last("customer_geography"), "cal_month_no_in_year", "customer_name", *last)
+
+
 def _monthly_by_customer(star: dict[str, DataFrame], year: int) -> DataFrame:
     """Line totals per customer, year and month, with place and name.
 
@@ -34,30 +39,30 @@ def _revenues(year: int):
 
 def geo_monthly(star: dict[str, DataFrame], year: int) -> DataFrame:
     """Monthly revenue by place and customer; each row holds one of the two years."""
-    return (
+    rows = (
         _monthly_by_customer(star, year)
         .groupBy("customer_geography", "customer_name", "month", "cal_month_no_in_year", "cal_year")
         .agg(*_revenues(year))
-        .orderBy(F.asc_nulls_last("customer_geography"), "cal_month_no_in_year")
-        .select(
-            "customer_geography",
-            "customer_name",
-            "month",
-            F.col("cal_year").cast("string").alias("year"),
-            "revenue",
-            "prev_year_revenue",
-        )
+    )
+    return _by_place_and_month(rows, "cal_year").select(
+        "customer_geography",
+        "customer_name",
+        "month",
+        F.col("cal_year").cast("string").alias("year"),
+        "revenue",
+        "prev_year_revenue",
     )
 
 
 def geo_monthly_yoy(star: dict[str, DataFrame], year: int) -> DataFrame:
     """The same with both years of a month on one row."""
-    return (
+    rows = (
         _monthly_by_customer(star, year)
         .groupBy("customer_geography", "customer_name", "month", "cal_month_no_in_year")
         .agg(*_revenues(year))
-        .orderBy(F.asc_nulls_last("customer_geography"), "cal_month_no_in_year")
-        .select("customer_geography", "customer_name", "month", "revenue", "prev_year_revenue")
+    )
+    return _by_place_and_month(rows).select(
+        "customer_geography", "customer_name", "month", "revenue", "prev_year_revenue"
     )
 
 
