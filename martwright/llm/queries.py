@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
 from .lines import line_dedup
+from .packing import pack
 from .quality import COUNTS, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +36,16 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     out = quality_rules(documents(spark, folder).select("doc_id", "lang", "text"), table(spark, folder, "labels"))
     return out.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+@query
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    out = pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+    return digests(out)
+
+
+def digests(pieces: DataFrame) -> DataFrame:
+    """The packed pieces with a checksum for their ids."""
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens"
+    )
