@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
+from .jaccard import jaccard_components
 from .lines import line_dedup
 from .packing import pack
 from .quality import COUNTS, quality_rules
@@ -38,6 +39,11 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", *COUNTS, "base_failed", "kept")
 
 
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(documents(spark, folder))
+
+
 @query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     out = pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
