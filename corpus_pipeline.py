@@ -4,36 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.llm.common import documents, saved
+from martwright.llm.decontaminate import decontaminate
+from martwright.llm.jaccard import one_of_each
 from martwright.llm.lines import line_dedup
-from martwright.llm.quality import quality_rules
+from martwright.llm.packing import pack
+from martwright.llm.quality import keep_good
+from martwright.llm.queries import digests
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _same_columns(docs: DataFrame, changed: DataFrame) -> DataFrame:
-    """The columns of ``docs``, with n_chars counted anew where there is one."""
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of ten documents or more go; n_chars, where there is one, follows the text."""
+    left = line_dedup(docs)
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(docs.columns)
+        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return left.select(docs.columns)
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    verdicts = quality_rules(docs, labels).filter("kept").select("doc_id").distinct()
-    return docs.join(verdicts, "doc_id", "left_semi")
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies one document stays."""
+    return one_of_each(docs)
 
 
-def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _same_columns(docs, line_dedup(docs))
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences."""
+    return digests(pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality), ("line dedup", lines)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", benchmark),
+    ("packing", packing),
+]
 
-#: The binomial cutoffs, the components and the tokenizer are beyond SQL; tests hold run() against brute force.
+#: The binomial cutoffs and the tokenizer are beyond SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 

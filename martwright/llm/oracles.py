@@ -5,7 +5,30 @@ from __future__ import annotations
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+
+
+def _shingles(table: str, key: str) -> str:
+    """``key, shingle``: the distinct runs of five words of every text, or its only run."""
+    return f"""
+        SELECT {key}, unnest(list_distinct(list_transform(
+                   range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1),
+                   lambda i: array_to_string(ws[i:i + 4], ' ')))) AS shingle
+        FROM (SELECT {key}, list_filter(string_split_regex(translate(coalesce(text, ''), {_UPPER}),
+                                                           '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws
+              FROM {table})
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": f"""
+        WITH held AS ({_shingles("documents", "doc_id")}),
+        wanted AS ({_shingles("benchmark", "item_id")}),
+        sets AS (SELECT item_id, count(*) AS n, list_sort(list(shingle)) AS all_of_it FROM wanted GROUP BY item_id),
+        items AS (SELECT min(item_id) AS item_id, n FROM sets GROUP BY all_of_it, n)
+        SELECT h.doc_id, i.item_id, i.n AS n_item_shingles, count(*) AS n_shared
+        FROM held h JOIN wanted w USING (shingle) JOIN items i ON i.item_id = w.item_id
+        GROUP BY h.doc_id, i.item_id, i.n HAVING 100 * count(*) >= 80 * i.n
+    """,
     "op6_line_dedup": f"""
         WITH lines AS (
             SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line
@@ -21,4 +44,20 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op9_jaccard_join": f"""
+        WITH RECURSIVE held AS ({_shingles("documents", "doc_id")}),
+        sizes AS (SELECT doc_id, count(*) AS n FROM held GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+            FROM held a JOIN held b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)
+        ),
+        reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+        SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles,
+               least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+        FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id
+    """,
 }

@@ -102,17 +102,19 @@ def _measures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = pd.DataFrame([measure(t, table) for t in batch["text"]], columns=names)
         rows.insert(0, "stratum", batch["stratum"].to_numpy())
+        rows.insert(0, "text_hash", batch["text_hash"].to_numpy())
         rows.insert(0, "doc_id", batch["doc_id"].to_numpy())
         yield rows.astype({c: "int64" for c in COUNTS})
 
 
 def measured(docs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """``doc_id, stratum``, the counts, the measures and ``base_failed`` of every row."""
+    """``doc_id, text_hash, stratum``, the counts, the measures and ``base_failed`` of every row."""
     rows = docs.select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
+        F.xxhash64("text").alias("text_hash"),
         F.col("text").cast("binary").alias("text"),
-    ).mapInPandas(_measures, f"doc_id string, stratum string, {MEASURED}")
+    ).mapInPandas(_measures, f"doc_id string, text_hash long, stratum string, {MEASURED}")
     return rows.withColumns(
         {
             "doc_id": F.col("doc_id").cast("long"),
@@ -204,7 +206,8 @@ def rejects(table: dict[str, dict[str, float]]):
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), stratum: str = "lang") -> DataFrame:
-    """One row per row of ``docs (doc_id, text, <stratum>)``: ``doc_id``, the counts, the measures, ``base_failed`` and ``kept``.
+    """One row per row of ``docs (doc_id, text, <stratum>)``: ``doc_id``, ``text_hash``, the counts, the measures,
+    ``base_failed`` and ``kept``.
 
     ``labels (doc_id, quality)``: 1 good, 0 bad; several labels of a document count as the worst, rows without a
     document or label count for nothing. A null text is empty (and fails the base rule), a null stratum is a stratum
@@ -215,3 +218,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), strat
     judged = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     table = cutoffs(rows.join(judged, "doc_id"), risk)
     return rows.withColumn("kept", ~F.col("base_failed") & ~rejects(table))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), stratum: str = "lang") -> DataFrame:
+    """``docs`` without the rows that ``quality_rules`` rejects; all their columns."""
+    gone = quality_rules(docs, labels, risk, stratum).filter(~F.col("kept"))
+    rejected = saved(gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text")).distinct(), "rejected")
+    keyed = docs.withColumns({"__id0": F.col("doc_id"), "__text0": F.xxhash64("text")})
+    same = F.col("__id0").eqNullSafe(F.col("__id")) & (F.col("__text0") == F.col("__text"))
+    return keyed.join(rejected, same, "left_anti").select(docs.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
+from .decontaminate import contained_items
 from .jaccard import jaccard_components
 from .lines import line_dedup
 from .packing import pack
@@ -27,6 +28,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    out = contained_items(documents(spark, folder), table(spark, folder, "benchmark"))
+    return out.select("doc_id", "item_id", "n_item_shingles", "n_shared")
+
+
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = line_dedup(documents(spark, folder).select("doc_id", "text"))
