@@ -14,6 +14,7 @@ from .jaccard import jaccard_components
 from .lines import line_dedup
 from .packing import pack
 from .quality import COUNTS, quality_rules
+from .repeats import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +35,14 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "item_id", "n_item_shingles", "n_shared")
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = remove_repeats(documents(spark, folder), keep_text=False)
+    return out.select(
+        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = line_dedup(documents(spark, folder).select("doc_id", "text"))
