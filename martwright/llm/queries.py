@@ -15,6 +15,7 @@ from .lines import line_dedup
 from .packing import pack
 from .quality import COUNTS, quality_rules
 from .repeats import remove_repeats
+from .secrets import BASE, listed, secret_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +30,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_spans(documents(spark, folder))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*BASE))
+
+    def number(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(number(kind) for kind in BASE),
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(spans).alias("spans"),
+    )
+
+
 @query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     out = contained_items(documents(spark, folder), table(spark, folder, "benchmark"))
