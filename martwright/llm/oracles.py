@@ -20,6 +20,26 @@ def _shingles(table: str, key: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), escaped AS (
+            SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') AS safe_text,
+                   replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'),
+                           ':', '\:') AS safe_role
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
+                   AS loss_sha256,
+               sum(length(safe_role) + length(safe_text)
+                   + length('### ') + length(': ') + length('</turn>' || chr(10)))::BIGINT AS formatted_chars
+        FROM escaped GROUP BY conv_id
+    """,
     "op3_decontamination": f"""
         WITH held AS ({_shingles("documents", "doc_id")}),
         wanted AS ({_shingles("benchmark", "item_id")}),
