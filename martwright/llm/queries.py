@@ -17,6 +17,8 @@ from .packing import pack
 from .quality import COUNTS, quality_rules
 from .repeats import remove_repeats
 from .secrets import BASE, listed, secret_spans
+from .toxicity import score_toxicity
+from .urls import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,12 +74,22 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"))
+
+
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = line_dedup(documents(spark, folder).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(documents(spark, folder), table(spark, folder, "labels"))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     out = quality_rules(documents(spark, folder).select("doc_id", "lang", "text"), table(spark, folder, "labels"))
