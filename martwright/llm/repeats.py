@@ -165,7 +165,7 @@ def _take_apart(length: int):
                 some = batch.iloc[start : start + 500]
                 strings = [np.array(_strings(r, length), np.uint64).view(np.int64) for r in some["reach"]]
                 sizes = [len(s) for s in strings]
-                at = [p + np.arange(n) for p, n in zip(some["place"] >> 16, sizes)]
+                at = [p + np.arange(n) for p, n in zip(some["place"].to_numpy() >> 16, sizes)]
                 yield pd.DataFrame(
                     {
                         "core": np.repeat(some["core"].to_numpy(), sizes),
