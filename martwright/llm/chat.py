@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
 from .template import Escaper, Template
 
 #: The production template: a line for each turn, assistants' texts under the loss.
@@ -92,6 +93,7 @@ def format_conversations(
 
         yield from _frames(rows(), ["conv_id", "part", "text", "loss"], lambda row: len(row[2]))
 
+    ship(conversations.sparkSession)
     return _ordered(conversations).mapInPandas(work, PARTS).withColumn("conv_id", F.col("conv_id").cast("long"))
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,22 @@ SHINGLE = 5
 SIMILARITY_PERCENT = 80
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this library wherever they start: once per application, as a zip."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="martwright-code-")  # the driver's own; Spark serves it to the executors
+        with zipfile.ZipFile(archive := f"{folder}/{package.name}.zip", "w", zipfile.ZIP_DEFLATED) as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def saved(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df``, written to a new folder beside the session's checkpoints and read again.
 

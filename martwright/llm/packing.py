@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
 from .tokens import encoder
 
 
@@ -161,6 +162,7 @@ def pack(
         packer.finish()
         yield finished()
 
+    ship(docs.sparkSession)
     return docs.select(columns).mapInPandas(work, PIECES)
 
 

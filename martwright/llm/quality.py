@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHINGLE, saved
+from .common import SHINGLE, saved, ship
 from .shingles import WordTable, hashes_of, run_hashes
 
 BLANK_BYTES = b" \t\n\x0b\x0c\r"
@@ -109,6 +109,7 @@ def _measures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def measured(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     """``doc_id, text_hash, stratum``, the counts, the measures and ``base_failed`` of every row."""
+    ship(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import expect_skew
-from .common import saved
+from .common import saved, ship
 
 #: The length in bytes from which strings count as repeated.
 LENGTH = 400
@@ -324,6 +324,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, span: int = SPAN, keep
     Two shuffles carry a row per phrase (about ``span``/2 bytes of text), two the texts, compressed. Equality is
     that of two 64-bit hashes, of a core and of the whole string. ``span`` may be at most ``length`` less ROLL.
     """
+    ship(docs.sparkSession)
     places = repeated_places(docs, length, span).groupBy("row").agg(F.collect_list("place").alias("places"))
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     blobs = docs.select(

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
 from .shingles import LOWER
 
 _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -160,6 +161,7 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     that share a doc_id are scanned each by itself, a null doc_id stays null, other columns are ignored. Rows are
     scanned where they lie: no shuffle, one text at a time.
     """
+    ship(docs.sparkSession)
     types = "doc_id string, spans array<struct<start: long, end: long, kind: string>>"
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     return rows.mapInPandas(_scan, types).withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, ship
 
 #: Labelled rows the model learns from, at most, of each label: those of the least hash of their id.
 SAMPLE = 10_000
@@ -269,6 +269,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     doc_id has no label and is not held out; repeated rows get equal scores. Without labels of both kinds
     everything gets one score, below a half unless all labels are 1. Other columns are ignored; an empty table gives no row.
     """
+    ship(docs.sparkSession)
     model = learn(docs, labels)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
