@@ -11,7 +11,7 @@ from .dims import (
     dim_warehouses,
     with_unknown_employee,
 )
-from .facts import fact_inventories, fact_sales, fact_sales_of
+from .facts import fact_inventories, fact_sales, fact_sales_of, sales_rejects
 from .incremental import (
     refresh_countries,
     refresh_customers,
@@ -20,6 +20,7 @@ from .incremental import (
     refresh_inventories,
     refresh_products,
     refresh_sales,
+    refresh_sales_rejects,
     refresh_warehouses,
     upsert_facts,
 )
@@ -28,6 +29,7 @@ from .quality import (
     cascade_delete,
     duplicate_keys,
     null_counts,
+    orphan_count,
     orphan_rows,
     reconcile_counts,
     width_violations,
@@ -56,6 +58,7 @@ __all__ = [
     "fact_sales_of",
     "mark_holidays",
     "null_counts",
+    "orphan_count",
     "orphan_rows",
     "reconcile_counts",
     "refresh_countries",
@@ -65,6 +68,8 @@ __all__ = [
     "refresh_inventories",
     "refresh_products",
     "refresh_sales",
+    "refresh_sales_rejects",
+    "sales_rejects",
     "refresh_warehouses",
     "scd2_apply",
     "scd2_init",

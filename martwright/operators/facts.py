@@ -12,13 +12,15 @@ from __future__ import annotations
 
 from collections import ChainMap
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import line_total
 from ..schemas import conform, star_schema
 from .dims import UNKNOWN_EMPLOYEE_KEY
+from .scd import in_force_from
 
 _RESIDUES = 256
 
@@ -43,13 +45,8 @@ def look_up(rows: DataFrame, column: str, dim: DataFrame, natural: str, surrogat
     keys = dim.select(F.col(natural).alias("_id"), surrogate)
     match = F.col(column) == F.col("_id")
     if versioned:
-        first = F.min("start_date").over(Window.partitionBy(natural))
-        dawn = F.make_date(F.lit(1), F.lit(1), F.lit(1))
         keys = dim.select(
-            F.col(natural).alias("_id"),
-            surrogate,
-            F.when(F.col("start_date") == first, dawn).otherwise(F.col("start_date")).alias("_from"),
-            F.col("end_date").alias("_until"),
+            F.col(natural).alias("_id"), surrogate, in_force_from(natural).alias("_from"), F.col("end_date").alias("_until")
         )
         match &= F.col("order_date").between(F.col("_from"), F.col("_until"))
     if optional or versioned:
@@ -66,7 +63,9 @@ def _keyed_orders(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame
     days = dims["dim_date"].select("date_key", F.col("calendar_date").alias("order_date"))
     dated = orders.withColumn("order_status", F.upper("status")).join(days, "order_date")
     known = look_up(dated, "customer_id", dims["dim_customers"], "customer_id", "customer_key")
-    sold = look_up(known, "salesman_id", dims["dim_employees"], "employee_id", "employee_key", optional=True)
+    # The unknown member carries an id that a real employee may have too; no order names it.
+    people = dims["dim_employees"].where(F.col("employee_key") != UNKNOWN_EMPLOYEE_KEY)
+    sold = look_up(known, "salesman_id", people, "employee_id", "employee_key", optional=True)
     return sold.select("order_id", "order_status", "order_date", "date_key", "customer_key", "employee_key")
 
 
@@ -96,6 +95,38 @@ def fact_sales(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], unkn
     return conform(filled, star_schema("sales_fact"))
 
 
+def sales_rejects(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Order lines that ``fact_sales`` cannot place, with every reason: order_id, item_id, reject_reason.
+
+    The reasons that depend on the order alone are found on the orders, so only lines of such orders and lines
+    of unknown products are joined.
+    """
+
+    def without(rows: DataFrame, column: str, known: DataFrame, natural: str) -> DataFrame:
+        ids = known.select(F.col(natural).alias(column)).distinct()
+        return rows.join(ids, column, "left_anti")
+
+    def because(rows: DataFrame, column: str, what: str) -> DataFrame:
+        value = F.coalesce(F.col(column).cast("string"), F.lit("(none)"))
+        return rows.select("order_id", F.concat(F.lit(f"{what} "), value, F.lit(" has no member")).alias("reject_reason"))
+
+    orders, lines = src["orders"], src["order_items"]
+    bad_orders = because(without(orders, "order_date", dims["dim_date"], "calendar_date"), "order_date", "date").unionByName(
+        because(without(orders, "customer_id", dims["dim_customers"], "customer_id"), "customer_id", "customer")
+    )
+    ids = lines.select("order_id", "item_id", "product_id")
+    known = src["products"].select("product_id").join(dims["dim_products"].select("product_id"), "product_id", "left_semi")
+    value = F.coalesce(F.col("product_id").cast("string"), F.lit("(none)"))
+    bad_lines = without(ids, "product_id", known, "product_id").withColumn(
+        "reject_reason", F.concat(F.lit("product "), value, F.lit(" has no member"))
+    )
+    lost = ids.join(orders.select("order_id"), "order_id", "left_anti").withColumn(
+        "reject_reason", F.lit("the order does not exist")
+    )
+    parts = [ids.join(bad_orders, "order_id"), bad_lines, lost]
+    return reduce(DataFrame.unionByName, [p.select("order_id", "item_id", "reject_reason") for p in parts])
+
+
 def fact_sales_of(orders: DataFrame, src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
     """The fact rows of a small part of the orders.
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import calendar_columns
 from ..schemas import conform, star_schema
 from . import dims as d
-from .facts import fact_inventories, fact_sales_of
+from .facts import fact_inventories, fact_sales_of, sales_rejects
 from .keys import highest_key, with_short_list_key, with_surrogate_key
 
 
@@ -71,16 +71,27 @@ def refresh_employees(current: DataFrame, src: Mapping[str, DataFrame], as_of: d
     return _keyed(rows, current, "employee_id", "employee_key", d.EMPLOYEE_START, reserved=d.UNKNOWN_EMPLOYEE_KEY)
 
 
-def refresh_sales(current: DataFrame, src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Lines of orders after the newest order date on record.
+def _newer_orders(current: DataFrame, src: Mapping[str, DataFrame]) -> DataFrame:
+    """Orders after the newest order date on record.
 
     The mark is a scalar subquery, so it reaches the scan of the orders and old
     orders never take part in a join.
     """
     earliest = F.make_date(F.lit(1), F.lit(1), F.lit(1))
     mark = current.agg(F.coalesce(F.max("order_date"), earliest)).scalar()
-    newer = src["orders"].where(F.col("order_date") > mark)
-    return fact_sales_of(newer, src, dims)
+    return src["orders"].where(F.col("order_date") > mark)
+
+
+def refresh_sales(current: DataFrame, src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Lines of orders after the newest order date on record."""
+    return fact_sales_of(_newer_orders(current, src), src, dims)
+
+
+def refresh_sales_rejects(current: DataFrame, src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Lines of those orders that find no member; the mark moves past them, so they are to be mended and corrected."""
+    newer = _newer_orders(current, src)
+    lines = src["order_items"].join(newer.select("order_id"), "order_id", "left_semi")
+    return sales_rejects(ChainMap({"orders": newer, "order_items": lines}, src), dims)
 
 
 def refresh_inventories(

@@ -28,6 +28,13 @@ def orphan_rows(child: DataFrame, parent: DataFrame, on: str, parent_column: str
     return child.where(F.col(on).isNotNull()).join(keys, on, "left_anti").select(child.columns)
 
 
+def orphan_count(child: DataFrame, parent: DataFrame, on: str, parent_column: str | None = None) -> DataFrame:
+    """(orphans): how many rows ``orphan_rows`` has. References are counted before they meet the parents."""
+    keys = parent.select(F.col(parent_column or on).alias(on))
+    used = child.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("n"))
+    return used.join(keys, on, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))
+
+
 def cascade_delete(child: DataFrame, deleted: DataFrame, on: str) -> DataFrame:
     """What is left of ``child`` once the given parents are gone."""
     return child.join(deleted.select(on), on, "left_anti").select(child.columns)

@@ -30,6 +30,13 @@ def mark_holidays(dim_date: DataFrame, dates: DataFrame) -> tuple[DataFrame, Dat
     return marked, missing
 
 
+def in_force_from(natural_key: str) -> Column:
+    """The first day of a version; days before an id's first version belong to that one."""
+    first = F.min("start_date").over(Window.partitionBy(natural_key))
+    dawn = F.make_date(F.lit(1), F.lit(1), F.lit(1))
+    return F.when(F.col("start_date") == first, dawn).otherwise(F.col("start_date"))
+
+
 def scd2_init(dim: DataFrame, flag: str, start: dt.date = FIRST_START) -> DataFrame:
     """Give an unversioned dimension its first, open versions."""
     return dim.withColumns({"start_date": F.lit(start), "end_date": F.lit(OPEN_END), flag: F.lit("Y")})
@@ -54,32 +61,47 @@ def scd2_apply(
     ``changes`` holds the natural key, ``start_date`` and any attributes that
     change; other attributes carry over from the current version. ``recompute``
     derives columns of the new versions. Returns the whole new dimension and the
-    rejected changes with a reason: unknown ids, and starts not after the start
-    of the current version (so a change delivered twice is not applied twice).
+    rejected changes with a reason: unknown ids, starts missing or not after the start
+    of the current version (so a change delivered twice is not applied twice), and,
+    where changes of one id and day differ, all but the greatest. The member with
+    ``reserved_key`` never changes: its id may be a real one's too.
 
-    Changes of one id and day are combined before any shuffle by id (of differing
-    ones the greatest counts), so an id has at most one change per calendar day and
-    its window stays that small. Changes small enough are broadcast, and then the
+    Changes of one id and day are combined before any shuffle by id, so an id has at
+    most one change per calendar day and its window stays that small. Changes small enough are broadcast, and then the
     dimension is scanned but not shuffled.
     """
     attributes = [c for c in changes.columns if c not in (natural_key, "start_date")]
-    daily = changes.groupBy(natural_key, "start_date").agg(
-        F.max(F.struct(*attributes) if attributes else F.lit(0)).alias("_new")
+    wanted = changes.select(
+        natural_key, "start_date", (F.struct(*attributes) if attributes else F.lit(0)).alias("_new")
     )
-    live = current(dim, flag).drop("end_date", flag).withColumnRenamed("start_date", "_since")
+    daily = wanted.groupBy(natural_key, "start_date").agg(F.max("_new").alias("_new"))
+    real = F.lit(True) if reserved_key is None else F.col(surrogate_key) != reserved_key
+    live = current(dim, flag).where(real).drop("end_date", flag).withColumnRenamed("start_date", "_since")
     # Inner, so that few changes are broadcast and the dimension is not shuffled for them.
     matched = live.join(daily, natural_key)
     accepted = matched.where(F.col("start_date") > F.col("_since"))
 
-    stale = matched.where(F.col("start_date") <= F.col("_since")).select(
+    late = F.coalesce(F.col("start_date") <= F.col("_since"), F.lit(True))
+    stale = matched.where(late).select(
         natural_key, "start_date", F.lit("start date is not after the current version's").alias("reject_reason")
     )
+    same_day = F.col("w.start_date").eqNullSafe(F.col("d.start_date"))
+    same_id = F.col(f"w.{natural_key}").eqNullSafe(F.col(f"d.{natural_key}"))
+    beaten = (
+        wanted.distinct()
+        .alias("w")
+        .join(daily.alias("d"), same_id & same_day)
+        .where(~F.col("w._new").eqNullSafe(F.col("d._new")))
+        .select(f"w.{natural_key}", "w.start_date", F.lit("another change of the day was preferred").alias("reject_reason"))
+    )
     unknown = daily.join(matched.select(natural_key), natural_key, "left_anti").select(
         natural_key,
         "start_date",
-        F.concat(F.lit(f"{natural_key} "), F.col(natural_key), F.lit(" does not exist")).alias("reject_reason"),
+        F.concat(
+            F.lit(f"{natural_key} "), F.coalesce(F.col(natural_key).cast("string"), F.lit("(none)")), F.lit(" does not exist")
+        ).alias("reject_reason"),
     )
-    rejects = stale.unionByName(unknown)
+    rejects = stale.unionByName(unknown).unionByName(beaten)
 
     by_id = Window.partitionBy(natural_key).orderBy("start_date")
     next_start = F.lead("start_date").over(by_id)
@@ -102,7 +124,7 @@ def scd2_apply(
     # From the changes alone: joined with anything first, they would look too big to broadcast.
     starts = daily.groupBy(natural_key).agg(F.collect_set("start_date").alias("_starts"))
     closed_by = F.array_min(F.filter("_starts", lambda start: start > F.col("start_date")))
-    closes = (F.col(flag) == "Y") & closed_by.isNotNull()
+    closes = (F.col(flag) == "Y") & real & closed_by.isNotNull()
     kept = (
         dim.join(starts, natural_key, "left")
         .withColumns(
@@ -117,14 +139,14 @@ def scd2_apply(
 
 
 def as_of_join(fact: DataFrame, dim: DataFrame, natural_key: str, date_col: str, how: str = "inner") -> DataFrame:
-    """Join each row to the version in force on its date.
+    """Join each row to the version in force on its date; days before the first version belong to it.
 
     The equality on the natural key carries the join; the date range only
     filters among the few versions of one id.
     """
-    f, v = fact.alias("f"), dim.alias("v")
+    f, v = fact.alias("f"), dim.withColumn("_from", in_force_from(natural_key)).alias("v")
     on = (F.col(f"f.{natural_key}") == F.col(f"v.{natural_key}")) & F.col(f"f.{date_col}").between(
-        F.col("v.start_date"), F.col("v.end_date")
+        F.col("v._from"), F.col("v.end_date")
     )
     versions = [F.col(f"v.{c}") for c in dim.columns if c not in fact.columns]
     return f.join(v, on, how).select(*[F.col(f"f.{c}") for c in fact.columns], *versions)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ... import operators as op
 from ...sources.tpch import AS_OF
@@ -68,3 +71,27 @@ def fact_sales_unknown_employee(w: Inputs) -> DataFrame:
 @query("fact_inventories")
 def fact_inventories(w: Inputs) -> DataFrame:
     return op.fact_inventories(w.src, w.star)
+
+
+@query("fact_sales_reserved_id")
+def fact_sales_reserved_id(w: Inputs) -> DataFrame:
+    """A real employee has the unknown member's id and takes the pending orders."""
+    people = w.src["employees"]
+    namesake = people.where("employee_id = 1").withColumn("employee_id", F.lit(op.UNKNOWN_EMPLOYEE_ID).cast("long"))
+    salesman = F.when(F.col("status") == "Pending", op.UNKNOWN_EMPLOYEE_ID).otherwise(F.col("salesman_id"))
+    orders = w.src["orders"].withColumn("salesman_id", salesman)
+    staff = people.where(F.col("employee_id") != op.UNKNOWN_EMPLOYEE_ID).unionByName(namesake)
+    employees = op.with_unknown_employee(op.dim_employees(staff, AS_OF))
+    return op.fact_sales(ChainMap({"orders": orders}, w.src), {**w.star, "dim_employees": employees})
+
+
+@query("fact_rejects")
+def fact_rejects(w: Inputs) -> DataFrame:
+    """Lines that find no member once the calendar lacks 1998, the customers Europe and the products one line."""
+    dims = {
+        **w.star,
+        "dim_date": w.star["dim_date"].where("cal_year <> 1998"),
+        "dim_customers": w.star["dim_customers"].where("customer_geography <> ' EUROPE'"),
+        "dim_products": w.star["dim_products"].where("product_category <> 'ECONOMY'"),
+    }
+    return op.sales_rejects(w.src, dims)

@@ -79,7 +79,7 @@ def fn_text(w: Inputs) -> DataFrame:
         "customer_id",
         F.upper("name").alias("upper_name"),
         text_after_nth(address, ",", 2).alias("geography"),
-        text_after_nth(address, ",", 3).alias("after_third_comma"),
+        text_after_nth(F.upper(F.concat("address", F.lit(","), "name")), ",", 3).alias("after_third_comma"),
         F.when(F.col("address").like("%,%,%"), "Y").otherwise("N").alias("has_two_commas"),
         full_name(contact, F.col("last_name")).alias("contact_name"),
         F.coalesce(contact, F.lit("UNDEFINED")).alias("first_name"),

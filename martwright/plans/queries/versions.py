@@ -11,7 +11,8 @@ from ... import operators as op
 from ...operators import dims
 from .registry import Inputs, query
 
-FIRST_START = dt.date(1995, 1, 1)
+# After the first orders, so that some lines are older than every version.
+FIRST_START = dt.date(1999, 6, 1)
 CHANGE, SECOND_CHANGE, STALE = dt.date(2001, 1, 1), dt.date(2001, 7, 1), dt.date(1990, 1, 1)
 RUN_DATE = dt.date(2002, 6, 30)
 
@@ -43,7 +44,7 @@ def scd2_init(w: Inputs) -> DataFrame:
 
 
 def _product_changes(w: Inputs) -> DataFrame:
-    """Economy products change once, red ones twice; some changes are stale or name unknown ids."""
+    """Economy products change once, red ones twice; some changes are stale, name unknown ids or differ for one day."""
     economy = w.star["dim_products"].where(F.col("product_category") == "ECONOMY")
 
     def change(rows: DataFrame, start: dt.date, note: str, product_id=F.col("product_id")) -> DataFrame:
@@ -56,6 +57,7 @@ def _product_changes(w: Inputs) -> DataFrame:
     return (
         change(economy, CHANGE, " REV 2")
         .unionByName(change(economy.where(F.col("product_name").like("RED%")), SECOND_CHANGE, " REV 3"))
+        .unionByName(change(economy.where(F.col("product_name").like("RED%")), SECOND_CHANGE, " REV 2B"))
         .unionByName(change(economy.where(F.col("product_name").like("OLD%")), STALE, " REV 0"))
         .unionByName(
             change(economy.where(F.col("product_name").like("BLUE%")), CHANGE, " REV 2", -1 - F.col("product_id"))

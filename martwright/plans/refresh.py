@@ -70,7 +70,8 @@ def refresh_star(
     a dimension with holidays or type 2 ``changes`` (by dimension name) is published
     anew. Each step leaves a consistent star and adds nothing when repeated, so a
     refresh that broke off is simply run again. Returns the star and the rejects:
-    changes per dimension, and holidays outside the calendar under ``dim_date``.
+    changes per dimension, holidays outside the calendar under ``dim_date``, and new order
+    lines without a day, customer or product under ``sales_fact``.
     """
     star, rejects = read_star(spark, root), {}
     new_countries = op.refresh_countries(star["dim_countries"], src)
@@ -102,6 +103,7 @@ def refresh_star(
         dims = read_dims(spark, root)
 
     sales = op.refresh_sales(star["sales_fact"], src, dims)
+    rejects["sales_fact"] = op.refresh_sales_rejects(star["sales_fact"], src, dims)
     now = {**dims, "dim_products": current_products(dims)}
     stock = op.refresh_inventories(star["inventories_fact"], src, now, dims["dim_products"])
     side_by_side(
@@ -125,7 +127,8 @@ def correct_sales(
     star = read_star(spark, root)
     rebuilt = with_order_year(op.fact_sales_of(orders, src, star))
     before = star["sales_fact"].join(orders.select("order_id"), "order_id", "left_semi")
-    touched = before.select(SALES_PARTITION).unionByName(rebuilt.select(SALES_PARTITION)).distinct()
+    now = orders.select(F.year("order_date").alias(SALES_PARTITION))
+    touched = before.select(SALES_PARTITION).unionByName(now).where(F.col(SALES_PARTITION).isNotNull()).distinct()
     years = [row[0] for row in touched.collect()]
     if years:
         affected = star["sales_fact"].where(F.col(SALES_PARTITION).isin(years))

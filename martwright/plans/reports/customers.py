@@ -16,7 +16,7 @@ def _by_place_and_month(report: DataFrame, *last: str) -> DataFrame:
 
 
 def _monthly_by_customer(star: dict[str, DataFrame], year: int) -> DataFrame:
-    """Line totals per customer, year and month, with place and name.
+    """Quantity times price per customer, year and month, unrounded, with place and name.
 
     Summed by customer key first, so that a customer's name and place join a few
     dozen rows instead of every line.
@@ -24,7 +24,7 @@ def _monthly_by_customer(star: dict[str, DataFrame], year: int) -> DataFrame:
     sums = (
         sales_of(star, [year, year - 1], "cal_year", "cal_month_no_in_year", "cal_month_name")
         .groupBy("customer_key", "cal_year", "cal_month_no_in_year", "cal_month_name")
-        .agg(F.sum("order_total_price").alias("amount"))
+        .agg(F.sum(F.col("item_quantity") * F.col("unit_price")).alias("amount"))
     )
     people = star["dim_customers"].select("customer_key", "customer_geography", "customer_name")
     return sums.join(people, "customer_key").withColumn("month", F.initcap("cal_month_name"))

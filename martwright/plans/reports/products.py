@@ -48,11 +48,15 @@ def _by_product_and_cost(sales: DataFrame, star: dict[str, DataFrame]) -> DataFr
 
 
 def low_margin(star: dict[str, DataFrame], threshold: float = 0.2) -> DataFrame:
-    """Products whose gross margin over all sales is below ``threshold``."""
-    limit = F.lit(Decimal(str(threshold)))
+    """Products whose gross margin over all sales is below ``threshold``.
+
+    Compared without a division; a negative revenue turns the comparison round, and without revenue there is no margin.
+    """
+    bound = F.col("revenue") * F.lit(Decimal(str(threshold)))
+    below = F.when(F.col("revenue") > 0, F.col("profit") < bound).when(F.col("revenue") < 0, F.col("profit") > bound)
     return (
         _by_product_and_cost(star["sales_fact"], star)
-        .where((F.col("revenue") > 0) & (F.col("profit") < F.col("revenue") * limit))
+        .where(below)
         .select(
             *_ATTRIBUTES,
             "standard_cost",

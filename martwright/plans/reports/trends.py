@@ -1,7 +1,7 @@
 """Reports over product categories and months.
 
-Category lookups are two narrow columns, so facts meet them directly; the
-groups that follow are at most categories x months.
+Sales are summed by product key before they meet its category; the groups that
+follow are at most categories x months.
 """
 
 from __future__ import annotations
@@ -50,9 +50,11 @@ def monthly_growth(star: dict[str, DataFrame], year: int, category: str) -> Data
     wanted = _categories(star).where(F.col("product_category") == category.upper())
     monthly = (
         sales_of(star, [year], "cal_month_no_in_year")
-        .join(wanted, "product_key")
-        .groupBy(F.col("cal_month_no_in_year").alias("month_no"), "product_category")
+        .groupBy("product_key", F.col("cal_month_no_in_year").alias("month_no"))
         .agg(F.sum("unit_price").alias("sales_amount"))
+        .join(wanted, "product_key")
+        .groupBy("month_no", "product_category")
+        .agg(F.sum("sales_amount").alias("sales_amount"))
     )
     return _growth(monthly)
 
@@ -64,7 +66,8 @@ def monthly_growth_as_written(star: dict[str, DataFrame], year: int, category: s
     days, which needs one sum and a day count instead of the product.
     """
     wanted = _categories(star).where(F.col("product_category") == category.upper())
-    total = star["sales_fact"].join(wanted, "product_key").agg(F.sum("unit_price").alias("total")).scalar()
+    by_product = star["sales_fact"].groupBy("product_key").agg(F.sum("unit_price").alias("amount"))
+    total = by_product.join(wanted, "product_key").agg(F.sum("amount").alias("total")).scalar()
     monthly = (
         star["dim_date"]
         .where(F.col("cal_year") == year)
@@ -98,16 +101,19 @@ def annual_category(star: dict[str, DataFrame], year: int) -> DataFrame:
 def market_trend(star: dict[str, DataFrame], year: int, compare_year: int) -> DataFrame:
     """Category sales of two years side by side, ranked by relative difference."""
     this, other = F.col("cal_year") == year, F.col("cal_year") == compare_year
+    amounts = {
+        "initial_quantity": sum_when(this, F.col("item_quantity")),
+        "initial_sales": sum_when(this, F.col("order_total_price")),
+        "comparison_quantity": sum_when(other, F.col("item_quantity")),
+        "comparison_sales": sum_when(other, F.col("order_total_price")),
+    }
     sums = (
         sales_of(star, [year, compare_year], "cal_year")
+        .groupBy("product_key")
+        .agg(*[amount.alias(name) for name, amount in amounts.items()])
         .join(_categories(star), "product_key")
         .groupBy("product_category")
-        .agg(
-            sum_when(this, F.col("item_quantity")).alias("initial_quantity"),
-            sum_when(this, F.col("order_total_price")).alias("initial_sales"),
-            sum_when(other, F.col("item_quantity")).alias("comparison_quantity"),
-            sum_when(other, F.col("order_total_price")).alias("comparison_sales"),
-        )
+        .agg(*[F.sum(name).alias(name) for name in amounts])
     )
     diff = null_safe_ratio(100 * (F.col("initial_sales") - F.col("comparison_sales")), F.col("initial_sales"))
     # One row per category is left here, so one task numbers the category list.

@@ -82,8 +82,8 @@ CTES = {
         from s_products""",
     "d_customers": """
         select 10000000 + row_number() over (order by customer_id) as customer_key, customer_id,
-               upper(name) as customer_name, upper(coalesce(first_name, 'undefined')) as first_name,
-               upper(coalesce(last_name, 'undefined')) as last_name, upper(address) as address, credit_limit,
+               upper(name) as customer_name, coalesce(upper(first_name), 'UNDEFINED') as first_name,
+               coalesce(upper(last_name), 'UNDEFINED') as last_name, upper(address) as address, credit_limit,
                if(coalesce(last_order >= date '2000-12-31', false), 'ACTIVE', 'INACTIVE') as customer_status,
                nullif(regexp_extract(upper(address), '^[^,]*,[^,]*,(.*)$', 1), '') as customer_geography
         from s_customers left join s_contacts using (customer_id)

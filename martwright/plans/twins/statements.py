@@ -86,7 +86,7 @@ SQL["fn_calendar"] = """
 SQL["fn_text"] = """
     select customer_id, upper(name) as upper_name,
            nullif(regexp_extract(upper(address), '^[^,]*,[^,]*,(.*)$', 1), '') as geography,
-           cast(null as varchar) as after_third_comma,
+           nullif(regexp_extract(upper(address || ',' || name), '^[^,]*,[^,]*,[^,]*,(.*)$', 1), '') as after_third_comma,
            case when address like '%,%,%' then 'Y' else 'N' end as has_two_commas,
            coalesce(first_name, '') || ' ' || coalesce(last_name, '') as contact_name,
            coalesce(first_name, 'UNDEFINED') as first_name, cast(round(credit_limit) as double) as credit_rounded,
@@ -109,6 +109,23 @@ SQL["dim_employees"] = f"select {_EMPLOYEE_COLUMNS} from d_employees"
 SQL["dim_employees_unknown"] = f"select {_EMPLOYEE_COLUMNS} from d_employees_all"
 SQL["fact_sales"] = f"select {_FACT_COLUMNS} from f_sales_raw"
 SQL["fact_sales_unknown_employee"] = f"select {_FACT_COLUMNS} from f_sales"
+SQL["fact_sales_reserved_id"] = f"""
+    with sold as (
+        select f.* replace (case when o.status = 'Pending' then 1000001 + (select count(*) from s_employees
+                                 where employee_id < 9999) else f.employee_key end as employee_key)
+        from f_sales f join s_orders o on o.order_id = f.order_id)
+    select {_FACT_COLUMNS} from sold"""
+SQL["fact_rejects"] = """
+    with lines as (
+        select order_id, item_id, order_date, customer_id, product_id from s_items join s_orders using (order_id))
+    select order_id, item_id, 'date ' || cast(order_date as varchar) || ' has no member' as reject_reason
+    from lines where year(order_date) = 1998
+    union all
+    select order_id, item_id, 'customer ' || cast(customer_id as varchar) || ' has no member'
+    from lines where customer_id not in (select customer_id from d_customers where customer_geography <> ' EUROPE')
+    union all
+    select order_id, item_id, 'product ' || cast(product_id as varchar) || ' has no member'
+    from lines where product_id in (select product_id from d_products where product_category = 'ECONOMY')"""
 SQL["fact_inventories"] = f"""
     select product_key, warehouse_key, inventory_quantity, {_money("standard_cost", "list_price")} from f_inventories"""
 
@@ -215,6 +232,15 @@ SQL["inc_sales_upsert"] = f"""
     select {_FACT_COLUMNS} from late
     union all
     select {_FACT_COLUMNS} from f_sales where not (order_status = 'PENDING' and year(order_date) = 2000)"""
+SQL["inc_refresh_all"] = " union all ".join(
+    f"select '{name}' as table_name, count(*) as row_count, {amount} as amount, 0 as added_again from {_STAR[name]}"
+    for name in STAR_DDL
+    for amount in [
+        {"sales_fact": "cast(sum(order_total_price) as double)", "inventories_fact": "cast(sum(inventory_quantity) as double)"}.get(
+            name, "cast(null as double)"
+        )
+    ]
+)
 SQL["inc_products_stream"] = (
     "select * from d_products where product_category <> 'PROMO' union all " + SQL["inc_products"]
 )
@@ -229,7 +255,7 @@ SQL["scd1_holidays"] = f"""
 SQL["scd1_missing"] = f"""
     select cast(h as varchar) as calendar_date from ({_HOLIDAYS}) where h not in (select calendar_date from d_date)"""
 SQL["scd2_init"] = """
-    select *, '1995-01-01' as start_date, '9999-12-31' as end_date, 'Y' as products_active_flag from d_products"""
+    select *, '1999-06-01' as start_date, '9999-12-31' as end_date, 'Y' as products_active_flag from d_products"""
 
 _PRODUCT_VERSIONS = """
     economy as (select * from d_products where product_category = 'ECONOMY'),
@@ -247,7 +273,7 @@ _PRODUCT_VERSIONS = """
     versions as (
         select *, case when end_date = date '9999-12-31' then 'Y' else 'N' end as products_active_flag from opened
         union all
-        select p.*, date '1995-01-01',
+        select p.*, date '1999-06-01',
                case when product_category = 'ECONOMY' then date '2000-12-31' else date '9999-12-31' end,
                case when product_category = 'ECONOMY' then 'N' else 'Y' end
         from d_products p)"""
@@ -259,7 +285,8 @@ SQL["scd2_as_of_join"] = f"""
     select v.product_id, cast(v.start_date as varchar) as start_date, v.product_description, count(*) as lines,
            cast(sum(i.quantity) as double) as units
     from s_items i join s_orders o on i.order_id = o.order_id
-         join versions v on v.product_id = i.product_id and o.order_date between v.start_date and v.end_date
+         join versions v on v.product_id = i.product_id and o.order_date <= v.end_date
+              and (o.order_date >= v.start_date or v.start_date = date '1999-06-01')
     group by v.product_id, v.start_date, v.product_description"""
 SQL["scd2_fact_sales"] = f"""
     with {_PRODUCT_VERSIONS},
@@ -274,7 +301,10 @@ SQL["scd2_rejects"] = """
     from d_products where product_category = 'ECONOMY' and product_name like 'OLD%'
     union all
     select -1 - product_id, '2001-01-01', 'product_id ' || cast(-1 - product_id as varchar) || ' does not exist'
-    from d_products where product_category = 'ECONOMY' and product_name like 'BLUE%'"""
+    from d_products where product_category = 'ECONOMY' and product_name like 'BLUE%'
+    union all
+    select product_id, '2001-07-01', 'another change of the day was preferred'
+    from d_products where product_category = 'ECONOMY' and product_name like 'RED%'"""
 SQL["scd2_customers"] = """
     select (select max(customer_key) from d_customers) + row_number() over (order by customer_id) as customer_key,
            customer_id, customer_name, first_name, last_name, address, cast(credit_limit + 500 as double) as credit_limit,
@@ -283,7 +313,7 @@ SQL["scd2_customers"] = """
     from d_customers where customer_geography = ' EUROPE'
     union all
     select customer_key, customer_id, customer_name, first_name, last_name, address, cast(credit_limit as double),
-           customer_status, customer_geography, '1995-01-01',
+           customer_status, customer_geography, '1999-06-01',
            case when customer_geography = ' EUROPE' then '2000-12-31' else '9999-12-31' end,
            case when customer_geography = ' EUROPE' then 'N' else 'Y' end
     from d_customers"""
@@ -295,7 +325,7 @@ SQL["scd2_employees"] = """
     from d_employees where job_title = 'SALES 1'
     union all
     select employee_key, employee_id, first_name, last_name, email, phone, cast(hire_date as varchar),
-           no_of_days_employed, job_title, '1995-01-01',
+           no_of_days_employed, job_title, '1999-06-01',
            case when job_title = 'SALES 1' then '2000-12-31' else '9999-12-31' end,
            case when job_title = 'SALES 1' then 'N' else 'Y' end
     from d_employees_all"""
@@ -344,7 +374,7 @@ SQL["rpt_low_margin"] = f"""
         from w_sales group by {_PRODUCT})
     select * exclude (profit) replace ({_money("standard_cost", "sales_unit", "sales_revenue")}),
            cast(round(profit, 0) as double) as gross_profit, {_half_up("profit", "sales_revenue", 100)} as gross_profit_margin
-    from margins where profit * 5 < sales_revenue"""
+    from margins where sales_revenue <> 0 and profit / sales_revenue < 0.2"""
 SQL["rpt_inventory_status"] = """
     with stock as (
         select format('[{}] {}', country_id, country_name) as country_name, warehouse_id, warehouse_name, product_id,
@@ -353,16 +383,16 @@ SQL["rpt_inventory_status"] = """
              join d_countries using (country_key)
         where warehouse_id = 1 group by all)
     select *, if(total_inventory_quantity < 20, 'Reorder Needed', 'Sufficient Stock') as reorder_level,
-           case when total_inventory_quantity >= 50 then 'High Stock' when total_inventory_quantity >= 10 then 'Medium Stock'
-                when total_inventory_quantity > 0 then 'Low Stock' else 'Out of Stock' end as inventory_status
+           case when total_inventory_quantity <= 0 then 'Out of Stock' when total_inventory_quantity < 10 then 'Low Stock'
+                when total_inventory_quantity < 50 then 'Medium Stock' else 'High Stock' end as inventory_status
     from stock"""
 
 
 def _geo(extra: str) -> str:
     return f"""
     select customer_geography, customer_name, rpad(monthname(order_date), 9, ' ') as month{extra},
-           cast(coalesce(sum(order_total_price) filter (cal_year = 1998), 0) as double) as revenue,
-           cast(coalesce(sum(order_total_price) filter (cal_year = 1997), 0) as double) as prev_year_revenue
+           cast(coalesce(sum(item_quantity * unit_price) filter (cal_year = 1998), 0) as double) as revenue,
+           cast(coalesce(sum(item_quantity * unit_price) filter (cal_year = 1997), 0) as double) as prev_year_revenue
     from w_sales where cal_year between 1997 and 1998 group by all"""
 
 

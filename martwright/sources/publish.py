@@ -1,14 +1,17 @@
 """Versioned tables in a shared folder.
 
 Parquet cannot be updated in place, so every publication of a table goes to a
-folder of its own and only then enters a small list, which says what each
-version adds and what it puts out of force: the whole table, nothing (a delta),
-or some partitions. A job that dies half way leaves no entry and so changes
-nothing, and a listed folder is never written again.
+folder of its own, with a name no other writer can pick, and only then enters a
+small list, which says what each version adds and what it puts out of force: the
+whole table, nothing (a delta), or some partitions. A job that dies half way leaves
+no entry and so changes nothing, a listed folder is never written again, and a delta
+without rows is not listed. Two writers that list the same version both get an error;
+nothing is lost, and the table reads as if one had followed the other.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -17,23 +20,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
 EVERYTHING = "*"
-_ENTRY = "version int, drops boolean, part string"
+_ENTRY = "version int, folder string, drops boolean, part string"
 
 
-def _entries(spark: SparkSession, root: str) -> list[tuple[int, bool, str]]:
+class PublicationClash(RuntimeError):
+    """Another writer has published the same table at the same time."""
+
+
+def _entries(spark: SparkSession, root: str) -> list[tuple[int, str, bool, str]]:
     """The list, oldest version first and drops before additions; a few short rows per version."""
     try:
         rows = spark.read.schema(_ENTRY).parquet(f"{root}/published").collect()
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return []
-    return sorted(((r.version, r.drops, r.part) for r in rows), key=lambda e: (e[0], not e[1]))
+    return sorted(((r.version, r.folder, r.drops, r.part) for r in rows), key=lambda e: (e[0], e[1], not e[2]))
 
 
 def _write(frame: DataFrame, root: str, partition_by: str | None, drops: Iterable[str]) -> None:
     spark = frame.sparkSession
     version = max([v for v, *_ in _entries(spark, root)], default=0) + 1
-    folder = f"{root}/data/version={version}"
-    parts = [""]
+    name = uuid.uuid4().hex
+    folder = f"{root}/data/version={name}"
+    parts, drops = [""], list(drops)
     if partition_by:
         # Adaptive execution cuts this shuffle into even files, also of a partition that holds most rows.
         frame = frame.hint("rebalance", partition_by)
@@ -42,8 +52,16 @@ def _write(frame: DataFrame, root: str, partition_by: str | None, drops: Iterabl
     if partition_by:
         written = spark.read.schema(frame.schema).parquet(folder).select(partition_by).distinct()
         parts = [f"{partition_by}={row[0]}" for row in written.collect()]
-    entries = [(version, True, part) for part in drops] + [(version, False, part) for part in parts]
-    spark.createDataFrame(entries, _ENTRY).coalesce(1).write.mode("append").parquet(f"{root}/published")
+    elif not drops and spark.read.schema(frame.schema).parquet(folder).isEmpty():
+        parts = []
+    entries = [(version, name, True, part) for part in drops] + [(version, name, False, part) for part in parts]
+    if not entries:
+        return
+    # A folder per entry: writers that append to one folder clear away each other's unfinished files.
+    spark.createDataFrame(entries, _ENTRY).coalesce(1).write.parquet(f"{root}/published/entry={name}")
+    others = {f for v, f, *_ in _entries(spark, root) if v == version and f != name}
+    if others:
+        raise PublicationClash(f"version {version} of {root} was also published as {sorted(others)}")
 
 
 def publish(frame: DataFrame, root: str, partition_by: str | None = None) -> None:
@@ -63,20 +81,24 @@ def publish_parts(frame: DataFrame, root: str, partition_by: str, values: Iterab
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     """The table as last published, in one scan."""
-    live: list[tuple[int, str]] = []
-    entries = _entries(spark, root)
-    for version, drops, part in entries:
+    live: list[tuple[str, str]] = []
+    for _, folder, drops, part in _entries(spark, root):
         if drops:
-            live = [] if part == EVERYTHING else [(v, p) for v, p in live if p != part]
+            live = [] if part == EVERYTHING else [(f, p) for f, p in live if p != part]
         else:
-            live.append((version, part))
+            live.append((folder, part))
     if not live:
         raise FileNotFoundError(f"nothing published under {root}")
     base = f"{root}/data"
-    paths = [f"{base}/version={v}/{p}".rstrip("/") for v, p in live]
+    paths = [f"{base}/version={f}/{p}".rstrip("/") for f, p in live]
     return spark.read.option("basePath", base).parquet(*paths).drop("version")
 
 
+def compact(spark: SparkSession, root: str, partition_by: str | None = None) -> None:
+    """Write the table as it is now whole, so that later reads open one folder instead of one per delta."""
+    publish(read_published(spark, root), root, partition_by)
+
+
 def side_by_side(spark: SparkSession, actions: list[Callable[[], None]]) -> None:
     """Run independent writes together, so that small ones do not leave executors idle."""
     run = inheritable_thread_target(spark)(lambda action: action())

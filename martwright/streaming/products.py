@@ -23,10 +23,18 @@ def start_dimension(dim: DataFrame, dim_path: str) -> None:
     dim.write.mode("overwrite").parquet(f"{dim_path}/batch=base")
 
 
-def _one_per_product(products: DataFrame) -> DataFrame:
-    """One row per product id, the same one whenever the batch is delivered."""
+def _one_per_product(products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row per product id, the same one whenever the batch is delivered; and the differing rows of those ids."""
     rest = [c for c in products.columns if c != "product_id"]
-    return products.groupBy("product_id").agg(F.max(F.struct(*rest)).alias("row")).select("product_id", "row.*")
+    rows = products.select("product_id", F.struct(*rest).alias("row")).distinct()
+    chosen = rows.groupBy(F.col("product_id").alias("_id")).agg(F.max("row").alias("_row"))
+    differs = F.col("product_id").eqNullSafe(F.col("_id")) & ~F.col("row").eqNullSafe(F.col("_row"))
+    others = rows.join(chosen, differs, "left_semi")
+    return chosen.select(F.col("_id").alias("product_id"), "_row.*"), others.select("product_id", "row.*")
+
+
+def rejects_path(dim_path: str) -> str:
+    return f"{dim_path}-rejects"
 
 
 def stream_products(
@@ -42,15 +50,16 @@ def stream_products(
 
     Each micro-batch is an ordinary refresh against the dimension without the
     batch's own folder, which it then overwrites: a batch delivered twice after a
-    failure leaves one copy and the same keys. A product repeated within a batch
-    counts once.
+    failure leaves one copy and the same keys. Of differing rows of a product within
+    a batch the greatest counts; the others go to ``rejects_path``, a folder per batch.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         own = f"batch-{batch_id:010d}"
         before = read_dimension(session, dim_path).where(F.col("batch") != own)
-        arrived = _one_per_product(as_products(batch))
+        arrived, others = _one_per_product(as_products(batch))
+        others.write.mode("overwrite").parquet(f"{rejects_path(dim_path)}/batch={own}")
         fresh = refresh_products(before, {"products": arrived, "product_categories": categories})
         fresh.write.mode("overwrite").parquet(f"{dim_path}/batch={own}")
 

@@ -12,7 +12,7 @@ from martwright.session import shared_folder
 def _copy(folder):
     folder.mkdir()
     for table in TABLES:
-        shutil.copy(f"{DATA}/sf0.001/{table}.parquet", f"{folder}/{table}.parquet")
+        shutil.copyfile(f"{DATA}/sf0.001/{table}.parquet", f"{folder}/{table}.parquet")
     return str(folder)
 
 

@@ -149,5 +149,10 @@ def test_as_of_join(spark, star):
         "product_id bigint, order_date date",
     )
     joined = op.as_of_join(sales, dim, "product_id", "order_date")
-    assert {(r.product_id, r.order_date): r.product_key for r in joined.collect()} == {(1, day("2017-12-31")): 1001, (1, day("2018-01-01")): 1004, (2, day("2030-01-01")): 1002}
+    assert {(r.product_id, r.order_date): r.product_key for r in joined.collect()} == {
+        (1, day("2016-12-31")): 1001,  # before the first version
+        (1, day("2017-12-31")): 1001,
+        (1, day("2018-01-01")): 1004,
+        (2, day("2030-01-01")): 1002,
+    }
     assert op.as_of_join(sales, dim, "product_id", "order_date", "left").count() == 4
