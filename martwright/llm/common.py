@@ -28,7 +28,7 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
-        folder = tempfile.mkdtemp(prefix="martwright-code-")  # the driver's own; Spark serves it to the executors
+        folder = Path(tempfile.mkdtemp(prefix="martwright-code-")).resolve()  # the driver's; Spark serves it to executors
         with zipfile.ZipFile(archive := f"{folder}/{package.name}.zip", "w", zipfile.ZIP_DEFLATED) as out:
             for file in sorted(package.rglob("*.py")):
                 out.write(file, file.relative_to(package.parent))
