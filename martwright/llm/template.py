@@ -192,23 +192,23 @@ def _fold_expression(node: tuple, known: dict[str, object], filters) -> tuple:
     return (kind, *parts)
 
 
-def _fold(body: list[tuple], known: dict[str, object], filters) -> list[tuple]:
-    """``body`` without what is known beforehand; ``known`` gains the constants that it sets."""
+def _fold(body: list[tuple], known: dict[str, object], filters, once: frozenset[str] = frozenset()) -> list[tuple]:
+    """``body`` without what is known beforehand; ``known`` gains the constants that it sets.
+
+    ``once``: names that this body alone sets, and only once, so that a constant needs no statement.
+    """
     out: list[tuple] = []
     for node in body:
         kind = node[0]
         if kind == "out":
-            value = _fold_expression(node[1], known, filters)
-            if value[0] == "const" and out and out[-1][0] == "out" and out[-1][1][0] == "const":
-                out[-1] = ("out", ("const", _text(out[-1][1][1]) + _text(value[1])))
-            else:
-                out.append(("out", value))
+            out.append(("out", _fold_expression(node[1], known, filters)))
         elif kind == "set":
             value = _fold_expression(node[2], known, filters)
             known.pop(node[1], None)
             if value[0] == "const":
                 known[node[1]] = value[1]
-            out.append(("set", node[1], value))
+            if value[0] != "const" or node[1] not in once:
+                out.append(("set", node[1], value))
         elif kind == "for":
             inside = {n[1] for n in _walk(node[3]) if n[0] in ("set", "for")} | {node[1], "loop"}
             kept = {k: v for k, v in known.items() if k not in inside}
@@ -219,6 +219,18 @@ def _fold(body: list[tuple], known: dict[str, object], filters) -> list[tuple]:
             out.append(("generation", _fold(node[1], known, filters)))
         else:
             out += _fold_branches(node[1], known, filters)
+    return _joined_texts(out)
+
+
+def _joined_texts(body: list[tuple]) -> list[tuple]:
+    """``body`` with neighbouring constants as one."""
+    out: list[tuple] = []
+    for node in body:
+        constant = node[0] == "out" and node[1][0] == "const"
+        if constant and out and out[-1][0] == "out" and out[-1][1][0] == "const":
+            out[-1] = ("out", ("const", _text(out[-1][1][1]) + _text(node[1][1])))
+        else:
+            out.append(node)
     return out
 
 
@@ -345,7 +357,10 @@ class Template:
     def __init__(self, source: str, controls: Iterable[str] = (), key_controls: Iterable[str] = ()):
         escape, key = Escaper(controls), Escaper([*controls, *key_controls])
         filters = {"escape": escape, "key": key, "trim": str.strip, "upper": str.upper, "lower": str.lower}
-        self.tree = _fold(_Parser(source, filters).parse(), {}, filters)
+        body = _Parser(source, filters).parse()
+        names = [n[1] for n in _walk(body) if n[0] in ("set", "for")]
+        once = frozenset(n[1] for n in body if n[0] == "set" and names.count(n[1]) == 1)
+        self.tree = _fold(body, {}, filters, once)
         self._run = _generate(self.tree, False, filters)
 
     def render(self, messages: Iterable[dict], **values: object) -> Chunks:
