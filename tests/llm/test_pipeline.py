@@ -41,7 +41,7 @@ def test_all_stages_like_plain_ones(spark, tmp_path):
     heads = {c for _, _, c in _plain_components(lined)}
     single = [(i, t) for i, t in lined if i in heads]
     clean = [(i, t) for i, t in single if i not in {c[0] for c in _plain_contained(single, items)}]
-    assert len(rows) > len(good) > len(single) > len(clean) == 30
+    assert len(rows) > len(good) > len(single) > len(clean) >= 30
 
     seen = documents(spark, *rows)
     for (name, stage), wanted in zip(corpus_pipeline.STAGES[:-1], (good, lined, single, clean)):
