@@ -3,13 +3,14 @@
 1. Every text becomes its set of shingle hashes. Equal sets are one node from here on, however many rows hold them.
 2. Sets are ordered by one global order, rare hashes first, and each keeps its prefix: so few hashes that two sets
    over the threshold share one of them at least.
-3. Groups of similar documents: each node is compared with the pivots of its prefix hashes (the least and the
-   greatest node of a hash's list) that share most, and joined to those it truly resembles. That is linear in the
-   lists; a group of any number of copies costs one comparison or two per node.
+3. Groups of similar documents: each node is compared with the pivots of its prefix hashes (of a hash's list, the most
+   typical node, whose hashes are the most frequent, and the least) that share most, and joined to those it truly
+   resembles. That is linear in the lists; a group of any number of copies costs one comparison or two per node.
 4. The token-group matrix holds, for each group, the prefix hashes of all its members and the range of their sizes. The
    hashes a node finds there bound its overlap with any member, so only a few groups of other documents qualify.
-5. Those are opened: the node meets the members that share a hash, the same bound cuts single pairs, and what is
-   left is compared in full. All links together give the components.
+5. Those are opened: the node meets the members that hold one of its rarest hashes there, so many that no member over
+   the bound lacks them all; the same bound cuts single pairs, and what is left is compared in full. All links
+   together give the components.
 
 Nothing is skipped: a link between two groups is always found by step 5. Hashes have 64 bits.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import expect_skew
-from .common import SIMILARITY_PERCENT, components, saved
+from .common import SIMILARITY_PERCENT, components, saved, ship
 from .shingles import WordTable, shingle_set
 
 #: Counters by which hashes are ordered; their number bounds what is broadcast (4 bytes each).
@@ -111,7 +112,8 @@ def _bucket_counts(described: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """``token, node, splits``: the rarest hashes of every set, and into how many lists the hash's rows are split.
+    """``token, node, splits, typical``: the rarest hashes of every set, into how many lists the hash's rows are split,
+    and how frequent the node's hashes are.
 
     A task gives each node once; other tasks may give it again.
     """
@@ -120,7 +122,7 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, often, seen = WordTable(), shared.value, set()
         for batch in batches:
-            tokens, nodes, splits = [], [], []
+            tokens, nodes, splits, typical = [], [], [], []
             for text in batch["text"]:
                 found = shingle_set(text, table)
                 node = _node(found)
@@ -133,12 +135,18 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
                 tokens.append(found[first].view(np.int64))
                 nodes.append(np.full(length, node, np.int64))
                 splits.append(count[first] // LIST_ROWS + 1)
+                typical.append(np.full(length, 1000 * np.log2(count[first]).mean(), np.int32))
             if tokens:
                 yield pd.DataFrame(
-                    {"token": np.concatenate(tokens), "node": np.concatenate(nodes), "splits": np.concatenate(splits).astype(np.int32)}
+                    {
+                        "token": np.concatenate(tokens),
+                        "node": np.concatenate(nodes),
+                        "splits": np.concatenate(splits).astype(np.int32),
+                        "typical": np.concatenate(typical),
+                    }
                 )
 
-    return _texts(docs).mapInPandas(work, "token long, node long, splits int")
+    return _texts(docs).mapInPandas(work, "token long, node long, splits int, typical int")
 
 
 def _fewest_shared(a: Column, b: Column, percent: int) -> Column:
@@ -195,9 +203,13 @@ def _verified(pairs: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "blob_a", "blob_b").mapInPandas(_compare(percent), "a long, b long")
 
 
-def similarity_links(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tuple[DataFrame, DataFrame]:
-    """``(members, links)``: ``doc_id, text_hash, n, node`` of every row; verified ``a, b`` that connect all similar nodes."""
+def similarity_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tuple[DataFrame, DataFrame]:
+    """``(members, groups)``: ``doc_id, text_hash, n, node`` of every row; ``node, place`` of the nodes that have links.
+
+    Nodes are connected by links if they have one place; that of a node without links is itself.
+    """
     expect_skew(docs.sparkSession)
+    ship(docs.sparkSession)
     described = saved(_texts(docs).mapInPandas(_describe, _DESCRIBED), "described")
     members = described.filter("chunk < 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash", "n", "node")
     nodes = saved(members.filter("n > 0").groupBy("node").agg(F.max("n").alias("n")), "nodes")
@@ -207,20 +219,29 @@ def similarity_links(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tupl
     lists = (
         _prefixes(docs, counts, percent)
         .withColumn("list", F.pmod("node", "splits"))
-        .withColumns({"least": F.min("node").over(listed), "most": F.max("node").over(listed)})
+        .withColumns(
+            {
+                "least": F.min("node").over(listed),
+                "most": F.max("node").over(listed),
+                "pivot": F.max(F.struct("typical", "node")).over(listed)["node"],
+            }
+        )
+    )
+    shared = saved(
+        lists.filter("least != most or splits > 1").select("token", "list", "splits", "node", "least", "pivot").distinct(),
+        "lists",
     )
-    shared = saved(lists.filter("least != most or splits > 1").distinct(), "lists")
 
     # Groups of similar documents, by comparison with pivots.
+    parted = shared.filter("splits > 1")
     over_parts = (
-        shared.filter("splits > 1")
-        .select("token", F.explode(F.array("least", "most")).alias("node"))
+        parted.select("token", F.col("pivot").alias("node"))
         .distinct()
-        .join(shared.filter("splits > 1").groupBy("token").agg(F.min("least").alias("pivot")), "token")
+        .join(parted.groupBy("token").agg(F.min("pivot").alias("pivot")), "token")
         .select("node", "pivot")
     )
     to_pivot = (
-        shared.select("node", F.explode(F.array("least", "most")).alias("pivot"))
+        shared.select("node", F.explode(F.array_distinct(F.array("least", "pivot"))).alias("pivot"))
         .union(over_parts)
         .filter("node != pivot")
         .groupBy("node", "pivot")
@@ -250,50 +271,66 @@ def similarity_links(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tupl
     near = saved(_verified(tried, blobs, percent), "links")
 
     # The token-group matrix, and the groups that a node's hashes let it open.
-    groups = components(near)
-    placed = saved(
-        shared.select("token", "node")
-        .join(nodes, "node")
-        .join(groups.withColumnRenamed("id", "node"), "node", "left")
-        .withColumn("group", F.coalesce("component", "node"))
-        .drop("component"),
-        "placed",
-    )
+    first = components(near).select(F.col("id").alias("node"), F.col("component").alias("group"))
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        return rows.join(first, "node", "left").withColumn("group", F.coalesce("group", "node"))
+
+    placed = saved(grouped(shared.select("token", "node").distinct().join(nodes, "node")), "placed")
     mixed = placed.groupBy("token").agg(F.min("group").alias("g"), F.max("group").alias("h")).filter("g != h").select("token")
     rows = saved(placed.join(mixed, "token", "left_semi"), "mixed")
-    matrix = rows.groupBy("token", F.col("group").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    matrix = rows.groupBy("token", F.col("group").alias("other")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("held")
+    )
     reach = (
         rows.join(matrix, "token")
         .filter("group > other")
         .filter((100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low")))
         .groupBy("node", "n", "other")
-        .agg(F.count(F.lit(1)).alias("common"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .agg(
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.array_sort(F.collect_list(F.struct("held", "token"))).alias("common"),
+        )
     )
     n = F.col("n")
     low = F.greatest("low", F.ceil(percent * n / 100.0 - 1e-9))
     high = F.least("high", F.floor(100.0 * n / percent + 1e-9))
     bound = F.least(_fewest_shared(n, low, percent), _fewest_shared(n, high, percent))
-    qualifying = saved(reach.filter(F.col("common") >= bound).select("node", "other"), "qualifying")
-    opened = rows.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
-    pairs = (
-        rows.join(qualifying, "node")
-        .join(opened, ["token", "other"])
+    # A member that shares ``bound`` of the common hashes has one of any that many less one left out.
+    spare = (F.size("common") - bound + 1).cast("int")
+    qualifying = saved(
+        reach.withColumn("spare", spare)
+        .filter("spare > 0")
+        .select("node", "n", "other", F.explode(F.slice("common", F.lit(1), F.col("spare"))["token"]).alias("token")),
+        "qualifying",
+    )
+    members_of = rows.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
+    opened = (
+        qualifying.join(members_of, ["token", "other"])
         .filter(_sizes_fit(F.col("n"), F.col("m"), percent))
-        .groupBy(F.col("node").alias("a"), "b", "n", "m")
-        .agg(F.count(F.lit(1)).alias("common"))
-        .filter(F.col("common") >= _fewest_shared(F.col("n"), F.col("m"), percent))
+        .select(F.col("node").alias("a"), "b", "n", "m")
+        .distinct()
+    )
+    held = saved(rows.groupBy("node").agg(F.collect_list("token").alias("tokens")), "held")
+    pairs = (
+        opened.join(held.select(F.col("node").alias("a"), F.col("tokens").alias("of_a")), "a")
+        .join(held.select(F.col("node").alias("b"), F.col("tokens").alias("of_b")), "b")
+        .filter(F.size(F.array_intersect("of_a", "of_b")) >= _fewest_shared(F.col("n"), F.col("m"), percent))
     )
     tried = saved(pairs.select("a", "b"), "tried")
-    return members, near.union(saved(_verified(tried, blobs, percent), "links"))
+    across = saved(_verified(tried, blobs, percent), "links")
+    ends = [grouped(across.select(F.col(end).alias("node"), "a", "b")).select("a", "b", F.col("group").alias(f"g{end}")) for end in "ab"]
+    merged = components(ends[0].join(ends[1], ["a", "b"]).select(F.col("ga").alias("a"), F.col("gb").alias("b")).distinct())
+    linked = first.select("node", "group").union(across.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(first, "node", "left_anti").select("node", F.col("node").alias("group")))
+    places = linked.join(merged.withColumnRenamed("id", "group"), "group", "left")
+    return members, saved(places.select("node", F.coalesce("component", "group").alias("place")), "places")
 
 
 def _placed(docs: DataFrame, percent: int) -> DataFrame:
     """``doc_id, text_hash, n, place`` of every row; rows with words are linked if they have one place."""
-    members, links = similarity_links(docs, percent)
-    reached = components(links).withColumnRenamed("id", "node")
-    return members.join(reached, "node", "left").select(
-        "doc_id", "text_hash", "n", F.coalesce("component", "node").alias("place")
-    )
+    members, groups = similarity_groups(docs, percent)
+    return members.join(groups, "node", "left").select("doc_id", "text_hash", "n", F.coalesce("place", "node").alias("place"))
 
 
 def jaccard_components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
