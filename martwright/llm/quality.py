@@ -195,6 +195,12 @@ def cutoffs(holdout: DataFrame, risk: Risk = Risk()) -> dict[str, dict[str, floa
     return out
 
 
+def learned_cutoffs(rows: DataFrame, labels: DataFrame, risk: Risk) -> dict[str, dict[str, float]]:
+    """``cutoffs`` from all ``measured`` rows that have a label."""
+    judged = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    return cutoffs(rows.join(judged, "doc_id"), risk)
+
+
 def rejects(table: dict[str, dict[str, float]]):
     """The rules of ``table`` as one expression over the ``measured`` columns."""
     verdict = F.lit(False)
@@ -216,15 +222,32 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), strat
     certificate, an empty label table among them, are judged by the base rule alone. Other columns are ignored.
     """
     rows = saved(measured(docs, stratum), "quality")
-    judged = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    table = cutoffs(rows.join(judged, "doc_id"), risk)
-    return rows.withColumn("kept", ~F.col("base_failed") & ~rejects(table))
+    return rows.withColumn("kept", ~F.col("base_failed") & ~rejects(learned_cutoffs(rows, labels, risk)))
+
+
+def passes(table: dict[str, dict[str, float]]):
+    """The verdict as a function of text and stratum, for rows that are to be filtered where they lie."""
+    names = [*COUNTS, *LADDERS]
+
+    @F.pandas_udf("boolean")
+    def good(texts: pd.Series, strata: pd.Series) -> pd.Series:
+        words, out = WordTable(), []
+        for text, stratum in zip(texts, strata):
+            found = dict(zip(names, measure(text, words)))
+            rules = table.get(stratum, table.get(REST, {}))
+            base_failed = (
+                found["n_words"] < MIN_WORDS or 100 * found["n_repeat_words"] > MAX_REPEAT_PERCENT * found["n_words"]
+            )
+            out.append(not base_failed and not any(found[name] >= cutoff for name, cutoff in rules.items()))
+        return pd.Series(out, dtype=bool)
+
+    return good
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), stratum: str = "lang") -> DataFrame:
-    """``docs`` without the rows that ``quality_rules`` rejects; all their columns."""
-    gone = quality_rules(docs, labels, risk, stratum).filter(~F.col("kept"))
-    rejected = saved(gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text")).distinct(), "rejected")
-    keyed = docs.withColumns({"__id0": F.col("doc_id"), "__text0": F.xxhash64("text")})
-    same = F.col("__id0").eqNullSafe(F.col("__id")) & (F.col("__text0") == F.col("__text"))
-    return keyed.join(rejected, same, "left_anti").select(docs.columns)
+    """``docs`` without the rows that ``quality_rules`` rejects; all their columns.
+
+    Texts are measured once to learn the cutoffs and once to apply them, which costs less than to move them.
+    """
+    good = passes(learned_cutoffs(saved(measured(docs, stratum), "quality"), labels, risk))
+    return docs.filter(good(F.col("text").cast("binary"), F.coalesce(F.col(stratum).cast("string"), F.lit(""))))
