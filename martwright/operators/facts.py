@@ -22,7 +22,8 @@ from ..schemas import conform, star_schema
 from .dims import UNKNOWN_EMPLOYEE_KEY
 from .scd import in_force_from
 
-_RESIDUES = 256
+# So many that NULLs fill any cluster; more cost nothing.
+_RESIDUES = 1 << 16
 
 
 def is_versioned(dim: DataFrame) -> bool:
