@@ -36,6 +36,8 @@ ROLL = 16
 SPAN = 192
 #: Contexts of one core that a task compares by itself; cores with more are compared string by string in Spark.
 KINDS = 2000
+#: Starts that are compared together first in those.
+BLOCK = 16
 
 _FACTORS = [np.uint32(pow(0x01000193, 1 << k, 1 << 32)) for k in range(4)]
 
@@ -78,10 +80,6 @@ def phrases(raw: bytes, length: int = LENGTH, span: int = SPAN) -> tuple[np.ndar
     return first, last, trigger[first]
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
-
-
 def _rows(docs: DataFrame) -> DataFrame:
     """``row``: what a row is known by, its id and text; equal rows share it."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -156,25 +154,57 @@ def _strings(reach: bytes, length: int) -> list[int]:
     return [digest(reach[p : p + length]) for p in range(len(reach) - length + 1)]
 
 
+def _blocks(length: int, span: int):
+    """The starts of every context in blocks of BLOCK, counted from its trigger.
+
+    ``inner`` are the bytes that all strings of a full block share, ``outer`` all bytes that those of the block reach.
+    """
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            out = []
+            for core, row, place, often, reach in zip(
+                batch["core"], batch["row"], batch["place"], batch["often"], batch["reach"]
+            ):
+                first, count = place >> 16, (place & 0xFFFF) + 1
+                trigger = int(phrases(reach, length, span)[2][0])
+                for block in range((trigger - count + 1) // BLOCK, trigger // BLOCK + 1):
+                    high, low = trigger - block * BLOCK, trigger - (block + 1) * BLOCK + 1
+                    inner = digest(reach[high : low + length])
+                    a, b = max(low, 0), min(high, count - 1)
+                    outer = digest(reach[a : b + length], seed=b - a)
+                    out.append((core, block, _signed(inner), _signed(outer), row, (first + a) << 16 | b - a, often, reach[a : b + length]))
+            yield pd.DataFrame(out, columns=_BLOCK_COLUMNS)
+
+    return work
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+_BLOCK_COLUMNS = ["core", "block", "inner", "outer", "row", "place", "often", "reach"]
+_BLOCK_TYPES = "core long, block int, inner long, outer long, row long, place long, often long, reach binary"
+
+
 def _take_apart(length: int):
-    """Every string of every context, as a row: for cores of any number of contexts."""
+    """Every string of every block, as a row: for cores of any number of contexts."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start in range(0, len(batch), 500):
-                some = batch.iloc[start : start + 500]
-                strings = [np.array(_strings(r, length), np.uint64).view(np.int64) for r in some["reach"]]
-                sizes = [len(s) for s in strings]
-                at = [p + np.arange(n) for p, n in zip(some["place"].to_numpy() >> 16, sizes)]
-                yield pd.DataFrame(
-                    {
-                        "core": np.repeat(some["core"].to_numpy(), sizes),
-                        "string": np.concatenate(strings),
-                        "row": np.repeat(some["row"].to_numpy(), sizes),
-                        "at": np.concatenate(at),
-                        "often": np.repeat(some["often"].to_numpy(), sizes),
-                    }
-                )
+            strings = [np.array(_strings(r, length), np.uint64).view(np.int64) for r in batch["reach"]]
+            sizes = [len(s) for s in strings]
+            at = [p + np.arange(n) for p, n in zip(batch["place"].to_numpy() >> 16, sizes)]
+            yield pd.DataFrame(
+                {
+                    "core": np.repeat(batch["core"].to_numpy(), sizes),
+                    "string": np.concatenate(strings) if strings else np.empty(0, np.int64),
+                    "row": np.repeat(batch["row"].to_numpy(), sizes),
+                    "at": np.concatenate(at) if at else np.empty(0, np.int64),
+                    "often": np.repeat(batch["often"].to_numpy(), sizes),
+                }
+            )
 
     return work
 
@@ -256,10 +286,30 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, span: int = SPAN) ->
         .sortWithinPartitions("core")
         .mapInPandas(_compare(length), "row long, place long")
     )
+    # Cores of many contexts: the same again with blocks of a phrase for phrases, then the strings of the blocks left.
+    blocks = saved(
+        contexts.filter(F.col("kinds") > KINDS)
+        .drop("kinds")
+        .mapInPandas(_blocks(length, span), _BLOCK_TYPES),
+        "blocks",
+    )
+    inner, outer = ["core", "block", "inner"], ["core", "block", "inner", "outer"]
+    outers = saved(
+        blocks.groupBy(*outer).agg(F.sum("often").alias("times"), F.min(F.struct("row", "place")).alias("one")), "outers"
+    )
+    whole_blocks = blocks.filter("often = 1").join(outers.filter("times > 1").select(*outer), outer, "left_semi")
+    mixed = (
+        outers.groupBy(*inner)
+        .agg(F.sum("times").alias("met"), F.min("times").alias("rarest"))
+        .filter("met > 1 and rarest = 1")
+        .select(*inner)
+    )
+    chosen = outers.join(mixed, inner, "left_semi").select("core", "one.row", "one.place", F.col("times").alias("often"))
     strings = saved(
-        contexts.filter(F.col("kinds") > KINDS).mapInPandas(
-            _take_apart(length), "core long, string long, row long, at long, often long"
-        ),
+        blocks.drop("often")
+        .join(chosen, ["core", "row", "place"])
+        .select("core", "row", "place", "often", "reach")
+        .mapInPandas(_take_apart(length), "core long, string long, row long, at long, often long"),
         "strings",
     )
     again = strings.groupBy("core", "string").agg(F.sum("often").alias("times")).filter("times > 1")
@@ -268,7 +318,7 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, span: int = SPAN) ->
         .join(again.select("core", "string"), ["core", "string"], "left_semi")
         .select("row", F.shiftleft("at", 16).alias("place"))
     )
-    return settled.select("row", "place").union(few).union(single)
+    return settled.select("row", "place").union(few).union(whole_blocks.select("row", "place")).union(single)
 
 
 def _merged(places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
