@@ -12,6 +12,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -197,7 +198,7 @@ def _held_out(doc_id):
 def _words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         words = [list(set(_WORD.findall((t or "").lower()))) for t in batch["text"]]
-        yield pd.DataFrame({"word": sum(words, []), "toxic": np.repeat(batch["toxic"].to_numpy(), [len(w) for w in words])})
+        yield pd.DataFrame({"word": list(chain.from_iterable(words)), "toxic": np.repeat(batch["toxic"].to_numpy(), [len(w) for w in words])})
 
 
 def _divergence(seen, share: float):
