@@ -160,6 +160,18 @@ def _fewest_shared(a: Column, b: Column, percent: int) -> Column:
     return F.greatest(overlap - behind, F.lit(1))
 
 
+def _fewest_in(n: Column, low: Column, high: Column, percent: int) -> Column:
+    """The least of ``_fewest_shared(n, m)`` over all sizes ``m`` from ``low`` to ``high``.
+
+    Up to ``n`` it never falls. Above, it falls in steps whose two roundings can leave it one less a few sizes
+    before ``high`` than at ``high`` itself, so those sizes are asked too.
+    """
+    steps = range(1, 200 * (100 + percent) // percent**2 + 1)
+    dips = [d for d in steps if percent * d // 100 < -(-percent * d // (100 + percent))]
+    sizes = [low, high, *(F.greatest(high - d, low) for d in dips)]
+    return F.least(*(_fewest_shared(n, m, percent) for m in sizes))
+
+
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return (100 * a >= percent * b) & (100 * b >= percent * a)
 
@@ -296,7 +308,7 @@ def similarity_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tup
     n = F.col("n")
     low = F.greatest("low", F.ceil(percent * n / 100.0 - 1e-9))
     high = F.least("high", F.floor(100.0 * n / percent + 1e-9))
-    bound = F.least(_fewest_shared(n, low, percent), _fewest_shared(n, high, percent))
+    bound = _fewest_in(n, low, high, percent)
     # A member that shares ``bound`` of the common hashes has one of any that many less one left out.
     spare = (F.size("common") - bound + 1).cast("int")
     qualifying = saved(

@@ -79,6 +79,36 @@ def test_the_shared_hashes_asked_for_are_never_too_many(spark):
         assert len(first[0] & first[1]) >= asked[a, b]
 
 
+@pytest.mark.parametrize("percent", [80, 50, 63])
+def test_the_bound_of_a_range_is_its_least(spark, percent):
+    from pyspark.sql import functions as F
+
+    n, m, low, high = (F.col(c) for c in ("n", "m", "low", "high"))
+    sizes = spark.range(1, 161).select(F.col("id").alias("n"))
+    fit = spark.range(1, 330).select(F.col("id").alias("m")).join(sizes, jaccard._sizes_fit(n, F.col("m"), percent))
+    each = {(r.n, r.m): r.k for r in fit.select("n", "m", jaccard._fewest_shared(n, m, percent).alias("k")).collect()}
+    rng, asked = random.Random(8), []
+    for k in range(1, 161):
+        fits = [b for a, b in each if a == k]
+        asked += [(k, *sorted(rng.choices(fits, k=2))) for _ in range(20)]
+    ranges = spark.createDataFrame(asked, "n bigint, low bigint, high bigint").withColumn("k", jaccard._fewest_in(n, low, high, percent))
+    for r in ranges.collect():
+        assert r.k == min(each[r.n, size] for size in range(r.low, r.high + 1))
+
+
+def test_groups_are_opened_for_every_size_of_their_members(spark):
+    rows = []
+    for k in range(10):
+        words = prose(1000 + k, 130).split()
+        b = words[:113]  # 109 shingles; a has 100 and shares 93 of them, c has 110, d 108, and neither is like a
+        texts = [words[16:113] + words[120:127], b, words[129:] + b, b[:-1]]
+        rows += [(10 * k + j, " ".join(t)) for j, t in enumerate(texts)]
+    wanted = _plain_components(rows)
+    assert {c for _, _, c in wanted} == {10 * k for k in range(10)}
+    got = jaccard.jaccard_components(documents(spark, *rows))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == wanted
+
+
 def _plain_contained(rows, items):
     by_set = {}
     for i, t in sorted(items):
