@@ -142,6 +142,16 @@ def test_items_inside_documents_like_all_pairs(spark):
     assert dc.contained_items(docs.limit(0), table).count() == dc.contained_items(docs, table.limit(0)).count() == 0
 
 
+def test_items_without_an_id_are_found(spark):
+    items = [(None, prose(70, 40)), (None, prose(71, 12)), (1, prose(72, 30)), (None, prose(72, 30))]
+    docs = documents(spark, *((k, prose(80 + k, 50) + " " + t) for k, (_, t) in enumerate(items[:3])), (9, prose(90, 50)))
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    got = dc.contained_items(docs, table)
+    wanted = sorted([(0, None, 36, 36), (1, None, 8, 8), (2, 1, 26, 26)], key=repr)
+    assert rows_of(got, "doc_id", "item_id", "n_item_shingles", "n_shared") == wanted
+    assert rows_of(dc.decontaminate(docs, table), "doc_id") == [(9,)]
+
+
 def _plain_repeats(rows, length):
     texts = [(i, (t or "").encode()) for i, t in rows]
     found = Counter(t[p : p + length] for _, t in texts for p in range(len(t) - length + 1))
