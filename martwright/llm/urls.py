@@ -81,10 +81,11 @@ def _features(pages: DataFrame) -> DataFrame:
 
 
 def _model(judged: DataFrame):
-    """A model of the verdict, from at most SAMPLE labelled urls of each; or the only verdict there is."""
+    """A model of the verdict, from at most SAMPLE different labelled urls of each; or the only verdict there is."""
+    different = judged.dropDuplicates(["host", "path", "verdict"])
     labelled = saved(
-        judged.filter("verdict = 'allow'").orderBy(F.xxhash64("host", "path"), "host", "path").limit(SAMPLE)
-        .union(judged.filter("verdict = 'block'").orderBy(F.xxhash64("host", "path"), "host", "path").limit(SAMPLE)),
+        different.filter("verdict = 'allow'").orderBy(F.xxhash64("host", "path"), "host", "path").limit(SAMPLE)
+        .union(different.filter("verdict = 'block'").orderBy(F.xxhash64("host", "path"), "host", "path").limit(SAMPLE)),
         "labelled-urls",
     )
     present = [row["verdict"] for row in labelled.select("verdict").distinct().collect()]
@@ -101,12 +102,12 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, labels: DataFr
     """``page_id, host, path, rule, verdict`` of every row of ``pages (page_id, url)``.
 
     A url gets the verdict of its longest fitting rule (``rule`` names it), else the model's. The model learns from
-    ``labels (url, verdict)``, or, without it, from the urls that rules decide: in either case from at most SAMPLE of
+    ``labels (url, verdict)``, or, without it, from the urls that rules decide: in either case from at most SAMPLE different ones of
     each verdict, those of the least hash of host and path. With one verdict among them that is everyone's, with none it is allow.
     A null url, or one without ``://``, has an empty host and path, which no rule fits. Repeated rows get equal verdicts, a null page_id
     stays null, an empty table gives no row, other columns are ignored.
 
-    Rules and model are applied where the rows lie; nothing but the sample is moved.
+    Rules and model are applied where the rows lie; nothing is moved but hosts and paths, to tell different urls.
     """
 
     def parted(urls: DataFrame, *more: str) -> DataFrame:

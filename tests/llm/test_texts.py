@@ -243,6 +243,18 @@ def test_the_model_learns_from_labels(spark):
     assert "Python" not in plan and "Pandas" not in plan
 
 
+def test_repeated_urls_count_once_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(urls, "SAMPLE", 40)
+    good = [f"http://site{k}.net/{p}/{k}" for k in range(10) for p in ("news", "blog", "docs", "wiki")]
+    bad = [f"http://site{k}.net/{p}/{k}" for k in range(10) for p in ("spam", "xxx", "casino", "pills")]
+    labels = spark.createDataFrame([(u, "allow") for u in good] + [(u, "block") for u in bad], "url string, verdict string")
+    pages = spark.createDataFrame(list(enumerate(u.replace("site", "host") for u in good + bad)), "page_id bigint, url string")
+    often = labels.crossJoin(spark.range(60)).select("url", "verdict")
+    wanted = [(k, "allow" if k < len(good) else "block") for k in range(len(good + bad))]
+    for table in (labels, often):
+        assert rows_of(urls.judge_urls(pages, labels=table), "page_id", "verdict") == sorted(wanted, key=repr)
+
+
 # ---- toxicity ----------------------------------------------------------------------------------------------------
 
 
