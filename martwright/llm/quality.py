@@ -13,12 +13,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import expect_skew
 from .common import SHINGLE, saved, ship
 from .shingles import WordTable, hashes_of, run_hashes
 
@@ -43,10 +46,7 @@ LADDERS: dict[str, tuple[float, ...]] = {
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURED = ", ".join([f"{c} long" for c in COUNTS] + [f"{m} double" for m in LADDERS])
-
-#: Strata with the most labelled rows get cutoffs of their own; all further ones are treated as one.
-MAX_STRATA = 60
-REST = "(other)"
+CUTOFFS = ", ".join(["stratum string"] + [f"{m}_cutoff double" for m in LADDERS])
 
 
 @dataclass(frozen=True)
@@ -156,19 +156,36 @@ def upper_bound(rejected: int, total: int, error: float) -> float:
     return high
 
 
-def cutoffs(holdout: DataFrame, risk: Risk = Risk()) -> dict[str, dict[str, float]]:
-    """stratum -> measure -> certified cutoff, from the ``measured`` columns and ``quality`` (1: good) of all labelled rows.
+def _certify(strata: int, risk: Risk):
+    """Counts of strata to their certified cutoffs (null: none), where there is one; ``strata`` share the error."""
+    error = risk.error / max(1, strata * len(LADDERS))
+    share = risk.rate / len(LADDERS)
+
+    def chosen(row: dict, name: str) -> float | None:
+        certified = []
+        for k, cutoff in enumerate(LADDERS[name]):
+            if upper_bound(row[f"{name}:{k}:good"], row["good"], error) > share:
+                break
+            certified.append((row[f"{name}:{k}:bad"], -k, cutoff))
+        return max(certified)[2] if certified and max(certified)[0] > 0 else None
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["stratum", *(f"{name}_cutoff" for name in LADDERS)]
+        for batch in batches:
+            found = [(row["stratum"], *(chosen(row, name) for name in LADDERS)) for row in batch.to_dict("records")]
+            rows = [row for row in found if any(cutoff is not None for cutoff in row[1:])]
+            yield pd.DataFrame(rows, columns=columns).astype({c: "float64" for c in columns[1:]})
+
+    return work
+
+
+def certified_cutoffs(holdout: DataFrame, risk: Risk = Risk()) -> DataFrame:
+    """``stratum`` and a cutoff of each measure (null: none), of all strata that have a certified one, from the
+    ``measured`` columns and ``quality`` (1: good) of all labelled rows.
 
-    Spark counts, for each stratum, rule and step of its ladder, the good and bad rows at or above it; the driver
-    receives that table only: at most MAX_STRATA strata times the steps of the ladders.
+    Spark counts, for each stratum, rule and step of its ladder, the good and bad rows at or above it, and certifies
+    every stratum by itself. A certificate takes so many good labels that few strata are left, whatever their number.
     """
-    largest = [
-        r.stratum
-        for r in holdout.groupBy("stratum").count().orderBy(F.desc("count"), "stratum").limit(MAX_STRATA).collect()
-    ]
-    grouped = holdout.withColumn(
-        "stratum", F.when(F.col("stratum").isin(largest), F.col("stratum")).otherwise(REST)
-    )
     good, bad = F.col("quality") == 1, F.col("quality") == 0
     counts = [F.count_if(good).alias("good")]
     for name, steps in LADDERS.items():
@@ -178,38 +195,31 @@ def cutoffs(holdout: DataFrame, risk: Risk = Risk()) -> dict[str, dict[str, floa
                 F.count_if(over & good).alias(f"{name}:{k}:good"),
                 F.count_if(over & bad).alias(f"{name}:{k}:bad"),
             ]
-    table = grouped.groupBy("stratum").agg(*counts).collect()
-    error = risk.error / max(1, len(table) * len(LADDERS))
-    share = risk.rate / len(LADDERS)
-    out: dict[str, dict[str, float]] = {}
-    for row in table:
-        chosen = out[row["stratum"]] = {}
-        for name, steps in LADDERS.items():
-            certified = []
-            for k, cutoff in enumerate(steps):
-                if upper_bound(row[f"{name}:{k}:good"], row["good"], error) > share:
-                    break
-                certified.append((row[f"{name}:{k}:bad"], -k, cutoff))
-            if certified and max(certified)[0] > 0:
-                chosen[name] = max(certified)[2]
-    return out
-
-
-def learned_cutoffs(rows: DataFrame, labels: DataFrame, risk: Risk) -> dict[str, dict[str, float]]:
-    """``cutoffs`` from all ``measured`` rows that have a label."""
+    table = saved(holdout.groupBy("stratum").agg(*counts), "ladders")
+    return saved(table.mapInPandas(_certify(table.count(), risk), CUTOFFS), "cutoffs")
+
+
+def _as_dict(table: DataFrame) -> dict[str, dict[str, float]]:
+    """``certified_cutoffs`` as stratum -> measure -> cutoff."""
+    found = {row["stratum"]: {name: row[f"{name}_cutoff"] for name in LADDERS} for row in table.collect()}
+    return {s: {name: cutoff for name, cutoff in rules.items() if cutoff is not None} for s, rules in found.items()}
+
+
+def cutoffs(holdout: DataFrame, risk: Risk = Risk()) -> dict[str, dict[str, float]]:
+    """stratum -> measure -> certified cutoff."""
+    return _as_dict(certified_cutoffs(holdout, risk))
+
+
+def learned_cutoffs(rows: DataFrame, labels: DataFrame, risk: Risk) -> DataFrame:
+    """``certified_cutoffs`` from all ``measured`` rows that have a label."""
     judged = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    return cutoffs(rows.join(judged, "doc_id"), risk)
+    return certified_cutoffs(rows.join(judged, "doc_id"), risk)
 
 
-def rejects(table: dict[str, dict[str, float]]):
-    """The rules of ``table`` as one expression over the ``measured`` columns."""
-    verdict = F.lit(False)
-    known = [s for s in table if s != REST]
-    for stratum, rules in table.items():
-        here = ~F.col("stratum").isin(known) if stratum == REST else F.col("stratum") == stratum
-        for name, cutoff in rules.items():
-            verdict = verdict | (here & (F.col(name) >= cutoff))
-    return verdict
+def rejects():
+    """The rules as one expression over the ``measured`` columns and the cutoffs of the row's stratum."""
+    over = [F.coalesce(F.col(name) >= F.col(f"{name}_cutoff"), F.lit(False)) for name in LADDERS]
+    return reduce(or_, over)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), stratum: str = "lang") -> DataFrame:
@@ -221,8 +231,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), strat
     of its own, a null doc_id has no label, equal rows get equal verdicts. Strata without enough labels for a
     certificate, an empty label table among them, are judged by the base rule alone. Other columns are ignored.
     """
+    expect_skew(docs.sparkSession)
     rows = saved(measured(docs, stratum), "quality")
-    return rows.withColumn("kept", ~F.col("base_failed") & ~rejects(learned_cutoffs(rows, labels, risk)))
+    judged = rows.join(learned_cutoffs(rows, labels, risk), "stratum", "left")
+    return judged.select(*rows.columns, (~F.col("base_failed") & ~rejects()).alias("kept"))
 
 
 def passes(table: dict[str, dict[str, float]]):
@@ -234,7 +246,7 @@ def passes(table: dict[str, dict[str, float]]):
         words, out = WordTable(), []
         for text, stratum in zip(texts, strata):
             found = dict(zip(names, measure(text, words)))
-            rules = table.get(stratum, table.get(REST, {}))
+            rules = table.get(stratum, {})
             base_failed = (
                 found["n_words"] < MIN_WORDS or 100 * found["n_repeat_words"] > MAX_REPEAT_PERCENT * found["n_words"]
             )
@@ -249,5 +261,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), stratum:
 
     Texts are measured once to learn the cutoffs and once to apply them, which costs less than to move them.
     """
-    good = passes(learned_cutoffs(saved(measured(docs, stratum), "quality"), labels, risk))
+    good = passes(_as_dict(learned_cutoffs(saved(measured(docs, stratum), "quality"), labels, risk)))
     return docs.filter(good(F.col("text").cast("binary"), F.coalesce(F.col(stratum).cast("string"), F.lit(""))))

@@ -124,3 +124,25 @@ def test_odd_rows_are_judged(spark):
     kept = quality.keep_good(docs, labels)
     assert kept.columns == docs.columns and rows_of(kept, "doc_id") == sorted([(None,), (2,), (2,)], key=repr)
     assert quality.quality_rules(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_strata_beyond_any_number_are_judged_by_themselves(spark):
+    """None of 130 strata has labels for a certificate of its own; those of the smaller 70 together would do for one."""
+    rows = [(f"big{s}", prose(k, 15), 1) for s in range(60) for k in range(46)]
+    rows += [(f"small{s}", prose(k, 15), 1) for s in range(70) for k in range(40)]
+    rows += [(f"small{s}", "#$%& " * 3 + prose(-s, 12), 0) for s in range(70)]
+    rows += [(lang, "#$%& " * 3 + prose(s, 12), None) for s, lang in enumerate(["small3", "unlabelled"])]
+    docs = spark.createDataFrame([(k, lang, text) for k, (lang, text, _) in enumerate(rows)], "doc_id bigint, lang string, text string")
+    labels = spark.createDataFrame([(k, q) for k, (_, _, q) in enumerate(rows)], "doc_id bigint, quality int")
+    assert quality.quality_rules(docs, labels).filter("not kept").count() == 0
+    assert quality.keep_good(docs, labels).count() == len(rows)
+
+
+def test_only_the_strata_with_a_certificate_have_cutoffs(spark):
+    rows = [("en", prose(k, 15), 1) for k in range(3000)] + [("en", "#$%& " * 3 + prose(-k, 12), 0) for k in range(60)]
+    rows += [(f"l{s}", "#$%& " * 3 + prose(s, 12), 1) for s in range(70)] + [("(other)", rows[-1][1], None), (None, rows[-1][1], None)]
+    docs = spark.createDataFrame([(k, lang, text) for k, (lang, text, _) in enumerate(rows)], "doc_id bigint, lang string, text string")
+    labels = spark.createDataFrame([(k, q) for k, (_, _, q) in enumerate(rows)], "doc_id bigint, quality int")
+    judged = quality.quality_rules(docs, labels)
+    assert rows_of(judged.filter("not kept"), "doc_id") == sorted([(k,) for k in range(3000, 3060)], key=repr)
+    assert rows_of(quality.keep_good(docs, labels), "doc_id") == rows_of(judged.filter("kept"), "doc_id")
