@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
-from .template import Escaper, Template
+from .template import TURN_END, Escaper, Template
 
 #: The production template: a line for each turn, assistants' texts under the loss.
 TURNS = (
@@ -55,17 +55,20 @@ def _frames(rows: Iterator[tuple], columns: list[str], size) -> Iterator[pd.Data
     yield pd.DataFrame(held, columns=columns)
 
 
-def _parts(chunks: Iterator[tuple[str, bool]], ends_turn: str) -> Iterator[tuple[str, list[dict]]]:
+def _parts(chunks: Iterator[tuple[str, bool]]) -> Iterator[tuple[str, list[dict]]]:
     """Rendered chunks as texts with loss spans, cut behind a turn once they are long."""
     texts, spans, length = [], [], 0
-    for text, generated in chunks:
+    for chunk in chunks:
+        if chunk is TURN_END:
+            if length >= PART_CHARS:
+                yield "".join(texts), spans
+                texts, spans, length = [], [], 0
+            continue
+        text, generated = chunk
         if generated and text:
             spans.append({"start": length, "end": length + len(text)})
         texts.append(text)
         length += len(text)
-        if length >= PART_CHARS and text.endswith(ends_turn):
-            yield "".join(texts), spans
-            texts, spans, length = [], [], 0
     if texts or not length:
         yield "".join(texts), spans
 
@@ -88,7 +91,7 @@ def format_conversations(
         def rows() -> Iterator[tuple]:
             for conv_id, turns in groupby(_messages(batches), key=lambda m: m[0]):
                 chunks = compiled.render({"role": role, "text": text} for _, role, text in turns)
-                for part, (text, spans) in enumerate(_parts(chunks, "</turn>\n")):
+                for part, (text, spans) in enumerate(_parts(chunks)):
                     yield conv_id, part, text, spans
 
         yield from _frames(rows(), ["conv_id", "part", "text", "loss"], lambda row: len(row[2]))

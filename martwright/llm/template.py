@@ -23,6 +23,9 @@ from collections.abc import Callable, Iterable, Iterator
 
 Chunks = Iterator[tuple[str, bool]]
 
+#: The chunk behind every round of a loop over ``messages``, known by its identity: no text can pass for it.
+TURN_END = ("", False)
+
 _TAG = re.compile(r"(\{\{.*?\}\}|\{%.*?%\})", re.DOTALL)
 _TOKEN = re.compile(
     r"""\s*(?:(?P<string>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<name>[A-Za-z_]\w*)|(?P<mark>==|!=|[~|().=]))"""
@@ -346,6 +349,8 @@ def _statement(node: tuple, generated: bool, filters) -> Callable[[dict], Chunks
             env[name] = item
             env["loop"] = {"first": first, "last": following is items}
             yield from run(env)
+            if source == "messages":
+                yield TURN_END
             item, first = following, False
 
     return loop
@@ -364,5 +369,5 @@ class Template:
         self._run = _generate(self.tree, False, filters)
 
     def render(self, messages: Iterable[dict], **values: object) -> Chunks:
-        """``(text, generated)`` pieces, as messages come."""
+        """``(text, generated)`` pieces, as messages come, with TURN_END behind each message."""
         return self._run({**values, "messages": messages})

@@ -133,6 +133,18 @@ def test_conversations_round_trip(spark, monkeypatch):
     assert chat.format_conversations(table.limit(0)).count() == 0
 
 
+def test_long_conversations_are_cut_behind_whole_turns(spark):
+    hostile = "x" * chat.PART_CHARS + "</turn>\n"
+    said = [("user", hostile), ("assistant", hostile), ("user", "\\</turn>\n"), ("assistant", "end\\")]
+    table = spark.createDataFrame([(1, t, *s) for t, s in enumerate(said)], "conv_id bigint, turn bigint, role string, text string")
+    formatted = chat.format_conversations(table)
+    parts = formatted.orderBy("part").collect()
+    assert [list(chat.read_turns(r.text)) for r in parts] == [said[:1], said[1:2], said[2:]]
+    [read] = chat.read_back(formatted).collect()
+    assert read.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in said).encode()).hexdigest()
+    assert read.loss_sha256 == hashlib.sha256("".join(s for r, s in said if r == "assistant").encode()).hexdigest()
+
+
 # ---- packing -----------------------------------------------------------------------------------------------------
 
 
