@@ -80,4 +80,61 @@ ORACLE_SQL: dict[str, str] = {
                least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
         FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id
     """,
+    "op11_hard_negatives": """
+        WITH good AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label,
+                   list_inner_product(a.v, c.v)::BIGINT AS score
+            FROM good a, good c WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score
+            FROM scored WHERE label = anchor_label AND vec_id <> anchor_id
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id,
+               row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+               s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label
+        WHERE 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+        QUALIFY rank <= 10
+    """,
+    "op13_fingerprints": f"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars FROM documents
+        ), pairs AS (
+            SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first(text) OVER (ORDER BY doc_id)) AS next FROM texts
+        ), edits AS (
+            SELECT *, left(text, n_chars - n_chars // 2) || left(next, n_chars // 2) AS edited FROM pairs
+        ), each AS (
+            SELECT doc_id, 'own' AS what, text AS t FROM edits UNION ALL SELECT doc_id, 'next', next FROM edits
+            UNION ALL SELECT doc_id, 'edited', edited FROM edits
+        ), word_lists AS (
+            SELECT doc_id, what, list_filter(string_split_regex(translate(t, {_UPPER}), '[\\x20\\x09-\\x0D]+'),
+                                             lambda w: w <> '') AS ws FROM each
+        ), digests AS (
+            SELECT doc_id, what, list_transform(range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1),
+                                                lambda i: md5(array_to_string(ws[i:i + 4], ' '))[1:16]) AS ds
+            FROM word_lists
+        ), sketches AS (
+            SELECT doc_id, what, CASE WHEN len(list_filter(ds, lambda d: d < '4')) > 0
+                THEN list_sort(list_distinct(list_filter(ds, lambda d: d < '4'))) ELSE list_sort(ds)[1:1] END AS ds
+            FROM digests
+        ), sides AS (
+            SELECT o.doc_id, o.ds AS o, e.ds AS e, n.ds AS n
+            FROM (FROM sketches WHERE what = 'own') o JOIN (FROM sketches WHERE what = 'edited') e USING (doc_id)
+            JOIN (FROM sketches WHERE what = 'next') n USING (doc_id)
+        )
+        SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, array_to_string(o, '') AS fingerprint,
+               array_to_string(e, '') AS edited_fingerprint,
+               CASE WHEN least(len(o), len(e)) = 0 THEN (len(o) = len(e))::INT::DOUBLE
+                    ELSE len(list_intersect(o, e)) / least(len(o), len(e)) END AS near_edited,
+               CASE WHEN least(len(o), len(n)) = 0 THEN (len(o) = len(n))::INT::DOUBLE
+                    ELSE len(list_intersect(o, n)) / least(len(o), len(n)) END AS near_next
+        FROM edits JOIN sides USING (doc_id)
+    """,
 }

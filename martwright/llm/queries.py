@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from .chat import format_conversations, read_back
 from .common import documents
 from .decontaminate import contained_items
+from .fingerprints import as_text, fingerprints
 from .jaccard import jaccard_components
 from .lines import line_dedup
+from .negatives import hard_negatives
 from .packing import pack
 from .quality import COUNTS, quality_rules
 from .repeats import remove_repeats
+from .runs import periodic_runs
 from .secrets import BASE, listed, secret_spans
 from .toxicity import score_toxicity
 from .urls import judge_urls
@@ -112,3 +115,32 @@ def digests(pieces: DataFrame) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens"
     )
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    )
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    out = periodic_runs(documents(spark, folder), plant=True, keep_text=False)
+    return out.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256", "n_words"
+    )
+
+
+@query
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints(documents(spark, folder)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        as_text(F.col("digests")).alias("fingerprint"),
+        as_text(F.col("edited_digests")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
