@@ -71,12 +71,24 @@ def refresh_employees(current: DataFrame, src: Mapping[str, DataFrame], as_of: d
     return _keyed(rows, current, "employee_id", "employee_key", d.EMPLOYEE_START, reserved=d.UNKNOWN_EMPLOYEE_KEY)
 
 
+def newest_month(sales: DataFrame) -> DataFrame:
+    """The rows of the newest year and month, where ``sales`` are partitioned by them.
+
+    Both are scalar subqueries over partition columns, so only that partition's data is read.
+    """
+    for column in ("order_year", "order_month"):
+        if column in sales.columns:
+            sales = sales.where(F.col(column) == sales.agg(F.max(column)).scalar())
+    return sales
+
+
 def _newer_orders(current: DataFrame, src: Mapping[str, DataFrame]) -> DataFrame:
     """Orders after the newest order date on record.
 
     The mark is a scalar subquery, so it reaches the scan of the orders and old
     orders never take part in a join.
     """
+    current = newest_month(current)
     earliest = F.make_date(F.lit(1), F.lit(1), F.lit(1))
     mark = current.agg(F.coalesce(F.max("order_date"), earliest)).scalar()
     return src["orders"].where(F.col("order_date") > mark)

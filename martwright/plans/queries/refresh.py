@@ -19,7 +19,7 @@ from ...session import shared_folder
 from ...sources import tpch
 from ...streaming.products import read_dimension, start_dimension, stream_products
 from ..refresh import correct_sales, refresh_star
-from ..star import publish_star
+from ..star import SALES_PARTITION, publish_star
 from .registry import Inputs, query
 
 NEW_CATEGORY, NEW_REGION, NEW_TEAM = "PROMO", "EUROPE", "SALES 4"
@@ -75,7 +75,7 @@ def inc_employees(w: Inputs) -> DataFrame:
 
 @query("inc_sales")
 def inc_sales(w: Inputs) -> DataFrame:
-    old = w.star["sales_fact"].where(F.col("order_date") < F.lit(tpch.SPLIT_DATE))
+    old = w.star["sales_fact"].where(F.col("order_year") < tpch.SPLIT_DATE.year)
     return op.refresh_sales(old, w.src, w.star)
 
 
@@ -91,7 +91,7 @@ def inc_sales_upsert(w: Inputs) -> DataFrame:
     pending = w.src["orders"].where((F.col("status") == "Pending") & (F.year("order_date") == 2000))
     corrected = pending.withColumns({"status": F.lit("Shipped"), "order_date": F.date_add("order_date", 14)})
     rebuilt = op.fact_sales_of(corrected, w.src, w.star)
-    return op.upsert_facts(w.star["sales_fact"].drop("order_year"), rebuilt, ["order_id"], corrected)
+    return op.upsert_facts(w.star["sales_fact"].drop(*SALES_PARTITION), rebuilt, ["order_id"], corrected)
 
 
 @query("inc_products_stream")
@@ -134,7 +134,8 @@ def inc_refresh_all(w: Inputs) -> DataFrame:
     once, _ = refresh_star(w.spark, root, w.src, tpch.AS_OF, tuple(days))
     # Lines of new products in old orders lie below the mark: they come as corrections of their orders.
     late = w.src["order_items"].join(products.select("product_id"), "product_id", "left_anti").select("order_id")
-    once = correct_sales(w.spark, root, old_orders.join(late.distinct(), "order_id", "left_semi"), w.src)
+    corrected = old_orders.join(late.distinct(), "order_id", "left_semi")
+    once = correct_sales(w.spark, root, corrected, w.src, before=corrected)
     twice, _ = refresh_star(w.spark, root, w.src, tpch.AS_OF, tuple(days))
     sums = {"sales_fact": "order_total_price", "inventories_fact": "inventory_quantity"}
 

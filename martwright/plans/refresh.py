@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
-from functools import partial
+from functools import partial, reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..operators import dims as d
 from ..operators import scd
-from ..sources.publish import publish, publish_delta, publish_parts, side_by_side
-from .star import SALES_PARTITION, by_warehouse, read_dims, read_star, table_root, with_order_year
+from ..sources.publish import publish, publish_delta, publish_parts, read_newest, side_by_side, version_of
+from .star import SALES_PARTITION, by_warehouse, read_dims, read_star, star_versions, table_root, with_order_month
 
 # dimension: (natural key, surrogate key, active flag, first key, default start, reserved key)
 VERSIONED = {
@@ -69,10 +70,13 @@ def refresh_star(
     published as deltas, so neither large dimensions nor facts are rewritten. Only
     a dimension with holidays or type 2 ``changes`` (by dimension name) is published
     anew. Each step leaves a consistent star and adds nothing when repeated, so a
-    refresh that broke off is simply run again. Returns the star and the rejects:
+    refresh that broke off is simply run again. So is one that overlapped with another and raised
+    ``PublicationClash``: a table is only published if it is still at the version it
+    was read at, so that no member and no sale gets in twice. Returns the star and the rejects:
     changes per dimension, holidays outside the calendar under ``dim_date``, and new order
     lines without a day, customer or product under ``sales_fact``.
     """
+    versions = star_versions(spark, root)
     star, rejects = read_star(spark, root), {}
     new_countries = op.refresh_countries(star["dim_countries"], src)
     countries = star["dim_countries"].unionByName(new_countries)
@@ -84,13 +88,11 @@ def refresh_star(
         "dim_warehouses": op.refresh_warehouses(star["dim_warehouses"], src, countries),
         "dim_employees": op.refresh_employees(star["dim_employees"], src, as_of),
     }
-    side_by_side(
-        spark,
-        [
-            partial(publish_delta, _as_stored(name, star[name], rows), table_root(root, name))
-            for name, rows in new.items()
-        ],
-    )
+    deltas = [
+        partial(publish_delta, _as_stored(name, star[name], rows), table_root(root, name), base=versions[name])
+        for name, rows in new.items()
+    ]
+    versions.update(zip(new, side_by_side(spark, deltas)))
 
     dims = read_dims(spark, root)
     rewritten = {}
@@ -99,39 +101,52 @@ def refresh_star(
     for name, rows in (changes or {}).items():
         rewritten[name], rejects[name] = _changed(name, dims[name], rows, as_of)
     if rewritten:
-        side_by_side(spark, [partial(publish, frame, table_root(root, name)) for name, frame in rewritten.items()])
+        whole = [partial(publish, frame, table_root(root, name), base=versions[name]) for name, frame in rewritten.items()]
+        side_by_side(spark, whole)
         dims = read_dims(spark, root)
 
-    sales = op.refresh_sales(star["sales_fact"], src, dims)
-    rejects["sales_fact"] = op.refresh_sales_rejects(star["sales_fact"], src, dims)
+    newest = read_newest(spark, table_root(root, "sales_fact"))  # the mark needs no other month
+    sales = op.refresh_sales(newest, src, dims)
+    rejects["sales_fact"] = op.refresh_sales_rejects(newest, src, dims)
     now = {**dims, "dim_products": current_products(dims)}
     stock = op.refresh_inventories(star["inventories_fact"], src, now, dims["dim_products"])
+    facts = [
+        (with_order_month(sales), "sales_fact", SALES_PARTITION),
+        (by_warehouse(stock), "inventories_fact", ()),
+    ]
     side_by_side(
         spark,
-        [
-            partial(publish_delta, with_order_year(sales), table_root(root, "sales_fact"), SALES_PARTITION),
-            partial(publish_delta, by_warehouse(stock), table_root(root, "inventories_fact")),
-        ],
+        [partial(publish_delta, rows, table_root(root, name), by, base=versions[name]) for rows, name, by in facts],
     )
     return read_star(spark, root), rejects
 
 
 def correct_sales(
-    spark: SparkSession, root: str, orders: DataFrame, src: Mapping[str, DataFrame]
+    spark: SparkSession,
+    root: str,
+    orders: DataFrame,
+    src: Mapping[str, DataFrame],
+    before: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild the lines of corrected orders, also below the high-water mark.
 
-    They get the members in force on their new dates. Only the years such lines
-    were in, or are in now, are written anew.
+    They get the members in force on their new dates. Only the months such lines
+    were in, or are in now, are read and written anew. Which they were in is told by ``before``, these
+    orders (``order_date``) as they were loaded; without it, by the ids and partitions of the
+    fact, no other column of which is scanned for it.
     """
+    base = version_of(spark, table_root(root, "sales_fact"))
     star = read_star(spark, root)
-    rebuilt = with_order_year(op.fact_sales_of(orders, src, star))
-    before = star["sales_fact"].join(orders.select("order_id"), "order_id", "left_semi")
-    now = orders.select(F.year("order_date").alias(SALES_PARTITION))
-    touched = before.select(SALES_PARTITION).unionByName(now).where(F.col(SALES_PARTITION).isNotNull()).distinct()
-    years = [row[0] for row in touched.collect()]
-    if years:
-        affected = star["sales_fact"].where(F.col(SALES_PARTITION).isin(years))
-        sales = op.upsert_facts(affected, rebuilt, ["order_id"], orders)
-        publish_parts(sales, table_root(root, "sales_fact"), SALES_PARTITION, years)
+    rebuilt = with_order_month(op.fact_sales_of(orders, src, star))
+    if before is None:
+        was = star["sales_fact"].join(orders.select("order_id"), "order_id", "left_semi")
+    else:
+        was = with_order_month(before)
+    now = with_order_month(orders)
+    touched = was.select(*SALES_PARTITION).unionByName(now.select(*SALES_PARTITION)).distinct()
+    months = [tuple(row) for row in touched.where(F.col("order_year").isNotNull()).collect()]
+    if months:
+        held = reduce(or_, [(F.col("order_year") == y) & (F.col("order_month") == m) for y, m in sorted(months)])
+        sales = op.upsert_facts(star["sales_fact"].where(held), rebuilt, ["order_id"], orders)
+        publish_parts(sales, table_root(root, "sales_fact"), SALES_PARTITION, months, base)
     return read_star(spark, root)

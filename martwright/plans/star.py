@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..schemas import STAR_DDL
-from ..sources.publish import publish, read_published, side_by_side
+from ..sources.publish import publish, read_published, side_by_side, version_of
 
 DIMENSIONS = [name for name in STAR_DDL if name.startswith("dim_")]
-SALES_PARTITION = "order_year"
+SALES_PARTITION = ("order_year", "order_month")
 
 
-def with_order_year(sales: DataFrame) -> DataFrame:
-    return sales.withColumn(SALES_PARTITION, F.year("order_date"))
+def with_order_month(rows: DataFrame) -> DataFrame:
+    """Add the columns that sales are partitioned by."""
+    return rows.withColumns({"order_year": F.year("order_date"), "order_month": F.month("order_date")})
 
 
 def by_warehouse(inventories: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def publish_star(
     """Build and write the star, dimensions first, and return the written tables.
 
     Facts look their keys up in the written dimensions, so each key is worked
-    out once. Sales are partitioned by order year, the filter of most reports.
+    out once. Sales are partitioned by order year, the filter of most reports, and month.
     """
     dims = build_dims(src, as_of, calendar)
     side_by_side(spark, [partial(publish, dims[name], table_root(root, name)) for name in DIMENSIONS])
@@ -74,7 +75,7 @@ def publish_star(
     side_by_side(
         spark,
         [
-            partial(publish, with_order_year(facts["sales_fact"]), table_root(root, "sales_fact"), SALES_PARTITION),
+            partial(publish, with_order_month(facts["sales_fact"]), table_root(root, "sales_fact"), SALES_PARTITION),
             partial(publish, by_warehouse(facts["inventories_fact"]), table_root(root, "inventories_fact")),
         ],
     )
@@ -91,3 +92,8 @@ def read_dims(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_published(spark, table_root(root, name)) for name in STAR_DDL}
+
+
+def star_versions(spark: SparkSession, root: str) -> dict[str, int]:
+    """The version of every table; taken before a star is read, it makes later publications safe against others."""
+    return {name: version_of(spark, table_root(root, name)) for name in STAR_DDL}

@@ -1,17 +1,22 @@
 from .changes import append_delta, apply_corrections
-from .publish import publish, publish_delta, publish_parts, read_published
+from .publish import PublicationClash, clear_claims, compact, publish, publish_delta, publish_parts, read_newest, read_published, version_of
 from .tables import load_sources, register_views, row_counts
 from .tpch import source_model
 
 __all__ = [
+    "PublicationClash",
     "append_delta",
     "apply_corrections",
+    "clear_claims",
+    "compact",
     "load_sources",
     "publish",
     "publish_delta",
     "publish_parts",
+    "read_newest",
     "read_published",
     "register_views",
     "row_counts",
     "source_model",
+    "version_of",
 ]

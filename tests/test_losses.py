@@ -94,20 +94,75 @@ def test_differing_rows_of_a_batch_are_kept_aside(spark):
     assert list(map(tuple, others.collect())) == [(1, "a")]
 
 
-def test_two_writers_lose_nothing(spark, tmp_path):
+def _ids(spark, root):
+    return sorted(r.id for r in p.read_published(spark, root).collect())
+
+
+def test_of_writers_at_once_at_most_one_gets_in(spark, tmp_path):
     root = f"{tmp_path}/table"
-    p.publish(spark.range(3), root)
+    base = p.publish(spark.range(3), root)
 
     def add(k):
         try:
-            p.publish_delta(spark.range(10 * k, 10 * k + 2), root)
+            return p.publish_delta(spark.range(10 * k, 10 * k + 2), root, base=base)
         except p.PublicationClash:
-            pass
+            return None
 
     with ThreadPoolExecutor(4) as pool:
-        list(pool.map(add, [1, 2, 3, 4]))
-    wanted = [0, 1, 2, *(10 * k + i for k in (1, 2, 3, 4) for i in (0, 1))]
-    assert sorted(r.id for r in p.read_published(spark, root).collect()) == wanted
+        versions = list(pool.map(add, [1, 2, 3, 4]))
+    won = [k for k, v in zip([1, 2, 3, 4], versions) if v is not None]
+    assert len(won) <= 1 and all(v in (None, base + 1) for v in versions)
+    assert _ids(spark, root) == [0, 1, 2, *(10 * k + i for k in won for i in (0, 1))]
+    for k in {1, 2, 3, 4} - set(won):
+        p.publish_delta(spark.range(10 * k, 10 * k + 2), root)
+    assert _ids(spark, root) == [0, 1, 2, *(10 * k + i for k in (1, 2, 3, 4) for i in (0, 1))]
+
+
+def test_a_delta_from_an_older_state_is_refused(spark, tmp_path):
+    root = f"{tmp_path}/table"
+    base = p.publish(spark.range(3), root)
+    assert p.publish_delta(spark.range(3, 5), root, base=base) == base + 1
+    with pytest.raises(p.PublicationClash):
+        p.publish_delta(spark.range(3, 5), root, base=base)
+    with pytest.raises(p.PublicationClash):
+        p.publish(spark.range(1), root, base=base)
+    assert _ids(spark, root) == [0, 1, 2, 3, 4] and p.version_of(spark, root) == base + 1
+
+
+def test_rivals_wait_for_the_greater_and_give_way_to_the_less(spark, tmp_path, monkeypatch):
+    root = f"{tmp_path}/table"
+    base = p.publish(spark.range(1), root)
+    monkeypatch.setattr(p, "PATIENCE", 2.0)
+    # A rival with a lesser name stands: withdraw at once.
+    p._note(spark, [(base + 1, "0", False)], p._CLAIM, f"{root}/claims/entry=0")
+    with pytest.raises(p.PublicationClash):
+        p.publish_delta(spark.range(1, 2), root)
+    assert p._claims(spark, root, base + 1) == {"0"}
+    p._withdraw(spark, root, base + 1, "0")
+    # One with a greater name is waited for, and in the way while it stands.
+    p._note(spark, [(base + 1, "z", False)], p._CLAIM, f"{root}/claims/entry=z")
+    with pytest.raises(p.PublicationClash):
+        p.publish_delta(spark.range(1, 2), root)
+    looks = []
+    claims = p._claims
+
+    def withdrawn_at_the_second_look(*args):
+        looks.append(1)
+        if len(looks) == 2:
+            p._withdraw(spark, root, base + 1, "z")
+        return claims(*args)
+
+    monkeypatch.setattr(p, "_claims", withdrawn_at_the_second_look)
+    assert p.publish_delta(spark.range(1, 2), root) == base + 1 and len(looks) == 2
+    assert _ids(spark, root) == [0, 1]
+
+
+def test_claims_of_the_dead_can_be_cleared(spark, tmp_path):
+    root = f"{tmp_path}/table"
+    base = p.publish(spark.range(1), root)
+    p._note(spark, [(base + 1, "0", False)], p._CLAIM, f"{root}/claims/entry=0")
+    p.clear_claims(spark, root)
+    assert p.publish_delta(spark.range(1, 2), root) == base + 1
 
 
 def test_empty_deltas_are_not_listed_and_tables_are_compacted(spark, tmp_path):

@@ -110,8 +110,8 @@ def test_both_loads_end_to_end(spark, src, later, tmp_path):
     assert (line.order_date, line.order_status, line.order_year) == (day("2017-03-15"), "SHIPPED", 2017)
     assert fixed["sales_fact"].count() == 9
     *_, (_, newest, _, _) = _entries(spark, f"{root}/sales_fact")
-    written = {p.parent.name for p in (tmp_path / f"sales_fact/data/version={newest}").glob("order_year=*/*.parquet")}
-    assert written == {"order_year=2017"}, "other years are left alone"
+    written = {p.parent.name for p in (tmp_path / f"sales_fact/data/version={newest}").glob("order_year=2017/*/*.parquet")}
+    assert written == {"order_month=3"}, "February has lost its only line, other months are left alone"
     assert read_star(spark, root)["sales_fact"].agg(F.sum("order_total_price")).first()[0] == sum(
         i[3] * i[4] for i in LATER["order_items"]
     )
@@ -143,6 +143,87 @@ def test_a_year_can_lose_its_last_line(spark, src, tmp_path):
     assert correct_sales(spark, root, late.where("false"), src)["sales_fact"].count() == 7
 
 
+def test_corrections_read_and_write_the_touched_months_only(spark, src, tmp_path, monkeypatch):
+    from conftest import plan_text
+    from martwright.plans import refresh
+
+    root = str(tmp_path)
+    publish_star(spark, root, src, AS_OF, CALENDAR)
+    plans, publish_parts = [], refresh.publish_parts
+    monkeypatch.setattr(refresh, "publish_parts", lambda frame, *rest: (plans.append(plan_text(frame)), publish_parts(frame, *rest)))
+    before = src["orders"].where("order_id = 3")
+    star = correct_sales(spark, root, before.withColumn("order_date", F.lit(day("2017-06-07"))), src, before=before)
+    dates = {r.order_id: (r.order_date, r.order_month) for r in star["sales_fact"].collect()}
+    assert dates[3] == (day("2017-06-07"), 6) and dates[1] == (day("2017-01-10"), 1) and star["sales_fact"].count() == 7
+    scan = [line for line in plans[0].splitlines() if "PartitionFilters" in line and "order_month" in line]
+    assert scan and all("order_month#" in line.split("PartitionFilters")[1].split("PushedFilters")[0] for line in scan)
+    newest = [(drops, part) for v, _, drops, part in _entries(spark, f"{root}/sales_fact") if v == 2]
+    assert newest == [
+        (True, "order_year=2017/order_month=5"),
+        (True, "order_year=2017/order_month=6"),
+        (False, "order_year=2017/order_month=6"),
+    ]
+
+
+def test_the_mark_reads_one_month(spark, src, later, tmp_path):
+    from martwright.operators.incremental import newest_month
+    from martwright.sources import read_newest
+
+    root = str(tmp_path)
+    star = publish_star(spark, root, src, AS_OF, CALENDAR)
+    newest = read_newest(spark, f"{root}/sales_fact")
+    assert newest.inputFiles() and all("order_year=2017/order_month=5" in f for f in newest.inputFiles())
+    assert op.refresh_sales(newest, later, star).count() == op.refresh_sales(star["sales_fact"], later, star).count()
+    month = newest_month(star["sales_fact"])
+    assert _keys(month, "order_id") == [(3,), (3,)]
+    month.collect()
+    scan = next(line for line in month._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [isnotnull(order_year" in scan and "order_month" in scan.split("PartitionFilters")[1]
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_overlapping_refreshes_leave_each_row_once(spark, src, later, tmp_path, monkeypatch, together):
+    """Two refreshes from one state, at once, or one within the other."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from martwright.plans import refresh
+    from martwright.sources import PublicationClash
+
+    root = str(tmp_path)
+    publish_star(spark, root, src, AS_OF, CALENDAR)
+    span = (day("2017-06-01"), day("2018-01-31"))
+
+    def load(_=None):
+        try:
+            refresh_star(spark, root, later, day("2018-01-31"), span)
+            return True
+        except PublicationClash:
+            return False
+
+    if together:
+        with ThreadPoolExecutor(2) as pool:
+            done = list(pool.map(load, range(2)))
+        assert not all(done)
+    else:
+        read, first = refresh.read_star, []
+
+        def read_then_be_overtaken(*args):
+            frames = read(*args)
+            if not first:
+                first.append(0)
+                first[0] = load()
+            return frames
+
+        monkeypatch.setattr(refresh, "read_star", read_then_be_overtaken)
+        assert load() is False and first == [True]
+    assert load(), "run again, a refresh that lost goes through"
+    star = read_star(spark, root)
+    assert star["sales_fact"].count() == 9 and star["inventories_fact"].count() == 7
+    for name, key in [("dim_products", "product_id"), ("dim_customers", "customer_id"), ("dim_date", "calendar_date")]:
+        assert star[name].groupBy(key).count().where("count > 1").count() == 0
+    assert star["dim_products"].count() == 4 and star["dim_customers"].count() == 5
+
+
 def test_half_written_versions_do_not_show(spark, src, tmp_path):
     root = str(tmp_path)
     star = publish_star(spark, root, src, AS_OF, CALENDAR)
