@@ -18,14 +18,14 @@ from ..functions.calendar import calendar_columns
 from ..schemas import conform, star_schema
 from . import dims as d
 from .facts import fact_inventories, fact_sales_of, sales_rejects
-from .keys import highest_key, with_short_list_key, with_surrogate_key
+from .keys import highest_key, with_surrogate_key
 
 
 def _unseen(rows: DataFrame, current: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(current.select(*on), on, "left_anti")
 
 
-def _keyed(rows: DataFrame, current: DataFrame, natural_key: str, name: str, start: int, reserved: int | None = None):
+def _keyed(rows: DataFrame, current: DataFrame, natural_key: str, name: str, start: int, reserved: int | None = None) -> DataFrame:
     after = highest_key(current, name, reserved)
     return with_surrogate_key(rows, [natural_key], name, start, after=after, reserved=reserved)
 
@@ -54,8 +54,7 @@ def refresh_customers(current: DataFrame, src: Mapping[str, DataFrame], as_of: d
 def refresh_countries(current: DataFrame, src: Mapping[str, DataFrame]) -> DataFrame:
     rows = d.dim_countries_rows(src["countries"], src["regions"])
     fresh = _unseen(rows, current, ["country_id"])
-    after = highest_key(current, "country_key")
-    return with_short_list_key(fresh, "country_id", "country_key", d.COUNTRY_START, after)
+    return _keyed(fresh, current, "country_id", "country_key", d.COUNTRY_START)
 
 
 def refresh_warehouses(current: DataFrame, src: Mapping[str, DataFrame], countries_dim: DataFrame) -> DataFrame:

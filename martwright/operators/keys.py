@@ -5,18 +5,24 @@ leading natural key is cut into blocks by its high bits: rows are numbered
 inside their block, and blocks get their offsets from running sums of block
 sizes, themselves grouped by still higher bits. Distinct ids bound every window
 group: 2^18 ids in a block, 2^23 blocks in a zone, 2^23 zones in all (a single
-zone holds ids up to 2^41). The numbering depends on the data alone, so a
-recomputed task hands out the same keys.
+zone holds ids up to 2^41). Text ids have no such bits: their blocks are ranges between
+bounds taken from a sample of the ids, which is chosen by their hashes. The numbering
+depends on the data alone, so a recomputed task hands out the same keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType
+from pyspark.sql.types import DateType, IntegralType, StringType
 
 _BLOCK_BITS = 18
 _ZONE_BITS = 23
+#: Text ids in the sample (those of the least hashes), and every how many of them, in order, bounds a block.
+_SAMPLE = 16384
+_EVERY = 16
+#: Bounds that are looked through one by one, twice: among the first of each run of so many, then in that run.
+_RUN = 32
 
 
 def _before(count: str, *partition: str, order: str) -> Column:
@@ -34,6 +40,30 @@ def _leading_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"no surrogate keys over {dtype.simpleString()} column {name}")
 
 
+def _with_text_block(df: DataFrame, name: str) -> DataFrame:
+    """``_block``, the number of the range of ids that a text id lies in: how many bounds are not greater.
+
+    The bounds are a scalar subquery over the sample, at most _SAMPLE / _EVERY of them.
+    """
+    sample = df.select(name).where(F.col(name).isNotNull()).orderBy(F.xxhash64(name), name).limit(_SAMPLE)
+    ids = sample.agg(F.array_sort(F.collect_list(name)).alias("ids"))
+    bounds = ids.select(F.filter("ids", lambda _, at: at % _EVERY == _EVERY - 1)).scalar()
+
+    def passed(some: Column) -> Column:
+        return F.size(F.filter(some, lambda bound: bound <= F.col(name)))
+
+    runs = passed(F.filter("_bounds", lambda _, at: at % _RUN == 0))
+    before = F.greatest(runs - 1, F.lit(0)) * _RUN
+    block = before + passed(F.slice("_bounds", before + 1, F.lit(_RUN)))
+    return df.withColumn("_bounds", bounds).withColumn("_block", block.cast("bigint")).drop("_bounds")
+
+
+def _with_block(df: DataFrame, name: str) -> DataFrame:
+    if isinstance(df.schema[name].dataType, StringType):
+        return _with_text_block(df, name)
+    return df.withColumn("_block", F.shiftright(_leading_number(df, name), _BLOCK_BITS))
+
+
 def with_surrogate_key(
     df: DataFrame,
     natural_key: list[str],
@@ -44,10 +74,11 @@ def with_surrogate_key(
 ) -> DataFrame:
     """Add ``name``: ``start``, ``start`` + 1, … in order of the (unique) natural key.
 
+    The leading natural key is a whole number, a date or a text (in binary order).
     ``after`` continues behind an existing highest key (ignored while NULL).
     ``reserved`` is one key value never handed out (an unknown member's).
     """
-    cut = df.withColumn("_block", F.shiftright(_leading_number(df, natural_key[0]), _BLOCK_BITS))
+    cut = _with_block(df, natural_key[0])
     blocks = (
         cut.groupBy("_block")
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -73,13 +104,6 @@ def with_surrogate_key(
     return numbered.select(key.cast("bigint").alias(name), *df.columns)
 
 
-def with_short_list_key(df: DataFrame, natural_key: str, name: str, start: int, after: Column | None = None) -> DataFrame:
-    """The same for a list that its id type keeps short, such as two-letter codes."""
-    first = F.lit(start - 1) if after is None else F.greatest(F.lit(start - 1), after)
-    rank = F.row_number().over(Window.orderBy(natural_key))
-    return df.select((first + rank).cast("bigint").alias(name), *df.columns)
-
-
 def highest_key(dim: DataFrame, name: str, reserved: int | None = None) -> Column:
     """The highest key in use, as a scalar subquery (no driver round trip)."""
     used = dim if reserved is None else dim.where(F.col(name) != reserved)

@@ -138,15 +138,37 @@ def scd2_apply(
     return kept.unionByName(opened.select(dim.columns)), rejects
 
 
-def as_of_join(fact: DataFrame, dim: DataFrame, natural_key: str, date_col: str, how: str = "inner") -> DataFrame:
+def as_of_join(
+    fact: DataFrame, dim: DataFrame, natural_key: str, date_col: str, how: str = "inner", spread: int = 8
+) -> DataFrame:
     """Join each row to the version in force on its date; days before the first version belong to it.
 
-    The equality on the natural key carries the join; the date range only
-    filters among the few versions of one id.
+    Versions and rows are one stream per id, in order of their dates, along which the
+    last version seen is carried forward: each side is scanned, shuffled and sorted once, however
+    many versions an id has. The rows of an id are dealt over ``spread`` such streams, each with all versions of it, so
+    that an id with a third of all rows is not one task's. Rows without an id or date, with an
+    unknown id, or on a day that no version covers have no version (``how`` = ``left``) or go.
     """
-    f, v = fact.alias("f"), dim.withColumn("_from", in_force_from(natural_key)).alias("v")
-    on = (F.col(f"f.{natural_key}") == F.col(f"v.{natural_key}")) & F.col(f"f.{date_col}").between(
-        F.col("v._from"), F.col("v.end_date")
-    )
-    versions = [F.col(f"v.{c}") for c in dim.columns if c not in fact.columns]
-    return f.join(v, on, how).select(*[F.col(f"f.{c}") for c in fact.columns], *versions)
+    row = F.struct(*[F.col(c) for c in fact.columns])
+    version = F.struct(*[F.col(c) for c in dim.columns])
+    salt = F.xxhash64(*fact.columns)
+    # Rows without an id meet nothing and can be dealt over as many streams as there are rows.
+    stream = F.when(F.col(natural_key).isNull(), salt).otherwise(F.pmod(salt, F.lit(spread)))
+    rows = fact.select(
+        F.col(natural_key).alias("_id"), stream.alias("_stream"), F.col(date_col).alias("_date"), F.lit(1).alias("_kind"),
+        F.lit(None).cast(dim.schema).alias("_version"), row.alias("_row"),
+    )
+    versions = dim.where(F.col(natural_key).isNotNull()).select(
+        F.col(natural_key).alias("_id"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))).alias("_stream"),
+        F.col("start_date").alias("_date"), F.lit(0).alias("_kind"),
+        version.alias("_version"), F.lit(None).cast(fact.schema).alias("_row"),
+    )
+    along = Window.partitionBy("_id", "_stream").orderBy("_date", "_kind")
+    first = F.first("_version", True).over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    held = F.coalesce(F.last("_version", True).over(along), first)
+    found = versions.unionByName(rows).withColumn("_held", held).where("_kind = 1")
+    covers = F.col("_id").isNotNull() & (F.col("_date") <= F.col("_held.end_date"))
+    if how == "inner":
+        found = found.where(covers)
+    added = [F.when(covers, F.col(f"_held.{c}")).alias(c) for c in dim.columns if c not in fact.columns]
+    return found.select(*[F.col(f"_row.{c}").alias(c) for c in fact.columns], *added)

@@ -95,3 +95,9 @@ def fact_rejects(w: Inputs) -> DataFrame:
         "dim_products": w.star["dim_products"].where("product_category <> 'ECONOMY'"),
     }
     return op.sales_rejects(w.src, dims)
+
+
+@query("dim_text_keys")
+def dim_text_keys(w: Inputs) -> DataFrame:
+    """Surrogate keys over customers' names, a text id, in its order."""
+    return op.with_surrogate_key(w.src["customers"].select("name", "customer_id"), ["name"], "name_key", 1)

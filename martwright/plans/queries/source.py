@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from ...functions import calendar_columns, full_name, month_label_padded, parse_day_month_year, text_after_nth
-from ...sources import append_delta, apply_corrections, row_counts
+from ...session import shared_folder
+from ...sources import append_delta, apply_corrections, load_sources, row_counts, source_rejects
 from ...sources.tpch import SPLIT_DATE
 from .registry import Inputs, query
 
@@ -16,6 +21,65 @@ def src_row_counts(w: Inputs) -> DataFrame:
     return row_counts(w.src)
 
 
+#: A column of each table whose letters are counted after reading.
+_LETTERS = {
+    "regions": "region_name",
+    "countries": "country_name",
+    "locations": "address",
+    "warehouses": "warehouse_name",
+    "employees": "email",
+    "product_categories": "category_name",
+    "products": "product_name",
+    "customers": "address",
+    "contacts": "last_name",
+    "orders": "status",
+    "order_items": "order_id",
+    "inventories": "product_id",
+}
+
+
+@query("src_load_text")
+def src_load_text(w: Inputs) -> DataFrame:
+    """The source written as text exports, some order lines of it spoiled, and read again with the declared schema.
+
+    Per table the rows read, the letters of one of their columns, and the lines set aside.
+    """
+    folder = f"{shared_folder(w.spark)}/martwright/export-{uuid.uuid4().hex}"
+
+    def export(frame: DataFrame, name: str) -> None:
+        frame.write.mode("append").option("header", True).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
+
+    def as_text(frame: DataFrame) -> DataFrame:
+        days = [f.name for f in frame.schema.fields if isinstance(f.dataType, DateType)]
+        return frame.withColumns({day: F.upper(F.date_format(day, "dd-MMM-yy")) for day in days})
+
+    for name, frame in w.src.items():
+        export(as_text(frame), name)
+    spoiled = as_text(w.src["orders"].where(F.col("order_id") % 50 == 0))
+    no_number = F.col("order_id") % 100 == 0
+    export(
+        spoiled.withColumns(
+            {
+                "order_id": F.concat(F.when(no_number, "x").otherwise(""), F.col("order_id").cast("string")),
+                "order_date": F.when(no_number, F.col("order_date")).otherwise("31-FOO-99"),
+            }
+        ),
+        "orders",
+    )
+    loaded = load_sources(w.spark, folder, "csv", strict=False)
+    rejected = source_rejects(w.spark, folder).groupBy("table_name").agg(F.count(F.lit(1)).alias("rejected"))
+
+    def counted(name: str) -> DataFrame:
+        frame = loaded[name]
+        letters = F.sum(F.length(F.col(_LETTERS[name]).cast("string"))).alias("letters")
+        return frame.agg(F.count(F.lit(1)).alias("loaded"), letters).withColumn("table_name", F.lit(name))
+
+    counts = reduce(DataFrame.unionByName, [counted(name) for name in loaded])
+    return counts.join(rejected, "table_name", "left").select(
+        "table_name", "loaded", "letters", F.coalesce("rejected", F.lit(0)).cast("bigint").alias("rejected")
+    )
+
+
 @query("src_parse_dates")
 def src_parse_dates(w: Inputs) -> DataFrame:
     text = F.upper(F.date_format("order_date", "dd-MMM-yy"))

@@ -61,6 +61,19 @@ SQL: dict[str, str] = {}
 SQL["src_row_counts"] = " union all ".join(
     f"select '{name}' as table_name, count(*) as row_count from {block}" for name, block in _SOURCE.items()
 )
+_COUNTED_LETTERS = {
+    "regions": "region_name", "countries": "country_name", "locations": "address", "warehouses": "warehouse_name",
+    "employees": "email", "product_categories": "category_name", "products": "product_name", "customers": "address",
+    "contacts": "last_name", "orders": "status", "order_items": "cast(order_id as varchar)",
+    "inventories": "cast(product_id as varchar)",
+}
+SQL["src_load_text"] = " union all ".join(
+    f"""
+    select '{name}' as table_name, count(*) as loaded, cast(sum(length({_COUNTED_LETTERS[name]})) as bigint) as letters,
+           {"count(*) filter (where order_id % 50 = 0)" if name == "orders" else "cast(0 as bigint)"} as rejected
+    from {block}"""
+    for name, block in _SOURCE.items()
+)
 SQL["src_parse_dates"] = """
     select order_id, strftime(order_date, '%d-') || upper(strftime(order_date, '%b')) || strftime(order_date, '-%y')
            as date_text, cast(order_date as varchar) as order_date
@@ -104,6 +117,7 @@ SQL["dim_date_as_written"] = f"""
 SQL["dim_products"] = "select * from d_products"
 SQL["dim_customers"] = f"select {_CUSTOMER_COLUMNS} from d_customers"
 SQL["dim_countries"] = "select * from d_countries"
+SQL["dim_text_keys"] = "select row_number() over (order by name) as name_key, name, customer_id from s_customers"
 SQL["dim_warehouses"] = "select * from d_warehouses"
 SQL["dim_employees"] = f"select {_EMPLOYEE_COLUMNS} from d_employees"
 SQL["dim_employees_unknown"] = f"select {_EMPLOYEE_COLUMNS} from d_employees_all"

@@ -1,6 +1,6 @@
 from .changes import append_delta, apply_corrections
 from .publish import PublicationClash, clear_claims, compact, publish, publish_delta, publish_parts, read_newest, read_published, version_of
-from .tables import load_sources, register_views, row_counts
+from .tables import load_sources, register_views, row_counts, source_rejects
 from .tpch import source_model
 
 __all__ = [
@@ -18,5 +18,6 @@ __all__ = [
     "register_views",
     "row_counts",
     "source_model",
+    "source_rejects",
     "version_of",
 ]

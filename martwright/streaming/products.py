@@ -1,16 +1,25 @@
-"""Change-driven refresh of the product dimension."""
+"""Change-driven refresh of the product dimension.
+
+Which ids are known is kept in the state store of the stream, so a batch works on what has arrived
+and never reads the dimension: its base passes through the stream once, as its first rows, and the highest key
+is noted beside every batch.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..operators.dims import PRODUCT_START, dim_products_rows
+from ..operators.keys import with_surrogate_key
+from ..schemas import source_schema, star_schema
 
-from ..operators.incremental import refresh_products
-from ..schemas import star_schema
+_MARK = "seq bigint, highest bigint"
 
 
 def read_dimension(spark: SparkSession, dim_path: str) -> DataFrame:
@@ -21,6 +30,29 @@ def read_dimension(spark: SparkSession, dim_path: str) -> DataFrame:
 
 def start_dimension(dim: DataFrame, dim_path: str) -> None:
     dim.write.mode("overwrite").parquet(f"{dim_path}/batch=base")
+    written = dim.sparkSession.read.schema(star_schema("dim_products")).parquet(f"{dim_path}/batch=base")
+    _note_mark(written, -1, f"{dim_path}-marks/batch=base")
+
+
+def _note_mark(rows: DataFrame, seq: int, path: str) -> None:
+    highest = rows.agg(F.lit(seq).cast("bigint").alias("seq"), F.max("product_key").alias("highest"))
+    highest.write.mode("overwrite").parquet(path)
+
+
+def _first_seen(columns: list[str]):
+    """A product's rows, if its id has not been seen before; rows without a category do not count as seeing it."""
+
+    def fresh(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        seen = state.exists
+        for chunk in chunks:
+            placed = chunk["known"] | chunk["category_name"].notna()
+            if not state.exists and placed.any():
+                state.update((True,))
+            out = chunk[~placed] if seen else chunk
+            if len(out):
+                yield out[columns]
+
+    return fresh
 
 
 def _one_per_product(products: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -48,25 +80,52 @@ def stream_products(
 ) -> StreamingQuery:
     """Add products that arrive as new files under ``path`` to the dimension.
 
-    Each micro-batch is an ordinary refresh against the dimension without the
-    batch's own folder, which it then overwrites: a batch delivered twice after a
-    failure leaves one copy and the same keys. Of differing rows of a product within
-    a batch the greatest counts; the others go to ``rejects_path``, a folder per batch.
+    Products whose id the state does not know yet are new. They get keys behind the highest one noted by the batches before, in
+    a folder of the batch's own: a batch delivered twice after a failure starts from the same state and
+    marks, overwrites its folder, and leaves one copy and the same keys. Of differing rows of a
+    product within a batch the greatest counts; the others, and rows of no category (until one of their id has one),
+    go to ``rejects_path``, a folder per batch. Rows of a hot id stream through one task, chunk by chunk.
     """
+    products = source_schema("products")
+    # Text carries whole numbers and decimals through pandas as they are; nullable numbers would become floats.
+    named = StructType([StructField(name, StringType()) for name in [*products.names, "category_name"]])
+    named = named.add("known", "boolean")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        own = f"batch-{batch_id:010d}"
-        before = read_dimension(session, dim_path).where(F.col("batch") != own)
-        arrived, others = _one_per_product(as_products(batch))
-        others.write.mode("overwrite").parquet(f"{rejects_path(dim_path)}/batch={own}")
-        fresh = refresh_products(before, {"products": arrived, "product_categories": categories})
-        fresh.write.mode("overwrite").parquet(f"{dim_path}/batch={own}")
-
+        own = f"batch={'batch-%010d' % batch_id}"
+        # Written once and read again, so that the state moves on once per batch however often its rows are used.
+        batch.write.mode("overwrite").parquet(f"{dim_path}-arrived/{own}")
+        text = session.read.schema(named).parquet(f"{dim_path}-arrived/{own}")
+        rows = text.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in products})
+        base = rows.where("known").select("product_id")
+        arrived = rows.where("not known").drop("known").join(base, "product_id", "left_anti")
+        chosen, others = _one_per_product(arrived.where("category_name is not null").drop("category_name"))
+        homeless = arrived.where("category_name is null").select(others.columns)
+        others.unionByName(homeless).write.mode("overwrite").parquet(f"{rejects_path(dim_path)}/{own}")
+        marks = session.read.schema(_MARK).parquet(f"{dim_path}-marks/batch=*").where(F.col("seq") < batch_id)
+        highest = marks.agg(F.max("highest")).scalar()
+        fresh = with_surrogate_key(dim_products_rows(chosen, categories), ["product_id"], "product_key", PRODUCT_START, highest)
+        fresh.write.mode("overwrite").parquet(f"{dim_path}/{own}")
+        written = session.read.schema(star_schema("dim_products")).parquet(f"{dim_path}/{own}")
+        _note_mark(written, batch_id, f"{dim_path}-marks/{own}")
+
+    feed = as_products(spark.readStream.schema(schema).parquet(path)).select(products.names)
+    feed = feed.join(categories.select("category_id", "category_name"), "category_id", "left")
+    base = spark.readStream.schema(star_schema("dim_products")).parquet(f"{dim_path}/batch=base")
+    known = base.select(
+        "product_id",
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in products if f.name != "product_id"],
+        F.lit(None).cast("string").alias("category_name"),
+        F.lit(True).alias("known"),
+    )
+    both = known.unionByName(feed.withColumn("known", F.lit(False)))
+    seen = both.select(*[F.col(name).cast("string").alias(name) for name in named.names[:-1]], "known")
+    fresh = seen.groupBy("product_id").applyInPandasWithState(
+        _first_seen(named.names), named, "seen boolean", "append", "NoTimeout"
+    )
     return (
-        spark.readStream.schema(schema)
-        .parquet(path)
-        .writeStream.foreachBatch(apply)
+        fresh.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -62,3 +62,32 @@ def test_spread_over_many_tasks(spark):
     keyed = with_surrogate_key(ids, ["id"], "k", 1)
     off = keyed.where(F.col("k") != F.col("id") / 7 + 1).count()
     assert off == 0
+
+
+def test_text_ids_in_binary_order(spark, monkeypatch):
+    from martwright.operators import keys
+
+    monkeypatch.setattr(keys, "_EVERY", 2)
+    monkeypatch.setattr(keys, "_RUN", 7)
+    rng = random.Random(3)
+    ids = {f"customer-{rng.randrange(10**6):06d}" for _ in range(3000)} | {"", "a", "Z", "ä", "漢字", "~", "customer-", "x" * 5000}
+    df = spark.createDataFrame([(i,) for i in ids], "id string")
+    got = _keys(with_surrogate_key(df, ["id"], "k", 101))
+    assert got == {i: 101 + rank for rank, i in enumerate(sorted(ids, key=lambda i: i.encode()))}
+    blocks = keys._with_block(df, "id").groupBy("_block").count().collect()
+    assert len(blocks) > 1000 and max(r["count"] for r in blocks) <= 4
+    assert with_surrogate_key(df.limit(0), ["id"], "k", 1).count() == 0
+    some = spark.createDataFrame([(None,), ("b",), ("a",)], "id string")
+    assert _keys(with_surrogate_key(some, ["id"], "k", 1)) == {None: 1, "a": 2, "b": 3}
+
+
+def test_a_sampled_block_is_a_range(spark):
+    """More ids than the sample holds: every block is still a contiguous range, none far above its share."""
+    from martwright.operators import keys
+
+    df = spark.range(200_000).select(F.concat(F.lit("customer-"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("id"))
+    blocks = keys._with_block(df, "id").groupBy("_block").agg(F.min("id"), F.max("id"), F.count("id")).orderBy("_block").collect()
+    assert all(one[2] < two[1] for one, two in zip(blocks, blocks[1:]))
+    assert len(blocks) == keys._SAMPLE // keys._EVERY + 1 and max(r[3] for r in blocks) < 5 * 200_000 / len(blocks)
+    keyed = with_surrogate_key(df, ["id"], "k", 1)
+    assert keyed.where(F.col("k") != F.substring("id", 10, 9).cast("bigint") + 1).count() == 0

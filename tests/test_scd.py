@@ -156,3 +156,45 @@ def test_as_of_join(spark, star):
         (2, day("2030-01-01")): 1002,
     }
     assert op.as_of_join(sales, dim, "product_id", "order_date", "left").count() == 4
+
+
+def test_as_of_join_edges(spark, star):
+    dim, _ = _apply(_first(star), _changes(spark, (1, day("2018-01-01"), "NEW"), (1, day("2019-01-01"), "NEWER")))
+    gap = dim.where("product_description <> 'NEW'")  # 2018 is covered by no version
+    sales = spark.createDataFrame(
+        [(1, day("2018-06-01"), "a"), (1, day("2019-01-01"), "b"), (1, None, "c"), (None, day("2018-01-01"), "d"), (99, day("2018-01-01"), "e")]
+        + [(1, day("2019-01-01"), "b")],
+        "product_id bigint, order_date date, product_name string",
+    )
+    inner = op.as_of_join(sales, gap, "product_id", "order_date").collect()
+    assert sorted((r.product_name, r.product_description) for r in inner) == [("b", "NEWER"), ("b", "NEWER")]
+    left = op.as_of_join(sales, gap, "product_id", "order_date", "left")
+    assert left.columns[:3] == sales.columns and left.count() == 6
+    assert left.where("product_key is null").count() == 4
+    assert op.as_of_join(sales.limit(0), gap, "product_id", "order_date").count() == 0
+
+
+def test_as_of_join_scans_each_side_once_and_spreads_a_hot_id(spark, tmp_path):
+    versions = spark.range(50).selectExpr(
+        "id % 5 as product_id", "id as product_key", "date_add(date'2017-01-01', cast(id * 7 as int)) as start_date",
+        "date'9999-12-31' as end_date",
+    )
+    rows = spark.range(60_000).selectExpr(
+        "if(id % 3 = 0, 1, id % 5) as product_id", "date_add(date'2016-12-01', cast(id % 500 as int)) as order_date", "id as line"
+    )
+    versions.write.parquet(f"{tmp_path}/v")
+    rows.write.parquet(f"{tmp_path}/r")
+    v, r = spark.read.parquet(f"{tmp_path}/v"), spark.read.parquet(f"{tmp_path}/r")
+    joined = op.as_of_join(r, v, "product_id", "order_date")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    held = {}
+    for x in v.collect():
+        held.setdefault(x.product_id, []).append((x.start_date, x.product_key))
+    got = joined.collect()
+    assert len(got) == 60_000
+    for x in got[::97]:
+        starts = sorted(held[x.product_id])
+        assert x.product_key == max([s for s in starts if s[0] <= x.order_date] or starts[:1])[1]
+    spread = r.where("product_id = 1").selectExpr("pmod(xxhash64(product_id, order_date, line), 8) as s").groupBy("s").count()
+    assert spread.count() == 8 and max(c["count"] for c in spread.collect()) < 1.2 * 24_000 / 8 * 1.2

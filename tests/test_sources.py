@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SHOP, day
 from martwright import operators as op
 from martwright.schemas import SOURCE_DDL
-from martwright.sources import append_delta, apply_corrections, load_sources, register_views, row_counts
+from martwright.sources import append_delta, apply_corrections, load_sources, register_views, row_counts, source_rejects
 
 
 def test_parquet_and_text_exports_read_alike(spark, src, tmp_path):
@@ -33,6 +33,28 @@ def test_bad_text_fails_loudly(spark, src, tmp_path):
         load_sources(spark, str(tmp_path), "csv")["orders"].collect()
 
 
+def test_lines_that_do_not_fit_are_set_aside(spark, src, tmp_path):
+    for name, frame in src.items():
+        days = [f.name for f in frame.schema.fields if f.dataType.simpleString() == "date"]
+        text = frame.withColumns({d: F.upper(F.date_format(d, "dd-MMM-yy")) for d in days})
+        text.write.option("header", True).csv(f"{tmp_path}/{name}")
+    header = "order_id,customer_id,status,salesman_id,order_date"
+    lines = ["x7,1,Shipped,,01-JAN-17", "8,1,Shipped,,31-FOO-17", "9,1", "10,1,Shipped,,02-JAN-17,more", "11,1,Shipped,,"]
+    (tmp_path / "orders" / "late.csv").write_text("\n".join([header, *lines]) + "\n")
+    orders = load_sources(spark, str(tmp_path), "csv", strict=False)["orders"]
+    assert orders.columns == src["orders"].columns
+    assert sorted(r.order_id for r in orders.select("order_id").collect()) == [1, 2, 3, 4, 5, 11]
+    assert orders.count() == 6, "however few columns are asked for"
+    rejects = source_rejects(spark, str(tmp_path)).collect()
+    assert {r.line.split(",")[0]: r.reject_reason for r in rejects} == {
+        "x7": "the line does not fit the declared columns",
+        "8": "order_date is no date",
+        "9": "the line does not fit the declared columns",
+        "10": "the line does not fit the declared columns",
+    }
+    assert all(r.table_name == "orders" and r.file.endswith("late.csv") for r in rejects)
+
+
 def test_counts_and_views(spark, src):
     assert {r.table_name: r.row_count for r in row_counts(src).collect()} == {n: len(rows) for n, rows in SHOP.items()}
     register_views(src, "shop_")

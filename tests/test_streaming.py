@@ -3,7 +3,7 @@ from __future__ import annotations
 import shutil
 
 from martwright.schemas import source_schema
-from martwright.streaming.products import read_dimension, start_dimension, stream_products
+from martwright.streaming.products import read_dimension, rejects_path, start_dimension, stream_products
 
 
 def _feed(spark, rows, path, name):
@@ -19,6 +19,7 @@ def _feed(spark, rows, path, name):
 def test_products_arrive_in_batches_and_never_twice(spark, star, src, tmp_path):
     feed, dim, checkpoint = f"{tmp_path}/feed", f"{tmp_path}/dim", f"{tmp_path}/checkpoint"
     start_dimension(star["dim_products"], dim)
+    base_rows = []
 
     def run():
         query = stream_products(
@@ -26,6 +27,10 @@ def test_products_arrive_in_batches_and_never_twice(spark, star, src, tmp_path):
         )
         query.awaitTermination()
         assert query.exception() is None
+        for at in query.recentProgress:
+            for source in at["sources"]:
+                if "batch=base" in source["description"]:
+                    base_rows.append(source["numInputRows"])
         return sorted((r.product_id, r.product_key) for r in read_dimension(spark, dim).collect())
 
     start = [(1, 1001), (2, 1002), (3, 1003)]
@@ -38,3 +43,22 @@ def test_products_arrive_in_batches_and_never_twice(spark, star, src, tmp_path):
     # The last batch is delivered again, as after a crash before its commit was noted.
     shutil.rmtree(f"{checkpoint}/commits")
     assert run() == start + [(4, 1004), (5, 1005), (7, 1006)]
+    assert [n for n in base_rows if n] == [3], "the dimension is read once, to fill the state"
+
+
+def test_rejects_of_the_stream_and_empty_ids(spark, star, src, tmp_path):
+    feed, dim, checkpoint = f"{tmp_path}/feed", f"{tmp_path}/dim", f"{tmp_path}/checkpoint"
+    start_dimension(star["dim_products"], dim)
+
+    def run():
+        query = stream_products(spark, f"{feed}/*", checkpoint, dim, src["product_categories"], source_schema("products"))
+        query.awaitTermination()
+        assert query.exception() is None
+        return sorted((r.product_id, r.product_name, r.product_key) for r in read_dimension(spark, dim).collect())[3:]
+
+    _feed(spark, [(5, "a", "d", "1", "2", 1), (5, "b", "d", "1", "2", 1), (6, "c", "d", "1", "2", 99), (1, "x", "d", "1", "2", 1)], feed, "one")
+    assert run() == [(5, "B", 1004)]
+    rejects = spark.read.parquet(f"{rejects_path(dim)}/batch=*")
+    assert sorted((r.product_id, r.product_name) for r in rejects.collect()) == [(5, "a"), (6, "c")]
+    _feed(spark, [(6, "c", "d", "1", "2", 2), (5, "late", "d", "1", "2", 1)], feed, "two")
+    assert run() == [(5, "B", 1004), (6, "C", 1005)], "a product comes in once it has a category"
