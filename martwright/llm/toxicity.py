@@ -1,7 +1,8 @@
 """Toxicity: terms learned from labels, misspelled ones caught by Levenshtein automata over their trie.
 
 Labels say which documents are toxic. The lexicon are the words that toxic documents hold far more often. A word of
-a text is a hit if it is a term or one edit away from a long one; the edits are found by walking the word's
+a text, or a run of letters joined by single digits or signs, is a hit if it is a term or one edit away from one of four letters or
+more, and not itself a word of clean documents; the edits are found by walking the word's
 Levenshtein automaton through the trie of all terms. A window around each hit tells quotation from abuse. Sums
 of both kinds of hits go into a logistic regression.
 """
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -26,12 +27,11 @@ SAMPLE = 10_000
 #: Every FOLDS-th checksum of an id is held out.
 FOLDS = 5
 #: A term stands in this many toxic sample documents, is this many times as frequent there, and so by chance for
-#: less than one of all words met; most terms kept.
+#: less than one of all words met. Every such word is a term; the sample bounds their number.
 MIN_DOCUMENTS = 3
 MIN_RATIO = 8.0
-MAX_TERMS = 2000
 #: Terms this long may be misspelled by EDITS edits.
-FUZZY_LENGTH = 5
+FUZZY_LENGTH = 4
 EDITS = 1
 #: Characters on either side of a hit in which quotation marks are looked for.
 WINDOW = 60
@@ -39,7 +39,22 @@ QUOTES = "\"“”„«»‘’‹›"
 #: Words a worker remembers as no hits; it only saves time.
 TABLE = 600_000
 
+#: Runs of letters; and runs of them joined by single digits or signs, which spell a term with some of its letters hidden.
 _WORD = re.compile(r"[^\W\d_]+")
+_JOINED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:(?:[^\s\w]|[\d_])[^\W\d_]++)++")
+
+
+def tokens(lower: str) -> list[str]:
+    return _WORD.findall(lower) + _JOINED.findall(lower)
+
+
+def shortened(word: str, edits: int) -> set[str]:
+    """``word`` with up to ``edits`` characters left out."""
+    out = layer = {word}
+    for _ in range(edits):
+        layer = {w[:k] + w[k + 1 :] for w in layer for k in range(len(w))}
+        out = out | layer
+    return out
 
 
 class Levenshtein:
@@ -72,34 +87,43 @@ class Levenshtein:
 _END = ""
 
 
+def trie_of(terms: Iterable[str]) -> dict:
+    """Nodes by character; behind a term's last one stands the term itself, under _END."""
+    root: dict = {}
+    for term in terms:
+        node = root
+        for char in term:
+            node = node.setdefault(char, {})
+        node[_END] = term
+    return root
+
+
 class Lexicon:
-    """Terms with weights, as a trie."""
+    """Terms with weights, and which of them a misspelled word can be."""
 
     def __init__(self, terms: dict[str, float], harmless: frozenset[str] = frozenset()):
         self.terms, self.harmless = terms, harmless
-        self.trie: dict = {}
-        self.heads, self.tails = set(), set()
+        self.near: dict[str, list[str]] = {}
         for term in terms:
             if len(term) >= FUZZY_LENGTH:
-                node = self.trie
-                for char in term:
-                    node = node.setdefault(char, {})
-                node[_END] = term
-                half = len(term) // 2
-                self.heads.add(term[:half])
-                self.tails.add(term[half:])
-        self.head_sizes = sorted({len(h) for h in self.heads})
-        self.tail_sizes = sorted({len(t) for t in self.tails})
+                for part in shortened(term, EDITS):
+                    self.near.setdefault(part, []).append(term)
+        self.longest = max(map(len, self.near), default=0) + EDITS
         self.no: set[str] = set()
 
     def close(self, word: str) -> str | None:
-        """The least term within EDITS of ``word``. One edit leaves the first or the second half of the term alone."""
-        if not any(word[:n] in self.heads for n in self.head_sizes) and not any(
-            word[-n:] in self.tails for n in self.tail_sizes
-        ):
+        """The least term within EDITS of ``word``.
+
+        Two words so close have a common word when up to EDITS characters of each are left out. That picks the
+        branches of the trie that the automaton is run through: none for most words, and few for the others.
+        """
+        if len(word) > self.longest:
+            return None
+        likely = {term for part in shortened(word, EDITS) for term in self.near.get(part, ())}
+        if not likely:
             return None
         automaton, found = Levenshtein(word, EDITS), []
-        stack = [(self.trie, automaton.start())]
+        stack = [(trie_of(likely), automaton.start())]
         while stack:
             node, state = stack.pop()
             for char, child in node.items():
@@ -144,12 +168,12 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     if len(lower) != len(text):
         text = lower
     words = _WORD.findall(lower)
-    hits = lexicon.look_up(set(words))
+    hits = lexicon.look_up({*words, *_JOINED.findall(lower)})
     if not hits:
         return [0.0] * N_FEATURES
     abuse = quotation = misspelled = 0.0
     count, terms = 0, set()
-    for found in _WORD.finditer(lower):
+    for found in chain(_WORD.finditer(lower), _JOINED.finditer(lower)):
         if found[0] in hits:
             term, exact = hits[found[0]]
             weight, share = lexicon.terms[term], quoted(text, found.start(), found.end())
@@ -197,7 +221,7 @@ def _held_out(doc_id):
 
 def _words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        words = [list(set(_WORD.findall((t or "").lower()))) for t in batch["text"]]
+        words = [list(set(tokens((t or "").lower()))) for t in batch["text"]]
         yield pd.DataFrame({"word": list(chain.from_iterable(words)), "toxic": np.repeat(batch["toxic"].to_numpy(), [len(w) for w in words])})
 
 
@@ -210,7 +234,7 @@ def _divergence(seen, share: float):
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the texts of labelled rows that are not held out, at most SAMPLE of each label.
 
-    Word counts are Spark's; the driver gets the sample's size, at most MAX_TERMS terms, the sample's words close to them
+    Word counts are Spark's; the driver gets the sample's size, the terms, the sample's words close to them
     in clean documents, and N_FEATURES numbers for each sample document.
     """
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
@@ -238,8 +262,6 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         counts.filter(F.col("bad") >= MIN_DOCUMENTS)
         .withColumns({"ratio": ratio, "evidence": number * _divergence(F.col("bad") / number, share)})
         .filter((F.col("ratio") >= MIN_RATIO) & (F.col("evidence") >= math.log(max(counts.count(), 2))))
-        .orderBy(F.desc(F.col("bad") * F.log("ratio")), "word")
-        .limit(MAX_TERMS)
     )
     terms = {r["word"]: math.log(r["ratio"]) for r in best.collect()}
 

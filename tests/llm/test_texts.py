@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
@@ -298,7 +299,7 @@ def test_lexicons_find_misspelled_terms():
     words = {"".join(rng.choice("abcd") for _ in range(rng.randint(2, 9))) for _ in range(2000)} | {"abcda"}
     got = lexicon.look_up(words)
     for w in words:
-        close = sorted(t for t in terms if len(t) >= 5 and _distance(t, w) <= 1)
+        close = sorted(t for t in terms if len(t) >= 4 and _distance(t, w) <= 1)
         wanted = (w, True) if w in terms else (close[0], False) if close and w != "abcda" else None
         assert got.get(w) == wanted, w
 
@@ -345,3 +346,99 @@ def test_odd_tables_are_scored(spark):
         assert len(rows) == 4 and len({r.score for r in rows}) == 1
         assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
     assert toxicity.score_toxicity(docs.limit(0), none).count() == 0
+
+
+def _plain_tokens(lower):
+    """(start, end) of runs of letters, and of two or more such runs with one other character between neighbours."""
+    runs, at = [], 0
+    while at < len(lower):
+        end = at
+        while end < len(lower) and lower[end].isalpha():
+            end += 1
+        if end > at:
+            runs.append((at, end))
+        at = max(end, at + 1)
+    joined, group = [], []
+    for run in [*runs, (10**9, 0)]:
+        if group and not (run[0] == group[-1][1] + 1 and not lower[group[-1][1]].isspace()):
+            if len(group) > 1:
+                joined.append((group[0][0], group[-1][1]))
+            group = []
+        group.append(run)
+    return runs, joined
+
+
+def _plain_features(text, terms, harmless):
+    lower = (text or "").lower()
+    runs, joined = _plain_tokens(lower)
+    abuse = quotation = misspelled = 0.0
+    count, met = 0, set()
+    for a, b in runs + joined:
+        word = lower[a:b]
+        term = word if word in terms else None
+        if term is None and word not in harmless:
+            term = min((t for t in terms if len(t) >= 4 and _distance(word, t) <= 1), default=None)
+        if term is None:
+            continue
+        before, after = lower[max(0, a - 60) : a].split("\n")[-1], lower[b : b + 60].split("\n")[0]
+        share = 0.5 * any(q in before for q in toxicity.QUOTES) + 0.5 * any(q in after for q in toxicity.QUOTES)
+        if word == term:
+            abuse, quotation = abuse + terms[term] * (1 - share), quotation + terms[term] * share
+        else:
+            misspelled += terms[term] * (1 - share)
+        met.add(term)
+        count += 1
+    per_hundred = 100 * count / len(runs) if runs else 0.0
+    return [math.log1p(x) for x in (abuse, quotation, misspelled, len(met), per_hundred)]
+
+
+def test_features_like_plain_search():
+    rng = random.Random(6)
+    terms = {"scum": 2.0, "moron": 3.0, "idiot": 1.5, "id-iot": 2.5, "ass": 1.0}
+    harmless = frozenset({"spam", "moro"})
+    lexicon = toxicity.Lexicon(terms, harmless)
+    pieces = [*terms, "spam", "moro", "scvm", "s.cum", "id1ot", "m*ron", "idi0t,", "mor-on", "as", "x1y", "well-known", "don't", "ÜBER", "a_b", "9"]
+    for k in range(400):
+        words = [rng.choice(pieces) for _ in range(rng.randint(0, 25))]
+        text = "".join(w + rng.choice([" ", "\n", ' "', '" ', ", ", "  "]) for w in words)
+        assert toxicity.features(text, lexicon) == pytest.approx(_plain_features(text, terms, harmless)), text
+    for hidden in ("you id1ot", "you m*ron", "scm", "SCUUM", "s-cum"):
+        assert toxicity.features(hidden, lexicon)[2] > 0
+    long_word = "x" * 100_000
+    assert toxicity.features(long_word + " moron", lexicon)[0] > 0
+
+
+def test_model_like_plain_counts(spark):
+    docs, labels = _toxic_corpus(spark, 300)
+    toxicity.ship(spark)
+    model = toxicity.learn(docs, labels)
+    held = {i for (i,) in rows_of(docs, "doc_id") if zlib.crc32(str(i).encode()) % 5 == 0}
+    wanted = dict(rows_of(labels, "doc_id", "toxic"))
+    train = [(text, wanted[i]) for i, text in rows_of(docs, "doc_id", "text") if i in wanted and i not in held]
+    sizes = [sum(1 for _, t in train if t == k) for k in (0, 1)]
+    seen: dict[str, list[int]] = {}
+    for text, t in train:
+        lower = (text or "").lower()
+        for word in {lower[a:b] for spans in _plain_tokens(lower) for a, b in spans}:
+            seen.setdefault(word, [0, 0])[t] += 1
+    share = sizes[1] / sum(sizes)
+    terms = {}
+    for word, (good, bad) in seen.items():
+        n, ratio = good + bad, ((bad + 0.5) / (sizes[1] + 1)) / ((good + 0.5) / (sizes[0] + 1))
+        odds = bad / n
+        evidence = bad * math.log(odds / share) if bad else 0.0
+        evidence += good * math.log((1 - odds) / (1 - share)) if good else 0.0
+        if bad >= 3 and ratio >= 8 and evidence >= math.log(max(len(seen), 2)):
+            terms[word] = math.log(ratio)
+    assert model.terms == pytest.approx(terms) and terms
+    near = {w for w, (good, bad) in seen.items() if good > 0 and good >= bad and w not in terms and any(len(t) >= 4 and _distance(w, t) <= 1 for t in terms)}
+    assert model.harmless == near
+    rows = np.array([_plain_features(text, terms, near) for text, _ in train])
+    design, y = np.column_stack((np.ones(len(rows)), rows)), np.array([t for _, t in train])
+    w = np.array(model.coefficients)
+    slope = design.T @ (y - 1 / (1 + np.exp(-design @ w))) - np.array([1e-6, *[1.0] * (len(w) - 1)]) * w
+    assert np.abs(slope).max() < 1e-3, "the coefficients are where the penalised likelihood is greatest"
+    got = dict(rows_of(toxicity.score_toxicity(docs, labels), "doc_id", "score"))
+    for i, text in rows_of(docs, "doc_id", "text")[:60]:
+        plain = 1 / (1 + math.exp(-(w[0] + np.dot(w[1:], _plain_features(text, terms, near)))))
+        assert got[i] == pytest.approx(plain, abs=1e-6)
