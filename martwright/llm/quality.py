@@ -1,11 +1,12 @@
 """Quality rules whose cutoffs come with a guarantee against rejecting good documents.
 
-Every rule is a measure of the text and a cutoff. For each stratum and rule a labelled holdout counts how many
-good documents each cutoff of a fixed ladder would reject. An exact (Clopper-Pearson) binomial bound turns the
-count into an upper limit of the true false rejection rate. The ladder is climbed from the laxest cutoff and
-left at the first one whose bound exceeds the rule's share of the risk, so the steps of one ladder need no
-correction (fixed-sequence testing); strata and rules share the error probability evenly (Bonferroni). Of the
-certified cutoffs the laxest one that rejects as many of the labelled bad documents as any is used.
+Every rule is a measure of the text and a ladder of cutoffs. All steps of all ladders make one fixed path, from the
+laxest to the strictest, on which each step tightens one rule and keeps the others; so the rules in force reject more
+and more documents, and a document has a first step at which it goes. For each stratum a labelled holdout counts
+how many good documents go up to each step, whichever rule takes them. An exact (Clopper-Pearson) binomial bound
+turns the count into an upper limit of the true rate of false rejections by all rules together. The path is followed to the first step whose bound
+exceeds the risk, so its steps need no correction (fixed-sequence testing); strata share the error probability
+evenly (Bonferroni). Of the certified steps the first that rejects as many of the labelled bad documents as any is used.
 """
 
 from __future__ import annotations
@@ -44,6 +45,15 @@ LADDERS: dict[str, tuple[float, ...]] = {
     "repeat_share": (0.19, 0.17, 0.15, 0.13, 0.11, 0.09, 0.07, 0.05, 0.04, 0.03),
     "same_word_share": (0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.65, 0.6),
 }
+#: All steps in the order in which they are tested: by how far up its ladder each one is.
+PATH: list[tuple[str, float]] = [
+    step
+    for _, step in sorted(
+        (((k + 1) / len(cutoffs), at), (name, cutoff))
+        for at, (name, cutoffs) in enumerate(LADDERS.items())
+        for k, cutoff in enumerate(cutoffs)
+    )
+]
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURED = ", ".join([f"{c} long" for c in COUNTS] + [f"{m} double" for m in LADDERS])
 CUTOFFS = ", ".join(["stratum string"] + [f"{m}_cutoff double" for m in LADDERS])
@@ -51,7 +61,7 @@ CUTOFFS = ", ".join(["stratum string"] + [f"{m}_cutoff double" for m in LADDERS]
 
 @dataclass(frozen=True)
 class Risk:
-    """At most ``rate`` of the good documents of a stratum are rejected, with probability ``1 - error``."""
+    """Of the good documents of a stratum that pass the base rule at most ``rate`` go, with probability ``1 - error``."""
 
     rate: float = 0.02
     error: float = 0.05
@@ -156,46 +166,75 @@ def upper_bound(rejected: int, total: int, error: float) -> float:
     return high
 
 
+def last_step(good: list[int], bad: list[int], total: int, strata: int, risk: Risk) -> int | None:
+    """The step to stop at, of the good and bad rows that go at each step of the path; None if none is certified and of use.
+
+    ``total`` counts the good rows, those that never go included; ``strata`` share the error.
+    """
+    best, taken, caught = None, 0, 0
+    for step in range(len(good)):
+        taken, caught = taken + good[step], caught + bad[step]
+        if upper_bound(taken, total, risk.error / max(1, strata)) > risk.rate:
+            break
+        if caught > (best[0] if best else 0):
+            best = (caught, step)
+    return best[1] if best else None
+
+
+def cutoffs_at(step: int) -> dict[str, float]:
+    """The cutoffs in force at a step of the path."""
+    return dict(PATH[: step + 1])  # later steps of a rule replace earlier ones
+
+
 def _certify(strata: int, risk: Risk):
-    """Counts of strata to their certified cutoffs (null: none), where there is one; ``strata`` share the error."""
-    error = risk.error / max(1, strata * len(LADDERS))
-    share = risk.rate / len(LADDERS)
-
-    def chosen(row: dict, name: str) -> float | None:
-        certified = []
-        for k, cutoff in enumerate(LADDERS[name]):
-            if upper_bound(row[f"{name}:{k}:good"], row["good"], error) > share:
-                break
-            certified.append((row[f"{name}:{k}:bad"], -k, cutoff))
-        return max(certified)[2] if certified and max(certified)[0] > 0 else None
+    """Counts of strata to their certified cutoffs (null: none), where there is one."""
+
+    def chosen(steps: list, total: int) -> dict[str, float]:
+        good, bad = [0] * len(PATH), [0] * len(PATH)
+        for s in steps:
+            if s["step"] < len(PATH):
+                good[s["step"]], bad[s["step"]] = s["good"], s["bad"]
+        last = last_step(good, bad, total, strata, risk)
+        return {} if last is None else cutoffs_at(last)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["stratum", *(f"{name}_cutoff" for name in LADDERS)]
         for batch in batches:
-            found = [(row["stratum"], *(chosen(row, name) for name in LADDERS)) for row in batch.to_dict("records")]
-            rows = [row for row in found if any(cutoff is not None for cutoff in row[1:])]
+            found = [(s, chosen(steps, total)) for s, steps, total in zip(batch["stratum"], batch["steps"], batch["good"])]
+            rows = [(s, *(rules.get(name) for name in LADDERS)) for s, rules in found if rules]
             yield pd.DataFrame(rows, columns=columns).astype({c: "float64" for c in columns[1:]})
 
     return work
 
 
+def first_step():
+    """The first step of the path at which a ``measured`` row goes; the path's length if it stays."""
+    where: dict[str, list[tuple[float, int]]] = {name: [] for name in LADDERS}
+    for at, (name, cutoff) in enumerate(PATH):
+        where[name].append((cutoff, at))
+
+    def of(name: str):
+        step = F.when(F.lit(False), 0)
+        for cutoff, at in where[name]:
+            step = step.when(F.col(name) >= cutoff, at)
+        return step.otherwise(len(PATH))
+
+    return F.least(*(of(name) for name in LADDERS))
+
+
 def certified_cutoffs(holdout: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """``stratum`` and a cutoff of each measure (null: none), of all strata that have a certified one, from the
     ``measured`` columns and ``quality`` (1: good) of all labelled rows.
 
-    Spark counts, for each stratum, rule and step of its ladder, the good and bad rows at or above it, and certifies
-    every stratum by itself. A certificate takes so many good labels that few strata are left, whatever their number.
+    Spark counts, for each stratum and step of the path, the good and bad rows that go there, and certifies
+    every stratum by itself, however many there are.
     """
-    good, bad = F.col("quality") == 1, F.col("quality") == 0
-    counts = [F.count_if(good).alias("good")]
-    for name, steps in LADDERS.items():
-        for k, cutoff in enumerate(steps):
-            over = F.col(name) >= cutoff
-            counts += [
-                F.count_if(over & good).alias(f"{name}:{k}:good"),
-                F.count_if(over & bad).alias(f"{name}:{k}:bad"),
-            ]
-    table = saved(holdout.groupBy("stratum").agg(*counts), "ladders")
+    good, bad = F.count_if(F.col("quality") == 1), F.count_if(F.col("quality") == 0)
+    steps = holdout.groupBy("stratum", first_step().alias("step")).agg(good.alias("good"), bad.alias("bad"))
+    table = saved(
+        steps.groupBy("stratum").agg(F.collect_list(F.struct("step", "good", "bad")).alias("steps"), F.sum("good").alias("good")),
+        "steps",
+    )
     return saved(table.mapInPandas(_certify(table.count(), risk), CUTOFFS), "cutoffs")
 
 
@@ -211,9 +250,9 @@ def cutoffs(holdout: DataFrame, risk: Risk = Risk()) -> dict[str, dict[str, floa
 
 
 def learned_cutoffs(rows: DataFrame, labels: DataFrame, risk: Risk) -> DataFrame:
-    """``certified_cutoffs`` from all ``measured`` rows that have a label."""
+    """``certified_cutoffs`` from all ``measured`` rows that have a label and pass the base rule, which takes the others anyway."""
     judged = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    return certified_cutoffs(rows.join(judged, "doc_id"), risk)
+    return certified_cutoffs(rows.filter("not base_failed").join(judged, "doc_id"), risk)
 
 
 def rejects():

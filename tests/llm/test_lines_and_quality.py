@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 import pytest
@@ -65,6 +66,21 @@ def test_measures_by_hand():
     assert counts("#x|\n#x|\n \n \n\u00e9\u00e9") == (3, 8, 4, 1, 0)
 
 
+def test_counts_like_plain_python():
+    import random
+
+    rng = random.Random(4)
+    pieces = ["a", "b", "#x", "$", "<b>", "é|", "漢", " ", "  ", "\t", "\n", "\n", " \n", "\x0b", "A&B", "%%"]
+    for _ in range(300):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 60)))
+        w = [x for x in re.split("[\x20\x09-\x0d]+", text) if x]
+        lines = [x for x in text.split("\n") if x.strip("\x20\x09\x0a\x0b\x0c\x0d")]
+        runs = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        covered = {k + j for k in range(len(w) - 4) if runs[tuple(w[k : k + 5])] > 1 for j in range(5)}
+        plain = (len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered))
+        assert quality.measure(text.encode(), WordTable())[:5] == plain, text
+
+
 def test_repeated_words_like_a_plain_count():
     import random
 
@@ -102,15 +118,69 @@ def test_cutoffs_need_enough_labels_and_keep_the_good(spark):
     assert quality.quality_rules(few, labels).filter("not kept").count() == 0
 
 
-def test_certified_cutoffs_hold_their_share_of_the_risk(spark):
+def test_certified_cutoffs_hold_the_risk_together(spark):
     docs, labels = _labelled(spark, 1500, 60)
     rows = quality.measured(docs).join(labels, "doc_id").cache()
     table = quality.cutoffs(rows)
-    share, error = 0.02 / len(quality.LADDERS), 0.05 / len(quality.LADDERS)
     assert table["en"]
-    for name, cutoff in table["en"].items():
-        wrong = rows.filter((F.col(name) >= cutoff) & (F.col("quality") == 1)).count()
-        assert quality.upper_bound(wrong, 1500, error) <= share
+    over = " or ".join(f"{name} >= {cutoff}" for name, cutoff in table["en"].items())
+    wrong = rows.filter(f"({over}) and quality = 1").count()
+    assert quality.upper_bound(wrong, 1500, 0.05) <= 0.02
+    assert rows.filter(f"({over}) and quality = 0").count() == 60
+
+
+def test_three_hundred_good_labels_do(spark):
+    docs, labels = _labelled(spark, 300, 10)
+    assert quality.quality_rules(docs, labels).filter("kept and doc_id >= 300").count() == 0
+    assert quality.last_step([0, 0], [0, 5], 300, 4, quality.Risk()) == 1
+    assert quality.last_step([0, 0], [0, 5], 200, 4, quality.Risk()) is None
+
+
+def test_the_first_step_is_the_first_rule_over_its_cutoff(spark):
+    import random
+
+    rng = random.Random(2)
+    names = list(quality.LADDERS)
+    rows = [[rng.choice([0.0, rng.random(), *quality.LADDERS[n]]) for n in names] for _ in range(300)]
+    got = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).select(*names, quality.first_step().alias("step"))
+    for row in got.collect():
+        wanted = next((k for k, (n, c) in enumerate(quality.PATH) if row[n] >= c), len(quality.PATH))
+        assert row.step == wanted
+        for last in (0, 20, len(quality.PATH) - 1):
+            assert (row.step <= last) == any(row[n] >= c for n, c in quality.cutoffs_at(last).items())
+    assert sorted(quality.PATH) == sorted((n, c) for n, steps in quality.LADDERS.items() for c in steps)
+
+
+def test_the_first_path_that_is_chosen_is_that_of_a_plain_search():
+    import random
+
+    rng = random.Random(9)
+    for _ in range(100):
+        good, bad = ([rng.choice([0, 0, 0, 1, 2]) for _ in range(12)] for _ in range(2))
+        total = rng.randint(sum(good), 1200)
+        certified = []
+        for k in range(12):
+            if quality.upper_bound(sum(good[: k + 1]), total, 0.05 / 3) > 0.02:
+                break
+            certified.append((sum(bad[: k + 1]), -k))
+        best = max(certified, default=(0, 0))
+        assert quality.last_step(good, bad, total, 3, quality.Risk()) == (-best[1] if best[0] else None)
+
+
+def test_false_rejections_stay_under_the_rate():
+    """Good documents go at each step with a known chance; in 95 of 100 draws the step chosen rejects no more than the rate."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    chance = np.r_[np.full(20, 0.0004), np.full(20, 0.0012), np.full(20, 0.004)]
+    truth, over, used = np.cumsum(chance), 0, 0
+    for _ in range(400):
+        total = int(rng.integers(300, 3000))
+        good = rng.multinomial(total, [*chance, 1 - chance.sum()])[:-1].tolist()
+        last = quality.last_step(good, [1] * len(chance), total, 1, quality.Risk())
+        used += last is not None
+        over += last is not None and truth[last] > 0.02
+    assert used > 300 and over <= 0.05 * 400
 
 
 def test_odd_rows_are_judged(spark):
