@@ -27,6 +27,7 @@ from .incremental import (
 from .keys import with_surrogate_key
 from .quality import (
     cascade_delete,
+    cascade_delete_all,
     duplicate_keys,
     null_counts,
     orphan_count,
@@ -43,6 +44,7 @@ __all__ = [
     "UNKNOWN_EMPLOYEE_KEY",
     "as_of_join",
     "cascade_delete",
+    "cascade_delete_all",
     "current",
     "dim_countries",
     "dim_customers",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -40,6 +41,43 @@ def cascade_delete(child: DataFrame, deleted: DataFrame, on: str) -> DataFrame:
     return child.join(deleted.select(on), on, "left_anti").select(child.columns)
 
 
+def cascade_delete_all(
+    tables: Mapping[str, DataFrame],
+    foreign_keys: list[tuple[str, str, str, str]],
+    parent: str,
+    key: str,
+    deleted: DataFrame,
+) -> dict[str, DataFrame]:
+    """What is left of ``parent`` and of every table below it once the rows of ``parent`` whose ``key`` ``deleted`` holds are gone.
+
+    ``foreign_keys`` (child, column, parent, its column) are followed level by level, from lines of orders to
+    orders of customers; a row goes with any of the rows it refers to, and one that refers to nothing (NULL) stays. A
+    table that refers to itself, or two that refer to each other, cannot be followed and raise.
+    """
+    below, reached = [parent], {parent}
+    while more := {child for child, _, above, _ in foreign_keys if above in reached} - reached:
+        reached |= more
+    links = [link for link in foreign_keys if link[2] in reached]
+    if any(child in (above, parent) for child, _, above, _ in links):
+        raise ValueError(f"foreign keys go in circles among {sorted(reached)}")
+    while len(below) < len(reached):
+        ready = [t for t in sorted(reached - {*below}) if all(above in below for child, _, above, _ in links if child == t)]
+        if not ready:
+            raise ValueError(f"foreign keys go in circles among {sorted(reached - {*below})}")
+        below += ready
+    gone = {parent: tables[parent].join(deleted.select(key), key, "left_semi")}
+    left = {parent: tables[parent].join(deleted.select(key), key, "left_anti").select(tables[parent].columns)}
+    for table in below[1:]:
+        rows = tables[table]
+        doomed = []
+        for _, column, above, its_column in (link for link in links if link[0] == table):
+            keys = gone[above].select(F.col(its_column).alias(column))
+            doomed.append(tables[table].join(keys, column, "left_semi").select(rows.columns))
+            rows = rows.join(keys, column, "left_anti").select(rows.columns)
+        gone[table], left[table] = reduce(DataFrame.unionByName, doomed), rows
+    return left
+
+
 def reconcile_counts(tables: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """(table_name, expected_rows, actual_rows) for pairs of (source, loaded) frames."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from ...schemas import (
     STAR_PRIMARY_KEYS,
     column_names,
 )
+from ...sources import row_counts
 from .registry import Inputs, query
 
 
@@ -87,6 +89,16 @@ def dq_cascade_delete(w: Inputs) -> DataFrame:
     )
 
 
+@query("dq_cascade_customers")
+def dq_cascade_customers(w: Inputs) -> DataFrame:
+    """Rows left per table, from customers down to lines and facts, once European customers are gone."""
+    tables = ChainMap(w.star, w.src)
+    # A dimension's member goes with the source row it stands for.
+    keys = [*SOURCE_FOREIGN_KEYS, *STAR_FOREIGN_KEYS, ("dim_customers", "customer_id", "customers", "customer_id")]
+    gone = w.src["customers"].where(F.col("address").endswith(", EUROPE"))
+    return row_counts(op.cascade_delete_all(tables, keys, "customers", "customer_id", gone))
+
+
 @query("dq_reconcile_counts")
 def dq_reconcile_counts(w: Inputs) -> DataFrame:
     known = w.star["dim_employees"].where(F.col("employee_key") != op.UNKNOWN_EMPLOYEE_KEY)

@@ -182,6 +182,16 @@ SQL["dq_cascade_delete"] = """
            count(distinct product_key) as products
     from f_sales where product_key not in (select product_key from d_products where product_category = 'ECONOMY')
     group by order_status"""
+SQL["dq_cascade_customers"] = """
+    with gone as (select customer_id from s_customers where address like '%, EUROPE'),
+    gone_orders as (select order_id from s_orders where customer_id in (from gone)),
+    gone_members as (select customer_key from d_customers where customer_id in (from gone))
+    select 'customers' as table_name, count(*) as row_count from s_customers where customer_id not in (from gone)
+    union all select 'contacts', count(*) from s_contacts where customer_id not in (from gone)
+    union all select 'orders', count(*) from s_orders where customer_id not in (from gone)
+    union all select 'order_items', count(*) from s_items where order_id not in (from gone_orders)
+    union all select 'dim_customers', count(*) from d_customers where customer_id not in (from gone)
+    union all select 'sales_fact', count(*) from f_sales where customer_key not in (from gone_members)"""
 SQL["dq_reconcile_counts"] = " union all ".join(
     f"""select '{loaded}' as table_name, s.n as expected_rows, t.n as actual_rows,
                case when s.n = t.n then 'Y' else 'N' end as matches

@@ -85,3 +85,23 @@ def test_quality_checks(spark, src, star):
     assert {tuple(r) for r in counted.collect()} == {("a", 5, 5, "Y"), ("b", 5, 7, "N")}
     wide = op.width_violations(star["sales_fact"], {"order_status": 7, "unit_price": (4, 2)})
     assert {r.column_name: r.violations for r in wide.collect()} == {"order_status": 1, "unit_price": 3}
+
+
+def test_a_delete_goes_all_the_way_down(spark, src, star):
+    from collections import ChainMap
+
+    from martwright.schemas import SOURCE_FOREIGN_KEYS
+
+    gone = spark.createDataFrame([(1,), (3,), (None,)], "customer_id bigint")
+    left = op.cascade_delete_all(src, SOURCE_FOREIGN_KEYS, "customers", "customer_id", gone)
+    assert {name: frame.count() for name, frame in left.items()} == {"customers": 2, "contacts": 1, "orders": 2, "order_items": 3}
+    assert sorted(r.order_id for r in left["order_items"].collect()) == [3, 3, 4]
+    assert all(frame.columns == src[name].columns for name, frame in left.items())
+    # A line goes with its order or with its product, and counts once.
+    keys = [("order_items", "order_id", "orders", "order_id"), ("order_items", "product_id", "products", "product_id")]
+    both = [("orders", "order_id", "top", "order_id"), ("products", "product_id", "top", "order_id"), *keys]
+    top = spark.createDataFrame([(1,), (2,)], "order_id bigint")
+    left = op.cascade_delete_all(ChainMap({"top": top}, src), both, "top", "order_id", top.where("order_id = 1"))
+    assert sorted((r.order_id, r.product_id) for r in left["order_items"].collect()) == [(3, 2), (3, 3), (4, 2)]
+    with pytest.raises(ValueError, match="circles"):
+        op.cascade_delete_all(src, SOURCE_FOREIGN_KEYS, "employees", "employee_id", src["employees"])
