@@ -18,7 +18,7 @@ from test_lines_and_quality import _plain_lines
 from test_pairs import _edited, _plain_components, _plain_contained
 
 DATA = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "conversations", "labels", "benchmark")
+TABLES = ("documents", "benchmark", "conversations", "pages", "labels", "embeddings")
 
 
 def _corpus():
@@ -74,10 +74,10 @@ def test_queries_equal_their_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_native_queries_run_no_python(spark):
-    for name in ("op3_decontamination", "op5_url_filter", "op6_line_dedup"):
+    for name in ("op3_decontamination", "op5_url_filter", "op6_line_dedup", "op13_fingerprints"):
         plan = QUERIES[name](spark, DATA)._jdf.queryExecution().toString()
         assert not any(word in plan for word in ("Python", "InPandas", "InArrow")), name
