@@ -26,6 +26,9 @@ Chunks = Iterator[tuple[str, bool]]
 #: The chunk behind every round of a loop over ``messages``, known by its identity: no text can pass for it.
 TURN_END = ("", False)
 
+#: Where a stretch of messages stands in its conversation; no name of the language can be one of these.
+_OPENS, _CLOSES = "first stretch", "last stretch"
+
 _TAG = re.compile(r"(\{\{.*?\}\}|\{%.*?%\})", re.DOTALL)
 _TOKEN = re.compile(
     r"""\s*(?:(?P<string>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<name>[A-Za-z_]\w*)|(?P<mark>==|!=|[~|().=]))"""
@@ -343,11 +346,12 @@ def _statement(node: tuple, generated: bool, filters) -> Callable[[dict], Chunks
     def loop(env: dict) -> Chunks:
         items = iter(env.get(source) or ())
         item = next(items, items)
-        first = True
+        whole = source != "messages"
+        first, closes = whole or env.get(_OPENS, True), whole or env.get(_CLOSES, True)
         while item is not items:
             following = next(items, items)
             env[name] = item
-            env["loop"] = {"first": first, "last": following is items}
+            env["loop"] = {"first": first, "last": following is items and closes}
             yield from run(env)
             if source == "messages":
                 yield TURN_END
@@ -368,6 +372,26 @@ class Template:
         self.tree = _fold(body, {}, filters, once)
         self._run = _generate(self.tree, False, filters)
 
+        loops = [k for k, n in enumerate(self.tree) if n[0] == "for" and n[2] == "messages"]
+        uses = sum(n[0] == "for" and n[2] == "messages" for n in _walk(self.tree))
+        #: No turn depends on others but by ``loop``, so a conversation can be rendered in stretches.
+        self.by_turn = len(loops) == uses == 1 and not any(n[0] == "set" for n in _walk(self.tree[loops[0]][3]))
+        if self.by_turn:
+            at = loops[0]
+            self._pieces = [_generate(part, False, filters) for part in (self.tree[:at], [self.tree[at]], self.tree[at + 1 :])]
+
     def render(self, messages: Iterable[dict], **values: object) -> Chunks:
         """``(text, generated)`` pieces, as messages come, with TURN_END behind each message."""
         return self._run({**values, "messages": messages})
+
+    def render_stretch(self, messages: Iterable[dict], opens: bool, closes: bool, **values: object) -> Chunks:
+        """What ``render`` gives for some neighbouring messages of a conversation, if ``by_turn``.
+
+        Stretches joined in order are the whole; ``opens`` and ``closes`` tell whether this is the first and the last.
+        """
+        env = {**values, "messages": messages, _OPENS: opens, _CLOSES: closes}
+        before, loop, after = self._pieces
+        yield from (chunk for chunk in before(env) if opens)
+        yield from loop(env)
+        if closes:
+            yield from after(env)

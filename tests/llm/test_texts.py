@@ -146,6 +146,41 @@ def test_long_conversations_are_cut_behind_whole_turns(spark):
     assert read.loss_sha256 == hashlib.sha256("".join(s for r, s in said if r == "assistant").encode()).hexdigest()
 
 
+@pytest.mark.parametrize("source", [chat.TURNS, "<{% for m in messages %}{% if loop.first %}[{% endif %}{{ m.text }}{% if loop.last %}]{% endif %}{% endfor %}>"])
+def test_a_hot_conversation_is_rendered_by_many_tasks(spark, monkeypatch, source):
+    rows = [(1, t, "assistant" if t % 2 else "user", f"</turn> {t}") for t in range(900)] + [(1, None, "user", "nothing")]
+    rows += [(c, t, "assistant", "### x") for c in range(2, 40) for t in range(3)]
+    rows += [(None, 7, "user", str(k)) for k in range(60)] + [(90, None, "user", str(k)) for k in range(60)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(7)
+    whole = chat.format_conversations(table, source)
+    assert not whole.where("split").count()
+    digests = rows_of(chat.read_back(whole), "*") if source == chat.TURNS else None
+    monkeypatch.setattr(chat, "HOT_TURNS", 50)
+    monkeypatch.setattr(chat, "PART_CHARS", 100)
+    parts = chat.format_conversations(table, source)
+    # One turn number cannot be cut: only conversation 1 is.
+    assert {r.conv_id for r in parts.where("split").select("conv_id").distinct().collect()} == {1}
+    assert parts.where("conv_id = 1").selectExpr(f"part div {chat.STRETCH_PARTS}").distinct().count() > 100
+
+    def joined(df):
+        texts = {}
+        for r in sorted(df.collect(), key=lambda r: r.part):
+            texts[r.conv_id] = texts.get(r.conv_id, "") + r.text
+        return texts
+
+    assert joined(parts) == joined(whole)
+    if digests:
+        assert rows_of(chat.read_back(parts), "*") == digests
+
+
+def test_which_templates_can_be_cut():
+    cut = lambda source: template.Template(source).by_turn
+    assert cut("{% set a = 'x' %}{% for m in messages %}{{ a }}{{ m.text }}{% endfor %}{{ a }}")
+    assert not cut("{% for m in messages %}{% set a = m.text %}{{ a }}{% endfor %}")
+    assert not cut("{% for m in messages %}{% for n in messages %}{{ n.text }}{% endfor %}{% endfor %}")
+    assert not cut("{{ messages }}")
+
+
 # ---- packing -----------------------------------------------------------------------------------------------------
 
 
