@@ -32,6 +32,7 @@ from .quality import (
     null_counts,
     orphan_count,
     orphan_rows,
+    reconcile_contents,
     reconcile_counts,
     width_violations,
 )
@@ -62,6 +63,7 @@ __all__ = [
     "null_counts",
     "orphan_count",
     "orphan_rows",
+    "reconcile_contents",
     "reconcile_counts",
     "refresh_countries",
     "refresh_customers",

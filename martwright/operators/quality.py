@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.contents import Contents
+
 
 def duplicate_keys(df: DataFrame, pk: list[str]) -> DataFrame:
     """Key values held by more than one row, with their row count."""
@@ -97,6 +99,31 @@ def reconcile_counts(tables: dict[str, tuple[DataFrame, DataFrame]]) -> DataFram
     )
 
 
+def reconcile_contents(tables: dict[str, tuple[DataFrame, Contents, tuple[int, int]]]) -> DataFrame:
+    """(table_name, expected_rows, actual_rows, same_contents) of sources and what was observed when their targets were written.
+
+    Each table has its source, what of the source the target must hold, and the target's rows and
+    fingerprint (``published_contents``). The target is not read; the source is scanned once. Contents are the same if
+    the same rows, however ordered, occur equally often.
+    """
+    rows = [
+        source.agg(wanted.rows().alias("expected_rows"), wanted.fingerprint().alias("wanted")).select(
+            F.lit(name).alias("table_name"),
+            "expected_rows",
+            F.lit(actual_rows).cast("bigint").alias("actual_rows"),
+            F.when(
+                (F.col("expected_rows") == actual_rows)
+                & (F.col("wanted") == F.lit(str(fingerprint)).cast("decimal(38,0)")),
+                "Y",
+            )
+            .otherwise("N")
+            .alias("same_contents"),
+        )
+        for name, (source, wanted, (actual_rows, fingerprint)) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def width_violations(df: DataFrame, limits: dict[str, int | tuple[int, int]]) -> DataFrame:
     """(column_name, violations) against text widths and (precision, scale) limits, in one pass."""
 

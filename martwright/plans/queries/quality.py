@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ... import operators as op
+from ...functions.contents import Contents
 from ...schemas import (
     SOURCE_FOREIGN_KEYS,
     SOURCE_PRIMARY_KEYS,
@@ -20,6 +21,7 @@ from ...schemas import (
     column_names,
 )
 from ...sources import row_counts
+from ..star import star_contents
 from .registry import Inputs, query
 
 
@@ -99,19 +101,37 @@ def dq_cascade_customers(w: Inputs) -> DataFrame:
     return row_counts(op.cascade_delete_all(tables, keys, "customers", "customer_id", gone))
 
 
+# loaded table: (its source, the source's columns that STAR_CONTENTS observes in the loaded table)
+LOADED_FROM = {
+    "dim_products": ("products", ("product_id",)),
+    "dim_customers": ("customers", ("customer_id", "credit_limit")),
+    "dim_countries": ("countries", ("country_id",)),
+    "dim_warehouses": ("warehouses", ("warehouse_id",)),
+    "dim_employees": ("employees", ("employee_id", "hire_date")),
+    "sales_fact": ("order_items", ("order_id", "quantity", "unit_price")),
+    "inventories_fact": ("inventories", ("quantity",)),
+}
+
+
 @query("dq_reconcile_counts")
 def dq_reconcile_counts(w: Inputs) -> DataFrame:
-    known = w.star["dim_employees"].where(F.col("employee_key") != op.UNKNOWN_EMPLOYEE_KEY)
-    return op.reconcile_counts(
-        {
-            "dim_products": (w.src["products"], w.star["dim_products"]),
-            "dim_customers": (w.src["customers"], w.star["dim_customers"]),
-            "dim_countries": (w.src["countries"], w.star["dim_countries"]),
-            "dim_warehouses": (w.src["warehouses"], w.star["dim_warehouses"]),
-            "dim_employees": (w.src["employees"], known),
-            "sales_fact": (w.src["order_items"], w.star["sales_fact"]),
-            "inventories_fact": (w.src["inventories"], w.star["inventories_fact"]),
-        }
+    """Rows of every source against the rows observed while its target was written."""
+    w.star  # published by now
+    loaded = star_contents(w.spark, w.star_root, list(LOADED_FROM))
+    sources = {name: (w.src[source], Contents(columns), loaded[name]) for name, (source, columns) in LOADED_FROM.items()}
+    same = F.when(F.col("expected_rows") == F.col("actual_rows"), "Y").otherwise("N")
+    return op.reconcile_contents(sources).withColumn("matches", same).drop("same_contents")
+
+
+@query("dq_reconcile_contents")
+def dq_reconcile_contents(w: Inputs) -> DataFrame:
+    """Whether targets hold just the rows of their sources, and whether lines were sold at list prices (as many, not the same)."""
+    w.star  # published by now
+    loaded = star_contents(w.spark, w.star_root, list(LOADED_FROM))
+    at_list = w.src["order_items"].join(w.src["products"].select("product_id", "list_price"), "product_id")
+    return op.reconcile_contents(
+        {name: (w.src[source], Contents(columns), loaded[name]) for name, (source, columns) in LOADED_FROM.items()}
+        | {"sales_fact at list prices": (at_list, Contents(("order_id", "quantity", "list_price")), loaded["sales_fact"])}
     )
 
 

@@ -24,13 +24,16 @@ class Inputs:
         self._building = threading.Lock()
         self._star: Mapping[str, DataFrame] | None = None
 
+    @property
+    def star_root(self) -> str:
+        return f"{shared_folder(self.spark)}/martwright/{self.identity}"
+
     @property
     def star(self) -> Mapping[str, DataFrame]:
         """The star, built and written on first use in the application, or again if its folder is gone."""
-        root = f"{shared_folder(self.spark)}/martwright/{self.identity}"
         with self._building:
-            if self._star is None or not _exists(self.spark, root):
-                self._star = publish_star(self.spark, root, self.src, tpch.AS_OF)
+            if self._star is None or not _exists(self.spark, self.star_root):
+                self._star = publish_star(self.spark, self.star_root, self.src, tpch.AS_OF)
             return self._star
 
 

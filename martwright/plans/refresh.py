@@ -14,7 +14,16 @@ from .. import operators as op
 from ..operators import dims as d
 from ..operators import scd
 from ..sources.publish import publish, publish_delta, publish_parts, read_newest, side_by_side, version_of
-from .star import SALES_PARTITION, by_warehouse, read_dims, read_star, star_versions, table_root, with_order_month
+from .star import (
+    SALES_PARTITION,
+    STAR_CONTENTS,
+    by_warehouse,
+    read_dims,
+    read_star,
+    star_versions,
+    table_root,
+    with_order_month,
+)
 
 # dimension: (natural key, surrogate key, active flag, first key, default start, reserved key)
 VERSIONED = {
@@ -89,7 +98,13 @@ def refresh_star(
         "dim_employees": op.refresh_employees(star["dim_employees"], src, as_of),
     }
     deltas = [
-        partial(publish_delta, _as_stored(name, star[name], rows), table_root(root, name), base=versions[name])
+        partial(
+            publish_delta,
+            _as_stored(name, star[name], rows),
+            table_root(root, name),
+            base=versions[name],
+            contents=STAR_CONTENTS[name],
+        )
         for name, rows in new.items()
     ]
     versions.update(zip(new, side_by_side(spark, deltas)))
@@ -101,7 +116,10 @@ def refresh_star(
     for name, rows in (changes or {}).items():
         rewritten[name], rejects[name] = _changed(name, dims[name], rows, as_of)
     if rewritten:
-        whole = [partial(publish, frame, table_root(root, name), base=versions[name]) for name, frame in rewritten.items()]
+        whole = [
+            partial(publish, frame, table_root(root, name), base=versions[name], contents=STAR_CONTENTS[name])
+            for name, frame in rewritten.items()
+        ]
         side_by_side(spark, whole)
         dims = read_dims(spark, root)
 
@@ -116,7 +134,10 @@ def refresh_star(
     ]
     side_by_side(
         spark,
-        [partial(publish_delta, rows, table_root(root, name), by, base=versions[name]) for rows, name, by in facts],
+        [
+            partial(publish_delta, rows, table_root(root, name), by, versions[name], STAR_CONTENTS[name])
+            for rows, name, by in facts
+        ],
     )
     return read_star(spark, root), rejects
 
@@ -148,5 +169,5 @@ def correct_sales(
     if months:
         held = reduce(or_, [(F.col("order_year") == y) & (F.col("order_month") == m) for y, m in sorted(months)])
         sales = op.upsert_facts(star["sales_fact"].where(held), rebuilt, ["order_id"], orders)
-        publish_parts(sales, table_root(root, "sales_fact"), SALES_PARTITION, months, base)
+        publish_parts(sales, table_root(root, "sales_fact"), SALES_PARTITION, months, base, STAR_CONTENTS["sales_fact"])
     return read_star(spark, root)

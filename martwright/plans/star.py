@@ -10,10 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
+from ..functions.contents import Contents
 from ..schemas import STAR_DDL
-from ..sources.publish import publish, read_published, side_by_side, version_of
+from ..sources.publish import publish, published_contents, read_published, side_by_side, version_of
 
 DIMENSIONS = [name for name in STAR_DDL if name.startswith("dim_")]
+#: What is observed of each table while it is written: columns that stand in the source too.
+STAR_CONTENTS = {
+    "dim_date": Contents(("calendar_date",)),
+    "dim_products": Contents(("product_id",)),
+    "dim_customers": Contents(("customer_id", "credit_limit")),
+    "dim_countries": Contents(("country_id",)),
+    "dim_warehouses": Contents(("warehouse_id",)),
+    "dim_employees": Contents(("employee_id", "hire_date"), f"employee_key <> {op.UNKNOWN_EMPLOYEE_KEY}"),
+    "sales_fact": Contents(("order_id", "item_quantity", "unit_price")),
+    "inventories_fact": Contents(("inventory_quantity",)),
+}
 SALES_PARTITION = ("order_year", "order_month")
 
 
@@ -70,13 +82,18 @@ def publish_star(
     out once. Sales are partitioned by order year, the filter of most reports, and month.
     """
     dims = build_dims(src, as_of, calendar)
-    side_by_side(spark, [partial(publish, dims[name], table_root(root, name)) for name in DIMENSIONS])
+    side_by_side(
+        spark, [partial(publish, dims[name], table_root(root, name), contents=STAR_CONTENTS[name]) for name in DIMENSIONS]
+    )
     facts = build_facts(src, read_dims(spark, root))
     side_by_side(
         spark,
         [
-            partial(publish, with_order_month(facts["sales_fact"]), table_root(root, "sales_fact"), SALES_PARTITION),
-            partial(publish, by_warehouse(facts["inventories_fact"]), table_root(root, "inventories_fact")),
+            partial(publish, rows, table_root(root, name), by, contents=STAR_CONTENTS[name])
+            for rows, name, by in [
+                (with_order_month(facts["sales_fact"]), "sales_fact", SALES_PARTITION),
+                (by_warehouse(facts["inventories_fact"]), "inventories_fact", ()),
+            ]
         ],
     )
     return read_star(spark, root)
@@ -97,3 +114,8 @@ def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def star_versions(spark: SparkSession, root: str) -> dict[str, int]:
     """The version of every table; taken before a star is read, it makes later publications safe against others."""
     return {name: version_of(spark, table_root(root, name)) for name in STAR_DDL}
+
+
+def star_contents(spark: SparkSession, root: str, names: list[str]) -> dict[str, tuple[int, int]]:
+    """Rows and fingerprint of the named tables, as observed while they were written."""
+    return {name: published_contents(spark, table_root(root, name), STAR_CONTENTS[name]) for name in names}

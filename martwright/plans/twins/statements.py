@@ -207,6 +207,30 @@ SQL["dq_reconcile_counts"] = " union all ".join(
     ]
 )
 
+SQL["dq_reconcile_contents"] = " union all ".join(
+    f"""select '{name}' as table_name, (select count(*) from {source}) as expected_rows,
+               (select count(*) from {block}) as actual_rows,
+               case when exists (select {wanted} from {source} except all select {held} from {block})
+                      or exists (select {held} from {block} except all select {wanted} from {source})
+                    then 'N' else 'Y' end as same_contents"""
+    for name, source, wanted, block, held in [
+        ("dim_products", "s_products", "product_id", "d_products", "product_id"),
+        ("dim_customers", "s_customers", "customer_id, credit_limit", "d_customers", "customer_id, credit_limit"),
+        ("dim_countries", "s_countries", "country_id", "d_countries", "country_id"),
+        ("dim_warehouses", "s_warehouses", "warehouse_id", "d_warehouses", "warehouse_id"),
+        ("dim_employees", "s_employees", "employee_id, hire_date", "d_employees", "employee_id, hire_date"),
+        ("sales_fact", "s_items", "order_id, quantity, unit_price", "f_sales", "order_id, item_quantity, unit_price"),
+        ("inventories_fact", "s_inventories", "quantity", "f_inventories", "inventory_quantity"),
+        (
+            "sales_fact at list prices",
+            "(select * from s_items join (select product_id, list_price from s_products) using (product_id))",
+            "order_id, quantity, list_price",
+            "f_sales",
+            "order_id, item_quantity, unit_price",
+        ),
+    ]
+)
+
 
 def _too_wide(column: str, limit) -> str:
     if isinstance(limit, int):

@@ -1,5 +1,16 @@
 from .changes import append_delta, apply_corrections
-from .publish import PublicationClash, clear_claims, compact, publish, publish_delta, publish_parts, read_newest, read_published, version_of
+from .publish import (
+    PublicationClash,
+    clear_claims,
+    compact,
+    publish,
+    publish_delta,
+    publish_parts,
+    published_contents,
+    read_newest,
+    read_published,
+    version_of,
+)
 from .tables import load_sources, register_views, row_counts, source_rejects
 from .tpch import source_model
 
@@ -13,6 +24,7 @@ __all__ = [
     "publish",
     "publish_delta",
     "publish_parts",
+    "published_contents",
     "read_newest",
     "read_published",
     "register_views",

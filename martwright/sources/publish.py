@@ -14,6 +14,9 @@ that much: a writer notes its claim to the next version before it looks for othe
 a rival whose name is greater to withdraw, and withdraws before one whose name is less, or whose version is listed. A
 writer that died between claim and list leaves its claim standing: then others raise until
 ``clear_claims``.
+
+With ``contents`` a writer notes how many rows it has written and their fingerprint, both observed by the tasks
+that write the files, so a load is reconciled without a second scan (``published_contents``).
 """
 
 from __future__ import annotations
@@ -24,12 +27,15 @@ from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.utils import AnalysisException
 
+from ..functions.contents import Contents
+
 EVERYTHING = "*"
 _ENTRY = "version int, folder string, drops boolean, part string"
 _CLAIM = "version int, writer string, withdrawn boolean"
+_OBSERVED = "folder string, contents string, rows bigint, fingerprint decimal(38,0)"
 #: Seconds to wait for a rival to withdraw, and between two looks.
 PATIENCE = 60.0
 PAUSE = 0.3
@@ -110,7 +116,14 @@ def _part(columns: Sequence[str], values: Iterable) -> str:
     return "/".join(f"{column}={value}" for column, value in zip(columns, values))
 
 
-def _write(frame: DataFrame, root: str, partition_by: Sequence[str], drops: Iterable[str], base: int | None) -> int:
+def _write(
+    frame: DataFrame,
+    root: str,
+    partition_by: Sequence[str],
+    drops: Iterable[str],
+    base: int | None,
+    contents: Contents | None,
+) -> int:
     spark = frame.sparkSession
     base = version_of(spark, root) if base is None else base
     _must_be(spark, root, base)
@@ -120,6 +133,10 @@ def _write(frame: DataFrame, root: str, partition_by: Sequence[str], drops: Iter
     if partition_by:
         # Adaptive execution cuts this shuffle into even files, also of a partition that holds most rows.
         frame = frame.hint("rebalance", *partition_by)
+    observation = Observation()
+    if contents:
+        # Behind the last shuffle: a task that is run again there counts once.
+        frame = frame.observe(observation, contents.rows().alias("rows"), contents.fingerprint().alias("fingerprint"))
     frame.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(folder)
     if partition_by:
         written = spark.read.schema(frame.schema).parquet(folder).select(*partition_by).distinct()
@@ -127,29 +144,50 @@ def _write(frame: DataFrame, root: str, partition_by: Sequence[str], drops: Iter
     elif not drops and spark.read.schema(frame.schema).parquet(folder).isEmpty():
         parts = []
     entries = [(True, part) for part in drops] + [(False, part) for part in parts]
+    if contents and parts:
+        seen = observation.get
+        _note(spark, [(name, repr(contents), seen["rows"], seen["fingerprint"])], _OBSERVED, f"{root}/observed/entry={name}")
     return _list_next(spark, root, base, name, entries) if entries else base
 
 
-def publish(frame: DataFrame, root: str, partition_by: Sequence[str] = (), base: int | None = None) -> int:
+def publish(
+    frame: DataFrame,
+    root: str,
+    partition_by: Sequence[str] = (),
+    base: int | None = None,
+    contents: Contents | None = None,
+) -> int:
     """Write a table whole, in place of all earlier versions.
 
     This and its siblings return the version now in force. ``base`` is the version
     that ``frame`` was made from, by default the newest one at the time of the call; if
     another has been published since, they raise ``PublicationClash`` and change nothing.
+    ``contents``: what to observe of the rows on their way.
     """
-    return _write(frame, root, partition_by, [EVERYTHING], base)
+    return _write(frame, root, partition_by, [EVERYTHING], base, contents)
 
 
-def publish_delta(frame: DataFrame, root: str, partition_by: Sequence[str] = (), base: int | None = None) -> int:
+def publish_delta(
+    frame: DataFrame,
+    root: str,
+    partition_by: Sequence[str] = (),
+    base: int | None = None,
+    contents: Contents | None = None,
+) -> int:
     """Add rows to a table already published."""
-    return _write(frame, root, partition_by, [], base)
+    return _write(frame, root, partition_by, [], base, contents)
 
 
 def publish_parts(
-    frame: DataFrame, root: str, partition_by: Sequence[str], parts: Iterable[Sequence], base: int | None = None
+    frame: DataFrame,
+    root: str,
+    partition_by: Sequence[str],
+    parts: Iterable[Sequence],
+    base: int | None = None,
+    contents: Contents | None = None,
 ) -> int:
     """Write the partitions with the given values anew; the others stay as they are."""
-    return _write(frame, root, partition_by, [_part(partition_by, values) for values in parts], base)
+    return _write(frame, root, partition_by, [_part(partition_by, values) for values in parts], base, contents)
 
 
 def _live(spark: SparkSession, root: str) -> list[tuple[str, str]]:
@@ -188,10 +226,34 @@ def read_newest(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, [(f, p) for f, p in live if p == newest])
 
 
-def compact(spark: SparkSession, root: str, partition_by: Sequence[str] = ()) -> int:
+def published_contents(spark: SparkSession, root: str, contents: Contents) -> tuple[int, int]:
+    """Rows and fingerprint of what is in force, from what its writers observed.
+
+    Read are only folders of which some parts are out of force, and those written without this observation.
+    """
+    seen = {r.folder: r for r in _listed(spark, f"{root}/observed", _OBSERVED) if r.contents == repr(contents)}
+    listed: dict[str, set[str]] = {}
+    for _, folder, drops, part in _entries(spark, root):
+        if not drops:
+            listed.setdefault(folder, set()).add(part)
+    live: dict[str, set[str]] = {}
+    for folder, part in _live(spark, root):
+        live.setdefault(folder, set()).add(part)
+    whole = [folder for folder, parts in live.items() if folder in seen and parts == listed[folder]]
+    rows, fingerprint = sum(seen[f].rows for f in whole), sum(int(seen[f].fingerprint) for f in whole)
+    unknown = [(folder, part) for folder in sorted(live.keys() - set(whole)) for part in sorted(live[folder])]
+    if unknown:
+        counted = _read(spark, root, unknown).agg(contents.rows(), contents.fingerprint()).first()
+        rows, fingerprint = rows + counted[0], fingerprint + int(counted[1])
+    return rows, fingerprint
+
+
+def compact(
+    spark: SparkSession, root: str, partition_by: Sequence[str] = (), contents: Contents | None = None
+) -> int:
     """Write the table as it is now whole, so that later reads open one folder instead of one per delta."""
     base = version_of(spark, root)
-    return publish(read_published(spark, root), root, partition_by, base)
+    return publish(read_published(spark, root), root, partition_by, base, contents)
 
 
 def side_by_side(spark: SparkSession, actions: list[Callable[[], int]]) -> list[int]:

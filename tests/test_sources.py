@@ -1,12 +1,28 @@
 from __future__ import annotations
 
+import importlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SHOP, day
 from martwright import operators as op
 from martwright.schemas import SOURCE_DDL
-from martwright.sources import append_delta, apply_corrections, load_sources, register_views, row_counts, source_rejects
+from martwright.functions.contents import Contents
+from martwright.sources import (
+    append_delta,
+    apply_corrections,
+    compact,
+    load_sources,
+    publish,
+    publish_delta,
+    publish_parts,
+    published_contents,
+    read_published,
+    register_views,
+    row_counts,
+    source_rejects,
+)
 
 
 def test_parquet_and_text_exports_read_alike(spark, src, tmp_path):
@@ -87,6 +103,48 @@ def test_quality_checks(spark, src, star):
     assert {r.column_name: r.violations for r in wide.collect()} == {"order_status": 1, "unit_price": 3}
 
 
+def test_equal_counts_of_other_contents(spark, src):
+    lines = Contents(("order_id", "quantity"))
+    seen = src["order_items"].agg(lines.rows(), lines.fingerprint()).first()
+    moved = src["order_items"].withColumn("quantity", F.col("quantity") + F.when(F.col("order_id") == 1, 1).otherwise(0))
+    shuffled = src["order_items"].orderBy(F.desc("quantity")).withColumn("order_id", F.col("order_id").cast("decimal(20,0)"))
+    twice = src["order_items"].union(src["order_items"])
+    found = op.reconcile_contents(
+        {name: (frame, lines, (seen[0], int(seen[1]))) for name, frame in [("same", shuffled), ("moved", moved), ("twice", twice)]}
+    )
+    assert {tuple(r) for r in found.collect()} == {("same", 7, 7, "Y"), ("moved", 7, 7, "N"), ("twice", 14, 7, "N")}
+    rows = lambda *r: spark.createDataFrame(list(r), "a string, b string").agg(Contents(("a", "b")).fingerprint()).first()[0]
+    assert len({rows((None, "x")), rows(("x", None)), rows(("x", "")), rows((None, None)), rows((None, "x"), (None, "x"))}) == 5
+    assert src["orders"].where("false").agg(Contents(("order_id",)).fingerprint()).first()[0] == 0
+
+
+def test_contents_are_observed_on_the_way(spark, tmp_path, monkeypatch):
+    root, ids = str(tmp_path / "table"), Contents(("id",), "id <> 99")
+    rows = lambda *k: spark.createDataFrame([(i, i % 3) for i in k], "id bigint, part int")
+
+    def of_table():
+        counted = read_published(spark, root).agg(ids.rows(), ids.fingerprint()).first()
+        return counted[0], int(counted[1])
+
+    publish(rows(*range(12), 99), root, ["part"], contents=ids)
+    publish_delta(rows(), root, ["part"], contents=ids)
+    publish_delta(rows(20, 23, 23), root, ["part"], contents=ids)
+    module, reads = importlib.import_module("martwright.sources.publish"), []
+    monkeypatch.setattr(module, "_read", lambda spark, root, live, read=module._read: reads.append(live) or read(spark, root, live))
+    seen = published_contents(spark, root, ids)
+    assert not reads and seen == of_table() and seen[0] == 15
+    # Of a folder that lost a part the rest is read, and that alone.
+    publish_parts(rows(30), root, ["part"], [(0,)], contents=ids)
+    del reads[:]
+    seen = published_contents(spark, root, ids)
+    assert [sorted(part for _, part in live) for live in reads] == [["part=1", "part=2"]]
+    assert seen == of_table() and seen[0] == 8 + 3 + 1
+    assert published_contents(spark, root, Contents(("part",)))[0] == 12, "not observed: all is read"
+    compact(spark, root, ["part"], ids)
+    del reads[:]
+    assert published_contents(spark, root, ids) == seen and not reads
+
+
 def test_a_delete_goes_all_the_way_down(spark, src, star):
     from collections import ChainMap
 
