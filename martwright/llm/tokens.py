@@ -11,8 +11,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Pieces a worker process remembers; the first ones met, common ones among them, stay. It only saves time.
-TABLE = 600_000
+#: Words, and pieces of words of several, that a worker process remembers; the first ones met, common ones among
+#: them, stay. It only saves time, and is kept small as idle workers hold their tables.
+WORDS = 400_000
+PIECES = 100_000
 #: Letters that every normaliser leaves alone once they are lower-case.
 _LOWER = "a-z\xdf-\xf6\xf8-\xff"
 _SIMPLE = re.compile(f"[A-Z\xc0-\xd6\xd8-\xde{_LOWER}\t-\r -~]*")
@@ -34,10 +36,13 @@ class PieceIds(dict):
         self.shown = {chr(c): chr(c) for c in range(0x21, 0x7F)}
         self.shown |= {c: tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
 
-    def __missing__(self, piece: str) -> bytes:
+    def ids_of(self, piece: str) -> bytes:
         shown = piece if piece.isascii() else "".join(map(self.shown.__getitem__, piece))
-        value = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-        if len(self) < TABLE:
+        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        value = self.ids_of(piece)
+        if len(self) < PIECES:
             self[piece] = value
         return value
 
@@ -63,8 +68,9 @@ class Words(PieceIds):
         self.piece = PieceIds(tokenizer)
 
     def __missing__(self, word: str) -> bytes:
-        value = b"".join(map(self.piece.__getitem__, _SIMPLE_PARTS.findall(word)))
-        if len(self) < TABLE:
+        parts = _SIMPLE_PARTS.findall(word)
+        value = self.ids_of(word) if parts == [word] else b"".join(map(self.piece.__getitem__, parts))
+        if len(self) < WORDS:
             self[word] = value
         return value
 
