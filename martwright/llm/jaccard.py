@@ -6,17 +6,23 @@
 3. Groups of similar documents: each node is compared with the pivots of its prefix hashes (of a hash's list, the most
    typical node, whose hashes are the most frequent, and the least) that share most, and joined to those it truly
    resembles. That is linear in the lists; a group of any number of copies costs one comparison or two per node.
-4. The token-group matrix holds, for each group, the prefix hashes of all its members and the range of their sizes. The
-   hashes a node finds there bound its overlap with any member, so only a few groups of other documents qualify.
+   Where hashes are still shared by several groups, nodes are compared once more with the hubs of their hashes: of
+   nodes about as large, in groups of their own, those that share most of their prefix with others. So copies that only
+   resemble one of them, and not each other, are one group before any pair of them is looked at.
+4. The token-group matrix holds, for each group and band of sizes, the prefix hashes of its members and the range of
+   their sizes. The hashes a node finds there bound its overlap with any member, so only a few groups of other documents
+   qualify. Nodes meet the matrix by hash and band, never by the hash alone.
 5. Those are opened: the node meets the members that hold one of its rarest hashes there, so many that no member over
-   the bound lacks them all; the same bound cuts single pairs, and what is left is compared in full. All links
-   together give the components.
+   the bound lacks them all. Where more bits of two sketches differ than hashes of similar sets can, the two do not
+   meet; the bound of step 4 cuts single pairs, and what is left is compared in full. All links together give the
+   components.
 
 Nothing is skipped: a link between two groups is always found by step 5. Hashes have 64 bits.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +40,15 @@ from .shingles import WordTable, shingle_set
 #: Counters by which hashes are ordered; their number bounds what is broadcast (4 bytes each).
 BUCKET_BITS = 20
 CHUNK_BITS = 12
+#: Bits of a sketch: bit k says whether the number of a set's hashes whose last bits are k is odd.
+SKETCH_BITS = 256
+_SKETCH = [f"s{k}" for k in range(SKETCH_BITS // 64)]
 #: Rows of one hash that stay together; longer lists are split and joined by their pivots.
 LIST_ROWS = 50_000
 #: Pivots a node is compared with.
 PIVOTS = 2
+#: Hubs of a hash and band of sizes that are offered to its nodes, each of another group.
+HUBS = 4
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -56,23 +67,36 @@ def _bucket(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+def _sketch(found: np.ndarray) -> np.ndarray:
+    odd = np.bincount((found & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _needed(n: int, percent: int) -> int:
     """The least overlap of a set of ``n`` with any set over the threshold."""
     return -(-percent * n // 100)
 
 
-_DESCRIBED = "doc_id string, text_hash long, n long, node long, part long, chunk long, counts binary"
+_DESCRIBED = "doc_id string, text_hash long, n long, node long, {}, part long, chunk long, counts binary".format(
+    ", ".join(f"{s} long" for s in _SKETCH)
+)
 
 
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Size and node of every row, then what this task counted per bucket of hashes, in chunks."""
+    """Size, node and sketch of every row, then what this task counted per bucket of hashes, in chunks."""
     table, counts = WordTable(), np.zeros(1 << BUCKET_BITS, np.int64)
     for batch in batches:
         sets = [shingle_set(text, table) for text in batch["text"]]
         if sets:
             counts += np.bincount(_bucket(np.concatenate(sets)), minlength=len(counts))
+        sketches = np.array([_sketch(s) for s in sets], np.int64).reshape(-1, len(_SKETCH))
         yield batch[["doc_id", "text_hash"]].assign(
-            n=[len(s) for s in sets], node=[_node(s) for s in sets], part=-1, chunk=-1, counts=None
+            n=[len(s) for s in sets],
+            node=[_node(s) for s in sets],
+            **dict(zip(_SKETCH, sketches.T)),
+            part=-1,
+            chunk=-1,
+            counts=None,
         )
     parts = counts.reshape(-1, 1 << CHUNK_BITS)
     used = np.flatnonzero(parts.any(axis=1))
@@ -82,6 +106,7 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             "text_hash": 0,
             "n": 0,
             "node": 0,
+            **dict.fromkeys(_SKETCH, 0),
             "part": TaskContext.get().partitionId(),
             "chunk": used,
             "counts": [parts[k].astype("<u4").tobytes() for k in used],
@@ -176,6 +201,20 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return (100 * a >= percent * b) & (100 * b >= percent * a)
 
 
+def _may_fit(of_a: list[Column], of_b: list[Column], a: Column, b: Column, percent: int) -> Column:
+    """Whether sketches of sets of sizes ``a`` and ``b`` differ in no more bits than the sets may differ in hashes."""
+    differ = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(of_a, of_b)), F.lit(0))
+    return differ <= a + b - 2 * F.ceil(percent * (a + b) / (100 + percent) - 1e-9)
+
+
+def _band(n: Column, percent: int) -> Column:
+    """A number that differs by one at most between sets whose sizes fit.
+
+    Bands are a little wider than the widest fitting ratio, so rounding can not part two fitting sizes by two bands.
+    """
+    return F.floor(F.log(n) / (1.001 * math.log(100 / percent))).cast("int")
+
+
 def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One compressed text per node and task."""
     table, press, seen = WordTable(), zstandard.ZstdCompressor(level=1), set()
@@ -215,6 +254,51 @@ def _verified(pairs: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "blob_a", "blob_b").mapInPandas(_compare(percent), "a long, b long")
 
 
+def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the group of their node; a node without links is its own."""
+    return rows.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+
+
+def _groups(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("id").alias("node"), F.col("component").alias("group"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The ``rows`` of tokens that nodes of several groups hold."""
+    tokens = rows.groupBy("token").agg(F.min("group").alias("g"), F.max("group").alias("h")).filter("g != h")
+    return rows.join(tokens, "token", "left_semi")
+
+
+def _with_hubs(rows: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes with hubs of other groups, at most ``PIVOTS`` for each node, none of them in ``tried``.
+
+    A list of one token holds about ``LIST_ROWS`` rows, which bounds what is gathered for it.
+    """
+    weighed = rows.withColumn("weight", F.count(F.lit(1)).over(Window.partitionBy("node")))
+    place = ["token", "list", "band"]
+    hubs = (
+        weighed.groupBy(*place, "group")
+        .agg(F.max(F.struct("weight", "node", "n")).alias("hub"))
+        .groupBy(*place)
+        .agg(F.sort_array(F.collect_list(F.struct("hub", "group")), asc=False).alias("hubs"))
+        .filter(F.size("hubs") > 1)
+        .select(*place, F.slice("hubs", 1, HUBS).alias("hubs"))
+    )
+    offered = (
+        weighed.join(hubs, place)
+        .select(F.col("node").alias("a"), "n", "group", F.explode("hubs").alias("to"))
+        .filter(F.col("group") != F.col("to.group"))
+        .select("a", "n", F.col("to.hub.node").alias("b"), F.col("to.hub.n").alias("m"))
+        .filter(_sizes_fit(F.col("n"), F.col("m"), percent))
+        .groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("m").alias("m"))
+        .filter(F.col("common") >= _fewest_shared(F.col("n"), F.col("m"), percent))
+        .join(tried, ["a", "b"], "left_anti")
+    )
+    best = Window.partitionBy("a").orderBy(F.desc("common"), "b")
+    return offered.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= PIVOTS).select("a", "b")
+
+
 def similarity_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tuple[DataFrame, DataFrame]:
     """``(members, groups)``: ``doc_id, text_hash, n, node`` of every row; ``node, place`` of the nodes that have links.
 
@@ -224,7 +308,9 @@ def similarity_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tup
     ship(docs.sparkSession)
     described = saved(_texts(docs).mapInPandas(_describe, _DESCRIBED), "described")
     members = described.filter("chunk < 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash", "n", "node")
-    nodes = saved(members.filter("n > 0").groupBy("node").agg(F.max("n").alias("n")), "nodes")
+    found = described.filter("chunk < 0 and n > 0").groupBy("node")
+    nodes = saved(found.agg(F.max("n").alias("n"), *(F.max(s).alias(s) for s in _SKETCH)), "nodes")
+    sizes = nodes.select("node", "n")
     counts = _bucket_counts(described)
 
     listed = Window.partitionBy("token", "list")
@@ -260,8 +346,8 @@ def similarity_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tup
         .agg(F.count(F.lit(1)).alias("common"))
     )
     sized = (
-        to_pivot.join(nodes, "node")
-        .join(nodes.select(F.col("node").alias("pivot"), F.col("n").alias("m")), "pivot")
+        to_pivot.join(sizes, "node")
+        .join(sizes.select(F.col("node").alias("pivot"), F.col("n").alias("m")), "pivot")
         .filter(_sizes_fit(F.col("n"), F.col("m"), percent))
         .filter(F.col("common") >= _fewest_shared(F.col("n"), F.col("m"), percent))
     )
@@ -282,23 +368,26 @@ def similarity_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tup
     )
     near = saved(_verified(tried, blobs, percent), "links")
 
-    # The token-group matrix, and the groups that a node's hashes let it open.
-    first = components(near).select(F.col("id").alias("node"), F.col("component").alias("group"))
-
-    def grouped(rows: DataFrame) -> DataFrame:
-        return rows.join(first, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    # Once more, with the hubs of hashes that several groups share.
+    placed = saved(
+        shared.select("token", "list", "node").join(nodes, "node").withColumn("band", _band(F.col("n"), percent)), "placed"
+    )
+    unsketched = placed.drop(*_SKETCH)
+    to_hub = saved(_with_hubs(_mixed(_grouped(unsketched, _groups(near))), tried, percent), "tried")
+    near = saved(near.union(_verified(to_hub, blobs, percent)), "links")
+    first = _groups(near)
 
-    placed = saved(grouped(shared.select("token", "node").distinct().join(nodes, "node")), "placed")
-    mixed = placed.groupBy("token").agg(F.min("group").alias("g"), F.max("group").alias("h")).filter("g != h").select("token")
-    rows = saved(placed.join(mixed, "token", "left_semi"), "mixed")
-    matrix = rows.groupBy("token", F.col("group").alias("other")).agg(
+    # The token-group matrix, and the groups that a node's hashes let it open.
+    rows = saved(_mixed(_grouped(placed.drop("list"), first)), "mixed")
+    matrix = rows.groupBy("token", F.col("group").alias("other"), F.col("band").alias("of_band")).agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("held")
     )
+    bands = F.explode(F.array(*(F.col("of_band") + k for k in (-1, 0, 1)))).alias("band")
     reach = (
-        rows.join(matrix, "token")
+        rows.join(matrix.select("*", bands), ["token", "band"])
         .filter("group > other")
         .filter((100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low")))
-        .groupBy("node", "n", "other")
+        .groupBy("node", "n", "other", "of_band")
         .agg(
             F.min("low").alias("low"),
             F.max("high").alias("high"),
@@ -314,13 +403,23 @@ def similarity_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tup
     qualifying = saved(
         reach.withColumn("spare", spare)
         .filter("spare > 0")
-        .select("node", "n", "other", F.explode(F.slice("common", F.lit(1), F.col("spare"))["token"]).alias("token")),
+        .select("node", "n", "other", "of_band", F.explode(F.slice("common", F.lit(1), F.col("spare"))["token"]).alias("token")),
         "qualifying",
     )
-    members_of = rows.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
+    members_of = rows.select(
+        "token",
+        F.col("node").alias("b"),
+        F.col("n").alias("m"),
+        F.col("group").alias("other"),
+        F.col("band").alias("of_band"),
+        *(F.col(s).alias(f"b_{s}") for s in _SKETCH),
+    )
+    sketches = [[F.col(s) for s in _SKETCH], [F.col(f"b_{s}") for s in _SKETCH]]
     opened = (
-        qualifying.join(members_of, ["token", "other"])
+        qualifying.join(nodes.select("node", *_SKETCH), "node")
+        .join(members_of, ["token", "other", "of_band"])
         .filter(_sizes_fit(F.col("n"), F.col("m"), percent))
+        .filter(_may_fit(*sketches, F.col("n"), F.col("m"), percent))
         .select(F.col("node").alias("a"), "b", "n", "m")
         .distinct()
     )
@@ -332,7 +431,7 @@ def similarity_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> tup
     )
     tried = saved(pairs.select("a", "b"), "tried")
     across = saved(_verified(tried, blobs, percent), "links")
-    ends = [grouped(across.select(F.col(end).alias("node"), "a", "b")).select("a", "b", F.col("group").alias(f"g{end}")) for end in "ab"]
+    ends = [_grouped(across.select(F.col(end).alias("node"), "a", "b"), first).select("a", "b", F.col("group").alias(f"g{end}")) for end in "ab"]
     merged = components(ends[0].join(ends[1], ["a", "b"]).select(F.col("ga").alias("a"), F.col("gb").alias("b")).distinct())
     linked = first.select("node", "group").union(across.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(first, "node", "left_anti").select("node", F.col("node").alias("group")))
     places = linked.join(merged.withColumnRenamed("id", "group"), "group", "left")

@@ -52,6 +52,62 @@ def test_components_like_all_pairs(spark, monkeypatch, list_rows):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == _plain_components(rows)
 
 
+def test_copies_that_resemble_one_text_only_cost_few_comparisons(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 121):
+        text = list(base)
+        for at in rng.sample(range(5, 145, 5), 2 if i <= 80 else 4):
+            text[at] = f"x{i}.{at}"
+        rows.append((i, " ".join(text)))
+    wanted = _plain_components(rows)
+    assert len({c for _, _, c in wanted}) == 41  # two edits link with the base, four with nothing
+    tried = []
+    whole = jaccard._verified
+
+    def counted(pairs, blobs, percent):
+        tried.append(pairs.count())
+        return whole(pairs, blobs, percent)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    got = jaccard.jaccard_components(documents(spark, *rows))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == wanted
+    assert sum(tried) <= 4 * len(rows)
+
+
+def test_sizes_that_fit_lie_in_bands_side_by_side(spark):
+    from pyspark.sql import functions as F
+
+    sizes = spark.range(1, 200_000).select(F.col("id").alias("a"), F.floor(F.col("id") * 100 / 80).alias("b"))
+    apart = jaccard._band(F.col("b"), 80) - jaccard._band(F.col("a"), 80)
+    assert sizes.filter(~jaccard._sizes_fit(F.col("a"), F.col("b"), 80)).isEmpty()
+    assert sizes.filter((apart > 1) | (apart < 0)).isEmpty()
+
+
+def test_sketches_part_no_similar_sets(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    rows, similar = [], 0
+    for _ in range(1500):
+        size = int(rng.integers(1, 400))
+        left = rng.integers(0, 1 << 63, size, np.uint64)
+        gone = int(rng.integers(0, size // 4 + 1))
+        right = np.concatenate([left[gone:], rng.integers(0, 1 << 63, int(rng.integers(0, gone + 2)), np.uint64)])
+        fits = 100 * (size - gone) >= 80 * (size + len(right) - (size - gone))
+        similar += fits
+        rows.append((*map(int, jaccard._sketch(left)), *map(int, jaccard._sketch(right)), size, len(right), bool(fits)))
+    names = [f"{side}{k}" for side in "xy" for k in range(4)]
+    frame = spark.createDataFrame(rows, [*names, "a", "b", "fits"])
+    columns = [[F.col(c) for c in names if c[0] == side] for side in "xy"]
+    may = jaccard._may_fit(*columns, F.col("a"), F.col("b"), 80)
+    assert 100 < similar < 1400
+    assert frame.filter(F.col("fits") & ~may).isEmpty()
+    assert frame.filter(~F.col("fits") & ~may).count() > 300
+
+
 def test_one_of_each_component_stays(spark):
     rows = [r for r in _similar_rows() if r[0] is not None]
     docs = documents(spark, *rows)
