@@ -21,8 +21,8 @@ _ZONE_BITS = 23
 #: Text ids in the sample (those of the least hashes), and every how many of them, in order, bounds a block.
 _SAMPLE = 16384
 _EVERY = 16
-#: Bounds that are looked through one by one, twice: among the first of each run of so many, then in that run.
-_RUN = 32
+#: A search among the bounds cuts what is left into so many parts, one bound looked at between two.
+_RUN = 2
 
 
 def _before(count: str, *partition: str, order: str) -> Column:
@@ -49,12 +49,16 @@ def _with_text_block(df: DataFrame, name: str) -> DataFrame:
     ids = sample.agg(F.array_sort(F.collect_list(name)).alias("ids"))
     bounds = ids.select(F.filter("ids", lambda _, at: at % _EVERY == _EVERY - 1)).scalar()
 
-    def passed(some: Column) -> Column:
-        return F.size(F.filter(some, lambda bound: bound <= F.col(name)))
-
-    runs = passed(F.filter("_bounds", lambda _, at: at % _RUN == 0))
-    before = F.greatest(runs - 1, F.lit(0)) * _RUN
-    block = before + passed(F.slice("_bounds", before + 1, F.lit(_RUN)))
+    # Steps of falling width over the sorted bounds, each taken if the last bound it passes is not greater.
+    widths, width = [], 1
+    while width <= _SAMPLE // _EVERY:
+        widths, width = [width] * (_RUN - 1) + widths, width * _RUN
+    steps = F.array(*[F.lit(width) for width in widths])
+    block = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get("_bounds", at + step - 1) <= F.col(name), at + step).otherwise(at),
+    )
     return df.withColumn("_bounds", bounds).withColumn("_block", block.cast("bigint")).drop("_bounds")
 
 

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import bisect
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_text
 from martwright.operators import with_surrogate_key
 from martwright.operators.keys import highest_key
 
@@ -91,3 +93,16 @@ def test_a_sampled_block_is_a_range(spark):
     assert len(blocks) == keys._SAMPLE // keys._EVERY + 1 and max(r[3] for r in blocks) < 5 * 200_000 / len(blocks)
     keyed = with_surrogate_key(df, ["id"], "k", 1)
     assert keyed.where(F.col("k") != F.substring("id", 10, 9).cast("bigint") + 1).count() == 0
+
+
+def test_a_text_id_is_held_against_few_bounds(spark):
+    """The block of an id is searched for, not counted out over all bounds, which took minutes for a million ids."""
+    from martwright.operators import keys
+
+    df = spark.range(40_000).select(F.col("id").cast("string").alias("id"))
+    assert "size(filter(" not in plan_text(keys._with_block(df, "id"))
+    ids = [r.id for r in df.collect()]
+    chosen = sorted(r.id for r in df.orderBy(F.xxhash64("id"), "id").limit(keys._SAMPLE).collect())
+    bounds = chosen[keys._EVERY - 1 :: keys._EVERY]
+    got = {r.id: r._block for r in keys._with_block(df, "id").collect()}
+    assert got == {i: bisect.bisect_right(bounds, i) for i in ids}
