@@ -7,9 +7,8 @@ is noted beside every batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,22 +38,6 @@ def _note_mark(rows: DataFrame, seq: int, path: str) -> None:
     highest.write.mode("overwrite").parquet(path)
 
 
-def _first_seen(columns: list[str]):
-    """A product's rows, if its id has not been seen before; rows without a category do not count as seeing it."""
-
-    def fresh(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        seen = state.exists
-        for chunk in chunks:
-            placed = chunk["known"] | chunk["category_name"].notna()
-            if not state.exists and placed.any():
-                state.update((True,))
-            out = chunk[~placed] if seen else chunk
-            if len(out):
-                yield out[columns]
-
-    return fresh
-
-
 def _one_per_product(products: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row per product id, the same one whenever the batch is delivered; and the differing rows of those ids."""
     rest = [c for c in products.columns if c != "product_id"]
@@ -84,23 +67,23 @@ def stream_products(
     a folder of the batch's own: a batch delivered twice after a failure starts from the same state and
     marks, overwrites its folder, and leaves one copy and the same keys. Of differing rows of a
     product within a batch the greatest counts; the others, and rows of no category (until one of their id has one),
-    go to ``rejects_path``, a folder per batch. Rows of a hot id stream through one task, chunk by chunk.
+    go to ``rejects_path``, a folder per batch. A hot id is one row
+    of the state's; its rows are combined before any shuffle by id.
     """
     products = source_schema("products")
-    # Text carries whole numbers and decimals through pandas as they are; nullable numbers would become floats.
-    named = StructType([StructField(name, StringType()) for name in [*products.names, "category_name"]])
-    named = named.add("known", "boolean")
+    named = StructType([*products.fields, StructField("category_name", StringType())]).add("known", "boolean")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         own = f"batch={'batch-%010d' % batch_id}"
         # Written once and read again, so that the state moves on once per batch however often its rows are used.
         batch.write.mode("overwrite").parquet(f"{dim_path}-arrived/{own}")
-        text = session.read.schema(named).parquet(f"{dim_path}-arrived/{own}")
-        rows = text.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in products})
-        base = rows.where("known").select("product_id")
-        arrived = rows.where("not known").drop("known").join(base, "product_id", "left_anti")
-        chosen, others = _one_per_product(arrived.where("category_name is not null").drop("category_name"))
+        rows = session.read.schema(named).parquet(f"{dim_path}-arrived/{own}")
+        arrived = rows.where("known is null").drop("known").join(rows.where("known"), "product_id", "left_anti")
+        first = rows.where("not known").select(F.col("product_id").alias("_id"))
+        placed = arrived.where("category_name is not null").drop("category_name")
+        placed = placed.join(first, F.col("product_id").eqNullSafe(F.col("_id")), "left_semi")
+        chosen, others = _one_per_product(placed)
         homeless = arrived.where("category_name is null").select(others.columns)
         others.unionByName(homeless).write.mode("overwrite").parquet(f"{rejects_path(dim_path)}/{own}")
         marks = session.read.schema(_MARK).parquet(f"{dim_path}-marks/batch=*").where(F.col("seq") < batch_id)
@@ -113,16 +96,12 @@ def stream_products(
     feed = as_products(spark.readStream.schema(schema).parquet(path)).select(products.names)
     feed = feed.join(categories.select("category_id", "category_name"), "category_id", "left")
     base = spark.readStream.schema(star_schema("dim_products")).parquet(f"{dim_path}/batch=base")
-    known = base.select(
-        "product_id",
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in products if f.name != "product_id"],
-        F.lit(None).cast("string").alias("category_name"),
-        F.lit(True).alias("known"),
-    )
-    both = known.unionByName(feed.withColumn("known", F.lit(False)))
-    seen = both.select(*[F.col(name).cast("string").alias(name) for name in named.names[:-1]], "known")
-    fresh = seen.groupBy("product_id").applyInPandasWithState(
-        _first_seen(named.names), named, "seen boolean", "append", "NoTimeout"
+    # What the state lets through: ids of the base, once (``known``), and ids it has not seen before, neither in the base
+    # nor in a row with a category (not ``known``).
+    ids = base.select("product_id", F.explode(F.array(F.lit(True), F.lit(False))).alias("known"))
+    ids = ids.unionByName(feed.where("category_name is not null").select("product_id", F.lit(False).alias("known")))
+    fresh = feed.withColumn("known", F.lit(None).cast("boolean")).unionByName(
+        ids.dropDuplicates(["product_id", "known"]), allowMissingColumns=True
     )
     return (
         fresh.writeStream.foreachBatch(apply)

@@ -62,3 +62,18 @@ def test_rejects_of_the_stream_and_empty_ids(spark, star, src, tmp_path):
     assert sorted((r.product_id, r.product_name) for r in rejects.collect()) == [(5, "a"), (6, "c")]
     _feed(spark, [(6, "c", "d", "1", "2", 2), (5, "late", "d", "1", "2", 1)], feed, "two")
     assert run() == [(5, "B", 1004), (6, "C", 1005)], "a product comes in once it has a category"
+
+
+def test_the_state_runs_no_python(spark, star, src, tmp_path):
+    """A Python call per product took hours for millions of them; whole numbers beyond a double's reach stay exact."""
+    feed, dim = f"{tmp_path}/feed", f"{tmp_path}/dim"
+    start_dimension(star["dim_products"], dim)
+    big = 2**60 + 1
+    _feed(spark, [(big, "a", "d", "1", "2", 1), (big + 1, "b", "d", "1", "2", 1)], feed, "one")
+    query = stream_products(spark, f"{feed}/*", f"{tmp_path}/checkpoint", dim, src["product_categories"], source_schema("products"))
+    query.awaitTermination()
+    assert query.exception() is None
+    operators = {state["operatorName"] for at in query.recentProgress for state in at["stateOperators"]}
+    assert operators == {"dedupe"}
+    got = [r.product_id for r in read_dimension(spark, dim).orderBy("product_key").collect()]
+    assert got == [1, 2, 3, big, big + 1]
