@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
-from ...session import expect_skew, shared_folder
+from ...session import bound_broadcasts, expect_skew, shared_folder
 from ...sources import tpch
 from ..star import publish_star
 
@@ -54,6 +54,7 @@ def query(name: str) -> Callable[[Query], Query]:
 def inputs_for(spark: SparkSession, folder: str) -> Inputs:
     """The inputs of ``folder`` as it is now; changed tables get a new source model and star."""
     expect_skew(spark)
+    bound_broadcasts(spark)
     application = spark.conf.get("spark.app.id")
     digest = hashlib.sha256(f"{folder}|{_state_of(spark, folder)}".encode()).hexdigest()[:16]
     identity = f"{application}/{digest}"

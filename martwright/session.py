@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from functools import lru_cache
 
@@ -35,6 +36,21 @@ def expect_skew(spark: SparkSession) -> None:
         spark.conf.set(f"spark.sql.adaptive.{name}", "true")
 
 
+#: Spark's own limit is held against the size of files, which are many times smaller than their rows in memory.
+BROADCAST_BYTES = 1 << 20
+
+
+def bound_broadcasts(spark: SparkSession) -> None:
+    """Keep tables that grow with the input from being sent to the driver and from there to every executor.
+
+    A lower limit that is set already, or none (-1), stays.
+    """
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get(name).strip().lower()).groups()
+    if int(number) << (10 * " kmgt".index(unit or " ")) > BROADCAST_BYTES:
+        spark.conf.set(name, str(BROADCAST_BYTES))
+
+
 @lru_cache(maxsize=None)
 def _local_folder(app_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"martwright-{app_id}-")
