@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 
+from conftest import plan_text
+from martwright.plans.queries.quality import dq_cascade_delete
 from martwright.plans.queries.registry import inputs_for
 from martwright.session import BROADCAST_BYTES
 from checks import DATA
@@ -23,3 +27,16 @@ def test_broadcasts_are_bounded_and_a_lower_limit_stays(spark, before, after):
         assert spark.conf.get(THRESHOLD) == after
     finally:
         spark.conf.set(THRESHOLD, kept)
+
+
+def test_cascade_shrinks_lines_before_they_meet_products(spark):
+    sales = spark.createDataFrame(
+        [(1, "A", 1.5), (1, "A", 2.5), (2, "A", 4.0), (2, "B", 8.0), (None, "A", 16.0), (3, "B", None), (1, None, 32.0)],
+        "product_key bigint, order_status string, order_total_price double",
+    ).selectExpr("product_key", "order_status", "cast(order_total_price as decimal(18,2)) as order_total_price")
+    products = spark.createDataFrame([(1, "CPU"), (2, "ECONOMY"), (3, "CPU")], "product_key bigint, product_category string")
+    left = dq_cascade_delete(SimpleNamespace(star={"dim_products": products, "sales_fact": sales}))
+    rows = {(r.order_status, r.lines, None if r.sales is None else float(r.sales), r.products) for r in left.collect()}
+    assert rows == {("A", 3, 20.0, 1), ("B", 1, None, 1), (None, 1, 32.0, 1)}
+    optimized = plan_text(left).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert "Aggregate [product_key" in optimized.split("Join LeftAnti")[1]
