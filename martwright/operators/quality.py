@@ -12,8 +12,14 @@ from ..functions.contents import Contents
 
 
 def duplicate_keys(df: DataFrame, pk: list[str]) -> DataFrame:
-    """Key values held by more than one row, with their row count."""
-    return df.groupBy(*pk).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
+    """Key values held by more than one row, with their row count.
+
+    Keys hardly repeat and, as numbers in a row, compress to a fraction of what a task needs to count them. Combined
+    before the shuffle they would only fill memory, and adaptive execution, which sees compressed sizes, would merge
+    partitions into tasks of gigabytes: so rows go, not combined, to as many partitions as the session has.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(*pk).repartition(partitions, *pk).groupBy(*pk).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
 
 
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:

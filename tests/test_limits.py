@@ -7,6 +7,7 @@ from types import SimpleNamespace
 import pytest
 
 from conftest import plan_text
+from martwright import operators as op
 from martwright.plans.queries.quality import dq_cascade_delete
 from martwright.plans.queries.registry import inputs_for
 from martwright.session import BROADCAST_BYTES
@@ -40,3 +41,10 @@ def test_cascade_shrinks_lines_before_they_meet_products(spark):
     assert rows == {("A", 3, 20.0, 1), ("B", 1, None, 1), (None, 1, 32.0, 1)}
     optimized = plan_text(left).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     assert "Aggregate [product_key" in optimized.split("Join LeftAnti")[1]
+
+
+def test_keys_are_counted_in_tasks_that_are_not_merged(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "b"), (None, "b"), (2, None)], "k bigint, t string")
+    found = op.duplicate_keys(rows, ["k", "t"])
+    assert {tuple(r) for r in found.collect()} == {(1, "a", 2), (None, "b", 3)}
+    assert "REPARTITION_BY_NUM" in plan_text(found)
