@@ -11,7 +11,7 @@ from .dims import (
     dim_warehouses,
     with_unknown_employee,
 )
-from .facts import fact_inventories, fact_sales, fact_sales_of, sales_rejects
+from .facts import fact_inventories, fact_sales, fact_sales_of, lines_of, sales_rejects
 from .incremental import (
     refresh_countries,
     refresh_customers,
@@ -59,6 +59,7 @@ __all__ = [
     "fact_inventories",
     "fact_sales",
     "fact_sales_of",
+    "lines_of",
     "mark_holidays",
     "null_counts",
     "orphan_count",

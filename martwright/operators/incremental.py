@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import calendar_columns
 from ..schemas import conform, star_schema
 from . import dims as d
-from .facts import fact_inventories, fact_sales_of, sales_rejects
+from .facts import fact_inventories, fact_sales_of, lines_of, sales_rejects
 from .keys import highest_key, with_surrogate_key
 
 
@@ -101,7 +101,7 @@ def refresh_sales(current: DataFrame, src: Mapping[str, DataFrame], dims: Mappin
 def refresh_sales_rejects(current: DataFrame, src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
     """Lines of those orders that find no member; the mark moves past them, so they are to be mended and corrected."""
     newer = _newer_orders(current, src)
-    lines = src["order_items"].join(newer.select("order_id"), "order_id", "left_semi")
+    lines = lines_of(src, newer)
     return sales_rejects(ChainMap({"orders": newer, "order_items": lines}, src), dims)
 
 

@@ -123,18 +123,18 @@ def inc_refresh_all(w: Inputs) -> DataFrame:
     products = w.src["products"].join(categories.select("category_id"), "category_id", "left_semi")
     old = {
         "orders": old_orders,
-        "order_items": w.src["order_items"]
-        .join(old_orders.select("order_id"), "order_id", "left_semi")
-        .join(products.select("product_id"), "product_id", "left_semi"),
+        "order_items": op.lines_of(w.src, old_orders).join(products.select("product_id"), "product_id", "left_semi"),
         "products": products,
         "inventories": w.src["inventories"].join(products.select("product_id"), "product_id", "left_semi"),
     }
-    days = w.star["dim_date"].agg(F.min("calendar_date"), F.max("calendar_date")).first()
+    days = op.dim_date_spanning(w.src["orders"], "order_date").agg(F.min("calendar_date"), F.max("calendar_date")).first()
     publish_star(w.spark, root, ChainMap(old, w.src), tpch.AS_OF)
     once, _ = refresh_star(w.spark, root, w.src, tpch.AS_OF, tuple(days))
     # Lines of new products in old orders lie below the mark: they come as corrections of their orders.
     late = w.src["order_items"].join(products.select("product_id"), "product_id", "left_anti").select("order_id")
-    corrected = old_orders.join(late.distinct(), "order_id", "left_semi")
+    found = old_orders.join(late.distinct(), "order_id", "left_semi")
+    found.write.parquet(f"{root}/corrected")  # read several times below
+    corrected = w.spark.read.schema(found.schema).parquet(f"{root}/corrected")
     once = correct_sales(w.spark, root, corrected, w.src, before=corrected)
     twice, _ = refresh_star(w.spark, root, w.src, tpch.AS_OF, tuple(days))
     sums = {"sales_fact": "order_total_price", "inventories_fact": "inventory_quantity"}

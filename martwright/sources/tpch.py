@@ -162,9 +162,18 @@ class SourceModel(Mapping):
         )
 
     def _order_items(self) -> DataFrame:
+        return self._priced(self._read("lineitem"))
+
+    def lines_of(self, orders: DataFrame) -> DataFrame:
+        """``order_items`` of the given orders, cut before the lines are priced."""
+        ids = orders.select(F.col("order_id").alias("_order_id"))
+        lines = self._read("lineitem").join(ids, F.col("l_orderkey") == F.col("_order_id"), "left_semi")
+        return conform(self._priced(lines), source_schema("order_items"))
+
+    def _priced(self, lines: DataFrame) -> DataFrame:
         retail = F.col("p_retailprice").cast("decimal(9,2)")
         unit_price = F.round(retail * (1 - F.col("l_discount").cast("decimal(4,2)")), 2)
-        priced = self._read("lineitem").join(self._read("part"), F.col("l_partkey") == F.col("p_partkey"))
+        priced = lines.join(self._read("part"), F.col("l_partkey") == F.col("p_partkey"))
         return priced.select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("item_id"),

@@ -9,8 +9,10 @@ import pytest
 from conftest import plan_text
 from martwright import operators as op
 from martwright.plans.queries.quality import dq_cascade_delete
+from martwright.plans.queries.refresh import inc_refresh_all
 from martwright.plans.queries.registry import inputs_for
 from martwright.session import BROADCAST_BYTES
+from martwright.sources.tpch import source_model
 from checks import DATA
 
 THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
@@ -48,3 +50,30 @@ def test_keys_are_counted_in_tasks_that_are_not_merged(spark):
     found = op.duplicate_keys(rows, ["k", "t"])
     assert {tuple(r) for r in found.collect()} == {(1, "a", 2), (None, "b", 3)}
     assert "REPARTITION_BY_NUM" in plan_text(found)
+
+
+def test_lines_of_some_orders_are_cut_before_they_are_priced(spark, tmp_path):
+    tables = {
+        "lineitem": ("l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_discount double",
+                     [(1, 1, 7, 2.0, 0.5), (1, 2, 8, 1.0, 0.0), (2, 1, 7, 3.0, 0.0), (None, 1, 7, 4.0, 0.0), (3, 1, None, 5.0, 0.0), (1, 3, 9, 6.0, 0.0)]),
+        "part": ("p_partkey bigint, p_retailprice double", [(7, 10.0), (8, 20.0), (8, 30.0), (None, 40.0)]),
+    }
+    for name, (ddl, rows) in tables.items():
+        spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    src = source_model(spark, str(tmp_path))
+    orders = spark.createDataFrame([(1,), (1,), (3,), (None,)], "order_id bigint")
+    lines = op.lines_of(src, orders)
+    found = sorted((r.order_id, r.item_id, r.product_id, float(r.quantity), float(r.unit_price)) for r in lines.collect())
+    assert found == [(1, 1, 7, 2.0, 5.0), (1, 2, 8, 1.0, 20.0), (1, 2, 8, 1.0, 30.0)]
+    whole = src["order_items"].join(orders, "order_id", "left_semi")
+    assert lines.schema == whole.schema and lines.exceptAll(whole).isEmpty() and whole.exceptAll(lines).isEmpty()
+    optimized = plan_text(lines).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert "Join LeftSemi" in optimized.split("Join Inner")[1]
+    # A source of its own lines is cut as it is.
+    assert op.lines_of({"order_items": src["order_items"]}, orders).exceptAll(whole).isEmpty()
+
+
+def test_both_loads_need_no_third_star(spark):
+    result = inc_refresh_all(SimpleNamespace(spark=spark, src=source_model(spark, f"{DATA}/sf0.001")))
+    rows = {r.table_name: (r.row_count, r.added_again) for r in result.collect()}
+    assert len(rows) == 8 and all(count > 0 and again == 0 for count, again in rows.values())
