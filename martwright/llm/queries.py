@@ -72,8 +72,15 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = remove_repeats(documents(spark, folder), keep_text=False)
+    words = F.zip_with("passage_starts", "passage_ends", lambda start, end: end - start)
     return out.select(
-        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256"
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("starts").cast("long").alias("n_spans"),
+        "kept_sha256",
+        F.size("passage_starts").cast("long").alias("n_passages"),
+        F.aggregate(words, F.lit(0).cast("long"), lambda total, n: total + n).alias("n_passage_words"),
     )
 
 

@@ -28,33 +28,18 @@ from pyspark.sql import functions as F
 
 from ..session import expect_skew
 from .common import saved, ship
+from .passages import PASSAGE, shared_windows
+from .phrases import by_trigger, merged, press_texts, rolling, text_rows
 
 #: The length in bytes from which strings count as repeated.
 LENGTH = 400
-#: Bytes under the rolling hash, and starts among which the least hash is the trigger.
-ROLL = 16
+#: Starts among which the least hash is the trigger.
 SPAN = 192
 #: Contexts of one core that a task compares by itself; cores with more are compared string by string in Spark.
 KINDS = 2000
 #: Starts that are compared together first in those.
 BLOCK = 16
 
-_FACTORS = [np.uint32(pow(0x01000193, 1 << k, 1 << 32)) for k in range(4)]
-
-
-def _rolling(raw: np.ndarray) -> np.ndarray:
-    """A hash of the ROLL bytes from each position on, by doubling."""
-    out = raw.astype(np.uint32) * np.uint32(0x9E3779B1) + np.uint32(0x7F4A7C15)
-    out ^= out >> np.uint32(15)
-    for k, factor in enumerate(_FACTORS):
-        step = 1 << k
-        out = out[:-step] * factor + out[step:]
-    out ^= out >> np.uint32(16)
-    out *= np.uint32(0x85EBCA6B)
-    out ^= out >> np.uint32(13)
-    out *= np.uint32(0xC2B2AE35)
-    return out ^ (out >> np.uint32(16))
-
 
 def phrases(raw: bytes, length: int = LENGTH, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``first, last, trigger``: runs of starts of ``length``-byte strings whose trigger is the same position.
@@ -66,24 +51,8 @@ def phrases(raw: bytes, length: int = LENGTH, span: int = SPAN) -> tuple[np.ndar
     if starts <= 0:
         none = np.empty(0, np.int64)
         return none, none, none
-    hashes = _rolling(np.frombuffer(raw, np.uint8))[: starts + span - 1]
-    least = (hashes.astype(np.uint64) << np.uint64(32)) | np.arange(len(hashes), dtype=np.uint64)
-    width = 1
-    while width < span:
-        step = min(width, span - width)
-        least = np.minimum(least[:-step], least[step:])
-        width += step
-    trigger = (least[:starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    change = np.flatnonzero(np.diff(trigger)) + 1
-    first = np.concatenate(([0], change))
-    last = np.concatenate((change, [starts])) - 1
-    return first, last, trigger[first]
-
-
-def _rows(docs: DataFrame) -> DataFrame:
-    """``row``: what a row is known by, its id and text; equal rows share it."""
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return docs.select(F.xxhash64("doc_id", "text").alias("row"), text.alias("text"))
+    hashes = rolling(np.frombuffer(raw, np.uint8))[: starts + span - 1]
+    return by_trigger(hashes, starts, span)
 
 
 def _cores(length: int, span: int):
@@ -125,12 +94,6 @@ def _parse(length: int, span: int):
     return work
 
 
-def _press(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        yield batch.drop(columns="text").assign(blob=[press.compress(t) for t in batch["text"]])
-
-
 def _contexts(length: int):
     """The listed phrases of each text, with all the bytes that strings starting in them reach."""
 
@@ -254,7 +217,7 @@ def _compare(length: int):
 def repeated_places(docs: DataFrame, length: int = LENGTH, span: int = SPAN) -> DataFrame:
     """``row, place``: runs of starts of repeated strings (first start << 16 | further starts), by row of ``docs``."""
     expect_skew(docs.sparkSession)
-    texts = _rows(docs)
+    texts = text_rows(docs)
     cores = texts.select("text").mapInPandas(_cores(length, span), "core long")
     met = saved(cores.groupBy("core").count().filter("count > 1").select("core"), "cores")
     parse = texts.mapInPandas(_parse(length, span), "core long, whole long, row long, place long")
@@ -273,7 +236,7 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, span: int = SPAN) ->
         .groupBy("row")
         .agg(F.collect_list("item").alias("items"))
     )
-    blobs = texts.mapInPandas(_press, "row long, blob binary")
+    blobs = texts.mapInPandas(press_texts, "row long, blob binary")
     contexts = saved(
         blobs.join(apart, "row").mapInPandas(
             _contexts(length), "core long, kinds long, row long, place long, often long, reach binary"
@@ -321,27 +284,15 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, span: int = SPAN) ->
     return settled.select("row", "place").union(few).union(whole_blocks.select("row", "place")).union(single)
 
 
-def _merged(places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of bytes under the strings that start at ``places``."""
-    first = places >> 16
-    order = np.argsort(first, kind="stable")
-    start, end = first[order], (first + (places & 0xFFFF) + length)[order]
-    reach = np.maximum.accumulate(end)
-    new = np.concatenate(([True], start[1:] > reach[:-1]))
-    last = np.concatenate((np.flatnonzero(new)[1:] - 1, [len(start) - 1]))
-    return start[new], reach[last]
-
-
-def _cut(length: int, keep_text: bool):
+def _cut(length: int, passage: int, keep_text: bool):
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         press = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            for doc_id, blob, places in zip(batch["doc_id"], batch["blob"], batch["places"]):
+            for doc_id, blob, places, windows in zip(batch["doc_id"], batch["blob"], batch["places"], batch["windows"]):
                 text = press.decompress(blob)
-                starts = ends = np.empty(0, np.int64)
-                if places is not None and len(places):
-                    starts, ends = _merged(np.asarray(places, np.int64), length)
+                starts, ends = merged(places, length)
+                passages = merged(windows, passage)
                 cuts = [0, *np.column_stack((starts, ends)).ravel().tolist(), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
                 out.append(
@@ -353,6 +304,8 @@ def _cut(length: int, keep_text: bool):
                         ends.tolist(),
                         hashlib.sha256(kept).hexdigest(),
                         kept if keep_text else None,
+                        passages[0].tolist(),
+                        passages[1].tolist(),
                     )
                 )
             yield pd.DataFrame(out, columns=_CUT)
@@ -360,26 +313,35 @@ def _cut(length: int, keep_text: bool):
     return work
 
 
-_CUT = ["doc_id", "n_bytes", "n_removed", "starts", "ends", "kept_sha256", "kept"]
+_CUT = ["doc_id", "n_bytes", "n_removed", "starts", "ends", "kept_sha256", "kept", "passage_starts", "passage_ends"]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, span: int = SPAN, keep_text: bool = True) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, starts, ends, kept_sha256, kept`` of every row of ``docs (doc_id, text)``.
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, span: int = SPAN, keep_text: bool = True, passage: int = PASSAGE
+) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, starts, ends, kept_sha256, kept, passage_starts, passage_ends`` of every row of
+    ``docs (doc_id, text)``.
 
     Every byte under a ``length``-byte string that starts anywhere else too, in any row, is removed. ``starts`` and
     ``ends`` are the removed runs, ``kept`` the bytes left (null unless ``keep_text``). Texts are UTF-8 bytes; a null
     text is empty, shorter ones than ``length`` lose nothing. Rows with equal id and text are two rows: their strings repeat.
     A null doc_id stays null, an empty table gives no row, other columns are ignored.
 
-    Two shuffles carry a row per phrase (about ``span``/2 bytes of text), two the texts, compressed. Equality is
-    that of two 64-bit hashes, of a core and of the whole string. ``span`` may be at most ``length`` less ROLL.
+    ``passage_starts`` and ``passage_ends`` number the words (from 0, ends exclusive) of the passages: maximal runs under
+    windows of ``passage`` words that stand in another document too. They are found beside the removal, as such passages may
+    be shorter than ``length``, and remove nothing; rows of equal id and text are one document here. ``passage`` is at least 32.
+
+    Four shuffles carry a row per phrase (two about ``span``/2 bytes of text, two about 12 words), three the texts,
+    compressed. Equality is that of two 64-bit hashes, of a core and of the whole string. ``span`` may be at most ``length`` less ROLL.
     """
     ship(docs.sparkSession)
     places = repeated_places(docs, length, span).groupBy("row").agg(F.collect_list("place").alias("places"))
+    windows = shared_windows(docs, passage).groupBy("row").agg(F.collect_set("place").alias("windows"))
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     blobs = docs.select(
         F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), text.alias("text")
-    ).mapInPandas(_press, "doc_id string, row long, blob binary")
-    types = "doc_id string, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept_sha256 string, kept binary"
-    out = blobs.join(places, "row", "left").select("doc_id", "blob", "places").mapInPandas(_cut(length, keep_text), types)
+    ).mapInPandas(press_texts, "doc_id string, row long, blob binary")
+    types = "doc_id string, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept_sha256 string, kept binary, passage_starts array<long>, passage_ends array<long>"
+    found = blobs.join(places, "row", "left").join(windows, "row", "left").select("doc_id", "blob", "places", "windows")
+    out = found.mapInPandas(_cut(length, passage, keep_text), types)
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -6,9 +6,11 @@ from collections import Counter
 
 import pytest
 
-from llm_helpers import documents, prose, rows_of, shingle_set
+from llm_helpers import GAP, documents, prose, rows_of, shingle_set
 from martwright.llm import decontaminate as dc
-from martwright.llm import jaccard, repeats
+from martwright.llm import jaccard, passages, repeats
+from martwright.llm.phrases import merged, text_rows
+from martwright.llm.queries import op4_suffix_dedup
 
 
 def _edited(text: str, edits: int, seed: int) -> str:
@@ -249,3 +251,50 @@ def test_equal_strings_have_equal_triggers():
             of = {p: t for a, b, t in zip(first, last, trigger) for p in range(a, b + 1)}
             places.append([of[len(lead) + k] - len(lead) for k in range(31)])
         assert places[0] == places[1]
+
+
+def _plain_passages(rows, length):
+    texts = [[w for w in GAP.split(t or "") if w] for _, t in rows]
+    held = {}
+    for row, w in zip(rows, texts):
+        for p in range(len(w) - length + 1):
+            held.setdefault(tuple(w[p : p + length]), set()).add(row)
+    out = []
+    for (i, _), w in zip(rows, texts):
+        inside = [False] * len(w)
+        for p in range(len(w) - length + 1):
+            if len(held[tuple(w[p : p + length])]) > 1:
+                inside[p : p + length] = [True] * length
+        out.append((i, sum(x and (k == 0 or not inside[k - 1]) for k, x in enumerate(inside)), sum(inside)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("length, span", [(51, 24), (20, 12), (20, 1)])
+def test_passages_of_other_documents_like_a_plain_count(spark, length, span):
+    passage, base = prose(1, 80).split(), prose(2, 200)
+    rows = [(k, " ".join([prose(20 + k, 30), *passage[k : 80 - 2 * k], prose(40 + k, 15)])) for k in range(14)]
+    rows += [(100 + k, _edited(base, k % 5, k)) for k in range(30)]
+    rows += [(200, prose(3, 120)), (200, prose(3, 120)), (201, (prose(4, 60) + " ") * 3), (202, "and " * 300), (203, "and " * 90 + "or " * 70)]
+    rows += [(204, prose(5, 70)), (205, prose(5, 70).replace(" ", "\n \t")), (None, prose(5, 70)), (206, "\u00e9t\u00e9 \u00a0 " * 60 + base)]
+    rows += [(207, " ".join([*base.split()[50:110], prose(6, 9), *base.split()[50:110]])), (208, None), (209, ""), (210, "few words")]
+    docs = documents(spark, *rows)
+    found = {}
+    for r in passages.shared_windows(docs, length, span).join(text_rows(docs), "row").collect():
+        found.setdefault(bytes(r.text), set()).add(r.place)
+    got = []
+    for i, t in rows:
+        starts, ends = merged(sorted(found.get((t or "").encode(), ())), length)
+        got.append((i, len(starts), int((ends - starts).sum())))
+    assert sorted(got, key=repr) == _plain_passages(rows, length)
+
+
+def test_passages_too_short_for_removal_are_reported(spark, tmp_path):
+    passage = " ".join(f"w{k}" for k in range(60))  # under 400 bytes
+    rows = [(k, prose(k, 40) + "\n" + passage + " " + prose(10 + k, 40)) for k in range(3)]
+    rows += [(3, prose(3, 90)), (4, (prose(4, 60) + " ") * 2), (4, (prose(4, 60) + " ") * 2), (5, None)]
+    documents(spark, *rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = op4_suffix_dedup(spark, str(tmp_path))
+    assert rows_of(got, "doc_id", "n_passages", "n_passage_words") == _plain_passages(rows, 51)
+    assert rows_of(got.filter("n_passages > 0"), "doc_id", "n_removed", "n_passage_words") == [(k, 0, 60) for k in range(3)]
+    assert rows_of(got.drop("n_passages", "n_passage_words"), "*") == _plain_repeats(rows, 400)
+    assert repeats.remove_repeats(documents(spark, "x").limit(0)).count() == 0
