@@ -23,8 +23,6 @@ from ..star import SALES_PARTITION, publish_star
 from .registry import Inputs, query
 
 NEW_CATEGORY, NEW_REGION, NEW_TEAM = "PROMO", "EUROPE", "SALES 4"
-#: A stream that reads what is there must be done by then.
-STREAM_SECONDS = 1800
 CALENDAR_START, CALENDAR_END = dt.date(2000, 7, 1), dt.date(2001, 12, 31)
 
 
@@ -99,7 +97,7 @@ def inc_products_stream(w: Inputs) -> DataFrame:
     """The PROMO products arrive as a stream of part files."""
     folder = f"{shared_folder(w.spark)}/martwright/stream-{uuid.uuid4().hex}"
     start_dimension(_old_products(w), f"{folder}/dim_products")
-    stream_products(
+    stream = stream_products(
         w.spark,
         f"{w.folder}/part.parquet*",
         f"{folder}/checkpoint",
@@ -107,7 +105,10 @@ def inc_products_stream(w: Inputs) -> DataFrame:
         w.src["product_categories"],
         tpch.part_schema(w.spark, w.folder),
         tpch.products_from_part,
-    ).awaitTermination(STREAM_SECONDS)
+    )
+    stream.awaitTermination()  # however long it takes; what it failed of is raised
+    if stream.lastProgress is None:  # Spark raises nothing for a stream that was stopped
+        raise RuntimeError("the stream was stopped before its products were in the dimension")
     return read_dimension(w.spark, f"{folder}/dim_products").drop("batch")
 
 

@@ -1,8 +1,14 @@
 from __future__ import annotations
 
 import shutil
+from types import SimpleNamespace
 
+import pytest
+
+from martwright import operators as op
+from martwright.plans.queries import refresh
 from martwright.schemas import source_schema
+from martwright.sources import tpch
 from martwright.streaming.products import read_dimension, rejects_path, start_dimension, stream_products
 
 
@@ -77,3 +83,45 @@ def test_the_state_runs_no_python(spark, star, src, tmp_path):
     assert operators == {"dedupe"}
     got = [r.product_id for r in read_dimension(spark, dim).orderBy("product_key").collect()]
     assert got == [1, 2, 3, big, big + 1]
+
+
+class _Watched:
+    """A stream for which any time limit is over at once."""
+
+    def __init__(self, stream):
+        self._stream = stream
+
+    def __getattr__(self, name):
+        return getattr(self._stream, name)
+
+    def awaitTermination(self, timeout=None):
+        return self._stream.awaitTermination(timeout and 0.01)
+
+
+def _parts(spark, tmp_path):
+    """Inputs of the query: two products in the dimension and two of the new category."""
+    rows = [(1, "a#1", "ECONOMY"), (2, "b#2", "PROMO"), (3, "c#3", "ECONOMY"), (4, "d#4", "PROMO")]
+    parts = [(key, name, "Brand#1", kind, key, 10.0 * key) for key, name, kind in rows]
+    columns = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame(parts, columns).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    src = tpch.source_model(spark, str(tmp_path))
+    star = {"dim_products": op.dim_products(src["products"], src["product_categories"])}
+    return SimpleNamespace(spark=spark, folder=str(tmp_path), src=src, star=star)
+
+
+def test_the_query_waits_until_the_stream_is_done(spark, tmp_path, monkeypatch):
+    """Its wait once ended after half an hour, and what was in the dimension by then was the result."""
+    monkeypatch.setattr(refresh, "stream_products", lambda *given: _Watched(stream_products(*given)))
+    rows = refresh.inc_products_stream(_parts(spark, tmp_path)).collect()
+    assert sorted(r.product_id for r in rows) == [1, 2, 3, 4]
+
+
+def test_a_stopped_stream_is_no_result(spark, tmp_path, monkeypatch):
+    def stopped(*given):
+        stream = stream_products(*given)
+        stream.stop()
+        return stream
+
+    monkeypatch.setattr(refresh, "stream_products", stopped)
+    with pytest.raises(RuntimeError, match="stopped"):
+        refresh.inc_products_stream(_parts(spark, tmp_path))
